@@ -1,0 +1,231 @@
+"""Declared schemas and column contracts for every layer.
+
+Column names and orders are fixed values: they must equal the published table
+contracts so exports and loads line up.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    BooleanType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
+
+# --- fixed values: raw file columns, in file order ---------------------------
+RAW_COLUMNS = [
+    "Prscrbr_NPI",
+    "Prscrbr_Last_Org_Name",
+    "Prscrbr_First_Name",
+    "Prscrbr_City",
+    "Prscrbr_State_Abrvtn",
+    "Prscrbr_State_FIPS",
+    "Prscrbr_Type",
+    "Prscrbr_Type_Src",
+    "Brnd_Name",
+    "Gnrc_Name",
+    "Tot_Clms",
+    "Tot_30day_Fills",
+    "Tot_Day_Suply",
+    "Tot_Drug_Cst",
+    "Tot_Benes",
+    "GE65_Sprsn_Flag",
+    "GE65_Tot_Clms",
+    "GE65_Tot_30day_Fills",
+    "GE65_Tot_Drug_Cst",
+    "GE65_Tot_Day_Suply",
+    "GE65_Bene_Sprsn_Flag",
+    "GE65_Tot_Benes",
+]
+
+RAW_SCHEMA = StructType([StructField(c, StringType(), True) for c in RAW_COLUMNS])
+
+CORRUPT_COLUMN = "_corrupt_record"
+
+# Silver grain (business key) after deduplication.
+SILVER_KEY = ["year", "npi", "state", "brand_name", "generic_name"]
+
+SILVER_SCHEMA = StructType(
+    [
+        StructField("npi", StringType()),
+        StructField("prescriber_last_or_org_name", StringType()),
+        StructField("prescriber_first_name", StringType()),
+        StructField("city", StringType()),
+        StructField("state", StringType()),
+        StructField("state_fips", StringType()),
+        StructField("specialty", StringType()),
+        StructField("brand_name", StringType()),
+        StructField("generic_name", StringType()),
+        StructField("ge65_suppression_flag", StringType()),
+        StructField("year", IntegerType()),
+        StructField("is_tot_claims_suppressed", BooleanType()),
+        StructField("is_ge65_suppressed", BooleanType()),
+        StructField("tot_claims", LongType()),
+        StructField("tot_30day_fills", DoubleType()),
+        StructField("tot_drug_cost", DoubleType()),
+        StructField("tot_day_supply", LongType()),
+        StructField("tot_beneficiaries", LongType()),
+        StructField("ge65_claims", LongType()),
+        StructField("ge65_drug_cost", DoubleType()),
+        StructField("cost_per_claim", DoubleType()),
+        StructField("claims_per_beneficiary", DoubleType()),
+    ]
+)
+SILVER_COLUMNS = SILVER_SCHEMA.fieldNames()
+
+# --- fixed values: gold table contracts (primary key first) ------------------
+STAR_COLUMNS = {
+    "dim_year": ["year_id", "year"],
+    "dim_state": ["state_id", "state_abbr", "state_fips"],
+    "dim_drug": ["drug_id", "brand_name", "generic_name"],
+    "dim_prescriber": ["prescriber_id", "npi", "full_name", "city", "state", "specialty"],
+    "fact_prescriptions": [
+        "fact_id",
+        "prescriber_id",
+        "drug_id",
+        "state_id",
+        "year_id",
+        "tot_claims",
+        "tot_30day_fills",
+        "tot_drug_cost",
+        "tot_day_supply",
+        "tot_beneficiaries",
+        "ge65_claims",
+        "ge65_drug_cost",
+        "cost_per_claim",
+        "claims_per_beneficiary",
+        "is_tot_claims_suppressed",
+        "is_ge65_suppressed",
+    ],
+}
+
+MART_COLUMNS = {
+    "gold_state_year_spending": [
+        "mart_id",
+        "year",
+        "state",
+        "total_claims",
+        "total_drug_cost",
+        "total_beneficiaries",
+        "prescriber_count",
+        "drug_count",
+        "avg_cost_per_claim",
+    ],
+    "gold_drug_year_spending": [
+        "mart_id",
+        "year",
+        "brand_name",
+        "generic_name",
+        "total_claims",
+        "total_drug_cost",
+        "prescriber_count",
+        "state_count",
+        "avg_cost_per_claim",
+    ],
+    "gold_specialty_state_spending": [
+        "mart_id",
+        "year",
+        "state",
+        "specialty",
+        "total_claims",
+        "total_drug_cost",
+        "prescriber_count",
+        "drug_count",
+        "avg_cost_per_claim",
+    ],
+    "gold_prescriber_summary": [
+        "mart_id",
+        "year",
+        "npi",
+        "full_name",
+        "city",
+        "state",
+        "specialty",
+        "total_claims",
+        "total_drug_cost",
+        "drug_count",
+        "avg_cost_per_claim",
+    ],
+    "gold_anomaly_prescribers": [
+        "mart_id",
+        "year",
+        "npi",
+        "full_name",
+        "city",
+        "state",
+        "specialty",
+        "total_claims",
+        "total_drug_cost",
+        "avg_cost_per_claim",
+        "peer_p95_cost_per_claim",
+        "anomaly_reason",
+    ],
+}
+
+# Load order: parents before children.
+STAR_LOAD_ORDER = ["dim_year", "dim_state", "dim_drug", "dim_prescriber", "fact_prescriptions"]
+MART_LOAD_ORDER = list(MART_COLUMNS)
+
+# --- fixed values: metadata tables -------------------------------------------
+INGESTION_STATUSES = ("RUNNING", "SUCCESS", "FAILED")
+DQ_STATUSES = ("PASS", "FAIL", "WARN")
+
+INGESTION_LOG_SCHEMA = StructType(
+    [
+        StructField("run_id", StringType(), False),
+        StructField("dataset_name", StringType(), False),
+        StructField("dataset_id", StringType(), False),
+        StructField("source_url", StringType(), False),
+        StructField("year", IntegerType(), False),
+        StructField("file_path", StringType(), False),
+        StructField("manifest_path", StringType(), False),
+        StructField("row_count", LongType(), False),
+        StructField("expected_row_count", LongType()),
+        StructField("checksum_sha256", StringType()),
+        StructField("object_etag", StringType()),
+        StructField("status", StringType(), False),
+        StructField("started_at", TimestampType(), False),
+        StructField("completed_at", TimestampType()),
+        StructField("error_message", StringType()),
+    ]
+)
+INGESTION_LOG_KEY = ["run_id", "dataset_name", "year"]
+
+DQ_RESULT_SCHEMA = StructType(
+    [
+        StructField("run_id", StringType(), False),
+        StructField("dataset_name", StringType(), False),
+        StructField("layer", StringType(), False),
+        StructField("check_name", StringType(), False),
+        StructField("status", StringType(), False),
+        StructField("observed_value", StringType()),
+        StructField("expected_value", StringType()),
+        StructField("details", StringType()),
+    ]
+)
+
+MANIFEST_SCHEMA = StructType(
+    [
+        StructField("dataset_name", StringType()),
+        StructField("dataset_id", StringType()),
+        StructField("year", IntegerType()),
+        StructField("source_url", StringType()),
+        StructField("row_count", LongType()),
+        StructField("expected_row_count", LongType()),
+        StructField("page_size", IntegerType()),
+        StructField("checksum_sha256", StringType()),
+        StructField("ingested_at", StringType()),
+    ]
+)
+
+
+def conform(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Project ``df`` onto a contract's column order."""
+    return df.select(*[F.col(c) for c in columns])
