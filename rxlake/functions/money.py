@@ -2,7 +2,7 @@
 
 Floating-point sums depend on the order rows arrive in, so two runs (or two
 engines) can disagree in the last bits. Money is therefore summed in exact
-integer cents, and averages of ratios go through a fixed-scale decimal sum.
+integer cents, and averages of ratios go through a fixed-point integer sum.
 Both results are the same for any partitioning of the input.
 """
 
@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, DoubleType, LongType
+from pyspark.sql.types import DoubleType, LongType
 
 
 def _col(c: str | Column) -> Column:
@@ -27,12 +27,19 @@ def money_sum(c: str | Column) -> Column:
     return F.sum(cents(c)).cast(DoubleType()) / F.lit(100.0)
 
 
-def stable_avg(c: str | Column, scale: int = 6) -> Column:
-    """Average of a double column, summed exactly at ``scale`` decimals."""
-    total = F.sum(_col(c).cast(DecimalType(18, scale))).cast(DoubleType())
-    return total / F.count(_col(c)).cast(DoubleType())
+def scaled(c: str | Column, digits: int = 6) -> Column:
+    """A double as a whole number of ``10**-digits`` units (long).
 
+    The product is rounded in binary (not through a decimal string), so every
+    engine maps a value to the same integer."""
+    return F.round(_col(c) * F.lit(10**digits)).cast(LongType())
 
-def stable_sum(c: str | Column, scale: int = 6) -> Column:
-    """Sum of a double column, exact at ``scale`` decimals."""
-    return F.sum(_col(c).cast(DecimalType(18, scale))).cast(DoubleType())
+
+def stable_sum(c: str | Column, digits: int = 6) -> Column:
+    """Sum of a double column, exact at ``digits`` decimals and order-independent."""
+    return F.sum(scaled(c, digits)).cast(DoubleType()) / F.lit(float(10**digits))
+
+
+def stable_avg(c: str | Column, digits: int = 6) -> Column:
+    """Average of a double column, summed exactly at ``digits`` decimals."""
+    return stable_sum(c, digits) / F.count(_col(c)).cast(DoubleType())

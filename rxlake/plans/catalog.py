@@ -8,9 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rxlake.operators import clean, marts, outliers
+from rxlake.operators import clean, marts, outliers, star, views
 from rxlake.plans import oracle as O
 from rxlake.plans.pipeline import silver_from_standin
+from rxlake.schemas import SILVER_KEY
 from rxlake.sources.standin import standin_raw
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,3 +73,444 @@ def mart_anomaly(spark, sf_dir):
 )
 def anomaly_year_specialty(spark, sf_dir):
     return outliers.anomaly_prescribers(_summary(spark, sf_dir), peer_keys=("year", "specialty"))
+
+
+# --- shared chains ----------------------------------------------------------------
+
+
+def _silver(spark, sf_dir):
+    return silver_from_standin(spark, sf_dir)
+
+
+def _typed(spark, sf_dir):
+    return clean.type_raw(standin_raw(spark, sf_dir), year_col="yr")
+
+
+def _anomalies(spark, sf_dir):
+    return outliers.anomaly_prescribers(_summary(spark, sf_dir))
+
+
+def _star(spark, sf_dir):
+    return star.star_schema(_silver(spark, sf_dir))
+
+
+def W(needed: list[str], body: str, **kw) -> str:
+    return O.with_ctes(needed, body, **kw)
+
+
+# --- Silver stage -------------------------------------------------------------------
+
+FLAG_SQL = """SELECT year, is_tot_claims_suppressed, is_ge65_suppressed, COUNT(*) AS row_count
+FROM typed GROUP BY year, is_tot_claims_suppressed, is_ge65_suppressed"""
+
+
+@register("suppression_flags", W(["typed"], FLAG_SQL))
+def suppression_flags(spark, sf_dir):
+    return _typed(spark, sf_dir).groupBy("year", "is_tot_claims_suppressed", "is_ge65_suppressed").agg(
+        F.count(F.lit(1)).alias("row_count")
+    )
+
+
+NUMERIC_COLS = [
+    "npi", "year", "brand_name", "generic_name", "tot_claims", "tot_30day_fills", "tot_drug_cost", "tot_day_supply",
+    "tot_beneficiaries", "ge65_claims", "ge65_drug_cost", "cost_per_claim", "claims_per_beneficiary",
+    "is_tot_claims_suppressed", "is_ge65_suppressed",
+]
+
+
+@register("numeric_parse", W(["typed"], f"SELECT {', '.join(NUMERIC_COLS)} FROM typed"))
+def numeric_parse(spark, sf_dir):
+    return _typed(spark, sf_dir).select(*NUMERIC_COLS)
+
+
+DEDUP_SQL = f"""SELECT {', '.join(SILVER_KEY)}, COUNT(*) AS row_count, COUNT(*) - 1 AS removed_rows
+FROM typed GROUP BY {', '.join(SILVER_KEY)} HAVING COUNT(*) > 1"""
+
+
+@register("dedup_key", W(["typed"], DEDUP_SQL))
+def dedup_key(spark, sf_dir):
+    return (
+        _typed(spark, sf_dir)
+        .groupBy(*SILVER_KEY)
+        .agg(F.count(F.lit(1)).alias("row_count"))
+        .where(F.col("row_count") > 1)
+        .withColumn("removed_rows", F.col("row_count") - 1)
+    )
+
+
+def _unparsable_sql() -> str:
+    parts = []
+    for _, src, target in clean.NUMERIC_MAP:
+        pat = O.LONG_PATTERN if target.typeName() == "long" else O.DOUBLE_PATTERN
+        parts.append(f"COALESCE(NOT {O.sup(src)} AND NOT regexp_matches(replace(trim({src}), ',', ''), {O._q(pat)}), FALSE)")
+    return " OR ".join(parts)
+
+
+REJECT_SQL = f"""SELECT yr AS year, CASE WHEN ({_unparsable_sql()}) OR COALESCE({O.num('Tot_Drug_Cst', 'DOUBLE')} < 0, FALSE)
+ THEN 'REJECTED' ELSE 'ACCEPTED' END AS status, COUNT(*) AS row_count FROM raw GROUP BY 1, 2"""
+
+
+@register("reject_split", W(["raw"], REJECT_SQL))
+def reject_split(spark, sf_dir):
+    accepted, rejected = clean.split_rejects(standin_raw(spark, sf_dir), year_col="yr")
+    a = accepted.select("year", F.lit("ACCEPTED").alias("status"))
+    r = rejected.select("year", F.lit("REJECTED").alias("status"))
+    return a.unionByName(r).groupBy("year", "status").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+# --- star schema ----------------------------------------------------------------------
+
+
+@register("dim_prescriber", W(["dim_prescriber"], "SELECT * FROM dim_prescriber"))
+def q_dim_prescriber(spark, sf_dir):
+    return star.dim_prescriber(_silver(spark, sf_dir))
+
+
+@register("dim_drug", W(["dim_drug"], "SELECT * FROM dim_drug"))
+def q_dim_drug(spark, sf_dir):
+    return star.dim_drug(_silver(spark, sf_dir))
+
+
+@register("dim_state", W(["dim_state"], "SELECT * FROM dim_state"))
+def q_dim_state(spark, sf_dir):
+    return star.dim_state(_silver(spark, sf_dir))
+
+
+@register("dim_year", W(["dim_year"], "SELECT * FROM dim_year"))
+def q_dim_year(spark, sf_dir):
+    return star.dim_year(_silver(spark, sf_dir))
+
+
+@register("fact_prescriptions", W(["fact"], "SELECT * FROM fact"))
+def q_fact(spark, sf_dir):
+    return star.fact_prescriptions(_silver(spark, sf_dir))
+
+
+STAR_ROLLUP_SQL = f"""SELECT y.year, s.state_abbr, p.specialty, CAST(SUM(f.tot_claims) AS BIGINT) AS total_claims,
+ {O.money('f.tot_drug_cost')} AS total_drug_cost, COUNT(DISTINCT p.npi) AS prescriber_count, COUNT(*) AS fact_rows
+FROM fact f JOIN dim_prescriber p ON f.prescriber_id = p.prescriber_id JOIN dim_drug d ON f.drug_id = d.drug_id
+ JOIN dim_state s ON f.state_id = s.state_id JOIN dim_year y ON f.year_id = y.year_id
+GROUP BY y.year, s.state_abbr, p.specialty"""
+
+
+@register("star_join_rollup", W(["fact", "dim_prescriber", "dim_drug", "dim_state", "dim_year"], STAR_ROLLUP_SQL))
+def star_join_rollup(spark, sf_dir):
+    return star.star_rollup(_star(spark, sf_dir))
+
+
+ORPHANS_SQL = "\nUNION ALL\n".join(
+    f"SELECT '{k}' AS foreign_key, '{d}' AS dimension, COUNT(*) AS orphan_rows FROM fact f "
+    f"WHERE NOT EXISTS (SELECT 1 FROM {d} x WHERE x.{k} = f.{k})"
+    for k, d in [("prescriber_id", "dim_prescriber"), ("drug_id", "dim_drug"), ("state_id", "dim_state"), ("year_id", "dim_year")]
+)
+
+
+@register("orphans", W(["fact", "dim_prescriber", "dim_drug", "dim_state", "dim_year"], ORPHANS_SQL))
+def q_orphans(spark, sf_dir):
+    return star.orphans(_star(spark, sf_dir))
+
+
+# --- marts --------------------------------------------------------------------------------
+
+
+@register("mart_state_year", W(["state_year"], "SELECT * FROM state_year"))
+def mart_state_year(spark, sf_dir):
+    return marts.state_year_spending(_silver(spark, sf_dir))
+
+
+@register("mart_drug_year", W(["drug_year"], "SELECT * FROM drug_year"))
+def mart_drug_year(spark, sf_dir):
+    return marts.drug_year_spending(_silver(spark, sf_dir))
+
+
+@register("mart_specialty_state", W(["specialty_state"], "SELECT * FROM specialty_state"))
+def mart_specialty_state(spark, sf_dir):
+    return marts.specialty_state_spending(_silver(spark, sf_dir))
+
+
+# --- outlier variants ---------------------------------------------------------------------
+
+FLAG_OUT = ["mart_id", "year", "npi", "full_name", "city", "state", "specialty", "total_claims",
+            "avg_cost_per_claim", "peer_size", "peer_threshold", "is_anomaly"]
+
+ANOMALY_FLAG_SQL = f"""SELECT s.mart_id, s.year, s.npi, s.full_name, s.city, s.state, s.specialty, s.total_claims,
+ s.avg_cost_per_claim, t.peer_size, t.peer_threshold,
+ COALESCE(s.total_claims >= 30 AND s.avg_cost_per_claim IS NOT NULL AND t.peer_threshold IS NOT NULL
+  AND s.avg_cost_per_claim > t.peer_threshold, FALSE) AS is_anomaly
+FROM summary s LEFT JOIN (
+ SELECT year, state, specialty, COUNT(*) AS peer_size, quantile_disc(avg_cost_per_claim, 0.95) AS peer_threshold
+ FROM summary WHERE avg_cost_per_claim IS NOT NULL GROUP BY year, state, specialty
+) t ON s.year = t.year AND s.state = t.state AND s.specialty = t.specialty"""
+
+
+@register("anomaly_flag", W(["summary"], ANOMALY_FLAG_SQL))
+def anomaly_flag(spark, sf_dir):
+    return outliers.peer_outliers(_summary(spark, sf_dir), mode="flag").select(*FLAG_OUT)
+
+
+OUTLIER_OUT = ["mart_id", "year", "npi", "state", "specialty", "total_claims", "avg_cost_per_claim", "peer_size"]
+
+
+def _outlier_sql(stats_select: str, threshold: str, extra_out: str) -> str:
+    return f"""SELECT s.mart_id, s.year, s.npi, s.state, s.specialty, s.total_claims, s.avg_cost_per_claim, t.peer_size, {extra_out}
+FROM summary s JOIN (
+ SELECT year, state, specialty, COUNT(*) AS peer_size, {stats_select}
+ FROM summary WHERE avg_cost_per_claim IS NOT NULL GROUP BY year, state, specialty
+) t ON s.year = t.year AND s.state = t.state AND s.specialty = t.specialty
+WHERE s.total_claims >= 30 AND s.avg_cost_per_claim IS NOT NULL AND ({threshold}) IS NOT NULL
+ AND s.avg_cost_per_claim > ({threshold})"""
+
+
+IQR_SQL = _outlier_sql(
+    "quantile_cont(avg_cost_per_claim, 0.25) AS q1, quantile_cont(avg_cost_per_claim, 0.75) AS q3",
+    "t.q3 + CAST(1.5 AS DOUBLE) * (t.q3 - t.q1)",
+    "round(t.q1, 6) AS q1, round(t.q3, 6) AS q3, round(t.q3 + CAST(1.5 AS DOUBLE) * (t.q3 - t.q1), 6) AS peer_threshold",
+)
+
+
+@register("anomaly_iqr", W(["summary"], IQR_SQL))
+def anomaly_iqr(spark, sf_dir):
+    out = outliers.peer_outliers(_summary(spark, sf_dir), method="iqr")
+    # Interpolated quantiles are shown at 6 decimals: engines differ in the
+    # last bit of the interpolation; the outlier decision uses full precision.
+    return out.select(*OUTLIER_OUT, *[F.round(c, 6).alias(c) for c in ("q1", "q3", "peer_threshold")])
+
+
+Z_SQL = _outlier_sql(
+    f"{O.stable_avg('avg_cost_per_claim')} AS peer_mean, stddev_samp(avg_cost_per_claim) AS peer_stddev",
+    "t.peer_mean + CAST(3.0 AS DOUBLE) * t.peer_stddev",
+    "t.peer_mean, round(t.peer_stddev, 6) AS peer_stddev",
+)
+
+
+@register("anomaly_zscore", W(["summary"], Z_SQL))
+def anomaly_zscore(spark, sf_dir):
+    out = outliers.peer_outliers(_summary(spark, sf_dir), method="zscore")
+    return out.select(*OUTLIER_OUT, "peer_mean", F.round("peer_stddev", 6).alias("peer_stddev"))
+
+
+DRUG_KEYS = list(outliers.DRUG_PEER_KEYS)
+DRUG_OUT = ["year", "npi", "state", "specialty", "brand_name", "generic_name", "tot_claims"]
+
+
+def _drug_grain_sql(metric: str, mode: str) -> str:
+    on = " AND ".join(f"s.{k} = t.{k}" for k in DRUG_KEYS)
+    cond = (f"s.tot_claims >= 30 AND s.{metric} IS NOT NULL AND t.peer_threshold IS NOT NULL "
+            f"AND s.{metric} > t.peer_threshold")
+    thr = (f"SELECT {', '.join(DRUG_KEYS)}, COUNT(*) AS peer_size, quantile_disc({metric}, 0.95) AS peer_threshold "
+           f"FROM silver WHERE {metric} IS NOT NULL GROUP BY {', '.join(DRUG_KEYS)}")
+    cols = ", ".join(f"s.{c}" for c in DRUG_OUT)
+    if mode == "filter":
+        return f"SELECT {cols}, s.{metric}, t.peer_size, t.peer_threshold FROM silver s JOIN ({thr}) t ON {on} WHERE {cond}"
+    return (f"SELECT {cols}, s.{metric}, t.peer_size, t.peer_threshold, COALESCE({cond}, FALSE) AS is_anomaly "
+            f"FROM silver s LEFT JOIN ({thr}) t ON {on}")
+
+
+def _drug_grain(spark, sf_dir, metric, mode):
+    out = outliers.peer_outliers(
+        _silver(spark, sf_dir), peer_keys=tuple(DRUG_KEYS), metric=metric, volume="tot_claims", mode=mode
+    )
+    extra = ["is_anomaly"] if mode == "flag" else []
+    return out.select(*DRUG_OUT, metric, "peer_size", "peer_threshold", *extra)
+
+
+@register("anomaly_drug_grain", W(["silver"], _drug_grain_sql("cost_per_claim", "filter")))
+def anomaly_drug_grain(spark, sf_dir):
+    return _drug_grain(spark, sf_dir, "cost_per_claim", "filter")
+
+
+@register("anomaly_drug_flag", W(["silver"], _drug_grain_sql("cost_per_claim", "flag")))
+def anomaly_drug_flag(spark, sf_dir):
+    return _drug_grain(spark, sf_dir, "cost_per_claim", "flag")
+
+
+@register("anomaly_claims_per_beneficiary", W(["silver"], _drug_grain_sql("claims_per_beneficiary", "flag")))
+def anomaly_claims_per_beneficiary(spark, sf_dir):
+    return _drug_grain(spark, sf_dir, "claims_per_beneficiary", "flag")
+
+
+@register("anomaly_approx")
+def anomaly_approx(spark, sf_dir):
+    """The published method itself: ``percentile_approx`` with accuracy 100
+    (approximate, so checked on row count only)."""
+    return outliers.anomaly_prescribers(_summary(spark, sf_dir), exact=False, accuracy=100)
+
+
+# --- views ------------------------------------------------------------------------------------
+
+
+@register("view_kpis", W(["kpis"], "SELECT * FROM kpis"))
+def view_kpis(spark, sf_dir):
+    return views.overview_kpis(marts.state_year_spending(_silver(spark, sf_dir)))
+
+
+@register("view_state", W(["v_state"], "SELECT * FROM v_state"))
+def view_state(spark, sf_dir):
+    return views.state_spending(marts.state_year_spending(_silver(spark, sf_dir)))
+
+
+@register("view_top_drugs", W(["v_top_drugs"], "SELECT * FROM v_top_drugs"))
+def view_top_drugs(spark, sf_dir):
+    return views.top_drugs(marts.drug_year_spending(_silver(spark, sf_dir)))
+
+
+@register("view_specialty_state", W(["v_specialty_state"], "SELECT * FROM v_specialty_state"))
+def view_specialty_state(spark, sf_dir):
+    return views.specialty_state(marts.specialty_state_spending(_silver(spark, sf_dir)))
+
+
+@register("view_leaders", W(["v_leaders"], "SELECT * FROM v_leaders"))
+def view_leaders(spark, sf_dir):
+    return views.prescriber_leaders(_summary(spark, sf_dir))
+
+
+@register("view_anomaly", W(["v_anomaly"], "SELECT * FROM v_anomaly"))
+def view_anomaly(spark, sf_dir):
+    return views.anomaly_detail(_anomalies(spark, sf_dir))
+
+
+@register("view_anomaly_summary", W(["v_anomaly_summary"], "SELECT * FROM v_anomaly_summary"))
+def view_anomaly_summary(spark, sf_dir):
+    return views.anomaly_summary(_anomalies(spark, sf_dir))
+
+
+# --- charts -------------------------------------------------------------------------------------
+
+KPI_TOTALS_SQL = f"""SELECT 'total_drug_cost' AS metric, {O.money('total_drug_cost')} AS value FROM kpis
+UNION ALL SELECT 'total_claims', CAST(SUM(total_claims) AS DOUBLE) FROM kpis
+UNION ALL SELECT 'anomaly_prescribers', CAST(COUNT(*) AS DOUBLE) FROM anomaly"""
+
+
+@register("chart_kpi_totals", W(["kpis", "anomaly"], KPI_TOTALS_SQL))
+def chart_kpi_totals(spark, sf_dir):
+    silver = _silver(spark, sf_dir)
+    kpis = views.overview_kpis(marts.state_year_spending(silver))
+    return views.kpi_totals(kpis, outliers.anomaly_prescribers(marts.prescriber_summary(silver)))
+
+
+@register(
+    "chart_anomaly_by_state",
+    W(["v_anomaly_summary"], O.top_k("v_anomaly_summary", "state", "CAST(SUM(anomaly_prescriber_count) AS BIGINT)", "anomaly_prescribers", 15)),
+)
+def chart_anomaly_by_state(spark, sf_dir):
+    return views.top_k(views.anomaly_summary(_anomalies(spark, sf_dir)), "state", "anomaly_prescriber_count", 15,
+                       "anomaly_prescribers", money=False)
+
+
+@register(
+    "chart_anomaly_by_specialty",
+    W(["v_anomaly_summary"], O.top_k("v_anomaly_summary", "specialty", "CAST(SUM(anomaly_prescriber_count) AS BIGINT)", "anomaly_prescribers", 15)),
+)
+def chart_anomaly_by_specialty(spark, sf_dir):
+    return views.top_k(views.anomaly_summary(_anomalies(spark, sf_dir)), "specialty", "anomaly_prescriber_count", 15,
+                       "anomaly_prescribers", money=False)
+
+
+TOP25_SQL = """SELECT full_name, npi, state, specialty, total_claims, total_drug_cost, avg_cost_per_claim,
+ peer_p95_cost_per_claim, anomaly_reason FROM v_anomaly
+ORDER BY total_drug_cost DESC NULLS LAST, year, npi, state, specialty, full_name, city LIMIT 25"""
+
+
+@register("chart_anomaly_top25", W(["v_anomaly"], TOP25_SQL))
+def chart_anomaly_top25(spark, sf_dir):
+    return views.anomaly_top_rows(_anomalies(spark, sf_dir), 25)
+
+
+@register("chart_state_cost", W(["v_state"], O.top_k("v_state", "state", O.money("total_drug_cost"), "total_drug_cost", None)))
+def chart_state_cost(spark, sf_dir):
+    return views.top_k(views.state_spending(marts.state_year_spending(_silver(spark, sf_dir))), "state",
+                       "total_drug_cost", None, "total_drug_cost")
+
+
+@register("chart_top20_drugs", W(["v_top_drugs"], O.top_k("v_top_drugs", "brand_name", O.money("total_drug_cost"), "total_drug_cost", 20)))
+def chart_top20_drugs(spark, sf_dir):
+    return views.top_k(views.top_drugs(marts.drug_year_spending(_silver(spark, sf_dir))), "brand_name",
+                       "total_drug_cost", 20, "total_drug_cost")
+
+
+# --- documented analytics -------------------------------------------------------------------------
+
+TOP_STATES_SQL = """SELECT year, state, total_drug_cost, rank FROM (
+ SELECT year, state, total_drug_cost,
+  row_number() OVER (PARTITION BY year ORDER BY total_drug_cost DESC NULLS LAST, state ASC NULLS LAST) AS rank
+ FROM state_year) WHERE rank <= 10"""
+
+
+@register("top_states_per_year", W(["state_year"], TOP_STATES_SQL))
+def top_states_per_year(spark, sf_dir):
+    m = marts.state_year_spending(_silver(spark, sf_dir)).select("year", "state", "total_drug_cost")
+    return views.top_per_group(m, ["year"], "total_drug_cost", 10, ["state"])
+
+
+SHARE_SQL = f"""SELECT d.year, d.brand_name, d.generic_name, d.total_drug_cost,
+ {O.ratio('d.total_drug_cost', 't.total')} AS cost_share
+FROM drug_year d JOIN (SELECT year, {O.money('total_drug_cost')} AS total FROM drug_year GROUP BY year) t ON d.year = t.year"""
+
+
+@register("drug_spend_share", W(["drug_year"], SHARE_SQL))
+def drug_spend_share(spark, sf_dir):
+    return views.drug_spend_share(marts.drug_year_spending(_silver(spark, sf_dir)))
+
+
+MIX_SQL = f"""SELECT year, generic_cost, brand_cost, generic_claims, brand_claims,
+ {O.ratio('brand_cost', 'generic_cost')} AS brand_to_generic_cost_ratio FROM (
+ SELECT year,
+  {O.money('CASE WHEN brand_name = generic_name THEN tot_drug_cost END')} AS generic_cost,
+  {O.money('CASE WHEN brand_name = generic_name THEN NULL ELSE tot_drug_cost END')} AS brand_cost,
+  CAST(SUM(CASE WHEN brand_name = generic_name THEN tot_claims END) AS BIGINT) AS generic_claims,
+  CAST(SUM(CASE WHEN brand_name = generic_name THEN NULL ELSE tot_claims END) AS BIGINT) AS brand_claims
+ FROM silver GROUP BY year)"""
+
+
+@register("brand_generic_mix", W(["silver"], MIX_SQL))
+def brand_generic_mix(spark, sf_dir):
+    return views.brand_generic_mix(_silver(spark, sf_dir))
+
+
+YOY_SQL = f"""SELECT state, year, total_drug_cost, prev_year, prev_total_drug_cost,
+ total_drug_cost - prev_total_drug_cost AS total_drug_cost_change,
+ {O.ratio('total_drug_cost - prev_total_drug_cost', 'prev_total_drug_cost')} AS total_drug_cost_pct_change FROM (
+ SELECT state, year, total_drug_cost, lag(year) OVER (PARTITION BY state ORDER BY year) AS prev_year,
+  lag(total_drug_cost) OVER (PARTITION BY state ORDER BY year) AS prev_total_drug_cost FROM state_year)"""
+
+
+@register("yoy_state_cost", W(["state_year"], YOY_SQL))
+def yoy_state_cost(spark, sf_dir):
+    return views.yoy_change(marts.state_year_spending(_silver(spark, sf_dir)), ["state"], "total_drug_cost")
+
+
+GE65_SQL = f"""SELECT year, ge65_drug_cost, drug_cost_where_known, total_drug_cost, ge65_suppressed_rows, rows,
+ {O.ratio('ge65_drug_cost', 'drug_cost_where_known')} AS ge65_cost_share,
+ {O.ratio('ge65_suppressed_rows', 'rows')} AS ge65_suppressed_share FROM (
+ SELECT year, {O.money('ge65_drug_cost')} AS ge65_drug_cost,
+  {O.money('CASE WHEN ge65_drug_cost IS NOT NULL THEN tot_drug_cost END')} AS drug_cost_where_known,
+  {O.money('tot_drug_cost')} AS total_drug_cost,
+  COUNT(*) FILTER (WHERE is_ge65_suppressed) AS ge65_suppressed_rows, COUNT(*) AS rows
+ FROM silver GROUP BY year)"""
+
+
+@register("ge65_share", W(["silver"], GE65_SQL))
+def ge65_share(spark, sf_dir):
+    return views.ge65_share(_silver(spark, sf_dir))
+
+
+@register(
+    "distinct_prescribers",
+    W(["silver"], "SELECT year, COUNT(DISTINCT CASE WHEN npi <> '' THEN npi END) AS distinct_prescribers FROM silver GROUP BY year"),
+)
+def distinct_prescribers(spark, sf_dir):
+    return views.distinct_prescribers(_silver(spark, sf_dir))
+
+
+DASH_STATES = ["AMERICA", "ASIA"]
+DASH_SPECIALTIES = ["BUILDING", "MACHINERY"]
+
+
+@register(
+    "filtered_dashboard",
+    W(["v_leaders"], f"SELECT * FROM v_leaders WHERE state IN {O._in(DASH_STATES)} AND specialty IN {O._in(DASH_SPECIALTIES)}"),
+)
+def filtered_dashboard(spark, sf_dir):
+    return views.dashboard_filter(
+        views.prescriber_leaders(_summary(spark, sf_dir)), states=DASH_STATES, specialties=DASH_SPECIALTIES
+    )

@@ -109,7 +109,7 @@ def ratio(n: str, d: str) -> str:
 
 
 def stable_avg(c: str) -> str:
-    return f"CAST(SUM(CAST({c} AS DECIMAL(18,6))) AS DOUBLE) / CAST(COUNT({c}) AS DOUBLE)"
+    return f"CAST(SUM(CAST(round({c} * 1000000) AS BIGINT)) AS DOUBLE) / 1000000.0 / CAST(COUNT({c}) AS DOUBLE)"
 
 
 FULL_NAME = "trim(concat_ws(' ', COALESCE(prescriber_first_name, ''), COALESCE(prescriber_last_or_org_name, '')))"
@@ -177,3 +177,136 @@ def with_ctes(needed: list[str], body: str, extra: dict[str, str] | None = None,
     for n in needed:
         visit(n)
     return "WITH " + ",\n".join(f"{n} AS (\n{ctes[n]}\n)" for n in order) + "\n" + body
+
+
+# --- marts ------------------------------------------------------------------------
+
+DRUG_PAIRS = "COUNT(DISTINCT (brand_name, generic_name)) FILTER (WHERE brand_name IS NOT NULL AND generic_name IS NOT NULL)"
+
+STATE_YEAR = f"""SELECT {h('year', 'state')} AS mart_id, year, state, total_claims, total_drug_cost, total_beneficiaries,
+ prescriber_count, drug_count, {ratio('total_drug_cost', 'total_claims')} AS avg_cost_per_claim
+FROM (SELECT year, state, CAST(SUM(tot_claims) AS BIGINT) AS total_claims, {money('tot_drug_cost')} AS total_drug_cost,
+ CAST(SUM(tot_beneficiaries) AS BIGINT) AS total_beneficiaries, COUNT(DISTINCT npi) AS prescriber_count,
+ {DRUG_PAIRS} AS drug_count FROM silver GROUP BY year, state)"""
+
+DRUG_YEAR = f"""SELECT {h('year', 'brand_name', 'generic_name')} AS mart_id, year, brand_name, generic_name, total_claims,
+ total_drug_cost, prescriber_count, state_count, {ratio('total_drug_cost', 'total_claims')} AS avg_cost_per_claim
+FROM (SELECT year, brand_name, generic_name, CAST(SUM(tot_claims) AS BIGINT) AS total_claims,
+ {money('tot_drug_cost')} AS total_drug_cost, COUNT(DISTINCT npi) AS prescriber_count, COUNT(DISTINCT state) AS state_count
+ FROM silver GROUP BY year, brand_name, generic_name)"""
+
+SPECIALTY_STATE = f"""SELECT {h('year', 'state', 'specialty')} AS mart_id, year, state, specialty, total_claims,
+ total_drug_cost, prescriber_count, drug_count, {ratio('total_drug_cost', 'total_claims')} AS avg_cost_per_claim
+FROM (SELECT year, state, specialty, CAST(SUM(tot_claims) AS BIGINT) AS total_claims,
+ {money('tot_drug_cost')} AS total_drug_cost, COUNT(DISTINCT npi) AS prescriber_count, {DRUG_PAIRS} AS drug_count
+ FROM silver GROUP BY year, state, specialty)"""
+
+# --- star schema ------------------------------------------------------------------
+
+DIM_PRESCRIBER = f"""SELECT prescriber_id, npi, min(full_name) AS full_name, city, state, specialty FROM (
+ SELECT {h('npi', 'city', 'state', 'specialty')} AS prescriber_id, npi, {FULL_NAME} AS full_name, city, state, specialty
+ FROM silver WHERE npi IS NOT NULL AND npi <> '')
+GROUP BY prescriber_id, npi, city, state, specialty"""
+
+DIM_DRUG = f"SELECT DISTINCT {h('brand_name', 'generic_name')} AS drug_id, brand_name, generic_name FROM silver"
+
+DIM_STATE = """SELECT state AS state_id, state AS state_abbr, min(state_fips) AS state_fips
+FROM silver WHERE state IS NOT NULL AND state <> '' GROUP BY state"""
+
+DIM_YEAR = "SELECT DISTINCT year AS year_id, year FROM silver"
+
+FACT = f"""SELECT {h('year', 'npi', 'state', 'brand_name', 'generic_name')} AS fact_id,
+ {h('npi', 'city', 'state', 'specialty')} AS prescriber_id, {h('brand_name', 'generic_name')} AS drug_id,
+ state AS state_id, year AS year_id, tot_claims, tot_30day_fills, tot_drug_cost, tot_day_supply, tot_beneficiaries,
+ ge65_claims, ge65_drug_cost, cost_per_claim, claims_per_beneficiary, is_tot_claims_suppressed, is_ge65_suppressed
+FROM silver"""
+
+# --- outliers and views -----------------------------------------------------------
+
+REF_KEYS = ["year", "state", "specialty"]
+THR = thresholds_disc("summary", REF_KEYS, "avg_cost_per_claim", 0.95)
+ANOMALY = anomaly(REF_KEYS)
+
+
+def label(c: str) -> str:
+    return f"COALESCE(NULLIF({c}, ''), 'UNKNOWN')"
+
+
+KPIS = f"""SELECT year, total_claims, total_drug_cost, total_beneficiaries, state_prescriber_count_sum, state_drug_count_sum,
+ CASE WHEN total_claims = 0 THEN NULL ELSE total_drug_cost / CAST(total_claims AS DOUBLE) END AS avg_cost_per_claim
+FROM (SELECT year, CAST(SUM(total_claims) AS BIGINT) AS total_claims, {money('total_drug_cost')} AS total_drug_cost,
+ CAST(SUM(total_beneficiaries) AS BIGINT) AS total_beneficiaries, CAST(SUM(prescriber_count) AS BIGINT) AS state_prescriber_count_sum,
+ CAST(SUM(drug_count) AS BIGINT) AS state_drug_count_sum FROM state_year GROUP BY year)"""
+
+V_STATE = """SELECT year, state, total_claims, total_drug_cost, total_beneficiaries, prescriber_count, drug_count,
+ avg_cost_per_claim FROM state_year"""
+
+V_TOP_DRUGS = f"""SELECT year, {label('brand_name')} AS brand_name, {label('generic_name')} AS generic_name, total_claims,
+ total_drug_cost, prescriber_count, state_count, avg_cost_per_claim FROM drug_year"""
+
+V_SPECIALTY_STATE = f"""SELECT year, state, {label('specialty')} AS specialty, total_claims, total_drug_cost,
+ prescriber_count, drug_count, avg_cost_per_claim FROM specialty_state"""
+
+V_LEADERS = f"""SELECT year, npi, {label('full_name')} AS full_name, {label('city')} AS city, state,
+ {label('specialty')} AS specialty, total_claims, total_drug_cost, drug_count, avg_cost_per_claim FROM summary"""
+
+V_ANOMALY = f"""SELECT year, npi, {label('full_name')} AS full_name, {label('city')} AS city, state,
+ {label('specialty')} AS specialty, total_claims, total_drug_cost, avg_cost_per_claim, peer_p95_cost_per_claim,
+ anomaly_reason FROM anomaly"""
+
+V_ANOMALY_SUMMARY = f"""SELECT year, state, specialty, COUNT(*) AS anomaly_prescriber_count,
+ CAST(SUM(total_claims) AS BIGINT) AS anomaly_total_claims, {money('total_drug_cost')} AS anomaly_total_drug_cost,
+ {stable_avg('avg_cost_per_claim')} AS anomaly_avg_cost_per_claim,
+ {stable_avg('peer_p95_cost_per_claim')} AS peer_p95_cost_per_claim
+FROM (SELECT * REPLACE ({label('specialty')} AS specialty) FROM anomaly) GROUP BY year, state, specialty"""
+
+BASE_CTES.update(
+    {
+        "state_year": STATE_YEAR,
+        "drug_year": DRUG_YEAR,
+        "specialty_state": SPECIALTY_STATE,
+        "dim_prescriber": DIM_PRESCRIBER,
+        "dim_drug": DIM_DRUG,
+        "dim_state": DIM_STATE,
+        "dim_year": DIM_YEAR,
+        "fact": FACT,
+        "thr": THR,
+        "anomaly": ANOMALY,
+        "kpis": KPIS,
+        "v_state": V_STATE,
+        "v_top_drugs": V_TOP_DRUGS,
+        "v_specialty_state": V_SPECIALTY_STATE,
+        "v_leaders": V_LEADERS,
+        "v_anomaly": V_ANOMALY,
+        "v_anomaly_summary": V_ANOMALY_SUMMARY,
+    }
+)
+_DEPENDS.update(
+    {
+        "state_year": ["silver"],
+        "drug_year": ["silver"],
+        "specialty_state": ["silver"],
+        "dim_prescriber": ["silver"],
+        "dim_drug": ["silver"],
+        "dim_state": ["silver"],
+        "dim_year": ["silver"],
+        "fact": ["silver"],
+        "thr": ["summary"],
+        "anomaly": ["summary", "thr"],
+        "kpis": ["state_year"],
+        "v_state": ["state_year"],
+        "v_top_drugs": ["drug_year"],
+        "v_specialty_state": ["specialty_state"],
+        "v_leaders": ["summary"],
+        "v_anomaly": ["anomaly"],
+        "v_anomaly_summary": ["anomaly"],
+    }
+)
+
+
+def top_k(src: str, by: str, metric_sql: str, alias: str, k: int | None) -> str:
+    lim = f" LIMIT {k}" if k else ""
+    return (
+        f"SELECT {by}, {metric_sql} AS {alias} FROM {src} GROUP BY {by} "
+        f"ORDER BY {alias} DESC NULLS LAST, {by} ASC NULLS LAST{lim}"
+    )
