@@ -64,31 +64,46 @@ DEFAULT_REJECT_RULES = ("malformed_line", "unparsable_number", "negative_cost")
 
 
 def type_raw(raw: DataFrame, year: int | None = None, year_col: str = "year", keep_audit: bool = False) -> DataFrame:
-    """One projection from raw text to typed Silver columns (before dedup).
+    """Raw text -> typed Silver columns (before dedup), in three narrow steps.
 
     ``year`` is a constant for one yearly file; otherwise it is read from
     ``year_col``. With ``keep_audit`` the corrupt-line text and an
-    "unparsable number" marker are kept for the reject split."""
+    "unparsable number" marker are kept for the reject split.
+
+    Steps: (1) trim every raw column once; (2) flags, labels and number parses
+    from the trimmed text, each parse evaluated once; (3) ratios from the parsed
+    columns. Catalyst keeps the steps apart instead of re-inlining a parse into
+    every expression that reads it, which keeps the generated code small enough
+    for the JIT."""
     year_expr = F.lit(year).cast(IntegerType()) if year is not None else F.col(year_col).cast(IntegerType())
-    text = {name: normalized(src, upper) for name, src, upper in TEXT_MAP}
+    used = sorted({src for _, src, _ in TEXT_MAP} | {src for _, src, _ in NUMERIC_MAP} | {"GE65_Tot_Clms", "GE65_Tot_Drug_Cst"})
+    keep = [CORRUPT_COLUMN] if keep_audit and CORRUPT_COLUMN in raw.columns else []
+    trimmed = raw.select(*[F.trim(F.col(c)).alias(c) for c in used], year_expr.alias("year"), *keep)
+
+    text = {name: (F.upper(F.col(src)) if upper else F.col(src)) for name, src, upper in TEXT_MAP}
     text["state"] = default_blank(text["state"], UNKNOWN)
     cols: dict[str, Column] = dict(text)
-    cols["year"] = year_expr
+    cols["year"] = F.col("year")
     cols["is_tot_claims_suppressed"] = is_suppressed("Tot_Clms")
     cols["is_ge65_suppressed"] = ge65_suppressed("GE65_Tot_Clms", "GE65_Tot_Drug_Cst", text["ge65_suppression_flag"])
     for name, src, target in NUMERIC_MAP:
         cols[name] = parse_number(src, target)
-    cols["cost_per_claim"] = safe_divide(cols["tot_drug_cost"], cols["tot_claims"])
-    cols["claims_per_beneficiary"] = safe_divide(cols["tot_claims"], cols["tot_beneficiaries"])
-    select = [cols[c].alias(c) for c in SILVER_COLUMNS]
+    step2 = [cols[c].alias(c) for c in SILVER_COLUMNS if c in cols]
     if keep_audit:
         any_bad = reduce(
             lambda a, b: a | b,
             [F.coalesce(_unparsable(src, target), F.lit(False)) for _, src, target in NUMERIC_MAP],
         )
-        corrupt = F.col(CORRUPT_COLUMN) if CORRUPT_COLUMN in raw.columns else F.lit(None).cast("string")
-        select += [corrupt.alias(CORRUPT_COLUMN), any_bad.alias("_unparsable_number")]
-    return raw.select(*select)
+        corrupt = F.col(CORRUPT_COLUMN) if keep else F.lit(None).cast("string")
+        step2 += [corrupt.alias(CORRUPT_COLUMN), any_bad.alias("_unparsable_number")]
+    typed = trimmed.select(*step2)
+
+    ratios = {
+        "cost_per_claim": safe_divide("tot_drug_cost", "tot_claims"),
+        "claims_per_beneficiary": safe_divide("tot_claims", "tot_beneficiaries"),
+    }
+    audit = [CORRUPT_COLUMN, "_unparsable_number"] if keep_audit else []
+    return typed.select(*[ratios[c].alias(c) if c in ratios else F.col(c) for c in SILVER_COLUMNS], *audit)
 
 
 def dedup_order() -> list[Column]:

@@ -68,15 +68,20 @@ def star_schema(silver: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def star_join(tables: dict[str, DataFrame], small_dim_rows: int = 100_000) -> DataFrame:
+def star_join(tables: dict[str, DataFrame], small_dim_rows: int | None = None) -> DataFrame:
     """Fact joined to its four dimensions (inner joins, as reporting does).
 
-    Year, state and drug dimensions are broadcast after a row-count check; the
-    prescriber dimension grows with the data and is joined by shuffle."""
+    Dimensions derived in the same plan are left to AQE, which broadcasts a side
+    only after measuring its materialised size (year, state and drug dims are
+    tiny); the prescriber dimension grows with the data and stays a shuffle join.
+    For dims read from stored tables pass ``small_dim_rows`` to broadcast the
+    three small ones after an explicit row-count check."""
     fact = tables["fact_prescriptions"]
-    years = bounded_broadcast(tables["dim_year"], small_dim_rows)
-    states = bounded_broadcast(tables["dim_state"], small_dim_rows)
-    drugs = bounded_broadcast(tables["dim_drug"], small_dim_rows)
+    years, states, drugs = tables["dim_year"], tables["dim_state"], tables["dim_drug"]
+    if small_dim_rows is not None:
+        years = bounded_broadcast(years, small_dim_rows)
+        states = bounded_broadcast(states, small_dim_rows)
+        drugs = bounded_broadcast(drugs, small_dim_rows)
     return (
         fact.join(tables["dim_prescriber"].drop("state"), "prescriber_id")
         .join(drugs, "drug_id")

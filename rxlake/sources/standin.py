@@ -21,6 +21,15 @@ def read_tables(spark: SparkSession, sf_dir: str, names: list[str]) -> dict[str,
     return {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in names}
 
 
+def spread_scan(df: DataFrame) -> DataFrame:
+    """A scan with fewer splits than the cluster has cores (e.g. one file with a
+    single row group) would run every narrow step before the first shuffle in
+    those few tasks. Spread such a scan round-robin; a large table already has
+    thousands of splits and is left alone."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def _text(c) -> F.Column:
     return c.cast("string")
 
@@ -32,8 +41,8 @@ def standin_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     geo = F.broadcast(
         t["nation"].join(F.broadcast(t["region"]), F.col("n_regionkey") == F.col("r_regionkey"))
     )
-    line = t["lineitem"].select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag"
+    line = spread_scan(
+        t["lineitem"].select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag")
     )
     orders = t["orders"].select("o_orderkey", "o_custkey", "o_orderdate")
     customer = t["customer"].select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
