@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rxlake.functions.money import stable_avg
+from rxlake.session import cut_lineage
 
 # --- fixed values -------------------------------------------------------------
 ANOMALY_REASON = "avg_cost_per_claim_gt_peer_p95"
@@ -185,6 +186,7 @@ def peer_outliers(
     min_volume: int = 30,
     method: str = "percentile",
     mode: str = "filter",
+    materialize: bool = True,
     **threshold_args,
 ) -> DataFrame:
     """Rows whose ``metric`` is strictly above their peer group's threshold.
@@ -196,8 +198,14 @@ def peer_outliers(
 
     The thresholds have one row per peer group; the join is left to AQE, which
     broadcasts them at run time when their measured size is small and uses a
-    skew-split shuffle join otherwise."""
+    skew-split shuffle join otherwise.
+
+    The input is read several times (sketch, bracket counts, final join), so by
+    default it is first materialised once to the checkpoint folder; pass
+    ``materialize=False`` when ``df`` is already a stored table."""
     keys = list(peer_keys)
+    if materialize:
+        df = cut_lineage(df)
     thr = peer_thresholds(df, peer_keys, metric, method, **threshold_args)
     eligible = (
         (F.col(volume) >= F.lit(min_volume))

@@ -12,6 +12,7 @@ from rxlake.operators import clean, lineage, marts, outliers, profile, quality,
 from rxlake.plans import oracle as O
 from rxlake.plans.pipeline import gold_marts, gold_tables, silver_from_standin
 from rxlake.schemas import MART_LOAD_ORDER, SILVER_COLUMNS, SILVER_KEY, STAR_LOAD_ORDER
+from rxlake.session import cut_lineage
 from rxlake.sources.standin import standin_raw
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,6 +83,12 @@ def _silver(spark, sf_dir):
     return silver_from_standin(spark, sf_dir)
 
 
+def _silver_once(spark, sf_dir):
+    """Silver materialised once, for queries that read it several times (as a
+    pipeline reads the stored Silver table)."""
+    return cut_lineage(silver_from_standin(spark, sf_dir))
+
+
 def _typed(spark, sf_dir):
     return clean.type_raw(standin_raw(spark, sf_dir), year_col="yr")
 
@@ -91,7 +98,7 @@ def _anomalies(spark, sf_dir):
 
 
 def _star(spark, sf_dir):
-    return star.star_schema(_silver(spark, sf_dir))
+    return star.star_schema(_silver_once(spark, sf_dir))
 
 
 def W(needed: list[str], body: str, **kw) -> str:
@@ -383,7 +390,7 @@ UNION ALL SELECT 'anomaly_prescribers', CAST(COUNT(*) AS DOUBLE) FROM anomaly"""
 
 @register("chart_kpi_totals", W(["kpis", "anomaly"], KPI_TOTALS_SQL))
 def chart_kpi_totals(spark, sf_dir):
-    silver = _silver(spark, sf_dir)
+    silver = _silver_once(spark, sf_dir)
     kpis = views.overview_kpis(marts.state_year_spending(silver))
     return views.kpi_totals(kpis, outliers.anomaly_prescribers(marts.prescriber_summary(silver)))
 
@@ -533,7 +540,7 @@ def upsert_marts(spark, sf_dir):
     """A new year arrives: the stored mart (stale for the previous year, without
     the new one) is upserted with marts recomputed for the last two years. The
     result must equal the mart computed from scratch."""
-    silver = _silver(spark, sf_dir)
+    silver = _silver_once(spark, sf_dir)
     last = _last_year(silver)
     stored = marts.state_year_spending(silver.where(F.col("year") < last)).withColumn(
         "total_claims", F.when(F.col("year") == last - 1, F.lit(0).cast("long")).otherwise(F.col("total_claims"))
@@ -560,7 +567,7 @@ TABLE_COUNTS_SQL = "\nUNION ALL\n".join(
        "summary", "anomaly"], TABLE_COUNTS_SQL),
 )
 def table_counts(spark, sf_dir):
-    silver = _silver(spark, sf_dir)
+    silver = _silver_once(spark, sf_dir)
     tables = gold_tables(silver)
     mart_set = gold_marts(silver)
     ordered = {n: tables[n] for n in STAR_LOAD_ORDER} | {n: mart_set[n] for n in MART_LOAD_ORDER}
@@ -600,7 +607,7 @@ DQ_SQL = "\nUNION ALL\n".join(
 
 @register("dq_results", W(["silver", "fact", "dim_prescriber", "dim_drug", "dim_state", "dim_year", "summary"], DQ_SQL))
 def dq_results(spark, sf_dir):
-    silver = _silver(spark, sf_dir)
+    silver = _silver_once(spark, sf_dir)
     tables = star.star_schema(silver)
     summary = marts.prescriber_summary(silver)
     return quality.union_all(
@@ -627,7 +634,7 @@ FULL OUTER JOIN state_year g ON s.year = g.year AND s.state = g.state"""
 
 @register("reconcile_gold", W(["silver", "state_year"], RECON_SQL))
 def reconcile_gold(spark, sf_dir):
-    silver = _silver(spark, sf_dir)
+    silver = _silver_once(spark, sf_dir)
     return quality.reconcile(silver, marts.state_year_spending(silver), ["year", "state"])
 
 
