@@ -129,3 +129,25 @@ def skip_ingested(manifest: DataFrame, log: DataFrame) -> DataFrame:
     recorded with status SUCCESS (idempotent reruns)."""
     done = log.where(F.col("status") == "SUCCESS").select("dataset_id", "year", "checksum_sha256")
     return manifest.join(done, ["dataset_id", "year", "checksum_sha256"], "left_anti")
+
+
+def checksum_check(current: DataFrame, recorded: DataFrame, run_id: str) -> DataFrame:
+    """K12: per (dataset, year), PASS when the content fingerprint equals the one
+    recorded earlier, FAIL when it changed, WARN when nothing was recorded."""
+    rec = recorded.select("dataset_name", "year", F.col("checksum_sha256").alias("_recorded"))
+    j = current.join(rec, ["dataset_name", "year"], "left")
+    status = (
+        F.when(F.col("_recorded").isNull(), F.lit("WARN"))
+        .when(F.col("_recorded") == F.col("checksum_sha256"), F.lit("PASS"))
+        .otherwise(F.lit("FAIL"))
+    )
+    return j.select(
+        F.lit(run_id).alias("run_id"),
+        "dataset_name",
+        F.lit("bronze").alias("layer"),
+        F.concat(F.lit("checksum_unchanged_"), F.col("year").cast("string")).alias("check_name"),
+        status.alias("status"),
+        F.col("checksum_sha256").alias("observed_value"),
+        F.col("_recorded").alias("expected_value"),
+        F.lit(None).cast("string").alias("details"),
+    )

@@ -32,3 +32,65 @@ def gold_marts(silver: DataFrame, materialize_summary: bool = False, **outlier_a
         "gold_prescriber_summary": summary,
         "gold_anomaly_prescribers": outliers.anomaly_prescribers(summary, **outlier_args),
     }
+
+
+def run_pipeline(
+    spark: SparkSession,
+    bronze: DataFrame,
+    out_root: str,
+    run_id: str,
+    dataset: str = "prescriptions",
+    expected_years: list[int] | None = None,
+    ingested_at: str = "1970-01-01T00:00:00+00:00",
+    export_csv: bool = True,
+) -> dict[str, DataFrame]:
+    """The whole batch job over raw rows with a ``year`` column.
+
+    Writes (all under ``out_root``): ``silver`` (Parquet by year/state, dynamic
+    partition overwrite, so earlier years stay), ``rejects`` (by year),
+    ``gold/<table>`` for the star schema and the five marts (rebuilt from all
+    Silver years), ``exports/<table>`` as header CSV, ``quality`` (data-quality
+    rows appended by run) and ``manifest`` (JSON, one row per year). Returns
+    the written tables read back."""
+    from rxlake.operators import lineage, quality
+    from rxlake.sources.files import read_parquet_table, write_csv_tables, write_partitioned_parquet
+
+    accepted, rejected = clean.split_rejects(bronze)
+    silver_new = clean.dedup_by_key(accepted)
+    write_partitioned_parquet(silver_new, f"{out_root}/silver")
+    write_partitioned_parquet(rejected, f"{out_root}/rejects", ["year"])
+    silver = read_parquet_table(spark, f"{out_root}/silver")
+
+    tables = {**gold_tables(silver), **gold_marts(silver, materialize_summary=True)}
+    for name, df in tables.items():
+        df.write.mode("overwrite").parquet(f"{out_root}/gold/{name}")
+    gold = {name: read_parquet_table(spark, f"{out_root}/gold/{name}") for name in tables}
+    if export_csv:
+        write_csv_tables(gold, f"{out_root}/exports")
+
+    checks = [
+        quality.silver_checks(silver, run_id, dataset),
+        quality.duplicate_key_check(silver, ["year", "npi", "state", "brand_name", "generic_name"], run_id, dataset, "silver", "silver_grain_unique"),
+        quality.duplicate_key_check(gold["gold_prescriber_summary"], ["mart_id"], run_id, dataset, "gold", "prescriber_summary_key_unique"),
+        quality.orphan_check(star.orphans(gold), run_id, dataset),
+        quality.row_flow_check(bronze, rejected, accepted, run_id, dataset),
+        quality.reconcile_check(
+            quality.reconcile(silver, gold["gold_state_year_spending"], ["year", "state"]), run_id, dataset, "reconcile_state_year"
+        ),
+    ]
+    if expected_years:
+        checks.append(quality.year_completeness(silver, expected_years, run_id, dataset))
+    quality.union_all(checks).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "run_id"
+    ).parquet(f"{out_root}/quality")
+
+    manifest = lineage.build_manifest(bronze.drop("_corrupt_record"), dataset, dataset, "bronze", 0, ingested_at)
+    lineage.write_manifest(manifest, f"{out_root}/manifest")
+
+    return {
+        "silver": silver,
+        # Declared schema: a run without rejected rows writes no data files.
+        "rejects": spark.read.schema(rejected.schema).parquet(f"{out_root}/rejects"),
+        "quality": read_parquet_table(spark, f"{out_root}/quality"),
+        **gold,
+    }

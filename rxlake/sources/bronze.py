@@ -49,7 +49,7 @@ def read_bronze_years(spark: SparkSession, paths_by_year: dict[int, str]) -> Dat
     """Read several yearly raw files (each with its own header order) into one
     DataFrame with a ``year`` column."""
     frames = [read_bronze_csv(spark, path, year) for year, path in sorted(paths_by_year.items())]
-    return reduce(lambda a, b: a.unionByName(b), frames)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 def read_landed_pages(spark: SparkSession, pages_path: str, max_pages: int | None = None) -> DataFrame:

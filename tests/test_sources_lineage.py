@@ -129,3 +129,15 @@ def test_streaming_landing_picks_up_only_new_pages(spark, tmp_dir):
     land_to_bronze(spark, land, out, ckpt)
     rows = spark.read.parquet(out).collect()
     assert sorted(r["Prscrbr_NPI"] for r in rows) == ["1", "2", "3"] and {r["year"] for r in rows} == {2022}
+
+
+def test_checksum_check(spark):
+    m = manifest(spark)
+    same = {r["check_name"]: r["status"] for r in lineage.checksum_check(m, m, "r").collect()}
+    assert set(same.values()) == {"PASS"}
+    changed = lineage.build_manifest(
+        spark.createDataFrame([(2021, "a"), (2021, "B"), (2022, "c")], "yr int, Prscrbr_NPI string"),
+        "ds", "id1", "src", 5000, "t", year_col="yr",
+    )
+    st = {r["check_name"]: r["status"] for r in lineage.checksum_check(changed, m.where("year = 2021"), "r").collect()}
+    assert st == {"checksum_unchanged_2021": "FAIL", "checksum_unchanged_2022": "WARN"}
