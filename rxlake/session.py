@@ -37,17 +37,17 @@ def build_session(app_name: str = "rxlake", master: str | None = None, conf: dic
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the shared folder named in ``spark.checkpoint.dir``; only when it is
     unset (local tests) fall back to a fresh temporary folder."""
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None
-    )
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        master = spark.sparkContext.master
-        if not master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         configured = tempfile.mkdtemp(prefix="rxlake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    spark.sparkContext.setCheckpointDir(configured)
-    return configured
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir() or configured
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

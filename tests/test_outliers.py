@@ -44,6 +44,18 @@ def test_group_quantiles_equal_exact_builtins(spark, skewed, accuracy):
         assert g[k]["q1"] == pytest.approx(w[k]["q1"], rel=1e-12) and g[k]["q3"] == pytest.approx(w[k]["q3"], rel=1e-12)
 
 
+def test_missed_brackets_fall_back_to_exact(spark, skewed, monkeypatch):
+    monkeypatch.setattr(outliers, "_BRACKET_SHIFT", -0.4)
+    got = {r["k"]: r["p95"] for r in outliers.group_quantiles(skewed, ["k"], "v", {"p95": (0.95, "disc")}).collect()}
+    want = {
+        r["k"]: r["p95"]
+        for r in skewed.where(F.col("v").isNotNull()).groupBy("k")
+        .agg(F.expr("percentile_disc(0.95) WITHIN GROUP (ORDER BY v)").alias("p95"))
+        .collect()
+    }
+    assert got == want
+
+
 def summary_rows(spark, n, claims=40, specialty="X"):
     rows = [(2022, "CA", specialty, f"p{i}", claims, float(i + 1)) for i in range(n)]
     return spark.createDataFrame(rows, "year int, state string, specialty string, npi string, total_claims long, avg_cost_per_claim double")
