@@ -118,10 +118,13 @@ def orphans(tables: dict[str, DataFrame]) -> DataFrame:
         ("state_id", "dim_state"),
         ("year_id", "dim_year"),
     ]
+    # Count fact rows per key first (partial aggregate: a hot key leaves each map
+    # task as one row), then anti-join the distinct keys with the dimension.
     frames = [
-        fact.select(key)
+        fact.groupBy(key)
+        .agg(F.count(F.lit(1)).alias("_rows"))
         .join(tables[dim].select(key), key, "left_anti")
-        .agg(F.count(F.lit(1)).alias("orphan_rows"))
+        .agg(F.coalesce(F.sum("_rows"), F.lit(0)).cast("long").alias("orphan_rows"))
         .select(F.lit(key).alias("foreign_key"), F.lit(dim).alias("dimension"), "orphan_rows")
         for key, dim in checks
     ]

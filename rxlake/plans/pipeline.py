@@ -30,7 +30,11 @@ def gold_marts(silver: DataFrame, materialize_summary: bool = False, **outlier_a
         "gold_drug_year_spending": marts.drug_year_spending(silver),
         "gold_specialty_state_spending": marts.specialty_state_spending(silver),
         "gold_prescriber_summary": summary,
-        "gold_anomaly_prescribers": outliers.anomaly_prescribers(summary, **outlier_args),
+        # A checkpointed summary is read directly; otherwise the outlier operator
+        # materialises its own copy once.
+        "gold_anomaly_prescribers": outliers.anomaly_prescribers(
+            summary, **{"materialize": not materialize_summary, **outlier_args}
+        ),
     }
 
 
