@@ -13,6 +13,7 @@ from rxlake.plans import oracle as O
 from rxlake.plans.pipeline import gold_marts, gold_tables, silver_from_standin
 from rxlake.schemas import MART_LOAD_ORDER, SILVER_COLUMNS, SILVER_KEY, STAR_LOAD_ORDER
 from rxlake.session import cut_lineage
+from rxlake.sources.bronze import total_rows_expr
 from rxlake.sources.standin import standin_raw
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -694,3 +695,25 @@ def profile_table(spark, sf_dir):
     return profile.profile(_silver(spark, sf_dir), exact_distinct=True).select(
         "column_name", "row_count", "null_count", "distinct_count"
     )
+
+
+# Statistics documents as a source reports them: the count under one of several
+# keys, as a number or as text, or missing.
+EXPECTED_SQL = """SELECT year, CASE
+  WHEN year % 3 = 0 THEN total
+  WHEN year % 3 = 1 THEN total
+  ELSE NULL END AS expected_row_count
+FROM (SELECT yr AS year, COUNT(*) AS total FROM raw GROUP BY yr)"""
+
+
+@register("expected_counts", W(["raw"], EXPECTED_SQL))
+def expected_counts(spark, sf_dir):
+    counts = standin_raw(spark, sf_dir).groupBy(F.col("yr").alias("year")).agg(F.count(F.lit(1)).alias("total"))
+    variant = F.col("year") % 3
+    stats = counts.select(
+        "year",
+        F.when(variant == 0, F.col("total").cast("string")).alias("total_rows"),
+        F.when(variant == 1, F.col("total").cast("string")).alias("rowCount"),
+        F.when(variant == 2, F.lit("n/a")).alias("count"),
+    )
+    return stats.select("year", total_rows_expr(stats.columns).alias("expected_row_count"))

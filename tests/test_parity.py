@@ -44,3 +44,28 @@ def test_marts_agree_on_totals(spark):
         for y in t:
             assert t[y][0] == base[y][0], n
             assert t[y][1] == pytest.approx(base[y][1], abs=0.01), n
+
+
+def test_outputs_do_not_depend_on_partitioning(spark):
+    from rxlake.operators import clean, marts, outliers, views
+    from rxlake.sources.standin import standin_raw
+
+    raw = standin_raw(spark, SF)
+
+    def outputs(r):
+        silver = clean.to_silver(r, year_col="yr")
+        summary = marts.prescriber_summary(silver)
+        anomalies = outliers.anomaly_prescribers(summary, peer_keys=("year", "specialty"))
+        frames = {
+            "silver": silver,
+            "state_year": marts.state_year_spending(silver),
+            "summary": summary,
+            "anomalies": anomalies,
+            "anomaly_summary": views.anomaly_summary(anomalies),
+        }
+        return {k: sorted((tuple(row) for row in df.collect()), key=repr) for k, df in frames.items()}
+
+    base = outputs(raw)
+    assert len(base["anomalies"]) > 0
+    for n in (1, 13):
+        assert outputs(raw.repartition(n)) == base
