@@ -438,7 +438,7 @@ def chart_top20_drugs(spark, sf_dir):
 
 # --- documented analytics -------------------------------------------------------------------------
 
-TOP_STATES_SQL = """SELECT year, state, total_drug_cost, rank FROM (
+TOP_STATES_SQL = """SELECT year, state, total_drug_cost, CAST(rank AS INTEGER) AS rank FROM (
  SELECT year, state, total_drug_cost,
   row_number() OVER (PARTITION BY year ORDER BY total_drug_cost DESC NULLS LAST, state ASC NULLS LAST) AS rank
  FROM state_year) WHERE rank <= 10"""
