@@ -28,7 +28,15 @@ def _canon(df: pd.DataFrame) -> pd.DataFrame:
     return df.sort_values(list(df.columns)).reset_index(drop=True)
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
 def compare(spark_df, sql: str, con) -> tuple[bool, str]:
+    rel = con.sql(sql)
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    for name, dtype in spark_df.dtypes:
+        if SPARK_TO_DUCK.get(dtype, dtype) != duck_types.get(name):
+            return False, f"type of {name}: spark {dtype} vs sql {duck_types.get(name)}"
     left = spark_df.toPandas()
     right = con.execute(sql).df()
     if sorted(left.columns) != sorted(right.columns):
