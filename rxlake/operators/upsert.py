@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
+
+from rxlake.schemas import conform, contract
+from rxlake.session import cut_lineage
 
 
 class DuplicateKeyError(ValueError):
@@ -39,3 +43,35 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
         for name, df in tables.items()
     ]
     return reduce(lambda a, b: a.unionByName(b), frames)
+
+
+def _read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return None
+
+
+def load_tables(
+    spark: SparkSession, tables: dict[str, DataFrame], root: str, load_set: str = "marts", mode: str = "upsert"
+) -> DataFrame:
+    """Load a table set into Parquet tables under ``root`` in contract order
+    (parents first), each projected onto its column contract.
+
+    ``mode="upsert"`` inserts new keys and replaces rows of existing keys (first
+    contract column is the key; repeated incoming keys are refused);
+    ``mode="overwrite"`` truncates and reloads. The upsert result is
+    checkpointed before the table is rewritten, so no plan reads and overwrites
+    the same path. Returns (table_name, row_count) of the loaded tables."""
+    if mode not in ("upsert", "overwrite"):
+        raise ValueError(f"unsupported mode: {mode}")
+    order, columns = contract(load_set)
+    for name in order:
+        incoming = conform(tables[name], columns[name])
+        path = f"{root}/{name}"
+        existing = _read_if_exists(spark, path) if mode == "upsert" else None
+        result = incoming
+        if existing is not None:
+            result = cut_lineage(upsert_by_key(conform(existing, columns[name]), incoming, [columns[name][0]]))
+        result.write.mode("overwrite").parquet(path)
+    return table_counts({name: spark.read.parquet(f"{root}/{name}") for name in order})

@@ -141,3 +141,20 @@ def test_checksum_check(spark):
     )
     st = {r["check_name"]: r["status"] for r in lineage.checksum_check(changed, m.where("year = 2021"), "r").collect()}
     assert st == {"checksum_unchanged_2021": "FAIL", "checksum_unchanged_2022": "WARN"}
+
+
+def test_load_tables_upserts_in_contract_order(spark, tmp_dir):
+    from helpers import silver_df, silver_row
+
+    from rxlake.plans.pipeline import gold_marts
+
+    s1 = silver_df(spark, [silver_row("1", "A", "CA", "X", "B", "G", 10, 100.0), silver_row("2", "B", "NY", "X", "B", "G", 5, 10.0)])
+    counts = upsert.load_tables(spark, gold_marts(s1), tmp_dir, "marts")
+    assert {r["table_name"]: r["row_count"] for r in counts.collect()}["gold_state_year_spending"] == 2
+    # A corrected CA row and a new TX row: CA replaced, NY kept, TX added.
+    s2 = silver_df(spark, [silver_row("1", "A", "CA", "X", "B", "G", 20, 100.0), silver_row("3", "C", "TX", "X", "B", "G", 1, 1.0)])
+    upsert.load_tables(spark, gold_marts(s2), tmp_dir, "marts")
+    got = {r["state"]: r["total_claims"] for r in spark.read.parquet(f"{tmp_dir}/gold_state_year_spending").collect()}
+    assert got == {"CA": 20, "NY": 5, "TX": 1}
+    with pytest.raises(ValueError):
+        upsert.load_tables(spark, gold_marts(s2), tmp_dir, "other")
