@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rxlake.operators import clean, marts, outliers, star
 from rxlake.session import cut_lineage
@@ -47,43 +48,63 @@ def run_pipeline(
     expected_years: list[int] | None = None,
     ingested_at: str = "1970-01-01T00:00:00+00:00",
     export_csv: bool = True,
+    **outlier_args,
 ) -> dict[str, DataFrame]:
     """The whole batch job over raw rows with a ``year`` column.
 
-    Writes (all under ``out_root``): ``silver`` (Parquet by year/state, dynamic
-    partition overwrite, so earlier years stay), ``rejects`` (by year),
-    ``gold/<table>`` for the star schema and the five marts (rebuilt from all
-    Silver years), ``exports/<table>`` as header CSV, ``quality`` (data-quality
-    rows appended by run) and ``manifest`` (JSON, one row per year). Returns
-    the written tables read back."""
+    Writes under ``out_root``: ``silver`` (Parquet by year/state), ``rejects``
+    (by year), ``gold/<table>`` (star schema and five marts), ``exports/<table>``
+    (header CSV), ``quality`` (data-quality rows by run) and ``manifest`` (JSON,
+    one row per year).
+
+    Incremental by year: only the years present in ``bronze`` are recomputed.
+    Silver, fact and marts are written with dynamic partition overwrite on their
+    year column (earlier years stay untouched); dimensions are upserted by key.
+    Every mart grain contains the year, and so does the default peer group, so
+    per-year recomputation gives the same rows as a full rebuild; with peer keys
+    without ``year`` all years are rebuilt. Returns the written tables."""
     from rxlake.operators import lineage, quality
+    from rxlake.operators.upsert import load_tables
+    from rxlake.schemas import STAR_COLUMNS, conform
     from rxlake.sources.files import read_parquet_table, write_csv_tables, write_partitioned_parquet
 
+    run_years = sorted(r[0] for r in bronze.select("year").distinct().collect())  # a handful of years
     accepted, rejected = clean.split_rejects(bronze)
-    silver_new = clean.dedup_by_key(accepted)
-    write_partitioned_parquet(silver_new, f"{out_root}/silver")
+    write_partitioned_parquet(clean.dedup_by_key(accepted), f"{out_root}/silver")
     write_partitioned_parquet(rejected, f"{out_root}/rejects", ["year"])
-    silver = read_parquet_table(spark, f"{out_root}/silver")
-
-    tables = {**gold_tables(silver), **gold_marts(silver, materialize_summary=True)}
-    for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{out_root}/gold/{name}")
-    gold = {name: read_parquet_table(spark, f"{out_root}/gold/{name}") for name in tables}
+    silver_all = read_parquet_table(spark, f"{out_root}/silver")
+    per_year = "year" in outlier_args.get("peer_keys", ("year",))
+    # Partition pruning: only the loaded years' folders are read.
+    silver = silver_all.where(F.col("year").isin(*run_years)) if per_year else silver_all
+
+    star_tables = gold_tables(silver)
+    dims = {k: v for k, v in star_tables.items() if k != "fact_prescriptions"}
+    load_tables(spark, dims, f"{out_root}/gold", "detailed_dims")
+    schemas = {name: conform(df, STAR_COLUMNS[name]).schema for name, df in dims.items()}
+    fact = conform(star_tables["fact_prescriptions"], STAR_COLUMNS["fact_prescriptions"])
+    write_partitioned_parquet(fact, f"{out_root}/gold/fact_prescriptions", ["year_id"])
+    schemas["fact_prescriptions"] = fact.schema
+    for name, df in gold_marts(silver, materialize_summary=True, **outlier_args).items():
+        write_partitioned_parquet(df, f"{out_root}/gold/{name}", ["year"])
+        schemas[name] = df.schema
+    # Declared schemas: a year slice with no rows (e.g. no outliers) writes no files.
+    gold = {name: spark.read.schema(schema).parquet(f"{out_root}/gold/{name}") for name, schema in schemas.items()}
     if export_csv:
         write_csv_tables(gold, f"{out_root}/exports")
 
+    loaded = {k: (v.where(F.col("year").isin(*run_years)) if per_year and "year" in v.columns else v) for k, v in gold.items()}
     checks = [
         quality.silver_checks(silver, run_id, dataset),
         quality.duplicate_key_check(silver, ["year", "npi", "state", "brand_name", "generic_name"], run_id, dataset, "silver", "silver_grain_unique"),
-        quality.duplicate_key_check(gold["gold_prescriber_summary"], ["mart_id"], run_id, dataset, "gold", "prescriber_summary_key_unique"),
+        quality.duplicate_key_check(loaded["gold_prescriber_summary"], ["mart_id"], run_id, dataset, "gold", "prescriber_summary_key_unique"),
         quality.orphan_check(star.orphans(gold), run_id, dataset),
         quality.row_flow_check(bronze, rejected, accepted, run_id, dataset),
         quality.reconcile_check(
-            quality.reconcile(silver, gold["gold_state_year_spending"], ["year", "state"]), run_id, dataset, "reconcile_state_year"
+            quality.reconcile(silver, loaded["gold_state_year_spending"], ["year", "state"]), run_id, dataset, "reconcile_state_year"
         ),
     ]
     if expected_years:
-        checks.append(quality.year_completeness(silver, expected_years, run_id, dataset))
+        checks.append(quality.year_completeness(silver_all, expected_years, run_id, dataset))
     quality.union_all(checks).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         "run_id"
     ).parquet(f"{out_root}/quality")
@@ -92,7 +113,7 @@ def run_pipeline(
     lineage.write_manifest(manifest, f"{out_root}/manifest")
 
     return {
-        "silver": silver,
+        "silver": silver_all,
         # Declared schema: a run without rejected rows writes no data files.
         "rejects": spark.read.schema(rejected.schema).parquet(f"{out_root}/rejects"),
         "quality": read_parquet_table(spark, f"{out_root}/quality"),

@@ -232,6 +232,9 @@ def contract(load_set: str) -> tuple[list[str], dict[str, list[str]]]:
         return STAR_LOAD_ORDER, STAR_COLUMNS
     if load_set == "marts":
         return MART_LOAD_ORDER, MART_COLUMNS
+    if load_set == "detailed_dims":
+        # Dimensions only (upserted by key); the fact is loaded by year partition.
+        return STAR_LOAD_ORDER[:-1], STAR_COLUMNS
     raise ValueError(f"unsupported load set: {load_set}")
 
 
