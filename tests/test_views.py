@@ -52,3 +52,15 @@ def test_dashboard_filter(spark):
     df = state_year(spark)
     assert views.dashboard_filter(df, years=[2022], states=["CA", "TX"]).count() == 2
     assert views.dashboard_filter(df).count() == 5
+
+
+def test_dashboard_filter_prunes_partitions(spark, tmp_dir, capsys):
+    from rxlake.sources.files import read_parquet_table, write_partitioned_parquet
+
+    write_partitioned_parquet(state_year(spark), tmp_dir + "/t")
+    df = views.dashboard_filter(read_parquet_table(spark, tmp_dir + "/t"), years=[2022], states=["CA"])
+    df.select("total_drug_cost").explain("formatted")
+    plan = capsys.readouterr().out
+    assert "PartitionFilters: [isnotnull(year" in plan and "state" in plan.split("PartitionFilters:")[1].split("\n")[0]
+    assert "ReadSchema: struct<total_drug_cost:double>" in plan
+    assert [r[0] for r in df.select("total_drug_cost").collect()] == [300.0]
