@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rxlake.llm import mixing, quality
+from rxlake.llm import mixing, packing, quality, token_counts
 
 WORDS = r"regexp_extract_all(coalesce({t}, ''), '[^\x20\x09-\x0D]+')"
 
@@ -43,6 +43,22 @@ FROM q
 """
 
 
+def byte_bpe() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, byte_bpe(), ["doc_id"], with_ids=False)
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.count_by_section(docs, byte_bpe(), ["doc_id"])
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     rules = quality.QualityRules.fit(docs, read(spark, sf_dir, "labels"))
@@ -52,6 +68,8 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op4_packing": op4_packing,
+    "op5_token_counts": op5_token_counts,
     "op8_quality_rules": op8_quality_rules,
 }
 
