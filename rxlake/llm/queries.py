@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rxlake.llm import mixing, packing, quality, token_counts
+from rxlake.llm import mixing, packing, quality, secret_scan, token_counts
 
 WORDS = r"regexp_extract_all(coalesce({t}, ''), '[^\x20\x09-\x0D]+')"
 
@@ -59,6 +59,41 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_by_section(docs, byte_bpe(), ["doc_id"])
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    found = secret_scan.findings(docs, ["doc_id"], out="f")
+    base, spans = secret_scan.as_text(F.col("f.base")), secret_scan.as_text(F.col("f.spans"))
+    return found.select("doc_id", "f.n_assign", "f.n_access", "f.n_hex", "f.n_live", F.sha2(base, 256).alias("base_sha256"), spans.alias("spans"))
+
+
+_Q = "'"
+OP6_SQL = """
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, coalesce(source, '') AS owner,
+             concat(coalesce(source, ''), '|', coalesce(lang, '')) AS repo FROM documents),
+p(kind, name, least, pat) AS (VALUES {patterns}),
+m AS (SELECT rid, owner, repo, kind, name, least, pat, regexp_extract_all(text, pat, 0) AS w, string_split_regex(text, pat) AS g
+      FROM d, p WHERE regexp_matches(text, pat)),
+e AS (SELECT rid, owner, repo, kind, name, least, pat, unnest(range(len(w))) AS i, w, g FROM m),
+l AS (SELECT rid, owner, repo, kind, name, least, pat, i, w[i + 1] AS hit, length(w[i + 1]) AS len, length(g[i + 1]) AS gap FROM e),
+s AS (SELECT *, CASE WHEN kind = 0 THEN regexp_extract(hit, pat, 1) ELSE hit END AS value,
+        sum(gap + len) OVER (PARTITION BY rid, kind ORDER BY i)::BIGINT AS stop FROM l),
+c AS (SELECT rid, owner, repo, kind, name, stop - len AS start, stop, value FROM s
+      WHERE length(value) >= least AND (kind < 3 OR (regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]')))),
+h AS (SELECT value, count(DISTINCT owner) <= {owners} AS live FROM c GROUP BY value),
+j AS (SELECT c.*, live FROM c JOIN h USING (value) WHERE kind < 3 OR live),
+r AS (SELECT rid, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+        count(*) FILTER (live) AS n_live,
+        string_agg(name || ':' || start || ':' || stop, ',' ORDER BY start, kind, stop) FILTER (kind < 3) AS base,
+        string_agg(name || ':' || start || ':' || stop, ',' ORDER BY start, kind, stop) AS spans FROM j GROUP BY rid)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       coalesce(n_live, 0) AS n_live, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN r USING (rid)
+""".format(
+    owners=secret_scan.MAX_OWNERS,
+    patterns=", ".join(f"({i}, '{k}', {least}, '{pat.replace(_Q, _Q * 2)}')" for i, (k, pat, _, least) in enumerate([*secret_scan.BASE, secret_scan.MIXED])),
+)
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     rules = quality.QualityRules.fit(docs, read(spark, sf_dir, "labels"))
@@ -70,9 +105,11 @@ QUERIES = {
     "op1_mixing": op1_mixing,
     "op4_packing": op4_packing,
     "op5_token_counts": op5_token_counts,
+    "op6_secret_scan": op6_secret_scan,
     "op8_quality_rules": op8_quality_rules,
 }
 
 ORACLE = {
     "op1_mixing": OP1_SQL,
+    "op6_secret_scan": OP6_SQL,
 }
