@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rxlake.llm import mixing, packing, quality, secret_scan, token_counts
+from rxlake.llm import jaccard, mixing, packing, quality, secret_scan, token_counts
 
 WORDS = r"regexp_extract_all(coalesce({t}, ''), '[^\x20\x09-\x0D]+')"
 
@@ -94,6 +94,11 @@ FROM d LEFT JOIN r USING (rid)
 )
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard.near_duplicates(docs).select("doc_id", "n_shingles", "component_id")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     rules = quality.QualityRules.fit(docs, read(spark, sf_dir, "labels"))
@@ -106,6 +111,7 @@ QUERIES = {
     "op4_packing": op4_packing,
     "op5_token_counts": op5_token_counts,
     "op6_secret_scan": op6_secret_scan,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_quality_rules": op8_quality_rules,
 }
 
