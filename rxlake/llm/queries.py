@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rxlake.llm import jaccard, mixing, packing, quality, secret_scan, token_counts
+from rxlake.llm import jaccard, mixing, packing, quality, secret_scan, token_counts, topk
 
 WORDS = r"regexp_extract_all(coalesce({t}, ''), '[^\x20\x09-\x0D]+')"
 
@@ -43,6 +43,22 @@ FROM q
 """
 
 
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", topk.quantised(F.col("embedding")).alias("v"))
+    return topk.top_k(vectors, F.col("vec_id") % 50 == 0, 5)
+
+
+OP2_SQL = """
+WITH e AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+      WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda z: coalesce(z[1] * z[2], 0))), 0)::BIGINT AS score
+      FROM e q JOIN e c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
 def byte_bpe() -> str:
     import public_tokenizers
 
@@ -108,6 +124,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_topk": op2_topk,
     "op4_packing": op4_packing,
     "op5_token_counts": op5_token_counts,
     "op6_secret_scan": op6_secret_scan,
@@ -117,5 +134,6 @@ QUERIES = {
 
 ORACLE = {
     "op1_mixing": OP1_SQL,
+    "op2_topk": OP2_SQL,
     "op6_secret_scan": OP6_SQL,
 }
