@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rxlake.llm import jaccard, mixing, packing, quality, secret_scan, token_counts, topk
+from rxlake.llm import html_main, jaccard, mixing, packing, quality, secret_scan, token_counts, topk
 
 WORDS = r"regexp_extract_all(coalesce({t}, ''), '[^\x20\x09-\x0D]+')"
 
@@ -59,6 +59,11 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
 
+def op3_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_main.main_text(pages, ["page_id", "url"]).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def byte_bpe() -> str:
     import public_tokenizers
 
@@ -125,6 +130,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_topk": op2_topk,
+    "op3_html_main": op3_html_main,
     "op4_packing": op4_packing,
     "op5_token_counts": op5_token_counts,
     "op6_secret_scan": op6_secret_scan,
