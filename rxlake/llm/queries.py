@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rxlake.llm import html_main, jaccard, mixing, packing, quality, secret_scan, token_counts, topk
+from rxlake.llm import html_main, jaccard, mixing, packing, quality, secret_scan, suffix_dedup, token_counts, topk
 
 WORDS = r"regexp_extract_all(coalesce({t}, ''), '[^\x20\x09-\x0D]+')"
 
@@ -127,6 +127,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[f"q.{c}" for c in [*quality.COUNTS, "base_failed", "kept", "log_odds"]])
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.removed(docs, ["doc_id"])
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_topk": op2_topk,
@@ -136,6 +141,7 @@ QUERIES = {
     "op6_secret_scan": op6_secret_scan,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_quality_rules": op8_quality_rules,
+    "op9_suffix_dedup": op9_suffix_dedup,
 }
 
 ORACLE = {
