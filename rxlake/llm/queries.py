@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rxlake.llm import html_main, jaccard, mixing, packing, quality, secret_scan, suffix_dedup, token_counts, topk
+from rxlake.llm import html_main, jaccard, mixing, packing, quality, rnn_lm, secret_scan, suffix_dedup, token_counts, topk
 
 WORDS = r"regexp_extract_all(coalesce({t}, ''), '[^\x20\x09-\x0D]+')"
 
@@ -132,6 +132,10 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removed(docs, ["doc_id"])
 
 
+def op10_rnn_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rnn_lm.score(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_topk": op2_topk,
@@ -142,6 +146,7 @@ QUERIES = {
     "op7_jaccard_join": op7_jaccard_join,
     "op8_quality_rules": op8_quality_rules,
     "op9_suffix_dedup": op9_suffix_dedup,
+    "op10_rnn_lm": op10_rnn_lm,
 }
 
 ORACLE = {
