@@ -34,12 +34,14 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from rxlake.llm.graph import components
-from rxlake.llm.store import keep, schema_of, ship_code
+from rxlake.llm.store import free_name, keep, ship_code
 from rxlake.llm.textkit import PLACE, mix, text_slices, windows_of, words_of
 
 K = 5
+WORD = r"[^\x20\x09-\x0D]"
 #: Similarity as a fraction.
 NUM, DEN = 4, 5
 #: Prefix lengths: l is n divided by each of these (0: l is 1).
@@ -84,8 +86,8 @@ def _lists(parts: list[np.ndarray | None]) -> pa.Array:
 
 
 def _sketches(docs: DataFrame) -> DataFrame:
-    """One row a document: rid, doc_id, d1, d2, n, and the first prefix of its
-    set unless the same task has given one for an equal set."""
+    """One row a document: rid, doc_id, row_key, d1, d2, n, and the first prefix
+    of its set unless the same task has given one for an equal set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rid, seen = TaskContext.get().partitionId() << 33, set()
@@ -102,11 +104,11 @@ def _sketches(docs: DataFrame) -> DataFrame:
                 d = np.array(keys, np.int64).reshape(-1, 2)
                 ids = rid + np.arange(len(n))
                 rid += len(n)
-                cols = [pa.array(ids), b.column(0).slice(lo, hi - lo), pa.array(d[:, 0]), pa.array(d[:, 1]), pa.array(np.array(n, np.int64)), _lists(prefix)]
-                yield pa.RecordBatch.from_arrays(cols, ["rid", "doc_id", "d1", "d2", "n", "prefix"])
+                cols = [pa.array(ids), *(b.column(i).slice(lo, hi - lo) for i in (0, 1)), pa.array(d[:, 0]), pa.array(d[:, 1]), pa.array(np.array(n, np.int64)), _lists(prefix)]
+                yield pa.RecordBatch.from_arrays(cols, ["rid", "doc_id", "row_key", "d1", "d2", "n", "prefix"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(run, f"rid bigint, doc_id {kind}, d1 bigint, d2 bigint, n bigint, prefix array<bigint>")
+    return docs.select("doc_id", "row_key", "text").mapInArrow(run, f"rid bigint, doc_id {kind}, row_key string, d1 bigint, d2 bigint, n bigint, prefix array<bigint>")
 
 
 def _sets(found: DataFrame) -> DataFrame:
@@ -219,11 +221,12 @@ def link_classes(sets: DataFrame, lists: DataFrame, pivot_rounds: int = 2) -> Da
     return labels
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row a document: rid, doc_id, n_shingles, class_id, label (equal for
+def near_duplicates(docs: DataFrame, row_key: Column | None = None) -> DataFrame:
+    """One row a document: rid, doc_id, row_key (as given), n_shingles, class_id, label (equal for
     all documents that links connect), component_id (their smallest doc_id)."""
     ship_code(docs.sparkSession)
-    rows = keep(_sketches(docs), "sketches")
+    key = F.lit(None).cast("string") if row_key is None else row_key
+    rows = keep(_sketches(docs.select("doc_id", "text", key.alias("row_key"))), "sketches")
     whole = rows.where("n > 0").groupBy("d1", "d2", "n").agg(F.min(F.when(F.col("prefix").isNotNull(), F.col("rid"))).alias("cid"))
     classes = keep(whole, "classes")
     reps = rows.where("prefix IS NOT NULL").join(classes.select(F.col("cid").alias("rid")), "rid", "left_semi")
@@ -241,7 +244,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     if labels is None:
         labels = classes.select(F.col("cid").alias("node"), F.col("cid").alias("label")).limit(0)
     member = classes.join(labels, classes["cid"] == labels["node"], "left").select("d1", "d2", "n", "cid", F.coalesce("label", "cid").alias("label"))
-    full = rows.select("rid", "doc_id", "d1", "d2", "n").join(member, ["d1", "d2", "n"], "left")
-    full = keep(full.select("rid", "doc_id", F.col("n").alias("n_shingles"), F.col("cid").alias("class_id"), F.coalesce("label", "rid").alias("label")), "members")
+    full = rows.select("rid", "doc_id", "row_key", "d1", "d2", "n").join(member, ["d1", "d2", "n"], "left")
+    full = keep(full.select("rid", "doc_id", "row_key", F.col("n").alias("n_shingles"), F.col("cid").alias("class_id"), F.coalesce("label", "rid").alias("label")), "members")
     least = full.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    return full.join(least, "label").select("rid", "doc_id", "n_shingles", "class_id", "label", "component_id")
+    return full.join(least, "label").select("rid", "doc_id", "row_key", "n_shingles", "class_id", "label", "component_id")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` with one document of each group that links connect: that of the
+    smallest id. Documents without words stay, each of them. Rows that agree in
+    id and text are one document repeated; any one of them stays."""
+    row_key, nth = free_name(docs, "_row_key", "_nth")
+    key = F.md5(F.concat_ws("\x1f", F.coalesce(F.col("doc_id").cast("string"), F.lit("\x1e")), F.col("text")))
+    worded = F.coalesce(F.col("text"), F.lit("")).rlike(WORD)
+    near = near_duplicates(docs, key).where("n_shingles > 0")
+    # Smallest id first, a null id last; the minimum is taken before the shuffle.
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")
+    stay = near.groupBy("label").agg(F.min_by("row_key", order).alias(row_key)).select(row_key)
+    stay = keep(stay.distinct(), "stay")
+    full = docs.where(worded).withColumn(row_key, key).join(stay, row_key, "left_semi")
+    once = full.withColumn(nth, F.row_number().over(Window.partitionBy(row_key).orderBy(row_key))).where(F.col(nth) == 1)
+    return once.select(*docs.columns).unionByName(docs.where(~worded))
