@@ -13,11 +13,13 @@ are common. So a longer prefix is allowed to demand more common shingles.
    meet each partner in one of the others; the cost is what those others' lists
    hold, and each set takes the ``l`` of least cost. What it then looks up
    (its probes) meets the full prefixes of all survivors.
-3. Pairs are verified exactly on the whole sets. In each list one member is
-   compared with all others first; what is in one component then needs no
-   further comparison, all other pairs are compared. No link between different
-   components can be missed, and a large group of near copies costs one
-   comparison a member instead of all pairs.
+3. Pairs are verified exactly on the whole sets. First the members of each set's
+   longest lists are compared with some central ones (those whose shingles are
+   the most frequent: the least edited copies). What is in one component then
+   needs no further comparison; of all other pairs none is left out. Members of
+   long lists are joined to clusters, dealt by size and hash to cells of bounded
+   size, and each cell multiplies its incidence matrices and gives the links
+   that join its components; short lists give their pairs one by one.
 
 Defined cases: a text with fewer words than ``k`` is one shingle of all its
 words; without words, or null, it is empty and linked with nothing; repeated
@@ -45,7 +47,13 @@ WORD = r"[^\x20\x09-\x0D]"
 #: Similarity as a fraction.
 NUM, DEN = 4, 5
 #: Prefix lengths: l is n divided by each of these (0: l is 1).
-LEVELS = (0, 20, 8, 4, 2)
+LEVELS = (0, 20, 8, 4)
+#: Central members of a list that all others are compared with first.
+PIVOTS = 6
+#: Members of a list that is compared pair by pair; longer ones go to cells.
+SHORT = 64
+#: Sets in each side of a cell.
+CELL = 512
 
 
 def least_common(n: np.ndarray | int) -> np.ndarray | int:
@@ -129,7 +137,8 @@ def _sets(found: DataFrame) -> DataFrame:
 
 
 def _probes(rows: DataFrame) -> DataFrame:
-    """token, cid, n, probe for each shared shingle of a set's longest prefix.
+    """token, cid, n, probe, df, weight (mean df of the set's prefix) for each
+    shared shingle of a set's longest prefix.
 
     ``rows``: cid, n, shared: array of (pos, df, token)."""
 
@@ -147,9 +156,11 @@ def _probes(rows: DataFrame) -> DataFrame:
                     a, z = ends[i], ends[i + 1]
                     probe[a:z] = choose(int(m), pos[a:z], df[a:z], token[a:z])
                 row = np.repeat(np.arange(len(n)), np.diff(ends))
-                yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(cid[row]), pa.array(n[row]), pa.array(probe)], ["token", "cid", "n", "probe"])
+                weight = np.bincount(row, df, len(n)) / np.maximum(n, 1)
+                cols = {"token": token, "cid": cid[row], "n": n[row], "probe": probe, "df": df, "weight": weight[row]}
+                yield pa.RecordBatch.from_pydict({c: pa.array(x) for c, x in cols.items()})
 
-    return rows.mapInArrow(run, "token bigint, cid bigint, n bigint, probe boolean")
+    return rows.mapInArrow(run, "token bigint, cid bigint, n bigint, probe boolean, df bigint, weight double")
 
 
 def choose(n: int, pos: np.ndarray, df: np.ndarray, token: np.ndarray) -> np.ndarray:
@@ -173,9 +184,11 @@ def choose(n: int, pos: np.ndarray, df: np.ndarray, token: np.ndarray) -> np.nda
 
 
 def _shared(postings: DataFrame) -> DataFrame:
-    """``postings`` (token, ...) of tokens that occur twice or more, with df."""
-    counts = postings.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-    return postings.join(counts, "token")
+    """``postings`` (token, ...) of tokens that occur twice or more, with df.
+    Both sides of the join read one and the same exchange."""
+    dealt = postings.repartition("token")
+    counts = dealt.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    return dealt.join(counts, "token")
 
 
 def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -189,36 +202,129 @@ def _sizes_fit(n: Column, m: Column) -> Column:
     return (DEN * F.least(n, m)) >= (NUM * F.greatest(n, m))
 
 
-def link_classes(sets: DataFrame, lists: DataFrame, pivot_rounds: int = 2) -> DataFrame:
-    """node, label of all sets linked with another. ``lists``: token, cid, n, probe."""
+def link_classes(sets: DataFrame, lists: DataFrame) -> DataFrame:
+    """node, label of all sets linked with another. ``lists``: as from ``_probes``."""
     lists = keep(lists, "lists")
     # A list without a probe is never looked up.
     looked = lists.groupBy("token").agg(F.count_if("probe").alias("p")).where("p > 0").select("token")
     lists = keep(lists.join(looked, "token"), "lists")
-    links, labels = None, None
-    for turn in range(pivot_rounds + 1):
-        state = lists.withColumn("label", F.col("cid"))
-        if labels is not None:
-            state = lists.join(labels.select(F.col("node").alias("cid"), "label"), "cid", "left").withColumn("label", F.coalesce("label", "cid"))
-        open_ = state.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.min("cid").alias("pivot"), F.min_by("n", "cid").alias("pn"), F.min_by("label", "cid").alias("pl")).where("x <> y")
-        if turn < pivot_rounds:
-            one, two = F.col("pivot"), F.col("cid")
-            pairs = state.join(open_, "token").where((one != two) & (F.col("pl") != F.col("label")) & _sizes_fit(F.col("pn"), F.col("n")))
-        else:
-            one, two = F.col("p.cid"), F.col("s.cid")
-            rest = keep(state.join(open_.select("token"), "token"), "rest")
-            pairs = rest.where("probe").alias("p").join(rest.alias("s"), "token").where((F.col("p.label") != F.col("s.label")) & _sizes_fit(F.col("p.n"), F.col("s.n")))
-        pairs = keep(pairs.select(F.least(one, two).alias("a"), F.greatest(one, two).alias("b")).distinct(), "pairs")
-        if pairs.isEmpty() and turn == pivot_rounds:
-            break
-        found = keep(_verify(pairs, sets), "links")
-        links = found if links is None else links.union(found)
+    nth = F.row_number().over(Window.partitionBy("cid").orderBy(F.desc("df"), "token"))
+    tops = lists.select("token", "cid", "n", "weight", nth.alias("nth")).where("nth <= 2").withColumn("label", F.col("cid"))
+    tops = keep(tops, "tops")
+    central = F.row_number().over(Window.partitionBy("token").orderBy(F.desc("weight"), "cid"))
+    pivots = tops.withColumn("r", central).where(F.col("r") <= PIVOTS)
+    links = keep(_verify(_pairs(pivots, tops), sets), "links")
+    labels = components(links)
+    lists = lists.select("token", "cid", "n", "probe")
+    # Long lists, by cells.
+    left = keep(_open(lists, labels), "open")
+    size = left.groupBy("token").agg(F.count("*").alias("size"), F.min("cid").alias("first")).where(F.col("size") > SHORT)
+    members = keep(left.join(size, "token").select("cid", "n", "label", "first"), "members")
+    if not members.isEmpty():
+        links = keep(links.union(_by_cells(members, sets)), "links")
         labels = components(links)
-        if turn + 1 < pivot_rounds:
-            # The pivot has met its whole list.
-            done = open_.select("token", F.col("pivot").alias("cid"))
-            lists = keep(state.select("token", "cid", "n", "probe").join(open_.select("token"), "token").join(done, ["token", "cid"], "left_anti"), "lists")
-    return labels
+    # Short ones, pair by pair.
+    left = _open(lists, labels)
+    size = left.groupBy("token").agg(F.count("*").alias("size")).where(F.col("size") <= SHORT).select("token")
+    left = keep(left.join(size, "token"), "open")
+    links = keep(links.union(_verify(_pairs(left.where("probe"), left), sets)), "links")
+    return components(links)
+
+
+def _open(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """``lists`` with labels, without those of one label."""
+    state = lists.join(labels.select(F.col("node").alias("cid"), "label"), "cid", "left").withColumn("label", F.coalesce("label", "cid"))
+    differ = state.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count_if("probe").alias("p"))
+    return state.join(differ.where("x <> y AND p > 0").select("token"), "token")
+
+
+def _pairs(some: DataFrame, members: DataFrame) -> DataFrame:
+    pairs = some.alias("p").join(members.alias("s"), "token").where((F.col("p.label") != F.col("s.label")) & _sizes_fit(F.col("p.n"), F.col("s.n")))
+    return pairs.select(F.least("p.cid", "s.cid").alias("a"), F.greatest("p.cid", "s.cid").alias("b")).distinct()
+
+
+def _by_cells(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) that join the labels of ``members`` (cid, n, label, first:
+    a member of the same list, common to the list).
+
+    Sets of one cluster (lists that meet) lie in bands of size, each wider than
+    the similarity allows two sets to differ, so that partners are in one band or
+    in two that adjoin; a band is dealt to chunks of about CELL sets by hash, and
+    two chunks make a cell."""
+    near = members.select(F.col("cid").alias("a"), F.col("first").alias("b"))
+    cluster = components(near).select(F.col("node").alias("cid"), F.col("label").alias("cluster"))
+    rows = members.select("cid", "n", "label").distinct().join(cluster, "cid")
+    rows = rows.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / float(np.log(DEN / NUM + 1e-9))).cast("int"))
+    bands = rows.groupBy("cluster", "band").agg(F.ceil(F.count("*") / CELL).cast("int").alias("chunks"))
+    bands = keep(bands, "bands")
+    rows = rows.join(bands, ["cluster", "band"])
+    for step, name in ((-1, "below"), (1, "above")):
+        other = bands.select("cluster", (F.col("band") - step).alias("band"), F.col("chunks").alias(name))
+        rows = rows.join(other, ["cluster", "band"], "left").withColumn(name, F.coalesce(name, F.lit(0)))
+    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("cid"), F.col("chunks")).cast("int"))
+
+    def cells(count: Column, make) -> Column:
+        return F.when(count > 0, F.transform(F.sequence(F.lit(0), F.greatest(count - 1, F.lit(0))), make)).otherwise(F.array().cast("array<struct<band:int,up:boolean,i:int,j:int>>"))
+
+    def cell(band: Column, up: bool, i: Column, j: Column) -> Column:
+        return F.struct(band.cast("int").alias("band"), F.lit(up).alias("up"), i.cast("int").alias("i"), j.cast("int").alias("j"))
+
+    c, b = F.col("chunk"), F.col("band")
+    own = cells(F.col("chunks"), lambda k: cell(b, False, F.least(c, k), F.greatest(c, k)))
+    up = cells(F.col("above"), lambda k: cell(b, True, c, k))
+    down = cells(F.col("below"), lambda k: cell(b - 1, True, k, c))
+    dealt = rows.select("cid", "n", "label", "cluster", F.explode(F.concat(own, up, down)).alias("cell"))
+    full = dealt.join(sets.select("cid", "tokens"), "cid")
+    return full.groupBy("cluster", "cell").applyInArrow(_join_cell, "a bigint, b bigint")
+
+
+def _join_cell(part: pa.Table) -> pa.Table:
+    """Links between sets of different labels, as many as join the components."""
+    part = part.combine_chunks()
+    cid, n, label = (part.column(c).to_numpy() for c in ("cid", "n", "label"))
+    lists = part.column("tokens").combine_chunks()
+    row = np.repeat(np.arange(len(cid)), lists.value_lengths().to_numpy())
+    common = overlaps(row, lists.flatten().to_numpy(), len(cid))
+    a, b = np.nonzero(np.triu(DEN * common >= NUM * (n[:, None] + n[None, :] - common), 1))
+    group = {x: x for x in np.unique(label).tolist()}
+
+    def top(x: int) -> int:
+        while group[x] != x:
+            group[x] = x = group[group[x]]
+        return x
+
+    out = []
+    for i, j in zip(a[label[a] != label[b]].tolist(), b[label[a] != label[b]].tolist(), strict=True):
+        x, y = top(int(label[i])), top(int(label[j]))
+        if x != y:
+            group[x] = y
+            out.append((i, j))
+    i, j = np.array(out, np.int64).reshape(-1, 2).T
+    return pa.table({"a": cid[i].astype(np.int64), "b": cid[j].astype(np.int64)})
+
+
+def overlaps(row: np.ndarray, token: np.ndarray, m: int, block: int = 2048) -> np.ndarray:
+    """Common tokens of each two of ``m`` sets: dense products for tokens that
+    many have, pairs for those that few have; tokens of one set count only for it."""
+    _, col, count = np.unique(token, return_inverse=True, return_counts=True)
+    common = np.zeros((m, m), np.float32)
+    heavy = np.flatnonzero(count > 8)
+    for lo in range(0, len(heavy), block):
+        place = np.full(len(count), -1)
+        own = heavy[lo : lo + block]
+        place[own] = np.arange(len(own))
+        x = np.zeros((m, len(own)), np.float32)
+        ok = place[col] >= 0
+        x[row[ok], place[col[ok]]] = 1
+        common += x @ x.T
+    order = np.argsort(col, kind="stable")
+    by_col, own = row[order], count[col[order]]
+    for df in range(2, 9):
+        same = by_col[own == df].reshape(-1, df)
+        for i in range(df):
+            for j in range(df):
+                np.add.at(common, (same[:, i], same[:, j]), 1) if i != j else None
+    return common.astype(np.int64)
 
 
 def near_duplicates(docs: DataFrame, row_key: Column | None = None) -> DataFrame:
@@ -241,8 +347,6 @@ def near_duplicates(docs: DataFrame, row_key: Column | None = None) -> DataFrame
     index = sets.select("cid", "n", F.posexplode(F.slice("tokens", F.lit(1), longest.cast("int"))).alias("pos", "token"))
     shared = _shared(index).groupBy("cid", "n").agg(F.collect_list(F.struct(F.col("pos").cast("long"), "df", "token")).alias("shared"))
     labels = link_classes(sets, _probes(shared.select("cid", "n", "shared")))
-    if labels is None:
-        labels = classes.select(F.col("cid").alias("node"), F.col("cid").alias("label")).limit(0)
     member = classes.join(labels, classes["cid"] == labels["node"], "left").select("d1", "d2", "n", "cid", F.coalesce("label", "cid").alias("label"))
     full = rows.select("rid", "doc_id", "row_key", "d1", "d2", "n").join(member, ["d1", "d2", "n"], "left")
     full = keep(full.select("rid", "doc_id", "row_key", F.col("n").alias("n_shingles"), F.col("cid").alias("class_id"), F.coalesce("label", "rid").alias("label")), "members")
