@@ -125,9 +125,12 @@ def fit_trees(x: np.ndarray, y: np.ndarray, falling: list[int], *, trees: int =
     """Boosting on the logistic loss over binned features. A split on a falling
     feature must not give its right side the larger value, and both sides stay
     within bounds inherited from above, so the whole model is monotone."""
+    if not 0 < y.sum() < len(y):
+        trees, x = 0, np.zeros((1, x.shape[1]))
+        y = y[:1] if len(y) else np.zeros(1)
     cuts = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, bins + 1)[1:-1])) for f in range(x.shape[1])]
     code = np.column_stack([np.searchsorted(c, x[:, f], "left") for f, c in enumerate(cuts)])
-    p = np.clip(y.mean(), 1e-3, 1 - 1e-3) if len(y) else 0.5
+    p = np.clip(y.mean(), 1e-3, 1 - 1e-3)
     bias = float(np.log(p / (1 - p)))
     score = np.full(len(y), bias)
     feature, cut, left, right, value, roots = [], [], [], [], [], []
@@ -141,7 +144,7 @@ def fit_trees(x: np.ndarray, y: np.ndarray, falling: list[int], *, trees: int =
         value.append(rate * float(np.clip(-g / (h + l2), lo, hi)))
         return k
 
-    for _ in range(trees if 0 < y.sum() < len(y) else 0):
+    for _ in range(trees):
         prob = 1 / (1 + np.exp(-score))
         grad, hess = prob - y, prob * (1 - prob)
         root = node(-np.inf, np.inf, grad.sum(), hess.sum())
