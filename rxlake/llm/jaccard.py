@@ -14,7 +14,7 @@ are common. So a longer prefix is allowed to demand more common shingles.
    hold, and each set takes the ``l`` of least cost. What it then looks up
    (its probes) meets the full prefixes of all survivors.
 3. Pairs are verified exactly on the whole sets. First the members of each set's
-   longest lists are compared with some central ones (those whose shingles are
+   longest list are compared with some central ones (those whose shingles are
    the most frequent: the least edited copies). What is in one component then
    needs no further comparison; of all other pairs none is left out. Members of
    long lists are joined to clusters, dealt by size and hash to cells of bounded
@@ -49,11 +49,13 @@ NUM, DEN = 4, 5
 #: Prefix lengths: l is n divided by each of these (0: l is 1).
 LEVELS = (0, 20, 8, 4)
 #: Central members of a list that all others are compared with first.
-PIVOTS = 6
+PIVOTS = 3
 #: Members of a list that is compared pair by pair; longer ones go to cells.
 SHORT = 64
+#: Sets that have a token, up to which a cell counts its pairs one by one.
+LIGHT = 16
 #: Sets in each side of a cell.
-CELL = 512
+CELL = 1024
 
 
 def least_common(n: np.ndarray | int) -> np.ndarray | int:
@@ -208,8 +210,10 @@ def link_classes(sets: DataFrame, lists: DataFrame) -> DataFrame:
     # A list without a probe is never looked up.
     looked = lists.groupBy("token").agg(F.count_if("probe").alias("p")).where("p > 0").select("token")
     lists = keep(lists.join(looked, "token"), "lists")
+    # Only sets in such a list are ever compared.
+    sets = keep(sets.join(lists.select("cid").distinct(), "cid", "left_semi"), "compared")
     nth = F.row_number().over(Window.partitionBy("cid").orderBy(F.desc("df"), "token"))
-    tops = lists.select("token", "cid", "n", "weight", nth.alias("nth")).where("nth <= 2").withColumn("label", F.col("cid"))
+    tops = lists.select("token", "cid", "n", "weight", nth.alias("nth")).where("nth = 1").withColumn("label", F.col("cid"))
     tops = keep(tops, "tops")
     central = F.row_number().over(Window.partitionBy("token").orderBy(F.desc("weight"), "cid"))
     pivots = tops.withColumn("r", central).where(F.col("r") <= PIVOTS)
@@ -285,7 +289,8 @@ def _join_cell(part: pa.Table) -> pa.Table:
     lists = part.column("tokens").combine_chunks()
     row = np.repeat(np.arange(len(cid)), lists.value_lengths().to_numpy())
     common = overlaps(row, lists.flatten().to_numpy(), len(cid))
-    a, b = np.nonzero(np.triu(DEN * common >= NUM * (n[:, None] + n[None, :] - common), 1))
+    # Counts are whole numbers below 2**24, exact in these floats.
+    a, b = np.nonzero(np.triu((DEN + NUM) * common >= NUM * (n[:, None] + n[None, :]).astype(np.float32), 1))
     group = {x: x for x in np.unique(label).tolist()}
 
     def top(x: int) -> int:
@@ -308,7 +313,7 @@ def overlaps(row: np.ndarray, token: np.ndarray, m: int, block: int = 2048) -> n
     many have, pairs for those that few have; tokens of one set count only for it."""
     _, col, count = np.unique(token, return_inverse=True, return_counts=True)
     common = np.zeros((m, m), np.float32)
-    heavy = np.flatnonzero(count > 8)
+    heavy = np.flatnonzero(count > LIGHT)
     for lo in range(0, len(heavy), block):
         place = np.full(len(count), -1)
         own = heavy[lo : lo + block]
@@ -319,12 +324,13 @@ def overlaps(row: np.ndarray, token: np.ndarray, m: int, block: int = 2048) -> n
         common += x @ x.T
     order = np.argsort(col, kind="stable")
     by_col, own = row[order], count[col[order]]
-    for df in range(2, 9):
+    for df in range(2, LIGHT + 1):
         same = by_col[own == df].reshape(-1, df)
-        for i in range(df):
-            for j in range(df):
-                np.add.at(common, (same[:, i], same[:, j]), 1) if i != j else None
-    return common.astype(np.int64)
+        for i in range(df if len(same) else 0):
+            for j in range(i):
+                np.add.at(common, (same[:, i], same[:, j]), 1)
+                np.add.at(common, (same[:, j], same[:, i]), 1)
+    return common
 
 
 def near_duplicates(docs: DataFrame, row_key: Column | None = None) -> DataFrame:
