@@ -2,7 +2,6 @@ from rxlake.functions.cleaning import (
     default_blank,
     ge65_suppressed,
     is_suppressed,
-    normalized,
     parse_number,
     safe_divide,
 )
@@ -17,7 +16,6 @@ __all__ = [
     "ge65_suppressed",
     "is_suppressed",
     "money_sum",
-    "normalized",
     "parse_number",
     "prescriber_id",
     "safe_divide",

@@ -22,12 +22,6 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def normalized(c: str | Column, upper: bool = False) -> Column:
-    """Trim spaces (not tabs, like SQL ``trim``); optionally upper-case."""
-    value = F.trim(_col(c))
-    return F.upper(value) if upper else value
-
-
 def is_suppressed(c: str | Column) -> Column:
     """TRUE when the raw text is a suppression token or SQL NULL."""
     value = F.upper(F.trim(_col(c)))

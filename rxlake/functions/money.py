@@ -1,38 +1,36 @@
 """Order-independent aggregates over doubles.
 
 Floating-point sums depend on the order rows arrive in, so two runs (or two
-engines) can disagree in the last bits. Money is therefore summed in exact
-integer cents, and averages of ratios go through a fixed-point integer sum.
-Both results are the same for any partitioning of the input.
+engines) can disagree in the last bits. Money is summed as exact decimals, and
+averages of ratios as whole multiples of a small unit, in decimals wide enough
+for any number of rows. Both are the same for any partitioning of the input.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType
+from pyspark.sql.types import DecimalType, DoubleType
+
+MONEY = DecimalType(28, 6)
+WHOLE = DecimalType(38, 0)
 
 
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def cents(c: str | Column) -> Column:
-    """A money double as whole cents (long)."""
-    return F.round(_col(c) * F.lit(100)).cast(LongType())
-
-
 def money_sum(c: str | Column) -> Column:
-    """Exact sum of a money column, returned as double (NULL when all NULL)."""
-    return F.sum(cents(c)).cast(DoubleType()) / F.lit(100.0)
+    """Exact sum of a money column (six decimals), as double; NULL when all NULL."""
+    return F.sum(_col(c).cast(MONEY)).cast(DoubleType())
 
 
 def scaled(c: str | Column, digits: int = 6) -> Column:
-    """A double as a whole number of ``10**-digits`` units (long).
+    """A double as a whole number of ``10**-digits`` units.
 
     The product is rounded in binary (not through a decimal string), so every
     engine maps a value to the same integer."""
-    return F.round(_col(c) * F.lit(10**digits)).cast(LongType())
+    return F.round(_col(c) * F.lit(10**digits)).cast(WHOLE)
 
 
 def stable_sum(c: str | Column, digits: int = 6) -> Column:

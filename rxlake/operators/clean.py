@@ -15,7 +15,6 @@ from rxlake.functions.cleaning import (
     default_blank,
     ge65_suppressed,
     is_suppressed,
-    normalized,
     parse_number,
     safe_divide,
 )

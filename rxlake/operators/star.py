@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from rxlake.functions.keys import drug_id, fact_id, full_name, prescriber_id
 from rxlake.schemas import STAR_COLUMNS
-from rxlake.session import bounded_broadcast
 
 
 def _present(c: str):
@@ -68,20 +67,14 @@ def star_schema(silver: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def star_join(tables: dict[str, DataFrame], small_dim_rows: int | None = None) -> DataFrame:
+def star_join(tables: dict[str, DataFrame]) -> DataFrame:
     """Fact joined to its four dimensions (inner joins, as reporting does).
 
-    Dimensions derived in the same plan are left to AQE, which broadcasts a side
-    only after measuring its materialised size (year, state and drug dims are
-    tiny); the prescriber dimension grows with the data and stays a shuffle join.
-    For dims read from stored tables pass ``small_dim_rows`` to broadcast the
-    three small ones after an explicit row-count check."""
+    No hint: AQE broadcasts a side once its measured size is small (year, state
+    and drug dims are tiny); the prescriber dimension grows with the data and
+    stays a shuffle join."""
     fact = tables["fact_prescriptions"]
     years, states, drugs = tables["dim_year"], tables["dim_state"], tables["dim_drug"]
-    if small_dim_rows is not None:
-        years = bounded_broadcast(years, small_dim_rows)
-        states = bounded_broadcast(states, small_dim_rows)
-        drugs = bounded_broadcast(drugs, small_dim_rows)
     return (
         fact.join(tables["dim_prescriber"].drop("state"), "prescriber_id")
         .join(drugs, "drug_id")

@@ -8,8 +8,28 @@ assembled by ``with_ctes``.
 
 from __future__ import annotations
 
-from rxlake.functions.cleaning import DOUBLE_PATTERN, GE65_FLAG_TOKENS, LONG_PATTERN, SUPPRESSION_TOKENS
-from rxlake.schemas import RAW_COLUMNS, SILVER_COLUMNS, SILVER_KEY
+# --- fixed values, written out here so that a wrong one in the operators shows ---
+SUPPRESSION_TOKENS = ("", "NULL", "N/A", "NA", "*", "#", "SUPPRESSED")
+GE65_FLAG_TOKENS = ("Y", "*", "#")
+LONG_PATTERN = r"^[+-]?[0-9]+$"
+DOUBLE_PATTERN = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)$"
+RAW_COLUMNS = [
+    "Prscrbr_NPI", "Prscrbr_Last_Org_Name", "Prscrbr_First_Name", "Prscrbr_City", "Prscrbr_State_Abrvtn", "Prscrbr_State_FIPS",
+    "Prscrbr_Type", "Prscrbr_Type_Src", "Brnd_Name", "Gnrc_Name", "Tot_Clms", "Tot_30day_Fills", "Tot_Day_Suply", "Tot_Drug_Cst",
+    "Tot_Benes", "GE65_Sprsn_Flag", "GE65_Tot_Clms", "GE65_Tot_30day_Fills", "GE65_Tot_Drug_Cst", "GE65_Tot_Day_Suply",
+    "GE65_Bene_Sprsn_Flag", "GE65_Tot_Benes",
+]
+SILVER_COLUMNS = [
+    "npi", "prescriber_last_or_org_name", "prescriber_first_name", "city", "state", "state_fips", "specialty", "brand_name",
+    "generic_name", "ge65_suppression_flag", "year", "is_tot_claims_suppressed", "is_ge65_suppressed", "tot_claims",
+    "tot_30day_fills", "tot_drug_cost", "tot_day_supply", "tot_beneficiaries", "ge65_claims", "ge65_drug_cost", "cost_per_claim",
+    "claims_per_beneficiary",
+]
+SILVER_KEY = ["year", "npi", "state", "brand_name", "generic_name"]
+NUMERIC = {
+    "Tot_Clms": "BIGINT", "Tot_30day_Fills": "DOUBLE", "Tot_Drug_Cst": "DOUBLE", "Tot_Day_Suply": "BIGINT", "Tot_Benes": "BIGINT",
+    "GE65_Tot_Clms": "BIGINT", "GE65_Tot_Drug_Cst": "DOUBLE",
+}
 
 
 def _q(s: str) -> str:
@@ -21,21 +41,23 @@ def _in(values) -> str:
 
 
 RAW_DERIVED = {
-    "Prscrbr_NPI": "' ' || CAST(c_custkey AS VARCHAR) || ' '",
+    "Prscrbr_NPI": "CASE WHEN c_custkey % 41 = 0 THEN '  ' ELSE ' ' || CAST(c_custkey AS VARCHAR) || ' ' END",
     "Prscrbr_Last_Org_Name": "c_name",
-    "Prscrbr_First_Name": "CASE WHEN c_custkey % 5 = 0 THEN '' ELSE 'Pat' END",
-    "Prscrbr_City": "lower(n_name)",
+    "Prscrbr_First_Name": "CASE WHEN c_custkey % 5 = 0 THEN '' WHEN o_orderkey % 50 = 0 THEN 'Patricia' ELSE 'Pat' END",
+    "Prscrbr_City": "CASE WHEN c_custkey % 37 = 0 THEN ' ' ELSE lower(n_name) END",
     "Prscrbr_State_Abrvtn": "CASE WHEN c_custkey % 97 = 0 THEN '' ELSE lower(r_name) END",
     "Prscrbr_State_FIPS": "CAST(r_regionkey AS VARCHAR)",
-    "Prscrbr_Type": "lower(c_mktsegment)",
-    "Brnd_Name": "lower(p_brand)",
-    "Gnrc_Name": "CASE WHEN p_partkey % 53 = 0 THEN NULL ELSE lower(p_type) END",
-    "Tot_Clms": "CASE WHEN l_quantity < 3 THEN '*' WHEN l_partkey % 31 = 0 "
+    "Prscrbr_Type": "CASE WHEN c_custkey % 29 = 0 THEN '' ELSE lower(c_mktsegment) END",
+    "Brnd_Name": "CASE WHEN p_partkey % 17 = 0 THEN ' ' || upper(p_type) WHEN p_partkey % 59 = 0 THEN '' ELSE lower(p_brand) END",
+    "Gnrc_Name": "CASE WHEN p_partkey % 53 = 0 THEN NULL WHEN p_partkey % 3 = 0 THEN lower(split_part(p_type, ' ', 1)) ELSE lower(p_type) END",
+    "Tot_Clms": "CASE WHEN l_orderkey % 227 = 0 THEN '99999999999999999999' WHEN l_orderkey % 229 = 0 THEN '20.0' "
+    "WHEN l_quantity < 3 THEN '*' WHEN l_partkey % 31 = 0 "
     "THEN '1,' || lpad(CAST(CAST(l_quantity AS INTEGER) AS VARCHAR), 3, '0') "
     "ELSE CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) END",
-    "Tot_Drug_Cst": "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR)",
+    "Tot_Drug_Cst": "CASE WHEN l_orderkey % 211 = 0 THEN '-5.25' WHEN l_orderkey % 223 = 0 THEN '1e5' "
+    "ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) END",
     "Tot_Benes": "CASE WHEN l_linenumber = 7 THEN 'n/a' ELSE CAST(l_linenumber AS VARCHAR) END",
-    "GE65_Sprsn_Flag": "CASE WHEN l_returnflag = 'N' THEN NULL WHEN l_returnflag = 'A' THEN '' ELSE '#' END",
+    "GE65_Sprsn_Flag": "CASE WHEN l_returnflag = 'N' THEN NULL WHEN l_returnflag = 'A' THEN '' WHEN l_linenumber % 2 = 0 THEN 'y ' ELSE '#' END",
     "GE65_Tot_Clms": "CASE WHEN l_linenumber = 1 THEN '*' ELSE CAST(CAST(floor(l_quantity / 2) AS INTEGER) AS VARCHAR) END",
     "GE65_Tot_Drug_Cst": "CASE WHEN l_linenumber = 2 THEN 'N/A' ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) END",
     "Tot_30day_Fills": "CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) || '.5'",
@@ -101,7 +123,7 @@ def h(*cols: str) -> str:
 
 
 def money(c: str) -> str:
-    return f"CAST(SUM(CAST(round({c} * 100) AS BIGINT)) AS DOUBLE) / 100.0"
+    return f"CAST(SUM(CAST({c} AS DECIMAL(28,6))) AS DOUBLE)"
 
 
 def ratio(n: str, d: str) -> str:
@@ -109,7 +131,7 @@ def ratio(n: str, d: str) -> str:
 
 
 def stable_avg(c: str) -> str:
-    return f"CAST(SUM(CAST(round({c} * 1000000) AS BIGINT)) AS DOUBLE) / 1000000.0 / CAST(COUNT({c}) AS DOUBLE)"
+    return f"CAST(SUM(CAST(round({c} * 1000000) AS DECIMAL(38,0))) AS DOUBLE) / 1000000.0 / CAST(COUNT({c}) AS DOUBLE)"
 
 
 FULL_NAME = "trim(concat_ws(' ', COALESCE(prescriber_first_name, ''), COALESCE(prescriber_last_or_org_name, '')))"

@@ -27,9 +27,9 @@ def gold_marts(silver: DataFrame, materialize_summary: bool = False, **outlier_a
     if materialize_summary:
         summary = cut_lineage(summary)
     return {
-        "gold_state_year_spending": marts.state_year_spending(silver),
-        "gold_drug_year_spending": marts.drug_year_spending(silver),
-        "gold_specialty_state_spending": marts.specialty_state_spending(silver),
+        "gold_state_year_spending": marts.mart("gold_state_year_spending")(silver),
+        "gold_drug_year_spending": marts.mart("gold_drug_year_spending")(silver),
+        "gold_specialty_state_spending": marts.mart("gold_specialty_state_spending")(silver),
         "gold_prescriber_summary": summary,
         # A checkpointed summary is read directly; otherwise the outlier operator
         # materialises its own copy once.

@@ -1,20 +1,18 @@
-"""Session helpers: building a session, lineage cuts, size-checked broadcast."""
+"""Session helpers: building a session and cutting lineage in the shared folder."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-# Defaults applied only when the caller has not set them already.
+# Defaults for a new session; what is set at submit or by the caller wins.
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
@@ -22,12 +20,15 @@ DEFAULT_CONF = {
 
 
 def build_session(app_name: str = "rxlake", master: str | None = None, conf: dict | None = None) -> SparkSession:
-    """Create (or reuse) a session. The master is never hard-coded for clusters:
-    pass it only for local runs and tests."""
+    """Create a session, or return the active one with only ``conf`` applied.
+    The master is never hard-coded for clusters: pass it only for local runs."""
+    running = SparkSession.getActiveSession()
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULT_CONF, **(conf or {})}.items():
+    submitted = SparkConf()
+    defaults = {} if running else {k: v for k, v in DEFAULT_CONF.items() if not submitted.contains(k)}
+    for key, value in {**defaults, **(conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
@@ -35,19 +36,14 @@ def build_session(app_name: str = "rxlake", master: str | None = None, conf: dic
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the shared folder named in ``spark.checkpoint.dir``; only when it is
-    unset (local tests) fall back to a fresh temporary folder."""
+    """The folder that ``spark.checkpoint.dir`` names, shared by driver and
+    executors. Only where it is unset (tests, one machine) a fresh temporary
+    folder takes its place."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        configured = tempfile.mkdtemp(prefix="rxlake-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    if sc.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="rxlake-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -55,20 +51,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     do not recompute its lineage."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast ``df`` only after proving it holds at most ``max_rows`` rows;
-    otherwise leave it to a shuffle join (and AQE's runtime size check)."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
-def local_test_session(cores: int = 8, shuffle_partitions: int = 8) -> SparkSession:
-    os.environ.setdefault("PYSPARK_PYTHON", "python")
-    return build_session(
-        "rxlake-test",
-        master=f"local[{cores}]",
-        conf={"spark.sql.shuffle.partitions": str(shuffle_partitions), "spark.driver.memory": "8g"},
-    )

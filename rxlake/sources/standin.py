@@ -2,7 +2,9 @@
 
 The test tables carry no prescription data, so a raw view is derived from them
 with deterministic dirt (suppression tokens, thousands commas, blanks, NULL
-flags) that exercises every cleaning rule. Mapping: prescriber = customer,
+flags, malformed and over-long numbers, negative costs, blank ids and labels, two
+spellings of a name, brand names equal to the generic name) that exercises every
+cleaning and quality rule. Mapping: prescriber = customer,
 city = nation, state = region, specialty = market segment, drug = part
 (brand, type), claims = quantity, cost = extended price, year = order year.
 
@@ -21,15 +23,6 @@ def read_tables(spark: SparkSession, sf_dir: str, names: list[str]) -> dict[str,
     return {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in names}
 
 
-def spread_scan(df: DataFrame) -> DataFrame:
-    """A scan with fewer splits than the cluster has cores (e.g. one file with a
-    single row group) would run every narrow step before the first shuffle in
-    those few tasks. Spread such a scan round-robin; a large table already has
-    thousands of splits and is left alone."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
-
-
 def _text(c) -> F.Column:
     return c.cast("string")
 
@@ -37,13 +30,9 @@ def _text(c) -> F.Column:
 def standin_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All 22 raw columns as strings plus ``yr`` (int), one row per lineitem."""
     t = read_tables(spark, sf_dir, ["lineitem", "orders", "customer", "nation", "region", "part"])
-    # nation and region are bounded by definition (25 and 5 rows): broadcast.
-    geo = F.broadcast(
-        t["nation"].join(F.broadcast(t["region"]), F.col("n_regionkey") == F.col("r_regionkey"))
-    )
-    line = spread_scan(
-        t["lineitem"].select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag")
-    )
+    # No hints: the planner broadcasts nation and region by their file sizes.
+    geo = t["nation"].join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
+    line = t["lineitem"].select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag")
     orders = t["orders"].select("o_orderkey", "o_custkey", "o_orderdate")
     customer = t["customer"].select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     part = t["part"].select("p_partkey", "p_brand", "p_type")
@@ -58,22 +47,35 @@ def standin_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     qty_int = F.col("l_quantity").cast("int")
     price_text = _text(F.col("l_extendedprice").cast("decimal(18,2)"))
     derived = {
-        "Prscrbr_NPI": F.concat(F.lit(" "), _text(F.col("c_custkey")), F.lit(" ")),
+        "Prscrbr_NPI": F.when(F.col("c_custkey") % 41 == 0, F.lit("  ")).otherwise(
+            F.concat(F.lit(" "), _text(F.col("c_custkey")), F.lit(" "))
+        ),
         "Prscrbr_Last_Org_Name": F.col("c_name"),
-        "Prscrbr_First_Name": F.when(F.col("c_custkey") % 5 == 0, F.lit("")).otherwise(F.lit("Pat")),
-        "Prscrbr_City": F.lower("n_name"),
+        "Prscrbr_First_Name": F.when(F.col("c_custkey") % 5 == 0, F.lit(""))
+        .when(F.col("o_orderkey") % 50 == 0, F.lit("Patricia"))
+        .otherwise(F.lit("Pat")),
+        "Prscrbr_City": F.when(F.col("c_custkey") % 37 == 0, F.lit(" ")).otherwise(F.lower("n_name")),
         "Prscrbr_State_Abrvtn": F.when(F.col("c_custkey") % 97 == 0, F.lit("")).otherwise(F.lower("r_name")),
         "Prscrbr_State_FIPS": _text(F.col("r_regionkey")),
-        "Prscrbr_Type": F.lower("c_mktsegment"),
-        "Brnd_Name": F.lower("p_brand"),
-        "Gnrc_Name": F.when(F.col("p_partkey") % 53 == 0, F.lit(None).cast("string")).otherwise(F.lower("p_type")),
-        "Tot_Clms": F.when(F.col("l_quantity") < 3, F.lit("*"))
+        "Prscrbr_Type": F.when(F.col("c_custkey") % 29 == 0, F.lit("")).otherwise(F.lower("c_mktsegment")),
+        "Brnd_Name": F.when(F.col("p_partkey") % 17 == 0, F.concat(F.lit(" "), F.upper("p_type")))
+        .when(F.col("p_partkey") % 59 == 0, F.lit(""))
+        .otherwise(F.lower("p_brand")),
+        "Gnrc_Name": F.when(F.col("p_partkey") % 53 == 0, F.lit(None).cast("string"))
+        .when(F.col("p_partkey") % 3 == 0, F.lower(F.split_part("p_type", F.lit(" "), F.lit(1))))
+        .otherwise(F.lower("p_type")),
+        "Tot_Clms": F.when(F.col("l_orderkey") % 227 == 0, F.lit("9" * 20))
+        .when(F.col("l_orderkey") % 229 == 0, F.lit("20.0"))
+        .when(F.col("l_quantity") < 3, F.lit("*"))
         .when(F.col("l_partkey") % 31 == 0, F.concat(F.lit("1,"), F.lpad(_text(qty_int), 3, "0")))
         .otherwise(_text(qty_int)),
-        "Tot_Drug_Cst": price_text,
+        "Tot_Drug_Cst": F.when(F.col("l_orderkey") % 211 == 0, F.lit("-5.25"))
+        .when(F.col("l_orderkey") % 223 == 0, F.lit("1e5"))
+        .otherwise(price_text),
         "Tot_Benes": F.when(F.col("l_linenumber") == 7, F.lit("n/a")).otherwise(_text(F.col("l_linenumber"))),
         "GE65_Sprsn_Flag": F.when(F.col("l_returnflag") == "N", F.lit(None).cast("string"))
         .when(F.col("l_returnflag") == "A", F.lit(""))
+        .when(F.col("l_linenumber") % 2 == 0, F.lit("y "))
         .otherwise(F.lit("#")),
         "GE65_Tot_Clms": F.when(F.col("l_linenumber") == 1, F.lit("*")).otherwise(
             _text(F.floor(F.col("l_quantity") / 2).cast("int"))

@@ -58,7 +58,7 @@ def test_outputs_do_not_depend_on_partitioning(spark):
         anomalies = outliers.anomaly_prescribers(summary, peer_keys=("year", "specialty"))
         frames = {
             "silver": silver,
-            "state_year": marts.state_year_spending(silver),
+            "state_year": marts.mart("gold_state_year_spending")(silver),
             "summary": summary,
             "anomalies": anomalies,
             "anomaly_summary": views.anomaly_summary(anomalies),

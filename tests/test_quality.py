@@ -38,7 +38,7 @@ def test_reconcile_detects_differences(spark):
     from rxlake.operators import marts
 
     s = silver_df(spark, [silver_row("1", "A", "CA", "X", "B", "G", 10, 10.0), silver_row("2", "A", "NY", "X", "B", "G", 5, 1.0)])
-    mart = marts.state_year_spending(s)
+    mart = marts.mart("gold_state_year_spending")(s)
     assert statuses(quality.reconcile_check(quality.reconcile(s, mart, ["year", "state"]), "r", "d", "recon"))["recon"] == "PASS"
     stale = mart.where("state = 'CA'")
     assert statuses(quality.reconcile_check(quality.reconcile(s, stale, ["year", "state"]), "r", "d", "recon"))["recon"] == "FAIL"
