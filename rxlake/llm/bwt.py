@@ -1,10 +1,14 @@
-"""Collection Burrows-Wheeler transform and common prefixes, built column-wise.
+"""Burrows-Wheeler transform of a collection of aligned strings, with common
+prefixes, built column by column.
 
-Strings are aligned at their ends. Each round puts one more symbol in front of
-every string: the suffix that begins with it finds its place by counting that
-symbol in the transform so far, and its common prefixes with both neighbours
-follow from minima over the prefixes between equal symbols. Columns, transform
-and prefixes lie in files that each round reads and writes from front to end.
+Strings are placed so that equal windows stand in equal columns. Each round, from
+the last column to the first, puts one more symbol in front of every string that
+reaches it: strings are kept in the order of what follows, a stable sort by the
+new symbol gives the next order (the transform's column is the symbols in the old
+one), and the common prefix of two neighbours grows by one over the least between
+them, or is none if their symbols differ. Columns are read from a file and the
+transform's columns written to one, both from front to end; in memory there is
+one column, the order and the common prefixes.
 """
 
 from __future__ import annotations
@@ -14,94 +18,76 @@ import tempfile
 
 import numpy as np
 
-END = 255  # before the first symbol of a string; no byte of UTF-8 has this value
-FAR = 30_000  # common prefixes are counted up to here
+NONE = 255  # no byte of UTF-8 has this value
 
 
 def _range_min(lcp: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     """Minimum of ``lcp[lo:hi]`` for each pair; ranges are not empty."""
-    pairs = np.empty(2 * len(lo), np.int64)
-    pairs[0::2], pairs[1::2] = lo, hi
-    return np.minimum.reduceat(np.append(lcp, np.int16(0)), pairs)[0::2]
+    out = lcp[lo]
+    wide = np.flatnonzero(hi - lo > 1)
+    if len(wide):
+        pairs = np.empty(2 * len(wide), np.int64)
+        pairs[0::2], pairs[1::2] = lo[wide], hi[wide]
+        out[wide] = np.minimum.reduceat(np.append(lcp, np.int32(0)), pairs)[0::2]
+    return out
 
 
-def _columns(strings: list[bytes], order: np.ndarray, size: np.ndarray, path: str) -> None:
-    """Column j of the file: the symbol j places before the end of each string,
-    the longest string first."""
-    table = np.full((int(size.max()) + 1, len(strings)), END, np.uint8)
-    for i, k in enumerate(order):
-        table[: size[k], i] = np.frombuffer(strings[k], np.uint8)[::-1]
+def _write_columns(strings: list[bytes], left: np.ndarray, last: int, first: int, path: str) -> None:
+    table = np.full((last - first, len(strings)), NONE, np.uint8)
+    for i, s in enumerate(strings):
+        end = last - (left[i] + len(s))
+        table[end : end + len(s), i] = np.frombuffer(s, np.uint8)[::-1]
     table.tofile(path)
 
 
-def build(strings: list[bytes], folder: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Transform, common prefix with the suffix before, and the order of strings
-    (longest first). Suffixes without symbols come first, in that order."""
+def repeated_starts(strings: list[bytes], left: np.ndarray, width: int) -> list[np.ndarray]:
+    """For each string (its first byte in column ``left``), and each place with
+    ``width`` bytes left: has another string the same bytes in the same columns?"""
     m = len(strings)
-    size = np.array([len(s) for s in strings])
-    order = np.argsort(-size, kind="stable")
-    columns, bwt_file, lcp_file = (os.path.join(folder, f) for f in ("columns", "bwt", "lcp"))
-    _columns(strings, order, size, columns)
-    descending = -size[order]
-    with open(columns, "rb") as source:
-        symbol = np.fromfile(source, np.uint8, m)
-        symbol.tofile(bwt_file)
-        np.zeros(m, np.int16).tofile(lcp_file)
-        rank = np.arange(m)
-        for done in range(1, int(size.max()) + 1):
-            bwt, lcp = np.fromfile(bwt_file, np.uint8), np.fromfile(lcp_file, np.int16)
-            going = int(np.searchsorted(descending, -done, "right"))
-            rank, symbol = rank[:going], symbol[:going]
-            # All occurrences, by symbol and then by place; END is last.
-            by_symbol = np.argsort(bwt, kind="stable").astype(np.int32)
-            place = np.empty(len(bwt), np.int32)
-            place[by_symbol] = np.arange(len(bwt), dtype=np.int32)
-            t = place[rank]
-            count = np.bincount(bwt, minlength=256)
-            first = np.cumsum(count) - count
-            up, down = np.zeros(going, np.int16), np.zeros(going, np.int16)
-            i = np.flatnonzero(t > first[symbol])
-            if len(i):
-                up[i] = np.minimum(_range_min(lcp, by_symbol[t[i] - 1] + 1, rank[i] + 1), FAR) + 1
-            i = np.flatnonzero(t + 1 < first[symbol] + count[symbol])
-            if len(i):
-                down[i] = np.minimum(_range_min(lcp, rank[i] + 1, by_symbol[t[i] + 1] + 1), FAR) + 1
-            # Every suffix with symbols stems from one occurrence, in this order.
-            at = m + t.astype(np.int64)
-            old = np.ones(len(bwt) + going, bool)
-            old[at] = False
-            out, out_lcp = np.empty(len(old), np.uint8), np.empty(len(old) + 1, np.int16)
-            out[old] = bwt
-            out_lcp[:-1][old] = lcp
-            symbol = np.fromfile(source, np.uint8, m)[:going]
-            out[at] = symbol
-            out_lcp[at + 1] = down
-            out_lcp[at] = up
-            out.tofile(bwt_file)
-            out_lcp[:-1].tofile(lcp_file)
-            rank = at
-    return np.fromfile(bwt_file, np.uint8), np.fromfile(lcp_file, np.int16), order
-
-
-def repeated_starts(strings: list[bytes], width: int) -> list[np.ndarray]:
-    """For each string, and each place with ``width`` bytes left: does the
-    ``width``-byte string there also start elsewhere in the collection?"""
     size = np.array([len(s) for s in strings], np.int64)
-    marks = [np.zeros(max(0, n - width + 1), bool) for n in size]
-    if not size.max(initial=0):
-        return marks
+    left = np.asarray(left, np.int64)
+    starts = np.maximum(size - width + 1, 0)
+    marks = np.zeros((m, int(starts.max(initial=0))), bool)
+    if not marks.size:
+        return [marks[i, :n] for i, n in enumerate(starts)]
+    end = left + size
+    last, first = int(end.max()), int(left.min())
+    by_end = np.argsort(-end, kind="stable")
+    entered = 0
+    order, lcp = np.zeros(0, np.int64), np.zeros(0, np.int32)
     with tempfile.TemporaryDirectory(prefix="bwt-") as folder:
-        bwt, lcp, order = build(strings, folder)
-    long = np.append(lcp >= width, False)
-    twice = long[:-1] | long[1:]
-    m = len(strings)
-    step = np.empty(len(bwt), np.int64)
-    step[np.argsort(bwt, kind="stable")] = m + np.arange(len(bwt))
-    rank = np.arange(m)
-    for done in range(1, int(size.max()) + 1):
-        going = int(np.searchsorted(-size[order], -done, "right"))
-        rank = step[rank[:going]]
-        if done >= width:
-            for k, hit in zip(order[:going], twice[rank], strict=True):
-                marks[k][size[k] - done] = hit
-    return marks
+        columns = os.path.join(folder, "columns")
+        _write_columns(strings, left, last, first, columns)
+        with open(columns, "rb") as source, open(os.path.join(folder, "transform"), "wb") as transform:
+            for c in range(last - 1, first - 1, -1):
+                column = np.fromfile(source, np.uint8, m)
+                gone = left[order] > c
+                if gone.any():
+                    kept = np.flatnonzero(~gone)
+                    begin = np.append(0, kept[:-1] + 1)
+                    lcp = _range_min(lcp, begin, kept + 1) if len(kept) else lcp[:0]
+                    order = order[kept]
+                # Strings that end here: nothing follows yet, so they come first.
+                now = entered
+                while entered < m and end[by_end[entered]] > c:
+                    entered += 1
+                if entered > now:
+                    lcp = np.concatenate([np.zeros(entered - now, np.int32), lcp])
+                    if len(order):
+                        lcp[entered - now] = 0
+                    order = np.concatenate([by_end[now:entered], order])
+                symbol = column[order]
+                symbol.tofile(transform)
+                new = np.argsort(symbol, kind="stable")
+                by_symbol = symbol[new]
+                grown = np.zeros(len(new), np.int32)
+                same = np.flatnonzero(by_symbol[1:] == by_symbol[:-1]) + 1
+                if len(same):
+                    grown[same] = 1 + _range_min(lcp, new[same - 1] + 1, new[same] + 1)
+                order, lcp = order[new], grown
+                hit = np.append(lcp >= width, False)
+                hit = hit[:-1] | hit[1:]
+                at = c - left[order]
+                ok = hit & (at < starts[order])
+                marks[order[ok], at[ok]] = True
+    return [marks[i, :n] for i, n in enumerate(starts)]

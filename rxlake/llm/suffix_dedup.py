@@ -8,9 +8,10 @@ windows with the same anchor form one segment of a text.
 1. Segments are counted by anchor. An anchor found once holds no repeat.
 2. Where equal segments are found (copies), all their windows repeat.
 3. Other segments with a common anchor differ somewhere. Their strings, each
-   distinct one once, go to collections by anchor, and in each a collection
-   Burrows-Wheeler transform with common prefixes is built column by column
-   (``bwt``): windows with WIDTH bytes in common with a neighbour repeat.
+   distinct one once, go to collections by anchor, aligned at it, and in each the
+   Burrows-Wheeler transform of the collection and the common prefixes are built
+   column by column (``bwt``): windows with WIDTH bytes in common with a neighbour
+   repeat.
    An anchor with more than ``MOST`` distinct segments would be too large for a
    task: its windows are counted by hash in Spark instead.
 
@@ -41,14 +42,14 @@ K = 40
 #: Distinct segments of one anchor that a collection takes.
 MOST = 4096
 #: Strings of a collection, about.
-COLLECTION = 1500
+COLLECTION = 3000
 
 
 def segments(buf: np.ndarray, offs: np.ndarray, width: int = WIDTH, k: int = K) -> tuple[np.ndarray, ...]:
-    """Runs of windows with one anchor: text, first start, last start, anchor
-    hash, segment hash. Starts are places in ``buf``."""
+    """Runs of windows with one anchor: text, first start, last start, anchor's
+    place, anchor hash, segment hash. Places are those in ``buf``."""
     span = width - k + 1  # K-grams in a window
-    none = (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2
+    none = (np.zeros(0, np.int64),) * 4 + (np.zeros(0, np.uint64),) * 2
     if len(buf) < width:
         return none
     sums = prefix_sums(buf, BYTE_VALUES)
@@ -96,7 +97,7 @@ def segments(buf: np.ndarray, offs: np.ndarray, width: int = WIDTH, k: int = K)
         rest[again] = False
         owner, a, z, p = (np.concatenate([x[rest], *m]) for x, m in zip((owner, a, z, p), more, strict=True))
     segment = mix(span_hash(sums, a, z + width) + (p - a).astype(np.uint64) * PLACE[60])
-    return owner, a, z, h[p], segment
+    return owner, a, z, p, h[p], segment
 
 
 def _sketch(docs: DataFrame) -> DataFrame:
@@ -115,25 +116,25 @@ def _sketch(docs: DataFrame) -> DataFrame:
                 for i, key in enumerate(keys):
                     fresh[i] = key not in seen
                     seen.add(key)
-                owner, a, z, anchor, segment = segments(buf, offs)
+                owner, a, z, p, anchor, segment = segments(buf, offs)
                 ok = fresh[owner] if len(owner) else np.zeros(0, bool)
                 order = np.flatnonzero(ok)
                 order = order[np.argsort(owner[order], kind="stable")]
                 own = owner[order]
                 at = pa.array(np.append(0, np.cumsum(np.bincount(own, minlength=n))).astype(np.int32))
                 flat = pa.StructArray.from_arrays(
-                    [pa.array(anchor[order].view(np.int64)), pa.array(segment[order].view(np.int64)), pa.array((a[order] - offs[own]).astype(np.int32)), pa.array((z - a + 1)[order].astype(np.int32))],
-                    ["anchor", "segment", "start", "n"],
+                    [pa.array(anchor[order].view(np.int64)), pa.array(segment[order].view(np.int64)), pa.array((a[order] - offs[own]).astype(np.int32)), pa.array((z - a + 1)[order].astype(np.int32)), pa.array((p - a)[order].astype(np.int32))],
+                    ["anchor", "segment", "start", "n", "lead"],
                 )
                 yield pa.RecordBatch.from_arrays([pa.array(rid + np.arange(n)), pa.array(keys, pa.binary()), pa.array(np.diff(offs)), pa.ListArray.from_arrays(at, flat)], ["rid", "key", "n_bytes", "segments"])
                 rid += n
 
-    return docs.select("text").mapInArrow(run, "rid bigint, key binary, n_bytes bigint, segments array<struct<anchor:bigint,segment:bigint,start:int,n:int>>")
+    return docs.select("text").mapInArrow(run, "rid bigint, key binary, n_bytes bigint, segments array<struct<anchor:bigint,segment:bigint,start:int,n:int,lead:int>>")
 
 
 def _strings(found: DataFrame, large: bool) -> DataFrame:
-    """Strings of wanted segments. ``found``: text, wanted: array of (anchor,
-    segment, start, n). Large: hashes of their windows instead."""
+    """Strings of wanted segments, with the anchor's place in them. ``found``:
+    text, wanted: array of (anchor, segment, start, n, lead). Large: hashes of their windows instead."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -149,17 +150,17 @@ def _strings(found: DataFrame, large: bool) -> DataFrame:
                         yield pa.RecordBatch.from_arrays([*cols, pa.array((x - w["start"]).astype(np.int32)), pa.array(span_hash(sums, x, x + WIDTH).view(np.int64))], ["anchor", "segment", "nth", "window"])
                 else:
                     cut = [raw[w["start"] : w["start"] + w["n"] - 1 + WIDTH] for w in want]
-                    cols = [pa.array([w[c] for w in want], pa.int64()) for c in ("anchor", "segment")]
-                    yield pa.RecordBatch.from_arrays([*cols, pa.array(cut, pa.binary())], ["anchor", "segment", "string"])
+                    cols = [pa.array([w[c] for w in want], pa.int64()) for c in ("anchor", "segment", "lead")]
+                    yield pa.RecordBatch.from_arrays([*cols, pa.array(cut, pa.binary())], ["anchor", "segment", "lead", "string"])
 
-    kind = "nth int, window bigint" if large else "string binary"
+    kind = "nth int, window bigint" if large else "lead bigint, string binary"
     return found.select("text", "wanted").mapInArrow(run, f"anchor bigint, segment bigint, {kind}")
 
 
 def _collection(part: pa.Table) -> pa.Table:
     """The windows of one collection that repeat: anchor, segment, lo, hi (first
     and last place in the segment of each run of such windows)."""
-    marks = repeated_starts([s.as_py() for s in part.column("string")], WIDTH)
+    marks = repeated_starts([s.as_py() for s in part.column("string")], -part.column("lead").to_numpy(), WIDTH)
     row, lo, hi = [], [], []
     for i, m in enumerate(marks):
         step = np.diff(np.concatenate([[0], m.view(np.int8), [0]]))
@@ -180,11 +181,11 @@ def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     each = rows.select("rid", F.inline("segments"))
     twice = each.groupBy("anchor").agg(F.count("*").alias("c"), F.min("segment").alias("s0"), F.max("segment").alias("s1")).where("c > 1")
     each = keep(each.join(twice.select("anchor", (F.col("s0") == F.col("s1")).alias("alike")), "anchor"), "shared")
-    mixed = each.where("NOT alike").groupBy("anchor", "segment").agg(F.count("*").alias("c"), F.min(F.struct("rid", "start", "n")).alias("rep"))
+    mixed = each.where("NOT alike").groupBy("anchor", "segment").agg(F.count("*").alias("c"), F.min(F.struct("rid", "start", "n", "lead")).alias("rep"))
     groups = mixed.groupBy("anchor").agg(F.count("*").alias("kinds"))
     mixed = keep(mixed.join(groups, "anchor"), "mixed")
     known = rows.select("rid", "key")
-    want = mixed.select(F.col("rep.rid").alias("rid"), "kinds", F.struct("anchor", "segment", F.col("rep.start").alias("start"), F.col("rep.n").alias("n")).alias("w"))
+    want = mixed.select(F.col("rep.rid").alias("rid"), "kinds", F.struct("anchor", "segment", F.col("rep.start").alias("start"), F.col("rep.n").alias("n"), F.col("rep.lead").alias("lead")).alias("w"))
     want = want.groupBy("rid").agg(F.collect_list(F.when(F.col("kinds") <= MOST, F.col("w"))).alias("small"), F.collect_list(F.when(F.col("kinds") > MOST, F.col("w"))).alias("large"))
     want = keep(want.join(known, "rid").select("key", "small", "large"), "wanted")
     texts = docs.select("text", F.unhex(F.md5("text")).alias("key")).join(want, "key")

@@ -88,12 +88,13 @@ def test_components_of_paths_and_stars(spark):
 def test_transform_finds_repeats():
     r = random.Random(3)
     for width in (3, 6):
-        for _ in range(100):
-            strings = [bytes(r.choice(b"ab") for _ in range(r.randint(0, 20))) for _ in range(r.randint(1, 7))]
-            seen = Counter(s[i : i + width] for s in strings for i in range(len(s) - width + 1))
-            want = [[seen[s[i : i + width]] > 1 for i in range(len(s) - width + 1)] for s in strings]
-            assert [m.tolist() for m in bwt.repeated_starts(strings, width)] == want
-    assert bwt.repeated_starts([b"", b""], 3)[0].tolist() == []
+        for _ in range(150):
+            strings = [bytes(r.choice(b"ab") for _ in range(r.randint(0, 20))) for _ in range(r.randint(1, 9))]
+            left = [r.randint(-6, 0) for _ in strings]
+            seen = Counter((c + i, s[i : i + width]) for c, s in zip(left, strings, strict=True) for i in range(len(s) - width + 1))
+            want = [[seen[c + i, s[i : i + width]] > 1 for i in range(len(s) - width + 1)] for c, s in zip(left, strings, strict=True)]
+            assert [m.tolist() for m in bwt.repeated_starts(strings, np.array(left), width)] == want
+    assert bwt.repeated_starts([b"", b""], np.zeros(2), 3)[0].tolist() == []
 
 
 @pytest.mark.parametrize("most", [4096, 0])
