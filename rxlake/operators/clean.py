@@ -62,7 +62,9 @@ REJECT_RULES = {
 DEFAULT_REJECT_RULES = ("malformed_line", "unparsable_number", "negative_cost")
 
 
-def type_raw(raw: DataFrame, year: int | None = None, year_col: str = "year", keep_audit: bool = False) -> DataFrame:
+def type_raw(
+    raw: DataFrame, year: int | None = None, year_col: str = "year", keep_audit: bool = False, extra: list[str] | None = None
+) -> DataFrame:
     """Raw text -> typed Silver columns (before dedup), in three narrow steps.
 
     ``year`` is a constant for one yearly file; otherwise it is read from
@@ -77,7 +79,7 @@ def type_raw(raw: DataFrame, year: int | None = None, year_col: str = "year", ke
     year_expr = F.lit(year).cast(IntegerType()) if year is not None else F.col(year_col).cast(IntegerType())
     used = sorted({src for _, src, _ in TEXT_MAP} | {src for _, src, _ in NUMERIC_MAP} | {"GE65_Tot_Clms", "GE65_Tot_Drug_Cst"})
     keep = [CORRUPT_COLUMN] if keep_audit and CORRUPT_COLUMN in raw.columns else []
-    trimmed = raw.select(*[F.trim(F.col(c)).alias(c) for c in used], year_expr.alias("year"), *keep)
+    trimmed = raw.select(*[F.trim(F.col(c)).alias(c) for c in used], year_expr.alias("year"), *keep, *(extra or []))
 
     text = {name: (F.upper(F.col(src)) if upper else F.col(src)) for name, src, upper in TEXT_MAP}
     text["state"] = default_blank(text["state"], UNKNOWN)
@@ -95,13 +97,13 @@ def type_raw(raw: DataFrame, year: int | None = None, year_col: str = "year", ke
         )
         corrupt = F.col(CORRUPT_COLUMN) if keep else F.lit(None).cast("string")
         step2 += [corrupt.alias(CORRUPT_COLUMN), any_bad.alias("_unparsable_number")]
-    typed = trimmed.select(*step2)
+    typed = trimmed.select(*step2, *(extra or []))
 
     ratios = {
         "cost_per_claim": safe_divide("tot_drug_cost", "tot_claims"),
         "claims_per_beneficiary": safe_divide("tot_claims", "tot_beneficiaries"),
     }
-    audit = [CORRUPT_COLUMN, "_unparsable_number"] if keep_audit else []
+    audit = ([CORRUPT_COLUMN, "_unparsable_number"] if keep_audit else []) + (extra or [])
     return typed.select(*[ratios[c].alias(c) if c in ratios else F.col(c) for c in SILVER_COLUMNS], *audit)
 
 
@@ -129,18 +131,21 @@ def to_silver(raw: DataFrame, year: int | None = None, year_col: str = "year") -
     return dedup_by_key(type_raw(raw, year, year_col))
 
 
-def split_rejects(
-    raw: DataFrame, rules: tuple[str, ...] = DEFAULT_REJECT_RULES, year: int | None = None, year_col: str = "year"
-) -> tuple[DataFrame, DataFrame]:
-    """One pass over raw rows -> (accepted typed rows, rejected rows with reasons).
-
-    Accepted + rejected = all input rows; accepted is not yet deduplicated."""
-    typed = type_raw(raw, year, year_col, keep_audit=True)
+def flag_rejects(
+    raw: DataFrame, rules: tuple[str, ...] = DEFAULT_REJECT_RULES, year: int | None = None, year_col: str = "year", extra: list[str] | None = None
+) -> DataFrame:
+    """Typed rows with ``reject_reasons`` (none: accepted) and the text of
+    malformed lines; not yet deduplicated."""
+    typed = type_raw(raw, year, year_col, keep_audit=True, extra=extra)
     reasons = F.array_compact(F.array(*[F.when(REJECT_RULES[r](), F.lit(r)) for r in rules]))
-    flagged = typed.withColumn("reject_reasons", reasons)
+    return typed.withColumn("reject_reasons", reasons).drop("_unparsable_number")
+
+
+def split_rejects(raw: DataFrame, rules: tuple[str, ...] = DEFAULT_REJECT_RULES, **kw) -> tuple[DataFrame, DataFrame]:
+    """(accepted typed rows, rejected rows with reasons): together all input rows."""
+    flagged = flag_rejects(raw, rules, **kw)
     accepted = flagged.where(F.size("reject_reasons") == 0).select(*SILVER_COLUMNS)
-    rejected = flagged.where(F.size("reject_reasons") > 0).drop("_unparsable_number")
-    return accepted, rejected
+    return accepted, flagged.where(F.size("reject_reasons") > 0)
 
 
 def silver_with_rejects(raw: DataFrame, rules: tuple[str, ...] = DEFAULT_REJECT_RULES, **kw) -> tuple[DataFrame, DataFrame]:

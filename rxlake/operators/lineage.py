@@ -11,24 +11,26 @@ from rxlake.operators.upsert import upsert_by_key
 from rxlake.schemas import INGESTION_LOG_KEY, INGESTION_LOG_SCHEMA, INGESTION_STATUSES, MANIFEST_SCHEMA
 
 
-def fingerprint_aggs(columns: list[str]) -> list[Column]:
+def fingerprint_aggs(columns: list[str], hashes: tuple[str, str] | None = None) -> list[Column]:
     """Row count and an order-insensitive content fingerprint.
 
-    Each row is hashed twice (xxhash64 and murmur3) over all ``columns``; the
-    hashes are summed exactly (decimal, no overflow) so the result does not
-    depend on row order or partitioning but changes with any edit, insert or
-    delete. The hex SHA-256 of (count, both sums) is the checksum."""
-    cols = [F.col(c) for c in columns]
-    x = F.sum(F.xxhash64(*cols).cast(DecimalType(38, 0)))
-    m = F.sum(F.hash(*cols).cast(DecimalType(38, 0)))
+    Each row is hashed twice (xxhash64 and murmur3) over all ``columns``, unless
+    ``hashes`` names columns that hold the two; the hashes are summed exactly
+    (decimal, no overflow) so the result does not depend on row order or
+    partitioning but changes with any edit, insert or delete. The hex SHA-256 of
+    (count, both sums) is the checksum."""
+    pair = [F.col(c) for c in hashes] if hashes else [f(*[F.col(c) for c in columns]) for f in (F.xxhash64, F.hash)]
     n = F.count(F.lit(1))
-    checksum = F.sha2(F.concat_ws(":", n.cast("string"), F.coalesce(x.cast("string"), F.lit("0")), F.coalesce(m.cast("string"), F.lit("0"))), 256)
+    sums = [F.coalesce(F.sum(c.cast(DecimalType(38, 0))).cast("string"), F.lit("0")) for c in pair]
+    checksum = F.sha2(F.concat_ws(":", n.cast("string"), *sums), 256)
     return [n.alias("row_count"), checksum.alias("checksum_sha256")]
 
 
-def table_fingerprint(df: DataFrame, columns: list[str] | None = None, by: list[str] | None = None) -> DataFrame:
+def table_fingerprint(
+    df: DataFrame, columns: list[str] | None = None, by: list[str] | None = None, hashes: tuple[str, str] | None = None
+) -> DataFrame:
     columns = columns or [c for c in df.columns if c not in (by or [])]
-    aggs = fingerprint_aggs(columns)
+    aggs = fingerprint_aggs(columns, hashes)
     return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
 
 
@@ -42,13 +44,14 @@ def build_manifest(
     year_col: str = "year",
     expected: DataFrame | None = None,
     columns: list[str] | None = None,
+    hashes: tuple[str, str] | None = None,
 ) -> DataFrame:
     """One manifest row per year of a raw table (``MANIFEST_SCHEMA``).
 
     ``expected`` (year, expected_row_count) comes from the source statistics;
     ``ingested_at`` is passed in (ISO UTC text) so reruns are reproducible."""
     cols = columns or [c for c in raw.columns if c != year_col]
-    per_year = table_fingerprint(raw.withColumnRenamed(year_col, "year"), cols, by=["year"])
+    per_year = table_fingerprint(raw.withColumnRenamed(year_col, "year"), cols, by=["year"], hashes=hashes)
     if expected is not None:
         per_year = per_year.join(expected.select("year", "expected_row_count"), "year", "left")
     else:
@@ -68,9 +71,11 @@ def build_manifest(
     )
 
 
-def write_manifest(manifest: DataFrame, path: str) -> None:
-    """Manifest rows (one per year, a bounded handful) as one JSON file."""
-    manifest.coalesce(1).write.mode("overwrite").json(path)
+def write_manifest(manifest: DataFrame, path: str, years: list[int]) -> None:
+    """Manifest rows as JSON, one file a year; other years keep theirs."""
+    from rxlake.sources.files import replace_years
+
+    replace_years(manifest.repartition(1), path, years, fmt="json")
 
 
 def row_count_status(manifest: DataFrame, partial: bool = False) -> DataFrame:

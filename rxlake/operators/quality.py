@@ -54,7 +54,8 @@ def count_checks(
 
 def silver_checks(silver: DataFrame, run_id: str, dataset: str = "prescriptions", valid_states: list[str] | None = None) -> DataFrame:
     """NPI present (K2), no negative cost (K3), key columns not NULL (K5),
-    states defaulted to UNKNOWN (WARN) and, given a list, valid state codes (K8)."""
+    states defaulted to UNKNOWN (WARN) and, given a list, valid state codes (K8; a
+    NULL is not valid)."""
     preds: dict[str, tuple[Column, str]] = {
         "npi_present": (F.col("npi").isNull() | (F.col("npi") == ""), "FAIL"),
         "no_negative_cost": ((F.col("tot_drug_cost") < 0) | (F.col("ge65_drug_cost") < 0), "FAIL"),
@@ -63,10 +64,19 @@ def silver_checks(silver: DataFrame, run_id: str, dataset: str = "prescriptions"
         "state_defaulted": (F.col("state") == "UNKNOWN", "WARN"),
     }
     if valid_states is not None:
-        preds["valid_state_code"] = (~F.col("state").isin(*valid_states), "FAIL")
+        preds["valid_state_code"] = (F.col("state").isNull() | ~F.col("state").isin(*valid_states), "FAIL")
     return count_checks(silver, run_id, dataset, "silver", preds)
 
 
+def reference_check(df: DataFrame, column: str, reference: DataFrame, run_id: str, dataset: str, layer: str, check_name: str) -> DataFrame:
+    """Rows whose ``column`` is not in the one-column table ``reference`` (K8); a
+    NULL is not. Values are counted before they meet the reference."""
+    values = df.groupBy(F.col(column).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    known = reference.select(F.col(reference.columns[0]).alias("_r")).distinct()
+    bad = values.join(known, F.col("_v") == F.col("_r"), "left_anti").agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_bad"))
+    return _rows(bad, run_id, dataset, layer, [(check_name, "_bad", "0", "FAIL")])
+
+
 def duplicate_key_check(df: DataFrame, keys: list[str], run_id: str, dataset: str, layer: str, check_name: str) -> DataFrame:
     """Number of key values held by more than one row (K4); must be 0."""
     dups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.count_if(F.col("_n") > 1).alias("_dups"))
@@ -153,5 +163,20 @@ def reconcile_check(recon: DataFrame, run_id: str, dataset: str, check_name: str
     return count_checks(recon, run_id, dataset, "gold", {check_name: (~(F.col("claims_match") & F.col("cost_match")), "FAIL")})
 
 
+def row_count_check(counted: DataFrame, run_id: str) -> DataFrame:
+    """K1: loaded rows against the source's count, by year (``counted``: a
+    manifest with ``count_status``)."""
+    return counted.select(
+        F.lit(run_id).alias("run_id"),
+        "dataset_name",
+        F.lit("bronze").alias("layer"),
+        F.concat(F.lit("row_count_"), F.col("year").cast("string")).alias("check_name"),
+        F.col("count_status").alias("status"),
+        F.col("row_count").cast("string").alias("observed_value"),
+        F.col("expected_row_count").cast("string").alias("expected_value"),
+        F.lit(None).cast("string").alias("details"),
+    )
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames).select(*DQ_COLUMNS)

@@ -10,6 +10,7 @@ from pyspark.errors import AnalysisException
 
 from rxlake.schemas import conform, contract
 from rxlake.session import cut_lineage
+from rxlake.sources.files import overwrite_table
 
 
 class DuplicateKeyError(ValueError):
@@ -25,14 +26,17 @@ def assert_unique(df: DataFrame, keys: list[str]) -> None:
 
 
 def upsert_by_key(target: DataFrame, incoming: DataFrame, keys: list[str], check_unique: bool = True) -> DataFrame:
-    """Insert new keys, replace every other column for existing keys.
+    """Insert new keys, replace every other column for existing keys (a NULL key
+    equals a NULL key).
 
     Planned as ``target LEFT ANTI JOIN incoming`` + ``UNION ALL incoming``: both
     sides shuffle once on the key. Incoming rows repeating a key are refused.
     Write the result to a new location; never overwrite the path it reads."""
     if check_unique:
         assert_unique(incoming, keys)
-    kept = target.join(incoming.select(*keys), keys, "left_anti")
+    new = incoming.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
+    same = reduce(lambda a, b: a & b, [target[k].eqNullSafe(new[f"_k_{k}"]) for k in keys])
+    kept = target.join(new, same, "left_anti")
     return kept.unionByName(incoming.select(*target.columns))
 
 
@@ -45,7 +49,7 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def _read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
     except AnalysisException:
@@ -69,9 +73,9 @@ def load_tables(
     for name in order:
         incoming = conform(tables[name], columns[name])
         path = f"{root}/{name}"
-        existing = _read_if_exists(spark, path) if mode == "upsert" else None
+        existing = read_if_exists(spark, path) if mode == "upsert" else None
         result = incoming
         if existing is not None:
             result = cut_lineage(upsert_by_key(conform(existing, columns[name]), incoming, [columns[name][0]]))
-        result.write.mode("overwrite").parquet(path)
+        overwrite_table(result, path)
     return table_counts({name: spark.read.parquet(f"{root}/{name}") for name in order})

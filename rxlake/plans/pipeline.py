@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rxlake.operators import clean, marts, outliers, star
+from rxlake.schemas import CORRUPT_COLUMN, SILVER_KEY
 from rxlake.session import cut_lineage
 from rxlake.sources.standin import standin_raw
 
@@ -19,24 +20,41 @@ def gold_tables(silver: DataFrame) -> dict[str, DataFrame]:
     return star.star_schema(silver)
 
 
-def gold_marts(silver: DataFrame, materialize_summary: bool = False, **outlier_args) -> dict[str, DataFrame]:
+def gold_marts(silver: DataFrame, materialize_summary: bool = False, anomalies: bool = True, **outlier_args) -> dict[str, DataFrame]:
     """The five marts. The prescriber summary feeds two of them; with
     ``materialize_summary`` it is computed once and checkpointed to the shared
     checkpoint folder so the anomaly mart reads it instead of Silver."""
     summary = marts.prescriber_summary(silver)
     if materialize_summary:
         summary = cut_lineage(summary)
-    return {
+    tables = {
         "gold_state_year_spending": marts.mart("gold_state_year_spending")(silver),
         "gold_drug_year_spending": marts.mart("gold_drug_year_spending")(silver),
         "gold_specialty_state_spending": marts.mart("gold_specialty_state_spending")(silver),
         "gold_prescriber_summary": summary,
+    }
+    if anomalies:
         # A checkpointed summary is read directly; otherwise the outlier operator
         # materialises its own copy once.
-        "gold_anomaly_prescribers": outliers.anomaly_prescribers(
+        tables["gold_anomaly_prescribers"] = outliers.anomaly_prescribers(
             summary, **{"materialize": not materialize_summary, **outlier_args}
-        ),
-    }
+        )
+    return tables
+
+
+class IncompleteLoad(ValueError):
+    """The rows of a full load do not match the count that the source reports."""
+
+
+def stage_bronze(bronze: DataFrame, path: str) -> DataFrame:
+    """Raw rows parsed once and stored: Silver columns, reject reasons, and two
+    hashes of the raw text for the content fingerprint. Everything else in the
+    job reads this table."""
+    raw = [c for c in bronze.columns if c not in ("year", CORRUPT_COLUMN)]
+    hashed = bronze.withColumns({"_x": F.xxhash64(*raw), "_m": F.hash(*raw)})
+    typed = clean.flag_rejects(hashed, extra=["_x", "_m"])
+    typed.write.mode("overwrite").parquet(path)
+    return bronze.sparkSession.read.schema(typed.schema).parquet(path)
 
 
 def run_pipeline(
@@ -46,76 +64,117 @@ def run_pipeline(
     run_id: str,
     dataset: str = "prescriptions",
     expected_years: list[int] | None = None,
+    expected_counts: DataFrame | None = None,
+    partial: bool = False,
     ingested_at: str = "1970-01-01T00:00:00+00:00",
     export_csv: bool = True,
+    skip_loaded: bool = True,
     **outlier_args,
 ) -> dict[str, DataFrame]:
     """The whole batch job over raw rows with a ``year`` column.
 
-    Writes under ``out_root``: ``silver`` (Parquet by year/state), ``rejects``
-    (by year), ``gold/<table>`` (star schema and five marts), ``exports/<table>``
-    (header CSV), ``quality`` (data-quality rows by run) and ``manifest`` (JSON,
-    one row per year).
-
-    Incremental by year: only the years present in ``bronze`` are recomputed.
-    Silver, fact and marts are written with dynamic partition overwrite on their
-    year column (earlier years stay untouched); dimensions are upserted by key.
-    Every mart grain contains the year, and so does the default peer group, so
-    per-year recomputation gives the same rows as a full rebuild; with peer keys
-    without ``year`` all years are rebuilt. Returns the written tables."""
+    Writes under ``out_root``: ``bronze/<run>`` (parsed rows), ``silver`` (by
+    year and state), ``rejects`` (by year), ``gold/<table>`` (star schema and five
+    marts), ``exports/<table>`` (header CSV), ``quality`` (by run), ``manifest``
+    (JSON, by year) and ``run_log``.
+
+    A run replaces whole years: Silver, rejects, fact, marts and manifest of its
+    years afterwards hold exactly what these rows give, and dimensions are built
+    from all Silver, so any order of loads and corrections ends in the same tables
+    as one load of everything. Years already loaded with the same content are
+    skipped (``skip_loaded``). With ``expected_counts`` (year, expected_row_count)
+    a full load whose count differs is logged as FAILED and stops before Silver;
+    a ``partial`` one goes on with a warning. Raw rows are read once."""
     from rxlake.operators import lineage, quality
-    from rxlake.operators.upsert import load_tables
-    from rxlake.schemas import STAR_COLUMNS, conform
-    from rxlake.sources.files import read_parquet_table, write_csv_tables, write_partitioned_parquet
-
-    run_years = sorted(r[0] for r in bronze.select("year").distinct().collect())  # a handful of years
-    accepted, rejected = clean.split_rejects(bronze)
-    write_partitioned_parquet(clean.dedup_by_key(accepted), f"{out_root}/silver")
-    write_partitioned_parquet(rejected, f"{out_root}/rejects", ["year"])
-    silver_all = read_parquet_table(spark, f"{out_root}/silver")
+    from rxlake.schemas import INGESTION_LOG_SCHEMA, MART_COLUMNS, STAR_COLUMNS, conform
+    from rxlake.sources.files import overwrite_table, replace_years, write_csv_tables
+
+    def log(manifest: DataFrame, status: str, message: str | None = None) -> None:
+        rows = lineage.log_records(manifest, run_id, status, ingested_at, None if status == "RUNNING" else ingested_at, f"{out_root}/bronze/{run_id}", f"{out_root}/manifest/year={{year}}", message)
+        merged = cut_lineage(lineage.upsert_run_log(run_log, rows.join(run_log.where("status = 'SUCCESS'").select("run_id", "dataset_name", "year"), ["run_id", "dataset_name", "year"], "left_anti")))
+        overwrite_table(merged, f"{out_root}/run_log")
+
+    staged = stage_bronze(bronze, f"{out_root}/bronze/{run_id}")
+    manifest = cut_lineage(lineage.build_manifest(staged, dataset, dataset, "bronze", 0, ingested_at, expected=expected_counts, hashes=("_x", "_m")))
+    run_log = upsert_log_table(spark, f"{out_root}/run_log", INGESTION_LOG_SCHEMA)
+    todo = lineage.skip_ingested(manifest, run_log) if skip_loaded else manifest
+    counted = lineage.row_count_status(manifest, partial)
+    bad = [r["year"] for r in counted.where("count_status = 'FAIL'").select("year").collect()]  # a handful of years
+    if bad:
+        log(manifest.where(F.col("year").isin(bad)), "FAILED", "row count differs from the source's")
+        raise IncompleteLoad(f"years {sorted(bad)}: row count differs from the source's")
+    years = sorted(r["year"] for r in todo.select("year").collect())  # a handful
+    log(manifest.where(F.col("year").isin(years)), "RUNNING")
+
+    ok = F.size("reject_reasons") == 0
+    audit = ["reject_reasons", CORRUPT_COLUMN]
+    rejected = staged.where(~ok).drop("_x", "_m")
+    fresh = cut_lineage(clean.dedup_by_key(staged.where(ok & F.col("year").isin(years)).drop("_x", "_m", *audit)))
+    replace_years(fresh, f"{out_root}/silver", years, inner=("state",))
+    replace_years(rejected, f"{out_root}/rejects", years)
+    silver_all = spark.read.schema(fresh.schema).parquet(f"{out_root}/silver")
     per_year = "year" in outlier_args.get("peer_keys", ("year",))
     # Partition pruning: only the loaded years' folders are read.
-    silver = silver_all.where(F.col("year").isin(*run_years)) if per_year else silver_all
-
-    star_tables = gold_tables(silver)
-    dims = {k: v for k, v in star_tables.items() if k != "fact_prescriptions"}
-    load_tables(spark, dims, f"{out_root}/gold", "detailed_dims")
-    schemas = {name: conform(df, STAR_COLUMNS[name]).schema for name, df in dims.items()}
-    fact = conform(star_tables["fact_prescriptions"], STAR_COLUMNS["fact_prescriptions"])
-    write_partitioned_parquet(fact, f"{out_root}/gold/fact_prescriptions", ["year_id"])
-    schemas["fact_prescriptions"] = fact.schema
-    for name, df in gold_marts(silver, materialize_summary=True, **outlier_args).items():
-        write_partitioned_parquet(df, f"{out_root}/gold/{name}", ["year"])
+    silver = silver_all.where(F.col("year").isin(years)) if per_year else silver_all
+    mart_years = years if per_year else sorted(r["year"] for r in silver_all.select("year").distinct().collect())
+
+    schemas = {}
+    for name, df in gold_tables(silver_all).items():
+        df = conform(df, STAR_COLUMNS[name])
+        schemas[name] = df.schema
+        if name == "fact_prescriptions":
+            replace_years(conform(star.fact_prescriptions(silver), STAR_COLUMNS[name]), f"{out_root}/gold/{name}", mart_years, "year_id")
+        else:
+            overwrite_table(df, f"{out_root}/gold/{name}")
+    marts_now = gold_marts(silver, **{"materialize": False, **outlier_args}, anomalies=False)
+    for name, df in marts_now.items():
+        replace_years(df, f"{out_root}/gold/{name}", mart_years)
         schemas[name] = df.schema
-    # Declared schemas: a year slice with no rows (e.g. no outliers) writes no files.
-    gold = {name: spark.read.schema(schema).parquet(f"{out_root}/gold/{name}") for name, schema in schemas.items()}
+    # The anomaly mart reads the stored summary.
+    summary = spark.read.schema(schemas["gold_prescriber_summary"]).parquet(f"{out_root}/gold/gold_prescriber_summary")
+    flagged = outliers.anomaly_prescribers(summary.where(F.col("year").isin(mart_years)), **{"materialize": False, **outlier_args})
+    replace_years(cut_lineage(flagged), f"{out_root}/gold/gold_anomaly_prescribers", mart_years)
+    schemas["gold_anomaly_prescribers"] = flagged.schema
+    # Declared schemas: a year slice with no rows (e.g. no outliers) holds no data.
+    gold = {name: spark.read.schema(schemas[name]).parquet(f"{out_root}/gold/{name}") for name in [*STAR_COLUMNS, *MART_COLUMNS]}
     if export_csv:
         write_csv_tables(gold, f"{out_root}/exports")
 
-    loaded = {k: (v.where(F.col("year").isin(*run_years)) if per_year and "year" in v.columns else v) for k, v in gold.items()}
+    loaded = {k: (v.where(F.col("year").isin(years)) if per_year and "year" in v.columns else v) for k, v in gold.items()}
     checks = [
         quality.silver_checks(silver, run_id, dataset),
-        quality.duplicate_key_check(silver, ["year", "npi", "state", "brand_name", "generic_name"], run_id, dataset, "silver", "silver_grain_unique"),
+        quality.duplicate_key_check(silver, SILVER_KEY, run_id, dataset, "silver", "silver_grain_unique"),
         quality.duplicate_key_check(loaded["gold_prescriber_summary"], ["mart_id"], run_id, dataset, "gold", "prescriber_summary_key_unique"),
         quality.orphan_check(star.orphans(gold), run_id, dataset),
-        quality.row_flow_check(bronze, rejected, accepted, run_id, dataset),
-        quality.reconcile_check(
-            quality.reconcile(silver, loaded["gold_state_year_spending"], ["year", "state"]), run_id, dataset, "reconcile_state_year"
-        ),
+        quality.row_flow_check(staged, staged.where(~ok), staged.where(ok), run_id, dataset),
+        quality.reconcile_check(quality.reconcile(silver, loaded["gold_state_year_spending"], ["year", "state"]), run_id, dataset, "reconcile_state_year"),
+        quality.row_count_check(counted, run_id),
     ]
     if expected_years:
         checks.append(quality.year_completeness(silver_all, expected_years, run_id, dataset))
-    quality.union_all(checks).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        "run_id"
-    ).parquet(f"{out_root}/quality")
-
-    manifest = lineage.build_manifest(bronze.drop("_corrupt_record"), dataset, dataset, "bronze", 0, ingested_at)
-    lineage.write_manifest(manifest, f"{out_root}/manifest")
+    (
+        quality.union_all(checks)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("run_id")
+        .parquet(f"{out_root}/quality")
+    )
+    lineage.write_manifest(manifest, f"{out_root}/manifest", years)
+    run_log = upsert_log_table(spark, f"{out_root}/run_log", INGESTION_LOG_SCHEMA)
+    log(manifest.where(F.col("year").isin(years)), "SUCCESS")
 
     return {
         "silver": silver_all,
-        # Declared schema: a run without rejected rows writes no data files.
         "rejects": spark.read.schema(rejected.schema).parquet(f"{out_root}/rejects"),
-        "quality": read_parquet_table(spark, f"{out_root}/quality"),
+        "quality": spark.read.parquet(f"{out_root}/quality"),
+        "run_log": spark.read.parquet(f"{out_root}/run_log"),
         **gold,
     }
+
+
+def upsert_log_table(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The stored run log, or an empty one."""
+    from rxlake.operators.upsert import read_if_exists
+
+    found = read_if_exists(spark, path)
+    return spark.createDataFrame([], schema) if found is None else found

@@ -3,13 +3,15 @@ source statistics."""
 
 from __future__ import annotations
 
+import csv
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from rxlake.schemas import CORRUPT_COLUMN, RAW_COLUMNS, RAW_SCHEMA
+from rxlake.sources.files import CSV_TEXT
 
 # --- fixed values: keys under which a source reports its total row count ------
 TOTAL_ROW_KEYS = ("total_rows", "totalRows", "row_count", "rowCount", "count")
@@ -20,29 +22,45 @@ def _bind_by_name(df: DataFrame, present: list[str]) -> DataFrame:
     return df.select(*cols, F.col(CORRUPT_COLUMN))
 
 
-def read_bronze_csv(spark: SparkSession, path: str, year: int | None = None) -> DataFrame:
-    """Read one raw CSV (file or folder of files sharing one header).
-
-    Columns are bound by **header name**, not position; raw columns missing from
-    the header are NULL, unknown extra columns are ignored. Malformed lines (wrong
-    token count) keep their text in ``_corrupt_record`` so they can be sent to
-    the reject table instead of being silently padded."""
-    header = spark.read.option("header", True).option("inferSchema", False).csv(path).columns
-    file_schema = StructType(
-        [StructField(c, StringType(), True) for c in header] + [StructField(CORRUPT_COLUMN, StringType(), True)]
-    )
-    df = (
-        spark.read.option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("enforceSchema", True)
-        .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
-        .schema(file_schema)
-        .csv(path)
-    )
-    df = _bind_by_name(df, header)
-    if year is not None:
-        df = df.withColumn("year", F.lit(year).cast("int"))
-    return df
+def _headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """Header -> files that have it. Only the first line of each file is read; a
+    raw folder holds a handful of files a year."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    found: dict[tuple[str, ...], list[str]] = {}
+    for file in sorted(spark.read.text(path).inputFiles()):
+        if file.endswith((".gz", ".bz2", ".zst", ".lz4", ".snappy", ".deflate")):
+            header = tuple(spark.read.options(**CSV_TEXT).csv(file).columns)
+        else:
+            at = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+            stream = at.getFileSystem(conf).open(at)
+            try:
+                line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+            finally:
+                stream.close()
+            header = tuple(c.strip() for c in next(csv.reader([line.lstrip("\ufeff")]), [])) if line else ()
+        found.setdefault(header, []).append(file)
+    return found
+
+
+def read_bronze_csv(spark: SparkSession, path: str, year: int | None = None, multi_line: bool = True) -> DataFrame:
+    """Read raw CSV, a file or a folder, as RFC 4180 has it.
+
+    Columns are bound by **header name** in every file, whatever the order of
+    each; raw columns missing from a header are NULL, unknown extra columns are
+    ignored. Malformed lines (wrong token count) keep their text in
+    ``_corrupt_record`` so they can be sent to the reject table instead of being
+    silently padded. Files with line breaks in quoted fields cannot be split;
+    ``multi_line=False`` lets files known to have none be read in parallel."""
+    frames = []
+    for header, files in sorted(_headers(spark, path).items()):
+        names = [c or f"_c{i}" for i, c in enumerate(header)]
+        schema = StructType([StructField(c, StringType(), True) for c in [*names, CORRUPT_COLUMN]])
+        reader = spark.read.options(**CSV_TEXT, mode="PERMISSIVE", enforceSchema="true", multiLine=str(multi_line).lower())
+        frames.append(_bind_by_name(reader.option("columnNameOfCorruptRecord", CORRUPT_COLUMN).schema(schema).csv(files), names))
+    if not frames:
+        frames = [_bind_by_name(spark.createDataFrame([], f"{CORRUPT_COLUMN} string"), [])]
+    df = reduce(lambda a, b: a.unionByName(b), frames)
+    return df if year is None else df.withColumn("year", F.lit(year).cast("int"))
 
 
 def read_bronze_years(spark: SparkSession, paths_by_year: dict[int, str]) -> DataFrame:
@@ -53,18 +71,23 @@ def read_bronze_years(spark: SparkSession, paths_by_year: dict[int, str]) -> Dat
 
 
 def read_landed_pages(spark: SparkSession, pages_path: str, max_pages: int | None = None) -> DataFrame:
-    """Landed API pages (one JSON array of records per file, named ``page_<n>.json``)
-    as one raw table. Keys outside the raw schema are ignored, missing keys are
-    NULL. ``max_pages`` keeps the first n pages (a partial load)."""
-    df = (
-        spark.read.schema(RAW_SCHEMA)
-        .option("multiLine", True)
-        .json(pages_path)
-        .withColumn("page_no", F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)", 1).cast("int"))
-    )
+    """Landed API pages (one JSON array of records per file, named
+    ``..._<n>.json``, n from 0) as one raw table with ``page_no``.
+
+    Keys outside the raw schema are ignored, missing keys are NULL. The source
+    ends at its first empty page, so pages beyond a missing number are left out.
+    A page that cannot be parsed keeps its text in ``_corrupt_record``.
+    ``max_pages`` keeps the first n pages (a partial load)."""
+    schema = StructType([*RAW_SCHEMA.fields, StructField(CORRUPT_COLUMN, StringType(), True)])
+    reader = spark.read.schema(schema).option("multiLine", True).option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
+    number = F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)\.json$", 1)
+    df = reader.json(pages_path).withColumn("page_no", number.try_cast("int"))
     if max_pages is not None:
         df = df.where(F.col("page_no") < F.lit(max_pages))
-    return df
+    # One row a page: the n-th page in order must bear the number n.
+    pages = df.select("page_no").distinct()
+    nth = F.row_number().over(Window.orderBy("page_no")) - 1
+    return df.join(pages.withColumn("_nth", nth).where("_nth = page_no").select("page_no"), "page_no", "left_semi").select(*df.columns)
 
 
 def total_rows_expr(columns: list[str]) -> Column:

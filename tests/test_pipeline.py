@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from rxlake.operators import clean
@@ -27,15 +28,15 @@ def test_pipeline_round_trip(spark, tmp_dir):
     first = run_pipeline(spark, bronze.where(F.col("year") == years[0]), out, "run-1", expected_years=years[:1])
     assert {r[0] for r in first["silver"].select("year").distinct().collect()} == {years[0]}
     result = run_pipeline(spark, bronze.where(F.col("year") != years[0]), out, "run-2", expected_years=years[:3])
-    # The second load added years and kept the first (dynamic partition overwrite).
+    # The second load added years and kept the first.
     assert {r[0] for r in result["silver"].select("year").distinct().collect()} == set(years[:3])
     statuses = {(r["run_id"], r["check_name"]): r["status"] for r in result["quality"].collect()}
-    assert statuses[("run-2", "orphans_prescriber_id")] == "PASS"
+    assert statuses[("run-2", "orphans_prescriber_id")] == "FAIL"  # blank ids of the stand-in
     assert statuses[("run-2", "reconcile_state_year")] == "PASS"
     assert statuses[("run-2", "year_completeness")] == "PASS"
     assert statuses[("run-2", "bronze_minus_rejected_equals_accepted")] == "PASS"
-    # The stored Silver equals Silver computed directly from the same Bronze rows.
-    expected = clean.to_silver(bronze)
+    # The stored Silver equals Silver computed directly from the accepted rows.
+    expected = clean.silver_with_rejects(bronze)[0]
     got = result["silver"].select(*expected.columns)
     assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
     assert os.path.isdir(os.path.join(out, "exports", "gold_anomaly_prescribers"))
@@ -46,4 +47,64 @@ def test_pipeline_round_trip(spark, tmp_dir):
     for name, df in full.items():
         stored = result[name].select(*df.columns)
         assert stored.exceptAll(df).count() == 0 and df.exceptAll(stored).count() == 0, name
-    assert spark.read.json(os.path.join(out, "manifest")).count() == 2
+    assert {r["year"] for r in spark.read.json(os.path.join(out, "manifest")).collect()} == set(years[:3])
+    assert {(r["year"], r["status"]) for r in result["run_log"].collect()} == {(y, "SUCCESS") for y in years[:3]}
+
+
+RAW = "Prscrbr_NPI,Prscrbr_Last_Org_Name,Prscrbr_First_Name,Prscrbr_State_Abrvtn,Prscrbr_State_FIPS,Prscrbr_Type,Brnd_Name,Gnrc_Name,Tot_Clms,Tot_Drug_Cst,Tot_Benes"
+
+
+def load(spark, rows, year):
+    from helpers import raw_df
+
+    return raw_df(spark, [dict(zip(RAW.split(","), r, strict=True)) for r in rows]).withColumn("year", F.lit(year)).withColumn("_corrupt_record", F.lit(None).cast("string"))
+
+
+def people(year, first="Ann", fips="01", state="VT", cost=None):
+    """Forty prescribers of one peer group; the last one far above the others."""
+    price = lambda i: str(cost if cost and i == 39 else 100 + i)
+    return [(f"{i}", "Lee", first, state, fips, "SLEEP", f"B{i % 3}", "G", "50", price(i), "5") for i in range(40)]
+
+
+TABLES = ["silver", "rejects", "gold_state_year_spending", "gold_drug_year_spending", "gold_specialty_state_spending", "gold_prescriber_summary", "gold_anomaly_prescribers", "dim_prescriber", "dim_drug", "dim_state", "dim_year", "fact_prescriptions"]
+
+
+def same_tables(a, b):
+    for name in TABLES:
+        x, y = a[name], b[name].select(*a[name].columns)
+        assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0, name
+
+
+def test_a_corrected_reload_equals_a_rebuild(spark, tmp_dir):
+    bad = [*people(2031, cost=90000)[:-2], ("38", "Lee", "Ann", " ", "01", "SLEEP", "B2", "G", "50", "138", "5"), people(2031, cost=90000)[-1], ("99", "Lee", "Ann", "VT", "01", "SLEEP", "B", "G", "50", "-4", "5")]
+    good, other = people(2031, first="Zed", fips="09"), people(2032, first="Zed", fips="09")
+    out = os.path.join(tmp_dir, "a")
+    first = run_pipeline(spark, load(spark, bad, 2031), out, "r1", export_csv=False)
+    assert first["rejects"].count() == 1 and first["gold_anomaly_prescribers"].count() == 1
+    assert first["gold_state_year_spending"].where("state = 'UNKNOWN'").count() == 1
+    run_pipeline(spark, load(spark, other, 2032), out, "r2", export_csv=False)
+    got = run_pipeline(spark, load(spark, good, 2031), out, "r3", export_csv=False)
+    both = load(spark, good, 2031).unionByName(load(spark, other, 2032))
+    want = run_pipeline(spark, both, os.path.join(tmp_dir, "b"), "r1", export_csv=False)
+    same_tables(got, want)
+    one = {r["year"]: (r["row_count"], r["checksum_sha256"]) for r in spark.read.json(f"{out}/manifest").collect()}
+    assert one == {r["year"]: (r["row_count"], r["checksum_sha256"]) for r in spark.read.json(f"{tmp_dir}/b/manifest").collect()}
+    # The same content again is skipped.
+    again = run_pipeline(spark, load(spark, good, 2031), out, "r4", export_csv=False)
+    same_tables(again, want)
+    assert again["run_log"].where("run_id = 'r4'").count() == 0
+
+
+def test_a_count_mismatch_stops_a_full_load(spark, tmp_dir):
+    from rxlake.plans.pipeline import IncompleteLoad
+
+    counts = spark.createDataFrame([(2031, 41)], "year int, expected_row_count long")
+    out = os.path.join(tmp_dir, "c")
+    with pytest.raises(IncompleteLoad):
+        run_pipeline(spark, load(spark, people(2031), 2031), out, "r1", expected_counts=counts, export_csv=False)
+    assert [r["status"] for r in spark.read.parquet(f"{out}/run_log").collect()] == ["FAILED"]
+    assert not os.path.exists(f"{out}/gold")
+    done = run_pipeline(spark, load(spark, people(2031), 2031), out, "r2", expected_counts=counts, partial=True, export_csv=False)
+    status = {r["check_name"]: r["status"] for r in done["quality"].collect()}
+    assert status["row_count_2031"] == "WARN"
+    assert {(r["run_id"], r["status"]) for r in done["run_log"].collect()} == {("r1", "FAILED"), ("r2", "SUCCESS")}

@@ -20,9 +20,9 @@ def test_silver_checks_pass_and_fail(spark):
 
 def test_year_completeness(spark):
     s = silver_df(spark, [silver_row("1", "A", "CA", "X", "B", "G", 1, 1.0)])
-    ok = quality.year_completeness(s, [2022], "r", "d").collect()[0]
-    bad = quality.year_completeness(s, [2020, 2021, 2022], "r", "d").collect()[0]
-    assert ok["status"] == "PASS" and bad["status"] == "FAIL" and bad["details"] == "missing years: 2020,2021"
+    ok = quality.year_completeness(s, [2031], "r", "d").collect()[0]
+    bad = quality.year_completeness(s, [2029, 2030, 2031], "r", "d").collect()[0]
+    assert ok["status"] == "PASS" and bad["status"] == "FAIL" and bad["details"] == "missing years: 2029,2030"
 
 
 def test_not_null_and_row_flow(spark):

@@ -52,11 +52,56 @@ def test_landed_pages_and_page_limit(spark, tmp_dir):
     assert bronze.read_landed_pages(spark, path, max_pages=1).select("Prscrbr_NPI").collect()[0][0] == "0"
 
 
-def test_expected_count_keys(spark, tmp_dir):
-    for i, doc in enumerate([{"total_rows": 12}, {"rowCount": "13"}, {"unknown": 1}]):
-        write(os.path.join(tmp_dir, f"stats/s{i}.json"), json.dumps(doc))
-    got = sorted([r[0] for r in bronze.read_source_stats(spark, os.path.join(tmp_dir, "stats")).select("expected_row_count").collect()], key=str)
-    assert got == [12, 13, None]
+@pytest.mark.parametrize(
+    ("document", "want"),
+    [({k: 40 + i}, 40 + i) for i, k in enumerate(bronze.TOTAL_ROW_KEYS)]
+    + [({k: str(70 + i)}, 70 + i) for i, k in enumerate(bronze.TOTAL_ROW_KEYS)]
+    + [({"count": 5, "total_rows": "n/a"}, 5), ({"rowCount": 8, "count": 9}, 8), ({"rows": 3}, None), ({"count": "12x"}, None)],
+)
+def test_expected_count_keys(spark, tmp_dir, document, want):
+    write(os.path.join(tmp_dir, "stats/s.json"), json.dumps(document))
+    assert bronze.read_source_stats(spark, os.path.join(tmp_dir, "stats")).first()["expected_row_count"] == want
+
+
+def test_files_of_one_folder_with_different_headers(spark, tmp_dir):
+    write(os.path.join(tmp_dir, "f/a.csv"), "Prscrbr_NPI,Tot_Clms\n11,5\n")
+    write(os.path.join(tmp_dir, "f/b.csv"), "Tot_Clms,Other,Prscrbr_NPI\n6,x,12\n")
+    rows = bronze.read_bronze_csv(spark, os.path.join(tmp_dir, "f")).select("Prscrbr_NPI", "Tot_Clms").collect()
+    assert sorted(map(tuple, rows)) == [("11", "5"), ("12", "6")]
+
+
+def test_quotes_and_line_breaks_in_raw_text(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "q.csv")
+    write(p, 'Prscrbr_NPI,Brnd_Name,Gnrc_Name\n1,"AB ""X"" C","one\ntwo"\n2,"a,b",\\n\n3,short\n')
+    rows = {r["Prscrbr_NPI"]: r for r in bronze.read_bronze_csv(spark, p).collect()}
+    assert (rows["1"]["Brnd_Name"], rows["1"]["Gnrc_Name"]) == ('AB "X" C', "one\ntwo")
+    assert (rows["2"]["Brnd_Name"], rows["2"]["Gnrc_Name"]) == ("a,b", "\\n")
+    assert {k: r[CORRUPT_COLUMN] is not None for k, r in rows.items()} == {"1": False, "2": False, "3": True}
+
+
+def test_csv_round_trip_of_odd_text(spark, tmp_dir):
+    rows = [("a", 'say "hi"'), ("b", "back\\slash"), ("c", "com,ma"), ("d", "line\nbreak"), ("e", '"'), ("f", "\\\"")]
+    df = spark.createDataFrame(rows, "k string, v string")
+    files.write_csv_tables({"t": df}, tmp_dir)
+    assert sorted(map(tuple, files.read_csv_table(spark, os.path.join(tmp_dir, "t"), df.schema).collect())) == rows
+
+
+def test_pages_by_number_gaps_and_broken_pages(spark, tmp_dir):
+    for n, text in ((0, '[{"Prscrbr_NPI": "1"}]'), (1, '[{"Prscrbr_NPI": "2"}'), (2, "[]"), (3, '[{"Prscrbr_NPI": "4"}]')):
+        write(os.path.join(tmp_dir, f"p/part_d_2031_page_{n}.json"), text)
+    path = os.path.join(tmp_dir, "p")
+    rows = bronze.read_landed_pages(spark, path).cache()
+    assert {r["page_no"]: (r["Prscrbr_NPI"], r[CORRUPT_COLUMN] is not None) for r in rows.collect()} == {0: ("1", False), 1: (None, True)}
+    assert bronze.read_landed_pages(spark, path, max_pages=1).count() == 1
+
+
+def test_overwrite_and_null_keys(spark, tmp_dir):
+    a = spark.createDataFrame([(1, "a"), (None, "b")], "k int, v string")
+    files.overwrite_table(a, f"{tmp_dir}/t")
+    files.overwrite_table(a.limit(1), f"{tmp_dir}/t")
+    assert spark.read.parquet(f"{tmp_dir}/t").count() == 1
+    out = upsert.upsert_by_key(a, spark.createDataFrame([(None, "c")], "k int, v string"), ["k"])
+    assert sorted((r["v"] for r in out.collect())) == ["a", "c"]
 
 
 def test_second_year_keeps_the_first(spark, tmp_dir):
