@@ -11,15 +11,22 @@ from rxlake.operators.upsert import upsert_by_key
 from rxlake.schemas import INGESTION_LOG_KEY, INGESTION_LOG_SCHEMA, INGESTION_STATUSES, MANIFEST_SCHEMA
 
 
+def row_hashes(columns: list[str]) -> list[Column]:
+    """Two whole numbers from the SHA-256 of a row's text (NULL marked), which
+    any engine can compute."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("__NULL__")) for c in columns])
+    digest = F.sha2(text, 256)
+    return [F.conv(F.substring(digest, at, 15), 16, 10).cast("long") for at in (1, 16)]
+
+
 def fingerprint_aggs(columns: list[str], hashes: tuple[str, str] | None = None) -> list[Column]:
     """Row count and an order-insensitive content fingerprint.
 
-    Each row is hashed twice (xxhash64 and murmur3) over all ``columns``, unless
-    ``hashes`` names columns that hold the two; the hashes are summed exactly
-    (decimal, no overflow) so the result does not depend on row order or
-    partitioning but changes with any edit, insert or delete. The hex SHA-256 of
-    (count, both sums) is the checksum."""
-    pair = [F.col(c) for c in hashes] if hashes else [f(*[F.col(c) for c in columns]) for f in (F.xxhash64, F.hash)]
+    Each row has two hashes over all ``columns`` (or ``hashes`` names columns that
+    hold them); they are summed exactly, so the result does not depend on row
+    order or partitioning but changes with any edit, insert or delete. The hex
+    SHA-256 of (count, both sums) is the checksum."""
+    pair = [F.col(c) for c in hashes] if hashes else row_hashes(columns)
     n = F.count(F.lit(1))
     sums = [F.coalesce(F.sum(c.cast(DecimalType(38, 0))).cast("string"), F.lit("0")) for c in pair]
     checksum = F.sha2(F.concat_ws(":", n.cast("string"), *sums), 256)

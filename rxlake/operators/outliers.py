@@ -241,6 +241,18 @@ def peer_outliers(
     raise ValueError(f"unknown mode {mode!r}")
 
 
+def approx_rank_error(df: DataFrame, keys: list[str], metric: str, q: float = 0.95, accuracy: int = 100) -> DataFrame:
+    """Per group: peer_size and whether the approximate q-quantile keeps its
+    promise, a rank no further than size / accuracy (and one) from q * size."""
+    thr = approx_group_quantiles(df, keys, metric, {"_q": q}, accuracy)
+    known = df.where(F.col(metric).isNotNull())
+    ranks = known.join(thr, keys).groupBy(*keys).agg(
+        F.first("n").alias("peer_size"), F.count_if(F.col(metric) < F.col("_q")).alias("_lo"), F.count_if(F.col(metric) <= F.col("_q")).alias("_hi")
+    )
+    slack, target = F.col("peer_size") / accuracy + 1, F.col("peer_size") * q
+    return ranks.select(*keys, "peer_size", ((F.col("_lo") <= target + slack) & (F.col("_hi") >= target - slack)).alias("within_bound"))
+
+
 def anomaly_prescribers(summary: DataFrame, peer_keys: tuple[str, ...] = REFERENCE_PEER_KEYS, **kw) -> DataFrame:
     """The anomaly mart: prescribers whose average cost per claim is above the
     95th percentile of their peers (same year, state and specialty by default),

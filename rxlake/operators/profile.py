@@ -35,5 +35,6 @@ def profile(df: DataFrame, exact_distinct: bool = False) -> DataFrame:
     return one.select(F.col("_rows").alias("row_count"), stacked)
 
 
-def head(df: DataFrame, n: int = 20) -> DataFrame:
-    return df.limit(n)
+def head(df: DataFrame, n: int = 20, order: list[str] | None = None) -> DataFrame:
+    """The first n rows; with ``order`` (ascending, NULLs last) always the same."""
+    return (df.orderBy(*[F.col(c).asc_nulls_last() for c in order]) if order else df).limit(n)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rxlake.functions.money import money_sum
-from rxlake.schemas import DQ_RESULT_SCHEMA
+from rxlake.schemas import CONSTRAINTS, DQ_RESULT_SCHEMA
 
 DQ_COLUMNS = DQ_RESULT_SCHEMA.fieldNames()
 
@@ -178,5 +178,36 @@ def row_count_check(counted: DataFrame, run_id: str) -> DataFrame:
     )
 
 
+def constraint_checks(tables: dict[str, DataFrame], run_id: str, dataset: str) -> DataFrame:
+    """K4 and K5 for every gold table given: declared keys are unique (a key with
+    a NULL part is not compared, as in SQL), declared columns are not NULL."""
+    frames = []
+    for name, df in tables.items():
+        keys, filled = CONSTRAINTS[name]
+        for key in keys:
+            whole = df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key]))
+            frames.append(duplicate_key_check(whole, key, run_id, dataset, "gold", f"{name}_{'_'.join(key)}_unique"))
+        if filled:
+            frames.append(count_checks(df, run_id, dataset, "gold", {f"{name}_{c}_not_null": (F.col(c).isNull(), "FAIL") for c in filled}))
+    return union_all(frames)
+
+
+def reconcile_tables(expected: DataFrame, stored: DataFrame, keys: list[str], measures: list[str], tolerance: float = 0.005) -> DataFrame:
+    """One row a key on which the stored table differs from the expected one:
+    keys and ``difference`` (missing, unexpected or the differing measures)."""
+    one = expected.select(*keys, F.struct(*measures).alias("_e"))
+    two = stored.select(*[F.col(k).alias(f"_{k}") for k in keys], F.struct(*measures).alias("_s"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    j = one.join(two, same, "full_outer")
+
+    def differs(m: str) -> Column:
+        e, s = F.col(f"_e.{m}"), F.col(f"_s.{m}")
+        return ~(e.eqNullSafe(s) | F.coalesce(F.abs(e - s) <= tolerance, F.lit(False)))
+
+    changed = F.concat_ws(",", *[F.when(differs(m), F.lit(m)) for m in measures])
+    what = F.when(F.col("_s").isNull(), "missing").when(F.col("_e").isNull(), "unexpected").otherwise(changed)
+    return j.select(*[F.coalesce(F.col(k), F.col(f"_{k}")).alias(k) for k in keys], what.alias("difference")).where("difference <> ''")
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames).select(*DQ_COLUMNS)

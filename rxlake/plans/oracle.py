@@ -41,7 +41,7 @@ def _in(values) -> str:
 
 
 RAW_DERIVED = {
-    "Prscrbr_NPI": "CASE WHEN c_custkey % 41 = 0 THEN '  ' ELSE ' ' || CAST(c_custkey AS VARCHAR) || ' ' END",
+    "Prscrbr_NPI": "CASE WHEN c_custkey % 83 = 0 THEN NULL WHEN c_custkey % 41 = 0 THEN '  ' ELSE ' ' || CAST(c_custkey AS VARCHAR) || ' ' END",
     "Prscrbr_Last_Org_Name": "c_name",
     "Prscrbr_First_Name": "CASE WHEN c_custkey % 5 = 0 THEN '' WHEN o_orderkey % 50 = 0 THEN 'Patricia' ELSE 'Pat' END",
     "Prscrbr_City": "CASE WHEN c_custkey % 37 = 0 THEN ' ' ELSE lower(n_name) END",
@@ -49,12 +49,13 @@ RAW_DERIVED = {
     "Prscrbr_State_FIPS": "CAST(r_regionkey AS VARCHAR)",
     "Prscrbr_Type": "CASE WHEN c_custkey % 29 = 0 THEN '' ELSE lower(c_mktsegment) END",
     "Brnd_Name": "CASE WHEN p_partkey % 17 = 0 THEN ' ' || upper(p_type) WHEN p_partkey % 59 = 0 THEN '' ELSE lower(p_brand) END",
-    "Gnrc_Name": "CASE WHEN p_partkey % 53 = 0 THEN NULL WHEN p_partkey % 3 = 0 THEN lower(split_part(p_type, ' ', 1)) ELSE lower(p_type) END",
+    "Gnrc_Name": "CASE WHEN p_partkey % 53 = 0 THEN NULL WHEN p_partkey % 3 = 0 THEN 'multisource' ELSE lower(p_type) END",
     "Tot_Clms": "CASE WHEN l_orderkey % 227 = 0 THEN '99999999999999999999' WHEN l_orderkey % 229 = 0 THEN '20.0' "
     "WHEN l_quantity < 3 THEN '*' WHEN l_partkey % 31 = 0 "
     "THEN '1,' || lpad(CAST(CAST(l_quantity AS INTEGER) AS VARCHAR), 3, '0') "
     "ELSE CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) END",
     "Tot_Drug_Cst": "CASE WHEN l_orderkey % 211 = 0 THEN '-5.25' WHEN l_orderkey % 223 = 0 THEN '1e5' "
+    "WHEN l_orderkey % 97 = 0 THEN CAST(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 100 AS DECIMAL(20,2)) AS VARCHAR) "
     "ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) END",
     "Tot_Benes": "CASE WHEN l_linenumber = 7 THEN 'n/a' ELSE CAST(l_linenumber AS VARCHAR) END",
     "GE65_Sprsn_Flag": "CASE WHEN l_returnflag = 'N' THEN NULL WHEN l_returnflag = 'A' THEN '' WHEN l_linenumber % 2 = 0 THEN 'y ' ELSE '#' END",

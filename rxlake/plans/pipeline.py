@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rxlake.operators import clean, marts, outliers, star
+from rxlake.operators.lineage import row_hashes
 from rxlake.schemas import CORRUPT_COLUMN, SILVER_KEY
 from rxlake.session import cut_lineage
 from rxlake.sources.standin import standin_raw
@@ -51,7 +52,7 @@ def stage_bronze(bronze: DataFrame, path: str) -> DataFrame:
     hashes of the raw text for the content fingerprint. Everything else in the
     job reads this table."""
     raw = [c for c in bronze.columns if c not in ("year", CORRUPT_COLUMN)]
-    hashed = bronze.withColumns({"_x": F.xxhash64(*raw), "_m": F.hash(*raw)})
+    hashed = bronze.withColumns(dict(zip(("_x", "_m"), row_hashes(raw), strict=True)))
     typed = clean.flag_rejects(hashed, extra=["_x", "_m"])
     typed.write.mode("overwrite").parquet(path)
     return bronze.sparkSession.read.schema(typed.schema).parquet(path)

@@ -169,6 +169,21 @@ MART_COLUMNS = {
     ],
 }
 
+# --- fixed values: declared constraints of the gold tables --------------------
+# table -> (unique keys, columns that must not be NULL)
+CONSTRAINTS = {
+    "dim_year": ([["year_id"], ["year"]], ["year"]),
+    "dim_state": ([["state_id"], ["state_abbr"]], ["state_abbr"]),
+    "dim_drug": ([["drug_id"], ["brand_name", "generic_name"]], []),
+    "dim_prescriber": ([["prescriber_id"], ["npi", "city", "state", "specialty"]], ["npi"]),
+    "fact_prescriptions": ([["fact_id"]], ["prescriber_id", "drug_id", "state_id", "year_id"]),
+    "gold_state_year_spending": ([["mart_id"]], ["year", "state"]),
+    "gold_drug_year_spending": ([["mart_id"]], ["year"]),
+    "gold_specialty_state_spending": ([["mart_id"]], ["year", "state"]),
+    "gold_prescriber_summary": ([["mart_id"]], ["year", "npi"]),
+    "gold_anomaly_prescribers": ([["mart_id"]], ["year", "npi"]),
+}
+
 # Load order: parents before children.
 STAR_LOAD_ORDER = ["dim_year", "dim_state", "dim_drug", "dim_prescriber", "fact_prescriptions"]
 MART_LOAD_ORDER = list(MART_COLUMNS)

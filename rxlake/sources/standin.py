@@ -47,7 +47,8 @@ def standin_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     qty_int = F.col("l_quantity").cast("int")
     price_text = _text(F.col("l_extendedprice").cast("decimal(18,2)"))
     derived = {
-        "Prscrbr_NPI": F.when(F.col("c_custkey") % 41 == 0, F.lit("  ")).otherwise(
+        "Prscrbr_NPI": F.when(F.col("c_custkey") % 83 == 0, F.lit(None).cast("string"))
+        .when(F.col("c_custkey") % 41 == 0, F.lit("  ")).otherwise(
             F.concat(F.lit(" "), _text(F.col("c_custkey")), F.lit(" "))
         ),
         "Prscrbr_Last_Org_Name": F.col("c_name"),
@@ -62,7 +63,7 @@ def standin_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("p_partkey") % 59 == 0, F.lit(""))
         .otherwise(F.lower("p_brand")),
         "Gnrc_Name": F.when(F.col("p_partkey") % 53 == 0, F.lit(None).cast("string"))
-        .when(F.col("p_partkey") % 3 == 0, F.lower(F.split_part("p_type", F.lit(" "), F.lit(1))))
+        .when(F.col("p_partkey") % 3 == 0, F.lit("multisource"))
         .otherwise(F.lower("p_type")),
         "Tot_Clms": F.when(F.col("l_orderkey") % 227 == 0, F.lit("9" * 20))
         .when(F.col("l_orderkey") % 229 == 0, F.lit("20.0"))
@@ -71,6 +72,7 @@ def standin_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(_text(qty_int)),
         "Tot_Drug_Cst": F.when(F.col("l_orderkey") % 211 == 0, F.lit("-5.25"))
         .when(F.col("l_orderkey") % 223 == 0, F.lit("1e5"))
+        .when(F.col("l_orderkey") % 97 == 0, _text((F.col("l_extendedprice").cast("decimal(18,2)") * 100).cast("decimal(20,2)")))
         .otherwise(price_text),
         "Tot_Benes": F.when(F.col("l_linenumber") == 7, F.lit("n/a")).otherwise(_text(F.col("l_linenumber"))),
         "GE65_Sprsn_Flag": F.when(F.col("l_returnflag") == "N", F.lit(None).cast("string"))
