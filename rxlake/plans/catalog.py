@@ -701,20 +701,32 @@ def ingest_skip(spark, sf_dir):
     return lineage.skip_ingested(m, log).select("dataset_id", "year", "row_count")
 
 
-PROFILE_SQL = "\nUNION ALL\n".join(
-    f"SELECT '{c}' AS column_name, COUNT(*) AS row_count, COUNT(*) FILTER (WHERE {c} IS NULL) AS null_count, "
-    f"COUNT(DISTINCT {c}) AS distinct_count FROM silver"
-    for c in SILVER_COLUMNS
-)
+_PROFILE_TYPES = {
+    "year": "int", "is_tot_claims_suppressed": "boolean", "is_ge65_suppressed": "boolean", "tot_claims": "bigint",
+    "tot_30day_fills": "double", "tot_drug_cost": "double", "tot_day_supply": "bigint", "tot_beneficiaries": "bigint",
+    "ge65_claims": "bigint", "ge65_drug_cost": "double", "cost_per_claim": "double", "claims_per_beneficiary": "double",
+}
 
 
-@register("profile_table", W(["silver"], PROFILE_SQL))
-def profile_table(spark, sf_dir):
-    return profile.profile(_silver(spark, sf_dir), exact_distinct=True).select(
-        "column_name", "row_count", "null_count", "distinct_count"
+def _profile_sql(c: str) -> str:
+    kind = _PROFILE_TYPES.get(c, "string")
+    text = "CAST(CAST({}({}) AS DECIMAL(38,6)) AS VARCHAR)" if kind == "double" else "CAST({}({}) AS VARCHAR)"
+    return (
+        f"SELECT '{c}' AS column_name, '{kind}' AS data_type, COUNT(*) AS row_count, COUNT(*) FILTER (WHERE {c} IS NULL) AS null_count, "
+        f"COUNT(DISTINCT {c}) AS distinct_count, TRUE AS approx_within_bound, {text.format('min', c)} AS min_value, {text.format('max', c)} AS max_value FROM silver"
     )
 
 
+@register("profile_table", W(["silver"], "\nUNION ALL\n".join(_profile_sql(c) for c in O.SILVER_COLUMNS)))
+def profile_table(spark, sf_dir):
+    """The one-pass profile, its approximate distinct counts held against exact
+    ones within four standard errors."""
+    silver = _silver_once(spark, sf_dir)
+    p = profile.profile(silver).join(profile.exact_distinct(silver), "column_name")
+    close = F.abs(F.col("approx_distinct") - F.col("distinct_count")) <= 4 * profile.RSD * F.col("distinct_count")
+    return p.select("column_name", "data_type", "row_count", "null_count", "distinct_count", close.alias("approx_within_bound"), "min_value", "max_value")
+
+
 # Statistics documents as a source reports them: the count under one of several
 # keys, as a number or as text, or missing.
 EXPECTED_SQL = """SELECT year, CASE
