@@ -110,7 +110,8 @@ def redact(docs: DataFrame, mask: str = "[SECRET]", **options) -> DataFrame:
     (out,) = free_name(docs, "_secrets")
     found = findings(docs, docs.columns, out=out, **options)
     spans = F.col(f"{out}.spans")
-    # Linear in the spans: the end of what precedes each, then the gaps between.
+    # Spans in order: the gap before each, then the mark; a span that begins
+    # inside the one before adds nothing of its own.
     start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("parts"))
     text = F.col("text")
 

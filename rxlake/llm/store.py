@@ -30,11 +30,25 @@ def keep(df: DataFrame, name: str = "t") -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: lineage is
     cut, and a lost executor costs at most the tasks that read it."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/kept-{name}-{uuid.uuid4().hex}"
+    path = f"{_kept_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    # Shuffle files of finished jobs go when the driver's JVM collects what
+    # refers to them; long chains of jobs should not wait for that to happen.
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _kept_folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/kept-{spark.sparkContext.applicationId}"
+
+
+def drop_kept(spark: SparkSession) -> None:
+    """Delete all tables that this application has kept, once its results are
+    written: results are lazy and read them."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_kept_folder(spark))
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def ship_code(spark: SparkSession) -> None:
     """Give the executors this package, whatever their own path holds."""
     sc = spark.sparkContext
