@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 
 from rxlake.functions.cleaning import default_blank, safe_divide
 from rxlake.functions.money import money_sum, stable_avg
+from rxlake.schemas import VIEW_COLUMNS, VIEW_LABELS
 
 
-def _labelled(df: DataFrame, cols: list[str], labelled: tuple[str, ...]) -> DataFrame:
-    return df.select(*[default_blank(c).alias(c) if c in labelled else F.col(c) for c in cols])
+def _view(df: DataFrame, name: str) -> DataFrame:
+    """The columns of a view, blank or missing labels as UNKNOWN."""
+    return df.select(*[default_blank(c).alias(c) if c in VIEW_LABELS else F.col(c) for c in VIEW_COLUMNS[name]])
 
 
 # --- views --------------------------------------------------------------------
@@ -40,34 +42,23 @@ def overview_kpis(state_year: DataFrame) -> DataFrame:
 
 
 def state_spending(state_year: DataFrame) -> DataFrame:
-    return state_year.select(
-        "year", "state", "total_claims", "total_drug_cost", "total_beneficiaries",
-        "prescriber_count", "drug_count", "avg_cost_per_claim",
-    )
+    return _view(state_year, "state_spending")
 
 
 def top_drugs(drug_year: DataFrame) -> DataFrame:
-    cols = ["year", "brand_name", "generic_name", "total_claims", "total_drug_cost",
-            "prescriber_count", "state_count", "avg_cost_per_claim"]
-    return _labelled(drug_year, cols, ("brand_name", "generic_name"))
+    return _view(drug_year, "top_drugs")
 
 
 def specialty_state(specialty_state_mart: DataFrame) -> DataFrame:
-    cols = ["year", "state", "specialty", "total_claims", "total_drug_cost",
-            "prescriber_count", "drug_count", "avg_cost_per_claim"]
-    return _labelled(specialty_state_mart, cols, ("specialty",))
+    return _view(specialty_state_mart, "specialty_state")
 
 
 def prescriber_leaders(summary: DataFrame) -> DataFrame:
-    cols = ["year", "npi", "full_name", "city", "state", "specialty", "total_claims",
-            "total_drug_cost", "drug_count", "avg_cost_per_claim"]
-    return _labelled(summary, cols, ("full_name", "city", "specialty"))
+    return _view(summary, "prescriber_leaders")
 
 
 def anomaly_detail(anomalies: DataFrame) -> DataFrame:
-    cols = ["year", "npi", "full_name", "city", "state", "specialty", "total_claims", "total_drug_cost",
-            "avg_cost_per_claim", "peer_p95_cost_per_claim", "anomaly_reason"]
-    return _labelled(anomalies, cols, ("full_name", "city", "specialty"))
+    return _view(anomalies, "anomaly_detail")
 
 
 def anomaly_summary(anomalies: DataFrame) -> DataFrame:

@@ -314,8 +314,10 @@ def _drug_grain_sql(metric: str, mode: str) -> str:
 
 
 def _drug_grain(spark, sf_dir, metric, mode):
+    # Only the columns in use are materialised.
+    used = _silver(spark, sf_dir).select(*dict.fromkeys([*DRUG_OUT, *DRUG_KEYS, "tot_claims", metric]))
     out = outliers.peer_outliers(
-        _silver(spark, sf_dir), peer_keys=tuple(DRUG_KEYS), metric=metric, volume="tot_claims", mode=mode
+        used, peer_keys=tuple(DRUG_KEYS), metric=metric, volume="tot_claims", mode=mode
     )
     extra = ["is_anomaly"] if mode == "flag" else []
     return out.select(*DRUG_OUT, metric, "peer_size", "peer_threshold", *extra)

@@ -169,6 +169,28 @@ MART_COLUMNS = {
     ],
 }
 
+# --- fixed values: columns of the dashboard views ------------------------------
+VIEW_COLUMNS = {
+    "state_spending": [
+        "year", "state", "total_claims", "total_drug_cost", "total_beneficiaries", "prescriber_count", "drug_count", "avg_cost_per_claim",
+    ],
+    "top_drugs": [
+        "year", "brand_name", "generic_name", "total_claims", "total_drug_cost", "prescriber_count", "state_count", "avg_cost_per_claim",
+    ],
+    "specialty_state": [
+        "year", "state", "specialty", "total_claims", "total_drug_cost", "prescriber_count", "drug_count", "avg_cost_per_claim",
+    ],
+    "prescriber_leaders": [
+        "year", "npi", "full_name", "city", "state", "specialty", "total_claims", "total_drug_cost", "drug_count", "avg_cost_per_claim",
+    ],
+    "anomaly_detail": [
+        "year", "npi", "full_name", "city", "state", "specialty", "total_claims", "total_drug_cost", "avg_cost_per_claim",
+        "peer_p95_cost_per_claim", "anomaly_reason",
+    ],
+}
+# Labels that a view shows as UNKNOWN where they are blank or missing.
+VIEW_LABELS = ("brand_name", "generic_name", "specialty", "full_name", "city")
+
 # --- fixed values: declared constraints of the gold tables --------------------
 # table -> (unique keys, columns that must not be NULL)
 CONSTRAINTS = {
