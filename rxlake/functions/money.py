@@ -41,3 +41,12 @@ def stable_sum(c: str | Column, digits: int = 6) -> Column:
 def stable_avg(c: str | Column, digits: int = 6) -> Column:
     """Average of a double column, summed exactly at ``digits`` decimals."""
     return stable_sum(c, digits) / F.count(_col(c)).cast(DoubleType())
+
+
+def stable_stddev(c: str | Column, digits: int = 6) -> Column:
+    """Sample standard deviation at ``digits`` decimals, from exact sums of values
+    and squares: the same for any partitioning. NULL for fewer than two values."""
+    x = scaled(c, digits)
+    n = F.count(_col(c)).cast(DoubleType())
+    one, two = F.sum(x).cast(DoubleType()), F.sum(x.cast(DecimalType(19, 0)) * x.cast(DecimalType(19, 0))).cast(DoubleType())
+    return F.when(n > 1, F.sqrt(F.greatest((two - one * (one / n)) / (n - F.lit(1.0)), F.lit(0.0))) / F.lit(float(10**digits)))

@@ -23,7 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rxlake.functions.money import stable_avg
+from rxlake.functions.money import stable_avg, stable_stddev
 from rxlake.session import cut_lineage
 
 # --- fixed values -------------------------------------------------------------
@@ -193,7 +193,7 @@ def peer_thresholds(
         t = df.where(F.col(metric).isNotNull()).groupBy(*keys).agg(
             F.count(F.lit(1)).alias("peer_size"),
             stable_avg(metric).alias("peer_mean"),
-            F.stddev_samp(metric).alias("peer_stddev"),
+            stable_stddev(metric).alias("peer_stddev"),
         )
         return t.withColumn("peer_threshold", F.col("peer_mean") + F.lit(z) * F.col("peer_stddev"))
     raise ValueError(f"unknown method {method!r}")

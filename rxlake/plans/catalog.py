@@ -284,7 +284,7 @@ def anomaly_iqr(spark, sf_dir):
 
 
 Z_SQL = _outlier_sql(
-    f"{O.stable_avg('avg_cost_per_claim')} AS peer_mean, stddev_samp(avg_cost_per_claim) AS peer_stddev",
+    f"{O.stable_avg('avg_cost_per_claim')} AS peer_mean, {O.stable_stddev('avg_cost_per_claim')} AS peer_stddev",
     "t.peer_mean + CAST(3.0 AS DOUBLE) * t.peer_stddev",
     "t.peer_mean, round(t.peer_stddev, 6) AS peer_stddev",
 )

@@ -135,6 +135,12 @@ def stable_avg(c: str) -> str:
     return f"CAST(SUM(CAST(round({c} * 1000000) AS DECIMAL(38,0))) AS DOUBLE) / 1000000.0 / CAST(COUNT({c}) AS DOUBLE)"
 
 
+def stable_stddev(c: str) -> str:
+    x = f"CAST(round({c} * 1000000) AS DECIMAL(19,0))"
+    n, one, two = f"CAST(COUNT({c}) AS DOUBLE)", f"CAST(SUM({x}) AS DOUBLE)", f"CAST(SUM({x} * {x}) AS DOUBLE)"
+    return f"CASE WHEN COUNT({c}) > 1 THEN sqrt(greatest(({two} - {one} * ({one} / {n})) / ({n} - 1.0::DOUBLE), 0.0::DOUBLE)) / 1000000.0::DOUBLE END"
+
+
 FULL_NAME = "trim(concat_ws(' ', COALESCE(prescriber_first_name, ''), COALESCE(prescriber_last_or_org_name, '')))"
 
 SUMMARY0 = f"""SELECT year, npi, full_name, city, state, specialty,
