@@ -2,9 +2,9 @@
 
 1. Tokens of the training documents are counted by 64-bit word hash.
 2. The VOCAB most frequent make the model's vocabulary, in classes by frequency;
-   the weights start as the unigram distribution. In each round every task
-   trains a copy on its part of a share of the training documents, chosen by
-   hash of the id, and copies are averaged by tokens, as a tree.
+   the weights start as the unigram distribution. The rounds deal out all
+   training documents among them, by hash of id and text; in each, every task
+   trains a copy on its part and copies are averaged by tokens, as a tree.
 3. Every document is scored whole, its state carried from window to window.
    The counts of the ``LISTED`` most frequent words go to all tasks (a bound of
    about 4 MB); the other words of each document meet their counts in a join.
@@ -34,8 +34,8 @@ from rxlake.llm.textkit import text_slices, words_of
 
 #: Words whose counts every task holds.
 LISTED = 1 << 18
-#: Documents of a round: one in so many, another set each round.
-SHARE, ROUNDS = 16, 2
+#: Rounds of training, each on its own part of the training documents.
+ROUNDS = 2
 SLICES = 8
 END_HASH = np.uint64(0x5EED_0E4D)
 
@@ -120,12 +120,20 @@ def _input(number: np.ndarray) -> np.ndarray:
     return np.where((number < 0) | (number >= gru.VOCAB), gru.RARE, number).astype(np.int32)
 
 
-def train(docs: DataFrame, counts: Counts) -> dict[str, np.ndarray]:
-    """Weights after all rounds. ``docs``: the training documents."""
+def rounds(docs: DataFrame) -> list[DataFrame]:
+    """``docs`` dealt out: each row in one round. The text takes part in the hash,
+    so that rows of a null or frequent id spread."""
+    turn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS))
+    return [docs.where(turn == i) for i in range(ROUNDS)]
+
+
+def train(docs: DataFrame, counts: Counts) -> tuple[dict[str, np.ndarray], int]:
+    """Weights after all rounds and the tokens learnt from, which are all tokens
+    of ``docs``, the training documents."""
     top = counts.top()
-    weights = gru.start(top, counts.tokens - int(top.sum()))
-    for turn in range(ROUNDS):
-        part = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(SHARE)) == turn).select("text")
+    weights, learnt = gru.start(top, counts.tokens - int(top.sum())), 0
+    for part in rounds(docs):
+        part = part.select("text")
         flat = gru.flatten(weights)
 
         def run(batches: Iterator[pa.RecordBatch], flat: np.ndarray = flat) -> Iterator[pa.RecordBatch]:
@@ -151,10 +159,11 @@ def train(docs: DataFrame, counts: Counts) -> dict[str, np.ndarray]:
         # Each task averages at most 64 copies of a slice, then the averages meet.
         for level in (64, 4096, 1 << 62):
             copies = copies.withColumn("pid", F.floor(F.col("pid") / level)).groupBy("pid", "slice").applyInArrow(_average, copies.schema)
-        found = {r["slice"]: r["weights"] for r in copies.collect()}  # one model: bounded
+        found = {r["slice"]: r for r in copies.collect()}  # one model: bounded
         if found:
-            weights = gru.unflatten(np.concatenate([np.frombuffer(found[i], "<f4") for i in range(SLICES)]))
-    return weights
+            weights = gru.unflatten(np.concatenate([np.frombuffer(found[i]["weights"], "<f4") for i in range(SLICES)]))
+            learnt += int(found[0]["tokens"])
+    return weights, learnt
 
 
 def _average(part: pa.Table) -> pa.Table:
@@ -171,7 +180,7 @@ def score(docs: DataFrame, *, held: str = "held_out") -> DataFrame:
     learn = docs.where(~F.col(held))
     table = keep(token_counts(learn), "counts")
     counts = Counts.of(table)
-    weights = train(learn, counts)
+    weights, _ = train(learn, counts)
     top = counts.top()
     rare_tokens, rare_words = counts.tokens - int(top.sum()), counts.words - len(top)
     all_log = float(np.log10(counts.tokens + 0.5 * (counts.words + 1)))

@@ -217,3 +217,20 @@ def test_held_out_likelihood_beats_counts(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     total = rnn_lm.score(docs).where("held_out").agg(F.sum("score").alias("s"), F.sum("base_score").alias("b")).first()
     assert total["s"] > total["b"]
+
+
+def test_every_training_token_is_learnt_from(spark, documents, no_documents):
+    def learnt(docs):
+        counts = rnn_lm.Counts.of(rnn_lm.token_counts(docs))
+        return rnn_lm.train(docs, counts)[1], counts.tokens
+
+    docs = documents.where(~rnn_lm.held_out(F.col("doc_id")))
+    seen, tokens = learnt(docs)
+    assert seen == tokens > 0
+    # One id, or none, on all rows; few documents.
+    one = spark.createDataFrame([(i, f"word{k} of this text") for k in range(40) for i in (None, 7)], "doc_id bigint, text string")
+    for part in (one, one.where("doc_id IS NULL"), one.limit(1)):
+        seen, tokens = learnt(part)
+        assert seen == tokens > 0
+    assert all(0 < r.where("doc_id IS NULL").count() < 40 for r in rnn_lm.rounds(one))
+    assert learnt(no_documents) == (0, 0)
