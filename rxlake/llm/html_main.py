@@ -1,11 +1,16 @@
 """Main text of web pages: consensus host paths.
 
 Each page is read once into text blocks under containers; a container is scored
-by its plain text, less what lies in links. Every page votes for the generalised
-path (tags and classes, digits masked) of its best containers; votes are summed
-by host in Spark, and each page is read again with its host's winning path. A
-page on which that path is missing, or holds too little of what its own best
-container has, keeps its own.
+by its plain text, less what lies in links; a generalised path (tags and classes,
+digits masked) by all containers on it. Every page votes for its best paths;
+votes are summed by host in Spark, and each page is read again with its host's
+winning path. A page on which that path is missing, or holds too little of what
+its own best path has, keeps its own.
+
+The text is that of all containers on the path, in page order, with headings and
+text that stand directly in the containers around them, up to the one they share.
+Noise is left out: dropped elements, names of ``NOISE``, containers not named like
+content that are mostly links, and text around that is mostly links, headings not.
 
 Defined cases: null or empty html gives an empty text; a url that is null or has
 no host belongs to the host ""; repeated rows vote each and give equal rows;
@@ -29,6 +34,7 @@ from rxlake.llm.store import free_name, keep, schema_of, ship_code
 # Element and class names of HTML and of common page templates.
 CONTAINERS = frozenset("body main article section div td center".split())
 BLOCKS = CONTAINERS | frozenset("html head p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr th caption blockquote pre figure figcaption address hr br header footer nav aside form fieldset details summary hgroup menu dialog".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 DROPPED = frozenset("head nav header footer aside form menu dialog button select option label fieldset noscript template iframe object canvas svg math audio video map".split())
 RAW = "script|style|textarea|title|xmp|noembed|noframes"
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -52,20 +58,25 @@ ROLES = frozenset("navigation banner contentinfo complementary search form menu
 class Page:
     """Containers and text blocks of a page.
 
-    nodes: (parent, path, weight); blocks: (node, text), in page order."""
+    nodes: (parent, path, weight); blocks: (node, text, is it no mere links), in
+    page order."""
 
     def __init__(self, html: str):
         self.parent, self.path, self.weight = [-1], ["body"], [0.7]
-        self.blocks: list[tuple[int, str]] = []
+        self.blocks: list[tuple[int, str, bool]] = []
         self.linked = [0]
         self._read(html)
         self.plain = [0] * len(self.parent)
-        for node, text in self.blocks:
+        for node, text, _ in self.blocks:
             self.plain[node] += len(text)
         self.linked += [0] * (len(self.parent) - len(self.linked))
         for i in range(len(self.parent) - 1, 0, -1):
             self.plain[self.parent[i]] += self.plain[i]
             self.linked[self.parent[i]] += self.linked[i]
+        #: Scores of all containers on a path.
+        self.total: dict[str, float] = {}
+        for i, p in enumerate(self.path):
+            self.total[p] = self.total.get(p, 0.0) + self.score(i)
 
     def _attributes(self, tag: str, attrs: str) -> tuple[bool, str, bool]:
         """Is the element noise; its class, generalised; is it named like content."""
@@ -93,19 +104,23 @@ class Page:
         opened: Counter[str] = Counter()
         node, skip, skip_at = 0, 0, 0
         parts: list[str] = []
-        links, at = 0, 0
+        links, at, in_links = 0, 0, 0
 
         def close() -> None:
+            nonlocal in_links
             text = " ".join(unescape("".join(parts)).split())
             if text:
-                self.blocks.append((node, text))
+                heading = bool(stack) and stack[-1][0] in HEADINGS
+                self.blocks.append((node, text, heading or 2 * in_links < len(text)))
             parts.clear()
+            in_links = 0
 
         for m in _TOKEN.finditer(html):
             if m.start() > at and not skip:
                 parts.append(html[at : m.start()])
                 if links:
                     self.linked[node] += m.start() - at
+                    in_links += m.start() - at
             at = m.end()
             tag = m["tag"]
             if not tag:
@@ -155,28 +170,36 @@ class Page:
         return max(self.plain[i] - 2 * self.linked[i], 0) * self.weight[i]
 
     def best(self) -> int:
-        """The highest score; the inner container in a tie."""
-        return max(range(len(self.parent)), key=lambda i: (self.score(i), i))
+        """The last container on the path of highest score; the inner path in a tie."""
+        return max(range(len(self.parent)), key=lambda i: (self.total[self.path[i]], i))
 
     def votes(self, most: int = 3) -> list[tuple[str, float]]:
-        """The best containers' paths with their part of the top score."""
-        order = sorted(range(len(self.parent)), key=lambda i: (-self.score(i), -i))[:most]
-        top = self.score(order[0])
-        return [(self.path[i], self.score(i) / top) for i in order if top and self.score(i) > 0]
+        """The best paths with their part of the top score."""
+        last = {p: i for i, p in enumerate(self.path)}
+        order = sorted(last, key=lambda p: (-self.total[p], -last[p]))[:most]
+        top = self.total[order[0]]
+        return [(p, self.total[p] / top) for p in order if top and self.total[p] > 0]
 
     def choose(self, path: str | None, least: float = 0.5) -> int:
+        """A container on the path to take: ``path`` or the page's own best."""
         own = self.best()
-        same = [i for i, p in enumerate(self.path) if p == path]
-        if not same:
+        if path not in self.total or self.total[path] < least * self.total[self.path[own]]:
             return own
-        pick = max(same, key=lambda i: (self.score(i), i))
-        return pick if self.score(pick) >= least * self.score(own) else own
+        return max((i for i, p in enumerate(self.path) if p == path), key=lambda i: (self.score(i), i))
 
     def text(self, node: int) -> str:
+        """Of all containers on the path of ``node``, and what stands around them."""
+        same = {i for i, p in enumerate(self.path) if p == self.path[node] and (i == node or self.weight[i] > 1 or self.score(i) > 0)}
         inside = [False] * len(self.parent)
         for i in range(len(self.parent)):
-            inside[i] = i == node or (i > 0 and inside[self.parent[i]])
-        return " ".join(t for n, t in self.blocks if inside[n])
+            inside[i] = i in same or (i > 0 and inside[self.parent[i]])
+        # One path, one depth: the levels above meet in the container they share.
+        level = {self.parent[i] for i in same} - {-1}
+        around = set(level)
+        while len(level) > 1:
+            level = {self.parent[i] for i in level}
+            around |= level
+        return " ".join(t for n, t, plain in self.blocks if inside[n] or (plain and n in around))
 
 
 def host(url: Column) -> Column:

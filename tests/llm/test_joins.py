@@ -194,3 +194,28 @@ def test_pipeline(spark, documents, no_documents, tmp_path):
         whole = lambda df: Counter((r["doc_id"], r["doc_tokens"]) for r in df.select(*pick).where("start = 0").collect())
         assert whole(again) == whole(rows)
     assert rows.count() == 0
+
+
+def test_page_text_of_split_articles():
+    def main(html, path=None):
+        page = html_main.Page(html)
+        return page.text(page.choose(path))
+
+    a, b = "first " * 40 + "end", "second " * 20 + "end"
+    ad = '<div class="ad">Buy now</div>'
+    # Siblings on one path, named like content or not, with noise between.
+    for name in (' class="content"', ' class="c1"', ""):
+        for x, y in ((a, b), (b, a), (a, "short"), (b, b)):
+            html = f"<body><nav>Menu</nav><div{name}><p>{x}</p></div>{ad}<div{name}>{y}</div><footer>me</footer></body>"
+            assert main(html) == main(html, "body>div" + {"": ""}.get(name, "." + name[8:-1].replace("1", "#"))) == f"{x} {y}"
+    # Headings and text outside the article, and several articles.
+    assert main(f"<main><h1>T</h1><article>{a}</article></main>") == f"T {a}"
+    assert main(f'<body><h1><a href="/long-address">T</a></h1>{ad}<article>{a}</article>after <p><a href=x>more of this site</a></body>') == f"T {a} after"
+    assert main(f"<main><article>{a}</article><article>b</article></main>") == f"{a} b"
+    # Parents of their own: what stands in each, and in the one they share.
+    part = "<section><h2>{}</h2><div class=text>{}</div></section>"
+    assert main("<main><h1>T</h1>" + part.format("A", a) + ad + part.format("B", b) + "</main>") == f"T A {a} B {b}"
+    # A cell of links on the same path is noise; links in what is named like content stay.
+    links = "".join(f"<a href=/{i}>one of the links</a> " for i in range(9))
+    assert main(f"<table><tr><td>{links}</td><td>{a}</td></tr></table>") == a
+    assert main(f"<div class=content>{a}</div><div class=content>{links}</div>") == a + " one of the links" * 9
