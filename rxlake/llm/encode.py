@@ -4,11 +4,13 @@ The pre-tokeniser never joins across a space that is followed by something
 visible, so a text may be cut before each such space and its pieces encoded
 apart. Pieces are found and looked up by hash over a whole batch of texts; those
 not seen yet are encoded in one call and cut apart by the byte lengths of ids.
+Texts are cut at the file's added tokens first, each of which is a piece.
 """
 
 from __future__ import annotations
 
 import json
+import re
 
 import numpy as np
 
@@ -42,17 +44,26 @@ class Encoder:
         import tiktoken
 
         with open(path, encoding="utf-8") as f:
-            vocab = json.load(f)["model"]["vocab"]
+            file = json.load(f)
+        vocab = file["model"]["vocab"]
+        added = file.get("added_tokens") or []
+        if any(t.get(k) for t in added for k in ("single_word", "lstrip", "rstrip")):
+            raise ValueError("added tokens that depend on what is around them")
+        self._added = {t["content"].encode(): t["id"] for t in added}
+        longest = sorted(self._added, key=len, reverse=True)
+        self._literal = re.compile(b"|".join(map(re.escape, longest))) if added else None
         letters = _byte_letters()
         special = [t for t in vocab if any(c not in letters for c in t) or t.startswith("<|")]
         ranks = {bytes(letters[c] for c in t): i for t, i in vocab.items() if t not in special}
         self._bpe = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        top = max(vocab.values())
+        top = max([*vocab.values(), *self._added.values()])
         self.wide = np.uint16 if top < 65536 else np.uint32
         #: Bytes of each id.
         self.bytes_of = np.zeros(top + 1, np.int64)
         for t, i in ranks.items():
             self.bytes_of[i] = len(t)
+        for t, i in self._added.items():
+            self.bytes_of[i] = len(t)
         self._clear()
 
     def _clear(self) -> None:
@@ -75,7 +86,7 @@ class Encoder:
         total = len(joined)
         for i, p in enumerate(pieces):
             if p[:1] != b" ":
-                x = np.array(self._bpe.encode_ordinary(p.decode()), self.wide)
+                x = np.array([self._added[p]] if p in self._added else self._bpe.encode_ordinary(p.decode()), self.wide)
                 ids.append(x)
                 at[i], sizes[i] = total, len(x)
                 total += len(x)
@@ -90,6 +101,17 @@ class Encoder:
         i = np.minimum(np.searchsorted(self._hash, hashes), max(len(self._hash) - 1, 0))
         return np.where(self._hash[i] == hashes, i, -1) if len(self._hash) else np.full(len(hashes), -1)
 
+    def _edges(self, raw: bytes, offs: np.ndarray) -> np.ndarray:
+        """``offs`` and the ends of all added tokens in the texts."""
+        if self._literal is None:
+            return offs
+        own = []
+        # Each text apart: no token spans two.
+        if self._literal.search(raw):
+            for a, z in zip(offs, offs[1:], strict=False):
+                own += [x for m in self._literal.finditer(raw, int(a), int(z)) for x in m.span()]
+        return np.unique(np.append(offs, np.array(own, offs.dtype))) if own else offs
+
     def encode(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts ``buf[offs[i]:offs[i + 1]]``, and their offsets by text."""
         n = len(buf)
@@ -97,9 +119,11 @@ class Encoder:
             return np.zeros(0, self.wide), np.zeros(len(offs), np.int64)
         cut = np.zeros(n, bool)
         cut[:-1] = (buf[:-1] == 32) & _VISIBLE[buf[1:]]
-        ends = offs[1:][(offs[1:] > 0)] - 1
+        raw = buf.tobytes()
+        edges = self._edges(raw, offs)
+        ends = edges[1:][(edges[1:] > 0)] - 1
         cut[ends] = False  # a space that ends a text
-        cut[offs[:-1][offs[:-1] < n]] = True
+        cut[edges[:-1][edges[:-1] < n]] = True
         start = np.flatnonzero(cut)
         stop = np.append(start[1:], n)
         h = span_hash(prefix_sums(buf, BYTE_VALUES), start, stop)
@@ -112,7 +136,6 @@ class Encoder:
                 new = np.arange(len(known))
             first = np.empty(len(known), np.int64)
             first[back[::-1]] = np.arange(len(start))[::-1]
-            raw = buf.tobytes()
             self._learn(known[new], [raw[start[i] : stop[i]] for i in first[new]])
             found = self._look_up(known)
         size = self._size[found][back]

@@ -234,3 +234,24 @@ def test_every_training_token_is_learnt_from(spark, documents, no_documents):
         assert seen == tokens > 0
     assert all(0 < r.where("doc_id IS NULL").count() < 40 for r in rnn_lm.rounds(one))
     assert learnt(no_documents) == (0, 0)
+
+
+def test_added_tokens_in_texts(spark):
+    from tokenizers import Tokenizer
+
+    end = "<|endoftext|>"
+    texts = [end, end * 2, f"a {end} b", f"quoted{end}  two\n{end} \n x {end}é\n", f"{end} lead", f"tail \n{end}", "<|endof", f"text|> {end}", "<|endoftext |> <|ENDOFTEXT|>", "", f"one  {end}  two " * 50, None, f"<{end}> <|{end}|>"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "row int, text string").coalesce(1)
+    library = Tokenizer.from_file(byte_bpe())
+    ids = {i: library.encode(t or "", add_special_tokens=False) for i, t in enumerate(texts)}
+    assert 50256 in ids[0].ids
+    got = {}
+    for r in sorted(packing.pack(rows, byte_bpe(), ["row"], length=16).collect(), key=lambda r: (r["row"], r["start"])):
+        got.setdefault(r["row"], []).extend(np.frombuffer(r["ids"], "<u4").tolist())
+    assert got == {i: e.ids + [1] for i, e in ids.items()}
+    counted = Counter()
+    for r in token_counts.count_by_section(rows, byte_bpe(), ["row"], rule="first").collect():
+        counted[r["row"], r["section_start"]] += r["n_tokens"]
+    for i, t in enumerate(texts):
+        begins = [0, *[m.end() for m in re.finditer("\n", t or "") if m.end() < len(t)]]
+        assert [counted[i, b] for b in begins] == [sum(b <= a < z for a, _ in ids[i].offsets) for b, z in zip(begins, [*begins[1:], len(t or "")], strict=True)]
