@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rxlake.llm import html_main, jaccard, mixing, packing, quality, rnn_lm, secret_scan, suffix_dedup, token_counts, topk
+from rxlake.llm import bestfit, html_main, jaccard, mixing, packing, phrases, quality, repair, rnn_lm, secret_scan, suffix_dedup, token_counts, topk
+from rxlake.llm.oracle import OP12_SQL, OP13_SQL
 
 WORDS = r"regexp_extract_all(coalesce({t}, ''), '[^\x20\x09-\x0D]+')"
 
@@ -136,6 +137,19 @@ def op10_rnn_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rnn_lm.score(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_bestfit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return bestfit.pack(docs, byte_bpe(), ["doc_id"], with_ids=False)[0]
+
+
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.audits(repair.damaged(read(spark, sf_dir, "conversations")))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read(spark, sf_dir, "documents").select("text", "lang"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_topk": op2_topk,
@@ -147,10 +161,15 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_rnn_lm": op10_rnn_lm,
+    "op11_bestfit": op11_bestfit,
+    "op12_repair": op12_repair,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLE = {
     "op1_mixing": OP1_SQL,
     "op2_topk": OP2_SQL,
     "op6_secret_scan": OP6_SQL,
+    "op12_repair": OP12_SQL,
+    "op13_collocations": OP13_SQL,
 }
