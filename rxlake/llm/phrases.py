@@ -12,7 +12,8 @@ window longer than needed and changes no count that reaches the threshold, so
 bitmaps have a size bound (``MAX_BITS``) and results do not depend on it.
 
 Words are numbered by a 64-bit hash of language and word; if a frequent one shares
-its number with any other word, all are numbered anew with another seed.
+its number with any other word, which a second hash tells, all are numbered anew with
+another seed. Words are spelt out for the phrases that are returned.
 
 Defined cases: null or empty texts have no words; a null language is ``und``;
 repeated rows count as often as they come; equal scores are ordered by count and
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rxlake.llm.store import keep, ship_code
+from rxlake.llm.store import discard, keep, ship_code
 from rxlake.llm.textkit import BYTE_VALUES, PLACE, U, mix, prefix_sums, span_hash, text_slices
 
 ORDER = 5
@@ -39,7 +40,7 @@ TOP = 2000
 MAX_BITS = 1 << 27
 #: Join keys of one word are spread over so many salts.
 SALTS = 16
-SLICE = 8 << 20
+SLICE = 2 << 20
 
 _BREAK = np.zeros(256, bool)
 _BREAK[list(b".,;:!?\n\v\f\r")] = True
@@ -51,7 +52,7 @@ _LOWER[65:91] += 32
 
 class Slice:
     """The words of some texts: ``key`` numbers distinct (language, word) pairs of
-    the slice, of which ``langs``, ``words`` and ``ids`` tell; ``joined`` marks words
+    the slice, of which ``langs``, ``words``, ``ids`` and ``checks`` tell; ``joined`` marks words
     that are followed by another in their piece."""
 
     def __init__(self, buf: np.ndarray, offs: np.ndarray, lang: pa.Array, seed: int):
@@ -65,35 +66,39 @@ class Slice:
             ends[:-1] &= ~solid[1:] | edge[1:n]
         start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
         doc = np.repeat(np.arange(len(offs) - 1), np.diff(np.searchsorted(start, offs)))
-        piece = np.cumsum(_BREAK[buf])[start]
+        piece = np.cumsum(_BREAK[buf], dtype=np.int32)[start]
         self.joined = np.zeros(len(start), bool)
         self.joined[:-1] = (doc[1:] == doc[:-1]) & (piece[1:] == piece[:-1])
 
         at = np.zeros(len(start) + 1, np.int64)
         np.cumsum(end - start, out=at[1:])
-        spelled = pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(at), pa.py_buffer(_LOWER[buf[solid]])).dictionary_encode()
+        spelt = pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(at), pa.py_buffer(_LOWER[buf[solid]])).dictionary_encode()
         spoken = lang.dictionary_encode()
         wide = max(len(spoken.dictionary), 1)
-        both = spelled.indices.to_numpy().astype(np.int64) * wide + spoken.indices.to_numpy()[doc]
+        both = spelt.indices.to_numpy().astype(np.int64) * wide + spoken.indices.to_numpy()[doc]
         distinct, self.key, self.count = np.unique(both, return_inverse=True, return_counts=True)
-        self.words = spelled.dictionary.take(pa.array(distinct // wide))
+        self.words = spelt.dictionary.take(pa.array(distinct // wide))
         self.langs = spoken.dictionary.take(pa.array(distinct % wide))
-        own = _hashes(spelled.dictionary)[distinct // wide]
-        self.ids = mix(own ^ mix(_hashes(spoken.dictionary.cast(pa.large_string()))[distinct % wide] + U(seed)))
+        own = _hashes(spelt.dictionary)[distinct // wide]
+        tongue = _hashes(spoken.dictionary.cast(pa.large_string()))[distinct % wide]
+        self.ids = mix(own ^ mix(tongue + U(seed)))
+        #: A second number from other values of the bytes; equal ids of different
+        #: words differ in it.
+        self.checks = mix(_hashes(spelt.dictionary, BYTE_VALUES[::-1])[distinct // wide] + tongue)
 
 
-def _hashes(strings: pa.Array) -> np.ndarray:
+def _hashes(strings: pa.Array, values: np.ndarray = BYTE_VALUES) -> np.ndarray:
     if not len(strings):
         return np.zeros(0, np.uint64)
     _, at, data = strings.buffers()
     offs = np.frombuffer(at, np.int64)[: len(strings) + 1]
     raw = np.frombuffer(data, np.uint8)[: offs[-1]] if data is not None else np.zeros(0, np.uint8)
-    return span_hash(prefix_sums(raw, BYTE_VALUES), offs[:-1], offs[1:])
+    return span_hash(prefix_sums(raw, values), offs[:-1], offs[1:])
 
 
 def _pairs(ids: np.ndarray) -> np.ndarray:
-    """Number of each id with the one that follows it."""
-    return mix(ids[:-1] * PLACE[0] + ids[1:] * PLACE[1])
+    """Number of each id with the one that follows it: 40 bits, for bitmaps only."""
+    return mix(ids[:-1] * PLACE[0] + ids[1:] * PLACE[1]) >> U(24)
 
 
 def _has(bitmap: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -111,15 +116,31 @@ def _slices(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[Slice]:
 
 
 def vocabulary(texts: DataFrame, seed: int) -> DataFrame:
-    """id, lang, word, f: all words of all texts."""
+    """id, f, clash (words of this number differ): all words of all texts; and rows
+    with lang, the number 0 and all words of that language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s in _slices(batches, seed):
-            cols = [pa.array(s.ids.view(np.int64)), s.langs.cast(pa.string()), s.words.cast(pa.string()), pa.array(s.count)]
-            yield pa.RecordBatch.from_arrays(cols, ["id", "lang", "word", "c"])
+            spoken = s.langs.dictionary_encode()
+            total = np.bincount(spoken.indices.to_numpy(), s.count, len(spoken.dictionary)).astype(np.int64)
+            n, k = len(s.ids), len(total)
+            ids, checks = (np.append(x, np.zeros(k, np.uint64)).view(np.int64) for x in (s.ids, s.checks))
+            lang = pa.concat_arrays([pa.nulls(n, pa.string()), spoken.dictionary.cast(pa.string())])
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(checks), lang, pa.array(np.append(s.count, total))], ["id", "chk", "lang", "c"])
 
-    found = texts.mapInArrow(run, "id bigint, lang string, word string, c bigint")
-    return found.groupBy("id", "lang", "word").agg(F.sum("c").alias("f"))
+    found = texts.mapInArrow(run, "id bigint, chk bigint, lang string, c bigint").groupBy("id", "lang")
+    return found.agg(F.sum("c").alias("f"), F.min("chk").alias("_a"), F.max("chk").alias("_b")).select("id", "lang", "f", (F.col("_a") != F.col("_b")).alias("clash"))
+
+
+def spelled(texts: DataFrame, words, seed: int) -> DataFrame:
+    """id, word of all frequent words, by slice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for s in _slices(batches, seed):
+            some = np.flatnonzero(_has(words.value, s.ids))
+            yield pa.RecordBatch.from_arrays([pa.array(s.ids[some].view(np.int64)), s.words.take(pa.array(some)).cast(pa.string())], ["id", "word"])
+
+    return texts.mapInArrow(run, "id bigint, word string")
 
 
 def bitmap(ids: DataFrame) -> np.ndarray:
@@ -185,10 +206,9 @@ def _columns(order: int) -> list[str]:
 
 def marginals(windows: DataFrame, order: int, least: int) -> DataFrame:
     """lang, p (ids of the words), f: all phrases of up to ``order`` words that occur
-    ``least`` times, words among them, from the longest windows alone."""
+    ``least`` times, words among them, from the counts of the longest windows alone."""
     cols = _columns(order)
-    longest = windows.groupBy("lang", *cols).agg(F.sum("c").alias("c"))
-    summed = longest.rollup("lang", *cols).agg(F.sum("c").alias("f"), F.grouping_id().alias("g"))
+    summed = windows.rollup("lang", *cols).agg(F.sum("c").alias("f"), F.grouping_id().alias("g"))
     # A grouping set of k words has order - k low bits; its last word must be there.
     words = F.lit(order) - F.bit_count("g")
     p = F.slice(F.array(*cols), 1, F.greatest(words, F.lit(1)))
@@ -234,21 +254,31 @@ def collocations(docs: DataFrame, *, order: int = ORDER, least: int = LEAST, per
     texts = docs.select(F.col("text"), F.coalesce(F.col("lang"), F.lit("und")).alias("lang"))
     for seed in count():
         vocab = keep(vocabulary(texts, seed), "vocabulary")
-        clash = vocab.groupBy("id").agg(F.count("*").alias("words"), F.max("f").alias("f")).where((F.col("words") > 1) & (F.col("f") >= least))
-        if clash.isEmpty():
+        if vocab.where((F.col("f") >= least) & F.col("clash")).isEmpty():
             break
-    totals = vocab.groupBy("lang").agg(F.sum("f").alias("n"))
-    known = keep(vocab.where(F.col("f") >= least), "words")
+    totals = keep(vocab.where("lang IS NOT NULL").select("lang", F.col("f").alias("n")), "totals")
+    known = keep(vocab.where((F.col("f") >= least) & F.col("lang").isNull()).select("id"), "words")
+    discard(vocab)
     sc = docs.sparkSession.sparkContext
-    words = sc.broadcast(bitmap(known.select("id")))
-    pairs = sc.broadcast(bitmap(keep(frequent_pairs(texts, words, seed, least), "pairs")))
-    phrases = keep(marginals(top_windows(texts, words, pairs, seed, order), order, least), "phrases")
+    words = sc.broadcast(bitmap(known))
+    often = keep(frequent_pairs(texts, words, seed, least), "pairs")
+    pairs = sc.broadcast(bitmap(often))
+    discard(often, known)
+    longest = keep(top_windows(texts, words, pairs, seed, order).groupBy("lang", *_columns(order)).agg(F.sum("c").alias("c")), "windows")
+    phrases = keep(marginals(longest, order, least), "phrases")
+    discard(longest)
     found = keep(maximal(scored(phrases, totals), percent), "collocations")
-    # Map tasks cut to the first ones before the exchange; ties at the end stay.
-    first = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))
-    near = found.withColumn("_at", F.rank().over(first)).where(F.col("_at") <= top).drop("_at")
-    spelled = near.select("p", F.posexplode("p").alias("i", "id")).join(known.select("id", "word"), "id")
-    spelled = spelled.groupBy("p").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "word"))), lambda x: x["word"]), " ").alias("phrase"))
+    # The first ones of each part of a language, then of the language: a task
+    # holds SALTS times ``top`` rows and ties. Map tasks cut before each exchange.
+    near, rest = found.withColumn("_part", F.pmod(F.hash("p"), F.lit(SALTS))), ["lang", "_part"]
+    for keys in (rest, ["lang"]):
+        first = Window.partitionBy(*keys).orderBy(F.desc("score"), F.desc("a"))
+        near = near.withColumn("_at", F.rank().over(first)).where(F.col("_at") <= top).drop("_at")
+    near = keep(near.drop("_part"), "first")
+    wanted = keep(near.select(F.explode("p").alias("id")).distinct(), "wanted")
+    names = keep(spelled(texts, words, seed).join(wanted, "id", "left_semi").distinct(), "names")
+    spelt = near.select("p", F.posexplode("p").alias("i", "id")).join(names, "id")
+    spelt = spelt.groupBy("p").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "word"))), lambda x: x["word"]), " ").alias("phrase"))
     last = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    ranked = near.join(spelled, "p").withColumn("rank", F.row_number().over(last).cast("long")).where(F.col("rank") <= top)
+    ranked = near.join(spelt, "p").withColumn("rank", F.row_number().over(last).cast("long")).where(F.col("rank") <= top)
     return ranked.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
