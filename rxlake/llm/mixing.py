@@ -2,19 +2,20 @@
 
 Tokens are summed by source, targets are set by weight with a ceiling, and each
 document is emitted floor(rate) times plus once more with probability equal to
-the fraction, decided by a hash of the document's id: a rerun takes the same.
+the fraction, decided by a hash of the document's id, its text and its number among
+rows that have both in common: a rerun takes the same.
 
 Defined cases: a null or empty text has size 0; a null source is a source of its
-own and comes last; a source of size 0 has target 0 and no copies; repeated rows
-share their id and hence their draw; an empty table gives no rows. Columns of
-the input are kept, whatever their names.
+own and comes last; a source of size 0 has target 0 and no copies; repeated rows,
+also those of a null id, draw each; an empty table gives no rows. Columns of the
+input are kept, whatever their names.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rxlake.llm.store import free_name, global_prefix, keep
@@ -29,8 +30,25 @@ def word_count(text: Column) -> Column:
 
 def unit_draw(seed: str, key: Column) -> Column:
     """A number in [0, 1) from the hash of a key: 52 bits of its MD5."""
-    text = F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit("null")))
-    return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / F.lit(float(2**52))
+    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), key)), 1, 13), 16, 10).cast("double") / F.lit(float(2**52))
+
+
+def numbered(docs: DataFrame, key: str, out: str) -> DataFrame:
+    """``docs`` with the number (from 0) of each row among those of equal ``key``.
+
+    Only keys that repeat are numbered: over salts of rows, so that a hot key is
+    dealt to many tasks, with the salts' counts before each."""
+    salt, n, again = free_name(docs.withColumn(out, F.lit(0)), "_salt", "_n", "_again")
+    repeated = keep(docs.groupBy(key).agg(F.count("*").alias(n)).where(F.col(n) > 1).select(F.col(key).alias(again)), "repeated")
+    held = docs.join(repeated, F.col(key) == F.col(again), "left_semi").withColumn(salt, F.pmod(F.monotonically_increasing_id(), F.lit(64)))
+    held = keep(held, "repeated")
+    counts = held.groupBy(key, salt).agg(F.count("*").alias(n))
+    before = Window.partitionBy(key).orderBy(salt).rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(key, salt, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(n))
+    inside = F.row_number().over(Window.partitionBy(key, salt).orderBy(F.lit(1))) - 1
+    held = held.withColumn(out, inside).join(counts, [key, salt]).withColumn(out, (F.col(out) + F.col(n)).cast("long"))
+    single = docs.join(repeated, F.col(key) == F.col(again), "left_anti").withColumn(out, F.lit(0).cast("long"))
+    return single.unionByName(held.drop(salt, n))
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[int], share: tuple[int, int], ceiling: int) -> DataFrame:
@@ -66,15 +84,18 @@ def source_targets(sizes: DataFrame, weights: Sequence[int], share: tuple[int, i
 
 def plan_mix(docs: DataFrame, out: str = "mix", *, weights: Sequence[int] = (3, 1, 2), share: tuple[int, int] = (3, 2), ceiling: int = 2, seed: str = "mix") -> DataFrame:
     """``docs`` with the struct ``out``: size, source_size, target, copies."""
-    size, src = free_name(docs, "_size", "_source")
-    sized = docs.withColumn(size, word_count(F.col("text")))
+    size, src, key, nth = free_name(docs, "_size", "_source", "_key", "_nth")
+    own = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), F.md5(F.coalesce(F.col("text"), F.lit(""))))
+    sized = docs.withColumn(size, word_count(F.col("text"))).withColumn(key, own)
     sizes = sized.groupBy(F.col("source")).agg(F.sum(size).cast("long").alias("source_size"))
     targets = source_targets(sizes, weights, share, ceiling)
     targets = targets.select(F.col("source").alias(src), F.struct("source_size", "target").alias(f"{src}_t"))
+    sized = numbered(sized, key, nth)
     joined = sized.join(targets, sized["source"].eqNullSafe(targets[src]))
     total, target = F.col(f"{src}_t.source_size"), F.col(f"{src}_t.target")
     rate = F.when(total > 0, target / total).otherwise(F.lit(0.0))
-    copies = F.floor(rate) + F.when(unit_draw(seed, F.col("doc_id")) < rate - F.floor(rate), 1).otherwise(0)
+    draw = unit_draw(seed, F.concat(F.col(key), F.lit(":"), F.col(nth).cast("string")))
+    copies = F.floor(rate) + F.when(draw < rate - F.floor(rate), 1).otherwise(0)
     mixed = F.struct(F.col(size).alias("size"), total.alias("source_size"), target.alias("target"), copies.cast("long").alias("copies"))
     kept = [F.col(c) for c in docs.columns if c.lower() != out.lower()]
     return joined.select(*kept, mixed.alias(out))

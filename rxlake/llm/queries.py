@@ -23,7 +23,7 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP1_SQL = f"""
-WITH d AS (SELECT doc_id, source, len({WORDS.format(t="text")})::BIGINT AS size FROM documents),
+WITH d AS (SELECT doc_id, source, len({WORDS.format(t="text")})::BIGINT AS size, coalesce(doc_id::VARCHAR, 'null') || ':' || md5(coalesce(text, '')) AS key FROM documents),
 s AS (SELECT source, sum(size)::HUGEINT AS source_size FROM d GROUP BY source),
 r AS (SELECT *, [3, 1, 2][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3)::INT + 1]::HUGEINT AS w FROM s),
 p AS (SELECT *, sum(source_size) OVER () AS total, sum(w) OVER () AS all_w,
@@ -36,7 +36,7 @@ t AS (SELECT source, source_size::BIGINT AS source_size,
              ELSE w::DOUBLE * (3 * total - 2 * c)::DOUBLE / (2 * greatest(all_w - cw, 1))::DOUBLE END AS target FROM g),
 q AS (SELECT d.doc_id, d.size, t.source_size, t.target,
         CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END AS rate,
-        ('0x' || substr(md5('mix:' || coalesce(d.doc_id::VARCHAR, 'null')), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0 AS u
+        ('0x' || substr(md5('mix:' || key || ':' || (row_number() OVER (PARTITION BY key) - 1)), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0 AS u
       FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target,
        (size * (floor(rate)::BIGINT + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken
@@ -91,17 +91,18 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 _Q = "'"
 OP6_SQL = """
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, coalesce(source, '') AS owner,
-             concat(coalesce(source, ''), '|', coalesce(lang, '')) AS repo FROM documents),
+             concat(coalesce(source, ''), chr(31), coalesce(lang, '')) AS repo, md5(coalesce(text, '')) AS digest FROM documents),
 p(kind, name, least, pat) AS (VALUES {patterns}),
-m AS (SELECT rid, owner, repo, kind, name, least, pat, regexp_extract_all(text, pat, 0) AS w, string_split_regex(text, pat) AS g
+m AS (SELECT rid, owner, repo, digest, kind, name, least, pat, regexp_extract_all(text, pat, 0) AS w, string_split_regex(text, pat) AS g
       FROM d, p WHERE regexp_matches(text, pat)),
-e AS (SELECT rid, owner, repo, kind, name, least, pat, unnest(range(len(w))) AS i, w, g FROM m),
-l AS (SELECT rid, owner, repo, kind, name, least, pat, i, w[i + 1] AS hit, length(w[i + 1]) AS len, length(g[i + 1]) AS gap FROM e),
+e AS (SELECT rid, owner, repo, digest, kind, name, least, pat, unnest(range(len(w))) AS i, w, g FROM m),
+l AS (SELECT rid, owner, repo, digest, kind, name, least, pat, i, w[i + 1] AS hit, length(w[i + 1]) AS len, length(g[i + 1]) AS gap FROM e),
 s AS (SELECT *, CASE WHEN kind = 0 THEN regexp_extract(hit, pat, 1) ELSE hit END AS value,
         sum(gap + len) OVER (PARTITION BY rid, kind ORDER BY i)::BIGINT AS stop FROM l),
-c AS (SELECT rid, owner, repo, kind, name, stop - len AS start, stop, value FROM s
+c AS (SELECT rid, owner, repo, digest, kind, name, stop - len AS start, stop, value FROM s
       WHERE length(value) >= least AND (kind < 3 OR (regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]')))),
-h AS (SELECT value, count(DISTINCT owner) <= {owners} AS live FROM c GROUP BY value),
+g AS (SELECT *, min(repo) OVER (PARTITION BY value, digest) AS place FROM c),
+h AS (SELECT value, NOT ((count(DISTINCT owner) > {owners} AND count(DISTINCT digest) > 1) OR count(DISTINCT place) > {repositories}) AS live FROM g GROUP BY value),
 j AS (SELECT c.*, live FROM c JOIN h USING (value) WHERE kind < 3 OR live),
 r AS (SELECT rid, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
         count(*) FILTER (live) AS n_live,
@@ -112,6 +113,7 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM d LEFT JOIN r USING (rid)
 """.format(
     owners=secret_scan.MAX_OWNERS,
+    repositories=secret_scan.MAX_REPOSITORIES,
     patterns=", ".join(f"({i}, '{k}', {least}, '{pat.replace(_Q, _Q * 2)}')" for i, (k, pat, _, least) in enumerate([*secret_scan.BASE, secret_scan.MIXED])),
 )
 

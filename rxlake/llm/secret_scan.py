@@ -2,13 +2,15 @@
 
 Candidates are found in whole texts by regular expressions; their places follow
 from the lengths of what lies between them. Each candidate's value is hashed
-and counted over distinct repositories and owners in the whole corpus. A long
-mixed token that few owners hold is a live-looking credential and is added to
-the base findings; one that many owners hold is a copied example and is not.
-Base findings always stay.
+and counted over distinct owners, texts and repositories in the whole corpus. A
+value is a copied example if several owners hold it in different texts, or if it
+lies in more than ``MAX_REPOSITORIES`` repositories; a text that was copied is one
+place, that of its least repository, for a copy of a document tells nothing about
+the value in it. A long mixed token that is no copied example is a live-looking
+credential and is added to the base findings. Base findings always stay.
 
 Defined cases: null or empty text has no findings; a null owner or repository
-counts as one; repeated rows share owner and repository and so raise no count;
+counts as one; repeated rows share text and place and so raise no count;
 ties are ordered by start, kind and end; an empty table gives no rows.
 """
 
@@ -36,8 +38,9 @@ BASE = [
 #: The method's own candidates: long tokens of letters and digits.
 MIXED = ("mixed", r"[A-Za-z0-9_-]{20,}", 0, 20)
 KINDS = [k for k, *_ in BASE] + ["mixed"]
-#: A value in the hands of more owners than this is a copied example.
-MAX_OWNERS = 1
+#: A value that more owners hold, in different texts, is a copied example; so is one
+#: in more repositories.
+MAX_OWNERS, MAX_REPOSITORIES = 1, 3
 
 
 def _found(text: Column, kind: str, pattern: str, group: int, least: int) -> Column:
@@ -54,33 +57,37 @@ def _found(text: Column, kind: str, pattern: str, group: int, least: int) -> Col
 
 def candidates(docs: DataFrame, owner: str, repository: list[str], columns: list[str]) -> tuple[DataFrame, DataFrame, list[str]]:
     """The kept rows with a row number, and one row a candidate: row number,
-    kind, start, end, value hash, owner, repository. Third: added names."""
+    kind, start, end, value hash, owner, repository, digest of the text. Third: added
+    names."""
     rid, found = free_name(docs, "_rid", "_found")
     own = F.coalesce(F.col(owner).cast("string"), F.lit(""))
     repo = F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in repository])
     text = F.coalesce(F.col("text"), F.lit(""))
     found_all = F.concat(*[_found(text, *k) for k in [*BASE, MIXED]])
-    rows = docs.select(*columns, F.monotonically_increasing_id().alias(rid), F.struct(own.alias("owner"), repo.alias("repo"), found_all.alias("all")).alias(found))
+    rows = docs.select(*columns, F.monotonically_increasing_id().alias(rid), F.struct(own.alias("owner"), repo.alias("repo"), F.md5(text).alias("digest"), found_all.alias("all")).alias(found))
     rows = keep(rows, "found")
-    each = rows.where(F.size(f"{found}.all") > 0).select(F.col(rid).alias("rid"), F.col(f"{found}.owner").alias("owner"), F.col(f"{found}.repo").alias("repo"), F.posexplode(f"{found}.all").alias("i", "c"))
+    each = rows.where(F.size(f"{found}.all") > 0).select(F.col(rid).alias("rid"), F.col(f"{found}.owner").alias("owner"), F.col(f"{found}.repo").alias("repo"), F.col(f"{found}.digest").alias("digest"), F.posexplode(f"{found}.all").alias("i", "c"))
     before = Window.partitionBy("rid", "c.kind").orderBy("i")
     stop = F.sum(F.col("c.gap") + F.col("c.len")).over(before)
-    each = each.select("rid", "owner", "repo", F.col("c.kind").alias("kind"), (stop - F.col("c.len")).alias("start"), stop.alias("end"), F.col("c.value").alias("value"))
+    each = each.select("rid", "owner", "repo", "digest", F.col("c.kind").alias("kind"), (stop - F.col("c.len")).alias("start"), stop.alias("end"), F.col("c.value").alias("value"))
     least = F.element_at(F.array(*[F.lit(k[3]) for k in [*BASE, MIXED]]), F.col("kind") + 1)
     both = F.col("value").rlike("[0-9]") & F.col("value").rlike("[A-Za-z]")
     each = each.where((F.length("value") >= least) & ((F.col("kind") < len(BASE)) | both))
     return rows, keep(each.withColumn("value", F.sha2("value", 256)), "candidates"), [rid, found]
 
 
-def findings(docs: DataFrame, columns: list[str], *, owner: str = "source", repository: list[str] | None = None, max_owners: int = MAX_OWNERS, out: str = "secrets") -> DataFrame:
+def findings(docs: DataFrame, columns: list[str], *, owner: str = "source", repository: list[str] | None = None, max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES, out: str = "secrets") -> DataFrame:
     """``columns`` of each row and the struct ``out``: n_assign, n_access, n_hex,
-    n_live (spans that few owners hold), base and spans: arrays of
+    n_live (spans that are no copied examples), base and spans: arrays of
     (start, kind, end), kind by place in ``KINDS``, in that order."""
     rows, each, (rid, found) = candidates(docs, owner, repository or [owner, "lang"], columns)
-    # Distinct repositories of each value first: a value that a hot source
-    # repeats shrinks to one row a repository before it meets others.
-    held = each.groupBy("value", "owner", "repo").count().groupBy("value").agg(F.countDistinct("owner").alias("owners"), F.count("*").alias("repos"))
-    judged = each.join(held, "value").withColumn("live", F.col("owners") <= max_owners)
+    # Distinct places of each value first: a value that a hot source repeats
+    # shrinks before it meets others.
+    places = each.groupBy("value", "digest", "owner", "repo").count()
+    texts = places.groupBy("value", "digest").agg(F.min("repo").alias("place")).groupBy("value").agg(F.count("*").alias("texts"), F.countDistinct("place").alias("places"))
+    held = places.groupBy("value").agg(F.countDistinct("owner").alias("owners")).join(texts, "value")
+    copied = ((F.col("owners") > max_owners) & (F.col("texts") > 1)) | (F.col("places") > max_repositories)
+    judged = each.join(held, "value").withColumn("live", ~copied)
     judged = judged.where((F.col("kind") < len(BASE)) | F.col("live"))
     is_base = F.col("kind") < len(BASE)
     span = F.struct(F.col("start"), F.col("kind"), F.col("end"))
