@@ -9,8 +9,13 @@ its own best path has, keeps its own.
 
 The text is that of all containers on the path, in page order, with headings and
 text that stand directly in the containers around them, up to the one they share.
-Noise is left out: dropped elements, names of ``NOISE``, containers not named like
-content that are mostly links, and text around that is mostly links, headings not.
+Left out are elements of ``DROPPED``, hidden ones, containers not named like content
+that are mostly links, and text around that is mostly links, headings not. Elements
+that only look like noise, by tag (``SOFT``), role or name, are read first and judged
+by what they hold: one with an article inside, or named by its page's layout around
+most of the text, stays, as does a form around the page and a header in an article;
+others take no part in scores, votes or text. Reader comments never stay. A name
+counts for a heading or paragraph only if it is noise as a whole.
 
 Defined cases: null or empty html gives an empty text; a url that is null or has
 no host belongs to the host ""; repeated rows vote each and give equal rows;
@@ -23,6 +28,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from heapq import nsmallest
 from html import unescape
 
 import pyarrow as pa
@@ -35,7 +41,8 @@ from rxlake.llm.store import free_name, keep, schema_of, ship_code
 CONTAINERS = frozenset("body main article section div td center".split())
 BLOCKS = CONTAINERS | frozenset("html head p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr th caption blockquote pre figure figcaption address hr br header footer nav aside form fieldset details summary hgroup menu dialog".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-DROPPED = frozenset("head nav header footer aside form menu dialog button select option label fieldset noscript template iframe object canvas svg math audio video map".split())
+DROPPED = frozenset("head nav menu dialog button select option noscript template iframe object canvas svg math audio video map".split())
+SOFT = frozenset("header footer aside form label fieldset".split())
 RAW = "script|style|textarea|title|xmp|noembed|noframes"
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 NOISE = frozenset(
@@ -43,61 +50,127 @@ NOISE = frozenset(
     "cookie cookies consent gdpr notice alert popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended comment comments commentlist disqus reply replies respond discussion "
     "form search widget widgets pagination pager toolbar skip".split()
 )
+COMMENTS = frozenset("comment comments commentlist disqus reply replies respond discussion".split())
 GOOD = frozenset("article content entry post story main text body".split())
-
+#: Noise words that beside a word of ``GOOD`` tell a part of the article.
+PLACES = frozenset("header side masthead banner form".split())
+#: Words of names that tell how a page is laid out, not what an element is.
+LAYOUT = frozenset("has have no not with without is on off layout".split())
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b[^>]*>.*?(?:</(?P=raw)\s*[^>]*>|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*|[^>]*)(?:>|\Z)",
     re.S | re.I,
 )
-_ATTR = re.compile(r"""(?:^|[\s"'])(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
+_ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
 _NAMES = re.compile(r"[^a-z0-9]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog".split())
 
 
+def noise_of(name: str, whole: bool) -> str:
+    """What a name (a class or an id) tells: "", "noise" or "comments". ``whole``:
+    all its words must be noise."""
+    words = [w for w in _NAMES.split(name) if w]
+    found = NOISE.intersection(words)
+    if not found or LAYOUT.intersection(words) or (whole and not NOISE.issuperset(words)):
+        return ""
+    if found & COMMENTS:
+        return "comments"
+    return "" if found <= PLACES and GOOD.intersection(words) else "noise"
+
+
 class Page:
     """Containers and text blocks of a page.
 
-    nodes: (parent, path, weight); blocks: (node, text, is it no mere links), in
-    page order."""
+    Nodes are containers and elements that look like noise: parent, step (tag and
+    generalised class), weight, kind of noise. Paths are numbered by (path of the
+    parent, step), so depth costs nothing. Blocks, in page order: (node, text, is it
+    no mere links)."""
 
     def __init__(self, html: str):
-        self.parent, self.path, self.weight = [-1], ["body"], [0.7]
+        self.parent, self.step, self.weight, self.tag, self.noise = [-1], ["body"], [0.7], ["body"], [""]
         self.blocks: list[tuple[int, str, bool]] = []
         self.linked = [0]
         self._read(html)
-        self.plain = [0] * len(self.parent)
+        n = len(self.parent)
+        self._number: dict[tuple[int, str], int] = {}
+        self.path = [0] * n
+        for i in range(n):
+            self.path[i] = self._number.setdefault((self.path[self.parent[i]] if i else -1, self.step[i]), len(self._number))
+        self._judge()
+        self.plain = [0] * n
         for node, text, _ in self.blocks:
             self.plain[node] += len(text)
-        self.linked += [0] * (len(self.parent) - len(self.linked))
-        for i in range(len(self.parent) - 1, 0, -1):
-            self.plain[self.parent[i]] += self.plain[i]
-            self.linked[self.parent[i]] += self.linked[i]
+        self.plain, self.linked = self._sums(self.plain), self._sums([0 if self.out[i] else x for i, x in enumerate(self.linked)])
         #: Scores of all containers on a path.
-        self.total: dict[str, float] = {}
+        self.total = [0.0] * len(self._number)
         for i, p in enumerate(self.path):
-            self.total[p] = self.total.get(p, 0.0) + self.score(i)
-
-    def _attributes(self, tag: str, attrs: str) -> tuple[bool, str, bool]:
-        """Is the element noise; its class, generalised; is it named like content."""
-        drop, label, good = tag in DROPPED, "", False
-        if attrs and "=" in attrs or "hidden" in attrs:
-            for name, a, b, c in _ATTR.findall(attrs):
-                name, value = name.lower(), (a or b or c).lower()
-                if name == "style":
-                    drop |= bool(_HIDDEN.search(value))
-                elif name == "hidden" or name == "aria-hidden":
-                    drop |= name == "hidden" or value == "true"
-                elif name == "role":
-                    drop |= value in ROLES
-                else:
-                    words = set(_NAMES.split(value))
-                    if tag not in ("body", "html", "main", "article"):
-                        drop |= bool(words & NOISE)
-                    good |= bool(words & GOOD)
-                    if name == "class":
-                        label = ".".join(sorted(re.sub(r"\d+", "#", w) for w in value.split()))
-        return drop, label, good
+            self.total[p] += self.score(i)
+
+    def _sums(self, own: list[int]) -> list[int]:
+        """Of each node and all below it."""
+        out = list(own)
+        for i in range(len(out) - 1, 0, -1):
+            out[self.parent[i]] += out[i]
+        return out
+
+    def _judge(self) -> None:
+        """Mark nodes that are noise and take their blocks away."""
+        n = len(self.parent)
+        size, free, articles, good = [0] * n, 0, [0] * n, [0] * n
+        noisy, talk, story = [False] * n, [False] * n, [False] * n
+        for i in range(1, n):
+            p = self.parent[i]
+            noisy[i] = noisy[p] or bool(self.noise[i])
+            talk[i] = talk[p] or self.noise[i] == "comments"
+            story[i] = story[p] or self.tag[i] in ("article", "main")
+        for node, text, _ in self.blocks:
+            size[node] += len(text)
+            free += 0 if noisy[node] else len(text)
+        whole = sum(size)
+        size = self._sums(size)
+        for i in range(1, n):
+            if size[i] and not talk[i] and not self.noise[i]:
+                articles[i] = self.tag[i] in ("article", "main")
+                good[i] = self.weight[i] > 1
+        articles, good = self._sums(articles), self._sums(good)
+        self.out = [False] * n
+        for i in range(1, n):
+            kind, around = self.noise[i], self.out[self.parent[i]]
+            stays = not kind or (
+                kind != "comments"
+                and (articles[i] > 0 or (good[i] > 0 and 2 * size[i] >= whole) or (self.tag[i] == "header" and story[self.parent[i]]) or (self.tag[i] == "form" and size[i] > 10 * free))
+            )
+            self.out[i] = around or not stays
+        self.blocks = [b for b in self.blocks if not self.out[b[0]]]
+
+    def _attributes(self, tag: str, attrs: str) -> tuple[bool, str, str, bool]:
+        """Is the element to be dropped; its kind of noise; its class, generalised; is
+        it named like content."""
+        drop, noise, label, good = tag in DROPPED, "noise" if tag in SOFT else "", "", False
+        if not attrs or attrs.isspace():
+            return drop, noise, label, good
+        seen = set()
+        for name, a, b, c in _ATTR.findall(attrs):
+            name, value = name.lower(), (a or b or c).lower()
+            if name in seen:
+                continue
+            seen.add(name)
+            if name == "style":
+                drop |= bool(_HIDDEN.search(value))
+            elif name == "hidden" or name == "aria-hidden":
+                drop |= name == "hidden" or value == "true"
+            elif name == "role":
+                drop |= value in ("navigation", "menu", "menubar", "dialog", "alertdialog")
+                noise = noise or ("noise" if value in ROLES else "")
+            elif name in ("class", "id"):
+                names = value.split()
+                good |= any(GOOD.intersection(_NAMES.split(w)) for w in names)
+                if tag not in ("body", "html", "main", "article"):
+                    kinds = {noise_of(w, tag in HEADINGS or tag not in CONTAINERS) for w in names}
+                    noise = "comments" if "comments" in kinds else noise or ("noise" if "noise" in kinds else "")
+                if name == "class":
+                    label = ".".join(sorted(re.sub(r"\d+", "#", w).replace(">", "") for w in names))
+        return drop, noise, label, good
 
     def _read(self, html: str) -> None:
         stack: list[tuple[str, int]] = []  # open tags and the container they are in
@@ -146,20 +219,29 @@ class Page:
                 links = 1
             if tag in VOID or m["attrs"].rstrip().endswith("/"):
                 continue
+            if tag in BLOCKS and stack and stack[-1][0] == "p":
+                node = stack.pop()[1]  # a paragraph ends where the next block begins
+                opened["p"] -= 1
+                if skip and len(stack) < skip_at:
+                    skip = 0
             if tag == "body" and skip and stack[skip_at - 1][0] == "head":
                 stack.clear()
                 opened.clear()  # an unclosed head ends here
                 skip = 0
-            drop, label, good = (False, "", False) if skip else self._attributes(tag, m["attrs"])
-            if tag in BLOCKS or drop:
+            drop, noise, label, good = (False, "", "", False) if skip else self._attributes(tag, m["attrs"])
+            if tag in BLOCKS or drop or noise:
+                if noise and not drop and tag not in BLOCKS:
+                    close()
                 stack.append((tag, node))
                 opened[tag] += 1
             if drop:
                 skip, skip_at = 1, len(stack)
-            elif not skip and tag in CONTAINERS and tag != "body":
+            elif not skip and ((tag in CONTAINERS and tag != "body") or noise):
                 self.parent.append(node)
-                self.path.append(f"{self.path[node]}>{tag}{'.' + label if label else ''}")
+                self.step.append(f"{tag}.{label}" if label else tag)
                 self.weight.append(1.5 if tag == "article" else 1.3 if tag == "main" or good else 1.0)
+                self.tag.append(tag)
+                self.noise.append(noise)
                 self.linked.append(0)
                 node = len(self.parent) - 1
         if at < len(html) and not skip:
@@ -167,25 +249,42 @@ class Page:
         close()
 
     def score(self, i: int) -> float:
-        return max(self.plain[i] - 2 * self.linked[i], 0) * self.weight[i]
+        return 0.0 if self.out[i] else max(self.plain[i] - 2 * self.linked[i], 0) * self.weight[i]
 
     def best(self) -> int:
         """The last container on the path of highest score; the inner path in a tie."""
         return max(range(len(self.parent)), key=lambda i: (self.total[self.path[i]], i))
 
+    def spelled(self, i: int) -> str:
+        """The path of a container as text."""
+        steps = []
+        while i >= 0:
+            steps.append(self.step[i])
+            i = self.parent[i]
+        return ">".join(reversed(steps))
+
+    def find(self, path: str | None) -> int:
+        """The number of a path given as text; -1 if the page has none such."""
+        at = -1
+        for i, step in enumerate((path or "").split(">")):
+            at = self._number.get((at, step), -2)
+            if at == -2:
+                return -1
+        return at
+
     def votes(self, most: int = 3) -> list[tuple[str, float]]:
         """The best paths with their part of the top score."""
         last = {p: i for i, p in enumerate(self.path)}
-        order = sorted(last, key=lambda p: (-self.total[p], -last[p]))[:most]
+        order = nsmallest(most, last, key=lambda p: (-self.total[p], -last[p]))
         top = self.total[order[0]]
-        return [(p, self.total[p] / top) for p in order if top and self.total[p] > 0]
+        return [(self.spelled(last[p]), self.total[p] / top) for p in order if top and self.total[p] > 0]
 
     def choose(self, path: str | None, least: float = 0.5) -> int:
         """A container on the path to take: ``path`` or the page's own best."""
-        own = self.best()
-        if path not in self.total or self.total[path] < least * self.total[self.path[own]]:
+        own, wanted = self.best(), self.find(path)
+        if wanted < 0 or self.total[wanted] < least * self.total[self.path[own]]:
             return own
-        return max((i for i, p in enumerate(self.path) if p == path), key=lambda i: (self.score(i), i))
+        return max((i for i, p in enumerate(self.path) if p == wanted), key=lambda i: (self.score(i), i))
 
     def text(self, node: int) -> str:
         """Of all containers on the path of ``node``, and what stands around them."""
@@ -199,6 +298,10 @@ class Page:
         while len(level) > 1:
             level = {self.parent[i] for i in level}
             around |= level
+        # Headings and the like in elements of their own (a kept header) count too.
+        for i in range(1, len(self.parent)):
+            if self.noise[i] and self.parent[i] in around and i not in same and self.tag[i] not in CONTAINERS:
+                around.add(i)
         return " ".join(t for n, t, plain in self.blocks if inside[n] or (plain and n in around))
 
 
