@@ -28,6 +28,7 @@ from rxlake.llm.textkit import text_slices
 
 LENGTH = 2048
 END = 1
+MADE = ["start", "length", "ids", "ids_crc32", "doc_tokens", "sequence_id", "offset", "boundary"]
 
 
 def encode_documents(docs: DataFrame, path: str, columns: list[str], end: int = END) -> tuple[DataFrame, list[str]]:
@@ -60,13 +61,13 @@ def pack(docs: DataFrame, path: str, columns: list[str], *, length: int = LENGTH
     """Pieces: ``columns``, start, length, ids (if asked for), ids_crc32,
     doc_tokens, sequence_id, offset, boundary (its window spans two partitions)."""
     kept, (ids, n, pid, before) = encode_documents(docs, path, columns, end)
+    own = [c for c in columns if c not in MADE]
     totals = keep(kept.groupBy(pid).agg(F.sum(n).alias("total")), "totals")
-    starts = keep(prefix_of_totals(totals, pid, ["total"]).join(totals, pid), "starts")
+    lo, first, last, total = free_name(kept, "_lo", "_first", "_last", "_total")
+    starts = prefix_of_totals(totals, pid, ["total"]).join(totals, pid)
+    starts = keep(starts.select(pid, F.col("before_total").alias(first), F.col("total").alias(total)), "starts")
     rows = kept.join(starts, pid)
-    own = [c for c in columns if c not in (made := ["start", "length", "ids", "ids_crc32", "doc_tokens", "sequence_id", "offset", "boundary"])]
-    del made
-    lo, first, last = "_lo", "_first", "_last"
-    rows = rows.select(*own, ids, n, (F.col("before_total") + F.col(before)).alias(lo), F.col("before_total").alias(first), (F.col("before_total") + F.col("total")).alias(last))
+    rows = rows.select(*own, ids, n, (F.col(first) + F.col(before)).alias(lo), first, (F.col(first) + F.col(total)).alias(last))
     width = ", ids binary" if with_ids else ""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
