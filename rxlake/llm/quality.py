@@ -193,7 +193,8 @@ def label_sample(docs: DataFrame, labels: DataFrame, max_labels: int) -> tuple[n
     chosen = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.max("quality").alias("y"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labels)
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    found = _counted(rows, ["doc_id", "y"]).select("doc_id", "y", "stats").dropDuplicates(["doc_id"]).limit(max_labels).orderBy("doc_id").collect()
+    # Of different texts under one id, that of the least statistics.
+    found = _counted(rows, ["doc_id", "y"]).groupBy("doc_id", "y").agg(F.min("stats").alias("stats")).orderBy("doc_id").collect()
     return np.array([r["stats"] for r in found], np.float64).reshape(-1, len(FEATURES)), np.array([r["y"] for r in found], np.float64)
 
 
