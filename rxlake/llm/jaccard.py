@@ -11,11 +11,14 @@ are common. So a longer prefix is allowed to demand more common shingles.
 2. The survivors lengthen their prefixes by estimated cost. For a length ``l``
    a set may leave out the l - 1 most frequent shingles of its prefix and still
    meet each partner in one of the others; the cost is what those others' lists
-   hold, and each set takes the ``l`` of least cost. What it then looks up
-   (its probes) meets the full prefixes of all survivors.
-3. Pairs are verified exactly on the whole sets. First the members of each set's
-   longest list are compared with some central ones (those whose shingles are
-   the most frequent: the least edited copies). What is in one component then
+   hold, and each set takes the ``l`` of least cost. Of a pair, the set of the
+   smaller ``l`` finds the other: what it looks up (its probes) meets the other's
+   prefix, which is as long at least.
+3. A pair found must share ``l`` shingles of both prefixes, the smaller of the two,
+   and is then verified exactly on the whole sets. First the members of each set's
+   longest list are compared with a central one (whose shingles are the most
+   frequent: the least edited copy), those not linked with it with the next, and
+   so for ``PIVOTS`` of them. What is in one component then
    needs no further comparison; of all other pairs none is left out. Members of
    long lists are joined to clusters, dealt by size and hash to cells of bounded
    size, and each cell multiplies its incidence matrices and gives the links
@@ -39,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from rxlake.llm.graph import components
-from rxlake.llm.store import free_name, keep, ship_code
+from rxlake.llm.store import discard, free_name, keep, ship_code
 from rxlake.llm.textkit import PLACE, mix, text_slices, windows_of, words_of
 
 K = 5
@@ -96,8 +99,8 @@ def _lists(parts: list[np.ndarray | None]) -> pa.Array:
 
 
 def _sketches(docs: DataFrame) -> DataFrame:
-    """One row a document: rid, doc_id, row_key, d1, d2, n, and the first prefix
-    of its set unless the same task has given one for an equal set."""
+    """One row a document: rid, doc_id, row_key, hash of the text, d1, d2, n, and the
+    first prefix of its set unless the same task has given one for an equal set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rid, seen = TaskContext.get().partitionId() << 33, set()
@@ -114,11 +117,11 @@ def _sketches(docs: DataFrame) -> DataFrame:
                 d = np.array(keys, np.int64).reshape(-1, 2)
                 ids = rid + np.arange(len(n))
                 rid += len(n)
-                cols = [pa.array(ids), *(b.column(i).slice(lo, hi - lo) for i in (0, 1)), pa.array(d[:, 0]), pa.array(d[:, 1]), pa.array(np.array(n, np.int64)), _lists(prefix)]
-                yield pa.RecordBatch.from_arrays(cols, ["rid", "doc_id", "row_key", "d1", "d2", "n", "prefix"])
+                cols = [pa.array(ids), *(b.column(i).slice(lo, hi - lo) for i in (0, 1, 2)), pa.array(d[:, 0]), pa.array(d[:, 1]), pa.array(np.array(n, np.int64)), _lists(prefix)]
+                yield pa.RecordBatch.from_arrays(cols, ["rid", "doc_id", "row_key", "h", "d1", "d2", "n", "prefix"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "row_key", "text").mapInArrow(run, f"rid bigint, doc_id {kind}, row_key string, d1 bigint, d2 bigint, n bigint, prefix array<bigint>")
+    return docs.select("doc_id", "row_key", F.xxhash64("text").alias("h"), "text").mapInArrow(run, f"rid bigint, doc_id {kind}, row_key string, h bigint, d1 bigint, d2 bigint, n bigint, prefix array<bigint>")
 
 
 def _sets(found: DataFrame) -> DataFrame:
@@ -139,8 +142,8 @@ def _sets(found: DataFrame) -> DataFrame:
 
 
 def _probes(rows: DataFrame) -> DataFrame:
-    """token, cid, n, probe, df, weight (mean df of the set's prefix) for each
-    shared shingle of a set's longest prefix.
+    """token, cid, n, need (l), probe, df, weight (mean df of the set's longest
+    prefix) for each shared shingle of the prefix that a set has chosen.
 
     ``rows``: cid, n, shared: array of (pos, df, token)."""
 
@@ -153,35 +156,39 @@ def _probes(rows: DataFrame) -> DataFrame:
                 flat = shared.flatten()
                 pos, df, token = (flat.field(i).to_numpy() for i in range(3))
                 ends = np.append(0, np.cumsum(shared.value_lengths().to_numpy()))
-                probe = np.zeros(len(pos), bool)
+                probe, inside, need = np.zeros(len(pos), bool), np.zeros(len(pos), bool), np.zeros(len(n), np.int64)
                 for i, m in enumerate(n):
                     a, z = ends[i], ends[i + 1]
-                    probe[a:z] = choose(int(m), pos[a:z], df[a:z], token[a:z])
+                    need[i], inside[a:z], probe[a:z] = choose(int(m), pos[a:z], df[a:z], token[a:z])
                 row = np.repeat(np.arange(len(n)), np.diff(ends))
                 weight = np.bincount(row, df, len(n)) / np.maximum(n, 1)
-                cols = {"token": token, "cid": cid[row], "n": n[row], "probe": probe, "df": df, "weight": weight[row]}
-                yield pa.RecordBatch.from_pydict({c: pa.array(x) for c, x in cols.items()})
+                cols = {"token": token, "cid": cid[row], "n": n[row], "need": need[row], "probe": probe, "df": df, "weight": weight[row]}
+                yield pa.RecordBatch.from_pydict({c: pa.array(x[inside]) for c, x in cols.items()})
 
-    return rows.mapInArrow(run, "token bigint, cid bigint, n bigint, probe boolean, df bigint, weight double")
+    return rows.mapInArrow(run, "token bigint, cid bigint, n bigint, need bigint, probe boolean, df bigint, weight double")
 
 
-def choose(n: int, pos: np.ndarray, df: np.ndarray, token: np.ndarray) -> np.ndarray:
-    """Which shared shingles (place in the set, sets that have it) are looked up:
-    for each length, those left without its l - 1 most frequent ones, if there
-    are ``l`` at all; of these choices the one whose lists are shortest."""
+def choose(n: int, pos: np.ndarray, df: np.ndarray, token: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
+    """The length ``l`` of a set, and which of its shared shingles (place in the set,
+    sets that have it) are in the prefix, and are looked up: for each length, those
+    left without its l - 1 most frequent ones, if there are ``l`` at all; of these
+    choices the one whose lists are shortest."""
     base = n - least_common(n)
-    best, chosen = None, np.zeros(len(pos), bool)
+    none = np.zeros(len(pos), bool)
+    best, chosen = None, (0, none, none)
     for level in LEVELS:
         need = length_of(n, level)
-        inside = np.flatnonzero(pos < base + need)
-        if len(inside) < need:
-            return np.zeros(len(pos), bool)  # no partner can share enough
+        inside = pos < base + need
+        at = np.flatnonzero(inside)
+        if len(at) < need:
+            return 0, none, none  # no partner can share enough
         # Rarest first, in an order that is the same for all sets.
-        order = inside[np.lexsort((token[inside], df[inside]))][: len(inside) - need + 1]
+        order = at[np.lexsort((token[at], df[at]))][: len(at) - need + 1]
         cost = float((df[order] - 1).sum()) + 0.5 * need
         if best is None or cost < best:
-            best, chosen = cost, np.zeros(len(pos), bool)
-            chosen[order] = True
+            probe = none.copy()
+            probe[order] = True
+            best, chosen = cost, (need, inside, probe)
     return chosen
 
 
@@ -193,11 +200,17 @@ def _shared(postings: DataFrame) -> DataFrame:
     return dealt.join(counts, "token")
 
 
-def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _verify(pairs: DataFrame, prefixes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links of ``pairs``: those that share enough of their prefixes (cid, need,
+    prefix), and then enough of the whole."""
+    one = prefixes.select(F.col("cid").alias("a"), F.col("need").alias("la"), F.col("prefix").alias("pa"))
+    two = prefixes.select(F.col("cid").alias("b"), F.col("need").alias("lb"), F.col("prefix").alias("pb"))
+    enough = F.size(F.array_intersect("pa", "pb")) >= F.least("la", "lb")
+    near = pairs.join(one, "a").join(two, "b").where(enough).select("a", "b")
     one = sets.select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
     two = sets.select(F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
     common = F.size(F.array_intersect("ta", "tb")).cast("long")
-    return pairs.join(one, "a").join(two, "b").where(DEN * common >= NUM * (F.col("na") + F.col("nb") - common)).select("a", "b")
+    return near.join(one, "a").join(two, "b").where(DEN * common >= NUM * (F.col("na") + F.col("nb") - common)).select("a", "b")
 
 
 def _sizes_fit(n: Column, m: Column) -> Column:
@@ -206,18 +219,29 @@ def _sizes_fit(n: Column, m: Column) -> Column:
 
 def link_classes(sets: DataFrame, lists: DataFrame) -> DataFrame:
     """node, label of all sets linked with another. ``lists``: as from ``_probes``."""
-    lists = keep(lists, "lists")
+    every = keep(lists, "lists")
+    prefixes = keep(every.groupBy("cid", "need").agg(F.collect_list("token").alias("prefix")), "prefixes")
     # A list without a probe is never looked up.
-    looked = lists.groupBy("token").agg(F.count_if("probe").alias("p")).where("p > 0").select("token")
-    lists = keep(lists.join(looked, "token"), "lists")
+    looked = every.groupBy("token").agg(F.count_if("probe").alias("p")).where("p > 0").select("token")
+    lists = keep(every.drop("need").join(looked, "token"), "lists")
+    discard(every)
     # Only sets in such a list are ever compared.
-    sets = keep(sets.join(lists.select("cid").distinct(), "cid", "left_semi"), "compared")
+    whole, sets = sets, keep(sets.join(lists.select("cid").distinct(), "cid", "left_semi"), "compared")
+    discard(whole)
     nth = F.row_number().over(Window.partitionBy("cid").orderBy(F.desc("df"), "token"))
     tops = lists.select("token", "cid", "n", "weight", nth.alias("nth")).where("nth = 1").withColumn("label", F.col("cid"))
-    tops = keep(tops, "tops")
     central = F.row_number().over(Window.partitionBy("token").orderBy(F.desc("weight"), "cid"))
-    pivots = tops.withColumn("r", central).where(F.col("r") <= PIVOTS)
-    links = keep(_verify(_pairs(pivots, tops), sets), "links")
+    tops = keep(tops, "tops")
+    pivots = keep(tops.withColumn("r", central).where(F.col("r") <= PIVOTS), "pivots")
+    links, rest = None, tops
+    for r in range(1, PIVOTS + 1):
+        found = keep(_verify(_pairs(pivots.where(F.col("r") == r), rest), prefixes, sets), "links")
+        links = found if links is None else links.union(found)
+        # Linked with the pivot of its list: the others add nothing.
+        own = pivots.where(F.col("r") == r).select("token", F.col("cid").alias("pivot"))
+        met = rest.join(own, "token").join(found.union(found.select(F.col("b").alias("a"), F.col("a").alias("b"))), (F.col("cid") == F.col("a")) & (F.col("pivot") == F.col("b")), "left_semi")
+        rest = rest.join(met.select("cid"), "cid", "left_anti")
+    links = keep(links, "links")
     labels = components(links)
     lists = lists.select("token", "cid", "n", "probe")
     # Long lists, by cells.
@@ -227,11 +251,13 @@ def link_classes(sets: DataFrame, lists: DataFrame) -> DataFrame:
     if not members.isEmpty():
         links = keep(links.union(_by_cells(members, sets)), "links")
         labels = components(links)
+    discard(left, members)
     # Short ones, pair by pair.
     left = _open(lists, labels)
     size = left.groupBy("token").agg(F.count("*").alias("size")).where(F.col("size") <= SHORT).select("token")
     left = keep(left.join(size, "token"), "open")
-    links = keep(links.union(_verify(_pairs(left.where("probe"), left), sets)), "links")
+    links = keep(links.union(_verify(_pairs(left.where("probe"), left), prefixes, sets)), "links")
+    discard(left, lists, sets, prefixes, tops, pivots)
     return components(links)
 
 
@@ -338,21 +364,25 @@ def near_duplicates(docs: DataFrame, row_key: Column | None = None) -> DataFrame
     all documents that links connect), component_id (their smallest doc_id)."""
     ship_code(docs.sparkSession)
     key = F.lit(None).cast("string") if row_key is None else row_key
-    rows = keep(_sketches(docs.select("doc_id", "text", key.alias("row_key"))), "sketches")
-    whole = rows.where("n > 0").groupBy("d1", "d2", "n").agg(F.min(F.when(F.col("prefix").isNotNull(), F.col("rid"))).alias("cid"))
+    first = keep(_sketches(docs.select("doc_id", "text", key.alias("row_key"))), "sketches")
+    whole = first.where("n > 0").groupBy("d1", "d2", "n").agg(F.min(F.when(F.col("prefix").isNotNull(), F.col("rid"))).alias("cid"))
     classes = keep(whole, "classes")
-    reps = rows.where("prefix IS NOT NULL").join(classes.select(F.col("cid").alias("rid")), "rid", "left_semi")
+    reps = first.where("prefix IS NOT NULL").join(classes.select(F.col("cid").alias("rid")), "rid", "left_semi")
     postings = reps.select(F.explode("prefix").alias("token"), F.col("rid").alias("cid"))
     need = F.greatest(F.lit(1), F.ceil(F.col("n") / LEVELS[1]))
     shared = _shared(postings).groupBy("cid").agg(F.count("*").alias("k"))
-    alive = rows.select("rid", "doc_id", "d1", "d2", "n").join(shared, F.col("rid") == F.col("cid")).where(F.col("k") >= need)
-    alive = keep(alive.select("cid", F.col("doc_id").alias("rep"), "d1", "d2"), "alive")
-    texts = docs.select("doc_id", "text").join(alive, F.col("doc_id").eqNullSafe(F.col("rep")))
+    alive = first.select("rid", "doc_id", "h", "d1", "d2", "n").join(shared, F.col("rid") == F.col("cid")).where(F.col("k") >= need)
+    alive = keep(alive.select("cid", F.col("doc_id").alias("rep"), F.col("h").alias("rep_h"), "d1", "d2"), "alive")
+    rows = keep(first.drop("h", "prefix"), "rows")
+    discard(first)
+    # By id and text: rows of a null or frequent id meet only rows of their own text.
+    mine = docs.select("doc_id", "text", F.xxhash64("text").alias("h"))
+    texts = mine.join(alive, F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("h") == F.col("rep_h")))
     sets = keep(_sets(texts).dropDuplicates(["cid"]), "sets")
     longest = F.col("n") - F.ceil(F.col("n") * NUM / DEN) + F.greatest(F.lit(1), F.ceil(F.col("n") / LEVELS[-1]))
-    index = sets.select("cid", "n", F.posexplode(F.slice("tokens", F.lit(1), longest.cast("int"))).alias("pos", "token"))
-    shared = _shared(index).groupBy("cid", "n").agg(F.collect_list(F.struct(F.col("pos").cast("long"), "df", "token")).alias("shared"))
-    labels = link_classes(sets, _probes(shared.select("cid", "n", "shared")))
+    index = sets.select("cid", F.posexplode(F.slice("tokens", F.lit(1), longest.cast("int"))).alias("pos", "token"))
+    shared = _shared(index).groupBy("cid").agg(F.collect_list(F.struct(F.col("pos").cast("long"), "df", "token")).alias("shared"))
+    labels = link_classes(sets, _probes(shared.join(sets.select("cid", "n"), "cid").select("cid", "n", "shared")))
     member = classes.join(labels, classes["cid"] == labels["node"], "left").select("d1", "d2", "n", "cid", F.coalesce("label", "cid").alias("label"))
     full = rows.select("rid", "doc_id", "row_key", "d1", "d2", "n").join(member, ["d1", "d2", "n"], "left")
     full = keep(full.select("rid", "doc_id", "row_key", F.col("n").alias("n_shingles"), F.col("cid").alias("class_id"), F.coalesce("label", "rid").alias("label")), "members")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -16,11 +17,14 @@ _SHIPPED: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names. Where it is unset (tests,
-    one machine) a temporary folder is chosen once for the session."""
+    """The folder that ``spark.checkpoint.dir`` names. Where it is unset, a temporary
+    folder is chosen once for the session in local mode (tests, one machine); on a
+    cluster executors would not share one."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     found = found or spark.conf.get("spark.rxlake.scratch", None)
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="rxlake-shared-")
         spark.conf.set("spark.rxlake.scratch", found)
     return found
@@ -42,6 +46,17 @@ def _kept_folder(spark: SparkSession) -> str:
     return f"{shared_dir(spark).rstrip('/')}/kept-{spark.sparkContext.applicationId}"
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete kept tables that nothing reads any more, nor what is to be computed yet."""
+    for df in tables:
+        jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if f"/{os.path.basename(_kept_folder(df.sparkSession))}/" not in folder:
+                raise ValueError(f"{folder} is no kept table")
+            at = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+            at.getFileSystem(conf).delete(at, True)
+
+
 def drop_kept(spark: SparkSession) -> None:
     """Delete all tables that this application has kept, once its results are
     written: results are lazy and read them."""
