@@ -12,8 +12,11 @@ windows with the same anchor form one segment of a text.
    Burrows-Wheeler transform of the collection and the common prefixes are built
    column by column (``bwt``): windows with WIDTH bytes in common with a neighbour
    repeat.
-   An anchor with more than ``MOST`` distinct segments would be too large for a
-   task: its windows are counted by hash in Spark instead.
+   The segments of an anchor with more than ``MOST`` distinct ones are cut into
+   pieces by where their windows begin (``RANGES`` of columns), and pieces are dealt
+   by hash of the bytes that all their windows have in common; what is still more
+   than ``MOST`` is cut into single windows. Dealing by hash only brings equal
+   strings together; the transform compares their bytes.
 
 Texts that occur twice as a whole are found by their digest first and given to
 step 1 once a task.
@@ -26,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +43,12 @@ from rxlake.llm.textkit import BYTE_VALUES, PLACE, mix, powers, prefix_sums, spa
 
 WIDTH = 200
 K = 40
-#: Distinct segments of one anchor that a collection takes.
+#: Distinct strings of one deal that a collection takes whole, and the ranges of
+#: columns into which larger ones are cut, the last into single columns.
 MOST = 4096
+RANGES = (8, WIDTH - K + 1)
+#: Parts of an anchor in joins.
+SALTS = 8
 #: Strings of a collection, about.
 COLLECTION = 3000
 
@@ -132,34 +140,45 @@ def _sketch(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "rid bigint, key binary, n_bytes bigint, segments array<struct<anchor:bigint,segment:bigint,start:int,n:int,lead:int>>")
 
 
-def _strings(found: DataFrame, large: bool) -> DataFrame:
-    """Strings of wanted segments, with the anchor's place in them. ``found``:
-    text, wanted: array of (anchor, segment, start, n, lead). Large: hashes of their windows instead."""
+def _strings(found: DataFrame, ranges: int) -> DataFrame:
+    """Pieces of wanted segments: anchor, segment, nth (place of the first window in
+    its segment), lead (the anchor's place in the piece), core (hash of the range of
+    columns and of the bytes that all windows of the piece share), string. ``found``:
+    text, wanted: array of (anchor, segment, start, n, lead)."""
+    columns = WIDTH - K + 1
+    # Windows that begin ``edges[r]`` to ``edges[r + 1]`` bytes before the anchor.
+    edges = np.linspace(0, columns, ranges + 1).astype(int)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts, wanted = b.column(0), b.column(1)
             for i in range(b.num_rows):
                 raw = texts[i].as_py().encode()
-                want = wanted[i].as_py()
-                if large:
-                    sums = prefix_sums(np.frombuffer(raw, np.uint8), BYTE_VALUES)
-                    at = [np.arange(w["start"], w["start"] + w["n"]) for w in want]
-                    for w, x in zip(want, at, strict=True):
-                        cols = [pa.array(np.full(len(x), w[c])) for c in ("anchor", "segment")]
-                        yield pa.RecordBatch.from_arrays([*cols, pa.array((x - w["start"]).astype(np.int32)), pa.array(span_hash(sums, x, x + WIDTH).view(np.int64))], ["anchor", "segment", "nth", "window"])
-                else:
-                    cut = [raw[w["start"] : w["start"] + w["n"] - 1 + WIDTH] for w in want]
-                    cols = [pa.array([w[c] for w in want], pa.int64()) for c in ("anchor", "segment", "lead")]
-                    yield pa.RecordBatch.from_arrays([*cols, pa.array(cut, pa.binary())], ["anchor", "segment", "lead", "string"])
-
-    kind = "nth int, window bigint" if large else "lead bigint, string binary"
-    return found.select("text", "wanted").mapInArrow(run, f"anchor bigint, segment bigint, {kind}")
+                rows = []
+                for w in wanted[i].as_py():
+                    for r in range(ranges):
+                        lo = max(0, w["lead"] - int(edges[r + 1]) + 1)
+                        hi = min(w["n"], w["lead"] - int(edges[r]) + 1)
+                        if lo >= hi:
+                            continue
+                        at = w["start"] + lo
+                        piece = raw[at : w["start"] + hi - 1 + WIDTH]
+                        # The last column of the range to the end of its first window.
+                        place = w["start"] + w["lead"]
+                        core = raw[place - int(edges[r]) : place - int(edges[r + 1]) + 1 + WIDTH] if ranges > 1 else b""
+                        rows.append((w["anchor"], w["segment"], lo, w["lead"] - lo, int.from_bytes(hashlib.blake2b(core, digest_size=8, salt=r.to_bytes(8, "little")).digest(), "little", signed=True), piece))
+                cols = list(zip(*rows, strict=True)) or [()] * 6
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["anchor", "segment", "nth", "lead", "core", "string"])
+
+    return found.select("text", "wanted").mapInArrow(run, "anchor bigint, segment bigint, nth bigint, lead bigint, core bigint, string binary")
 
 
 def _collection(part: pa.Table) -> pa.Table:
     """The windows of one collection that repeat: anchor, segment, lo, hi (first
-    and last place in the segment of each run of such windows)."""
+    and last place in the segment of each run of such windows). Pieces of one
+    collection that do not belong together are aligned by anchor, so only equal
+    windows at equal places meet."""
     marks = repeated_starts([s.as_py() for s in part.column("string")], -part.column("lead").to_numpy(), WIDTH)
     row, lo, hi = [], [], []
     for i, m in enumerate(marks):
@@ -169,7 +188,8 @@ def _collection(part: pa.Table) -> pa.Table:
         row.append(np.full(len(lo[-1]), i))
     take = np.concatenate(row) if row else np.zeros(0, np.int64)
     cols = {c: part.column(c).take(pa.array(take)) for c in ("anchor", "segment")}
-    return pa.table(cols | {"lo": np.concatenate(lo).astype(np.int32), "hi": np.concatenate(hi).astype(np.int32)})
+    nth = part.column("nth").take(pa.array(take)).to_numpy()
+    return pa.table(cols | {"lo": (np.concatenate(lo) + nth).astype(np.int32), "hi": (np.concatenate(hi) + nth).astype(np.int32)})
 
 
 def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -180,22 +200,50 @@ def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     copies = keep(rows.where(F.col("n_bytes") >= WIDTH).groupBy("key").count().where("count > 1").select("key"), "copies")
     each = rows.select("rid", F.inline("segments"))
     twice = each.groupBy("anchor").agg(F.count("*").alias("c"), F.min("segment").alias("s0"), F.max("segment").alias("s1")).where("c > 1")
-    each = keep(each.join(twice.select("anchor", (F.col("s0") == F.col("s1")).alias("alike")), "anchor"), "shared")
+    # A hot anchor meets its texts in parts.
+    salts = F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")
+    twice = twice.select("anchor", (F.col("s0") == F.col("s1")).alias("alike"), F.explode(salts).alias("salt"))
+    each = each.withColumn("salt", F.pmod(F.xxhash64("rid"), F.lit(SALTS)))
+    each = keep(each.join(twice, ["anchor", "salt"]).drop("salt"), "shared")
     mixed = each.where("NOT alike").groupBy("anchor", "segment").agg(F.count("*").alias("c"), F.min(F.struct("rid", "start", "n", "lead")).alias("rep"))
-    groups = mixed.groupBy("anchor").agg(F.count("*").alias("kinds"))
-    mixed = keep(mixed.join(groups, "anchor"), "mixed")
+    mixed = keep(mixed, "mixed")
     known = rows.select("rid", "key")
-    want = mixed.select(F.col("rep.rid").alias("rid"), "kinds", F.struct("anchor", "segment", F.col("rep.start").alias("start"), F.col("rep.n").alias("n"), F.col("rep.lead").alias("lead")).alias("w"))
-    want = want.groupBy("rid").agg(F.collect_list(F.when(F.col("kinds") <= MOST, F.col("w"))).alias("small"), F.collect_list(F.when(F.col("kinds") > MOST, F.col("w"))).alias("large"))
-    want = keep(want.join(known, "rid").select("key", "small", "large"), "wanted")
-    texts = docs.select("text", F.unhex(F.md5("text")).alias("key")).join(want, "key")
-    small = _strings(texts.where(F.size("small") > 0).select("text", F.col("small").alias("wanted")), False).dropDuplicates(["anchor", "segment"])
-    large = _strings(texts.where(F.size("large") > 0).select("text", F.col("large").alias("wanted")), True).dropDuplicates(["anchor", "segment", "nth"])
-    deals = max(1, -(-mixed.where(F.col("kinds") <= MOST).count() // COLLECTION))
-    dealt = small.withColumn("deal", F.pmod(F.xxhash64("anchor"), F.lit(deals)))
-    found = dealt.groupBy("deal").applyInArrow(_collection, "anchor bigint, segment bigint, lo int, hi int")
-    again = large.groupBy("window").count().where("count > 1").select("window")
-    found = keep(found.union(large.join(again, "window").select("anchor", "segment", F.col("nth").alias("lo"), F.col("nth").alias("hi"))), "runs")
+
+    def pieces(wanted: DataFrame, ranges: int) -> DataFrame:
+        """Strings of ``wanted`` (of ``mixed``), each distinct segment once."""
+        want = wanted.select(F.col("rep.rid").alias("rid"), F.struct("anchor", "segment", F.col("rep.start").alias("start"), F.col("rep.n").alias("n"), F.col("rep.lead").alias("lead")).alias("w"))
+        want = keep(want.groupBy("rid").agg(F.collect_list("w").alias("wanted")).join(known, "rid").select("key", "wanted"), "wanted")
+        texts = docs.select("text", F.unhex(F.md5("text")).alias("key")).join(want, "key")
+        return _strings(texts, ranges).dropDuplicates(["anchor", "segment", "nth"])
+
+    def collected(strings: DataFrame, total: int) -> DataFrame:
+        """Runs of repeated windows of strings, dealt by anchor and core."""
+        dealt = strings.withColumn("deal", F.pmod(F.xxhash64("anchor", "core"), F.lit(max(1, -(-total // COLLECTION)))))
+        return dealt.groupBy("deal").applyInArrow(_collection, "anchor bigint, segment bigint, lo int, hi int")
+
+    kinds = mixed.groupBy("anchor").agg(F.count("*").alias("kinds"))
+    large = keep(kinds.where(F.col("kinds") > MOST).select("anchor"), "large")
+    small = mixed.join(large, "anchor", "left_anti")
+    found = [collected(pieces(small, 1), small.count())]
+    if not large.isEmpty():
+        rest = mixed.join(large, "anchor", "left_semi")
+        for ranges in RANGES:
+            cut = keep(pieces(rest, ranges), "pieces")
+            # Equal pieces are one string of their collection, whatever their segments.
+            sizes = cut.groupBy("anchor", "core").agg(F.count("*").alias("kinds"))
+            over = sizes.where(F.col("kinds") > (MOST if ranges < RANGES[-1] else 1 << 62)).select("anchor", "core")
+            over = keep(over, "over")
+            fine = cut.join(over, ["anchor", "core"], "left_anti")
+            if ranges == RANGES[-1]:
+                # Single windows: with its core equal, a window is equal as a whole.
+                again = fine.groupBy("anchor", "string").agg(F.count("*").alias("c")).where("c > 1").drop("c")
+                found.append(fine.join(again, ["anchor", "string"]).select("anchor", "segment", F.col("nth").cast("int").alias("lo"), F.col("nth").cast("int").alias("hi")))
+                break
+            found.append(collected(fine, fine.count()))
+            rest = rest.join(cut.join(over, ["anchor", "core"], "left_semi").select("anchor", "segment").distinct(), ["anchor", "segment"], "left_semi")
+            if over.isEmpty():
+                break
+    found = keep(reduce(DataFrame.union, found), "runs")
     # Segments found once take the runs; those found again repeat as a whole.
     single = each.where("NOT alike").join(mixed.where("c = 1").select("anchor", "segment"), ["anchor", "segment"])
     part = single.join(found, ["anchor", "segment"]).select("rid", (F.col("start") + F.col("lo")).alias("lo"), (F.col("start") + F.col("hi") + WIDTH).alias("hi"))
