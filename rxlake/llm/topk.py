@@ -10,6 +10,9 @@ part of every score, and a score is the sum of its parts.
    to all blocks, which give every entry that reaches c / m (m * part >= c, in
    integers). An entry whose known parts, plus less than c / m for each other
    block, cannot reach c is dropped.
+   An entry goes no further than its block if even with the most that the other
+   dimensions can add (the product of the two vectors' norms there) it cannot
+   reach c.
 3. The other entries are resolved exactly, and the k best are taken.
 
 Equal vectors are one class that carries its k + 1 smallest ids; among the k + 1
@@ -80,27 +83,30 @@ def _chunked(rows: DataFrame, side: str, dims: int, cutoff: bool) -> tuple[DataF
         ids = part.column("cid").to_numpy().astype(np.int64).tobytes()
         cuts = (part.column("cut").to_numpy() if cutoff else np.zeros(len(size))).astype(np.int64).tobytes()
         subs = [np.ascontiguousarray(matrix[:, j * width : (j + 1) * width]).tobytes() for j in range(BLOCKS)]
+        # Norms outside the block, summed there: no cancellation.
+        square = matrix.astype(np.float64) ** 2
+        rest = [np.sqrt(square[:, : j * width].sum(1) + square[:, (j + 1) * width :].sum(1)).tobytes() for j in range(BLOCKS)]
         chunk = part.column("chunk")[0].as_py()
-        return pa.table({"block": list(range(BLOCKS)), "chunk": [chunk] * BLOCKS, "ids": [ids] * BLOCKS, "vals": subs, "cuts": [cuts] * BLOCKS})
+        return pa.table({"block": list(range(BLOCKS)), "chunk": [chunk] * BLOCKS, "ids": [ids] * BLOCKS, "vals": subs, "rest": rest, "cuts": [cuts] * BLOCKS})
 
-    made = dealt.groupBy("chunk").applyInArrow(lay_out, "block bigint, chunk bigint, ids binary, vals binary, cuts binary")
-    names = {c: f"{side}_{c}" for c in ("chunk", "ids", "vals", "cuts")}
+    made = dealt.groupBy("chunk").applyInArrow(lay_out, "block bigint, chunk bigint, ids binary, vals binary, rest binary, cuts binary")
+    names = {c: f"{side}_{c}" for c in ("chunk", "ids", "vals", "rest", "cuts")}
     return keep(made.select("block", *[F.col(c).alias(n) for c, n in names.items()]), f"{side}chunks"), count
 
 
 def _meet(queries: tuple[DataFrame, int], cands: tuple[DataFrame, int], k: int | None) -> DataFrame:
     """Partial scores by block, qid, cid: the k highest of a chunk (k given),
-    or all with BLOCKS * part >= the query's cutoff."""
+    or all with BLOCKS * part >= the query's cutoff that can reach it at all."""
     q, _ = queries
     c, n = cands
     # Each chunk of queries goes to every chunk of candidates of its block.
     spread = q.withColumn("c_chunk", F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<bigint>")))
-    cells = spread.join(c, ["block", "c_chunk"]).select("block", "q_ids", "q_vals", "q_cuts", "c_ids", "c_vals")
+    cells = spread.join(c, ["block", "c_chunk"]).select("block", "q_ids", "q_vals", "q_cuts", "q_rest", "c_ids", "c_vals", "c_rest")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for row in range(b.num_rows):
-                block, qi, qv, qc, ci, cv = (b.column(i)[row].as_py() for i in range(6))
+                block, qi, qv, qc, qr, ci, cv, cr = (b.column(i)[row].as_py() for i in range(8))
                 qi, ci, cuts = np.frombuffer(qi, np.int64), np.frombuffer(ci, np.int64), np.frombuffer(qc, np.int64)
                 qm, cm = (np.frombuffer(m, np.int64).reshape(len(i), -1) for m, i in ((qv, qi), (cv, ci)))
                 s = products(qm, cm)
@@ -108,7 +114,9 @@ def _meet(queries: tuple[DataFrame, int], cands: tuple[DataFrame, int], k: int |
                     top = np.argpartition(-s, min(k, s.shape[1]) - 1, axis=1)[:, :k] if s.shape[1] > k else np.tile(np.arange(s.shape[1]), (len(qi), 1))
                     at = np.repeat(np.arange(len(qi)), top.shape[1]), top.ravel()
                 else:
-                    at = np.nonzero(s * BLOCKS >= cuts[:, None])
+                    # Rounded up by more than the error of the norms.
+                    most = np.outer(np.frombuffer(qr), np.frombuffer(cr)) * (1 + 1e-9) + 1
+                    at = np.nonzero((s * BLOCKS >= cuts[:, None]) & (s + most >= cuts[:, None]))
                 out = [pa.array(np.full(len(at[0]), block)), pa.array(qi[at[0]]), pa.array(ci[at[1]]), pa.array(s[at]), pa.array(cuts[at[0]])]
                 yield pa.RecordBatch.from_arrays(out, ["block", "qid", "cid", "part", "cut"])
 
