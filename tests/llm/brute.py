@@ -2,6 +2,7 @@
 
 import re
 from collections import Counter, defaultdict
+from html.parser import HTMLParser
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -82,3 +83,40 @@ def secrets(text):
     found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
     found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
     return [f"{('assign', 'access', 'hex')[k]}:{a}:{z}" for a, k, z in sorted(found)]
+
+
+class _Article(HTMLParser):
+    """Blocks inside <article>, for pages that have one and no noise in it."""
+
+    BLOCKS = ("p", "h1", "h2", "ul", "li", "div", "article", "blockquote", "br")
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.deep, self.parts, self.blocks = 0, [], []
+
+    def close_block(self):
+        text = " ".join("".join(self.parts).split())
+        if text and self.deep:
+            self.blocks.append(text)
+        self.parts = []
+
+    def handle_starttag(self, tag, attrs):
+        if tag in self.BLOCKS:
+            self.close_block()
+        self.deep += tag == "article"
+
+    def handle_endtag(self, tag):
+        if tag in self.BLOCKS:
+            self.close_block()
+        self.deep -= tag == "article"
+
+    def handle_data(self, data):
+        if self.deep:
+            self.parts.append(data)
+
+
+def article(html):
+    parser = _Article()
+    parser.feed(html or "")
+    parser.close_block()
+    return " ".join(parser.blocks)

@@ -3,6 +3,7 @@ against plain versions, on tables with all the odd cases."""
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import brute
@@ -73,9 +74,11 @@ def test_prefix_choice_never_loses_a_partner():
             longest = m - jaccard.least_common(m) + jaccard.length_of(m, jaccard.LEVELS[-1])
             pos = np.array([i for i, t in enumerate(s) if i < longest and t in set(a) & set(b)])
             token = np.array([s[i] for i in pos])
-            chosen = jaccard.choose(m, pos, np.array([df[t] for t in token]), token)
-            probes[name] = set(token[chosen]), set(token)
-        assert probes["a"][0] & probes["b"][1] or probes["b"][0] & probes["a"][1]
+            need, inside, chosen = jaccard.choose(m, pos, np.array([df[t] for t in token]), token)
+            probes[name] = set(token[chosen]), set(token[inside]), need
+        one, two = probes["a"], probes["b"]
+        assert one[0] & two[1] or two[0] & one[1]
+        assert len(one[1] & two[1]) >= min(one[2], two[2]) > 0
 
 
 def test_components_of_paths_and_stars(spark):
@@ -97,7 +100,7 @@ def test_transform_finds_repeats():
     assert bwt.repeated_starts([b"", b""], np.zeros(2), 3)[0].tolist() == []
 
 
-@pytest.mark.parametrize("most", [4096, 0])
+@pytest.mark.parametrize("most", [4096, 2, 0])
 def test_suffix_dedup(documents, no_documents, monkeypatch, most):
     monkeypatch.setattr(suffix_dedup, "MOST", most)
     rows = suffix_dedup.removed(documents, ["doc_id", "n", "label"], with_text=True).collect()
@@ -219,3 +222,47 @@ def test_page_text_of_split_articles():
     links = "".join(f"<a href=/{i}>one of the links</a> " for i in range(9))
     assert main(f"<table><tr><td>{links}</td><td>{a}</td></tr></table>") == a
     assert main(f"<div class=content>{a}</div><div class=content>{links}</div>") == a + " one of the links" * 9
+
+
+PARA = "Some real text of the article that is long enough to be the main thing. " * 4
+
+
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        ('<body><div class="content has-sidebar"><article><p>{t}</p></article><div class="sidebar">side x</div></div></body>', "{t}"),
+        ('<body><div class="site no-sidebar"><main><p>{t}</p></main></div>', "{t}"),
+        ('<body><form id="form1"><div><p>{t}</p></div><input></form></body>', "{t}"),
+        ('<article><div class="entry-header"><h1>Title</h1></div><p>{t}</p></article>', "Title {t}"),
+        ('<article><h1 class="page-header">Title</h1><p>{t}</p></article>', "Title {t}"),
+        ("<article><header><h1>Title</h1></header><p>{t}</p></article>", "Title {t}"),
+        ('<article><p>{t}</p><p class="side-note">Note</p></article>', "{t} Note"),
+        ('<article><p title="my class=nav">Kept</p><p>{t}</p></article>', "Kept {t}"),
+        ('<article><p data-x="a>b" class=story>Kept</p><p>{t}</p></article>', "Kept {t}"),
+        ('<body><div class="sidebar-left-layout"><div class="content"><p>{t}</p></div><aside>x y</aside></div></body>', "{t}"),
+        ('<header>top</header><article><p>{t}</p></article><div class="comments"><article>{t}{t}{t}</article></div><div class="ad">buy</div><p class="ad">buy<p>after', "{t} after"),
+        ('<div class="post-content"><p>{t}</p></div><div class="related-posts"><p>{t}{t}</p></div><div id="cookie-notice">{t}</div><form><label>a</label>{t}</form>', "{t}"),
+        ('<div class="ad">{t}</div><footer>{t}</footer>', ""),
+    ],
+)
+def test_what_looks_like_noise_is_judged_by_what_it_holds(html, want):
+    page = html_main.Page(html.replace("{t}", PARA))
+    assert page.text(page.choose(None)) == want.replace("{t}", PARA.strip())
+
+
+def test_deep_pages_take_little_memory():
+    tracemalloc.start()
+    page = html_main.Page("<div>" * 20000 + "word" + "</div>" * 20000)
+    assert page.text(page.choose(page.votes()[0][0])) == "word"
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30e6
+
+
+def test_pages_of_plain_articles_equal_a_plain_reading():
+    import pyarrow.parquet as pq
+
+    pages = pq.read_table("/root/testdata/sf0.01/pages.parquet", columns=["html"]).column("html").to_pylist()
+    for html in pages:
+        page = html_main.Page(html or "")
+        assert page.text(page.choose(None)) == brute.article(html)

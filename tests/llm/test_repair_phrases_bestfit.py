@@ -211,13 +211,20 @@ def test_collocations_renumber_words_that_clash(spark, monkeypatch):
     def clashing(texts, seed):
         seeds.append(seed)
         found = real(texts, seed)
-        return found.withColumn("id", F.lit(7).cast("long")) if seed == 0 else found
+        return found.withColumn("clash", F.lit(True)) if seed == 0 else found
 
     monkeypatch.setattr(phrases, "vocabulary", clashing)
     assert Counter(map(tuple, phrases.collocations(docs, least=5).collect())) == before
     assert seeds == [0, 1]
 
 
+def test_words_with_one_number_are_found(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "mix", lambda h: h * np.uint64(0) + (h % np.uint64(3)))
+    table = spark.createDataFrame([("a b c d e f g h", "en")], "text string, lang string")
+    rows = phrases.vocabulary(table, 0).where("lang IS NULL").collect()
+    assert len(rows) <= 3 and any(r["clash"] for r in rows) and sum(r["f"] for r in rows) == 8
+
+
 def test_collocations_query_equals_sql(spark):
     same_as_sql(spark, "op13_collocations", ["documents"], "/root/testdata/sf0.01")
 
@@ -321,3 +328,11 @@ def test_bestfit_packs_every_id_once(spark, documents, no_documents, with_ids):
         short += them[0]["length"] < 1024
     assert short == certificate.sequences >= certificate.bound
     assert bestfit.pack(no_documents, byte_bpe(), ["doc_id"])[0].count() == 0
+
+
+# --- other queries against their SQL --------------------------------------------------
+
+
+@pytest.mark.parametrize(("name", "tables"), [("op1_mixing", ["documents"]), ("op2_topk", ["embeddings"]), ("op6_secret_scan", ["documents"])])
+def test_query_equals_sql(spark, name, tables):
+    same_as_sql(spark, name, tables)

@@ -47,6 +47,39 @@ def test_mix_targets_and_copies(documents, no_documents):
     assert mixing.mix(no_documents).count() == 0 and mixing.plan_mix(no_documents).count() == 0
 
 
+def test_rows_of_one_id_draw_each(spark):
+    rows = [(i, f"ten words {i} a b c d e f g", "a") for i in range(300)]
+    rows += [(None, f"ten words {i} a b c d e f g", "b") for i in range(300)]  # a null id
+    rows += [(7, "ten words one two three four five six seven eight", "c")] * 300  # one row again and again
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(4)
+    found = mixing.plan_mix(docs).collect()
+    assert len(found) == 900
+    for source, copies in (("a", {2}), ("b", {0, 1}), ("c", {1, 2})):
+        mine = [r["mix"] for r in found if r["source"] == source]
+        assert {m["copies"] for m in mine} == copies
+        assert abs(sum(m["size"] * m["copies"] for m in mine) - mine[0]["target"]) < 0.1 * mine[0]["target"]
+    again = mixing.plan_mix(docs.repartition(7)).collect()
+    assert Counter(map(str, found)) == Counter(map(str, again))
+
+
+def test_a_copy_of_a_text_is_one_place(spark):
+    key = {k: f"a9B8c7D6e5F4g3H2i1J{k}" + "x" * 4 for k in "01234"}
+    rows = [(1, f"one text {key['0']}", "a", "en"), (2, f"one text {key['0']}", "b", "en")]  # one text, two owners
+    rows += [(3, f"text {key['1']}", "a", "en"), (4, f"another {key['1']}", "b", "en")]  # two texts, two owners
+    rows += [(5 + i, f"text {i} {key['2']}", "a", "en") for i in range(3)]  # one owner, one repository
+    rows += [(10 + i, f"text {i} {key['3']}", "a", lang) for i, lang in enumerate(("en", "de", "fr", "es"))]  # four repositories
+    rows += [(20 + i, f"same text {key['4']}", "a", lang) for i, lang in enumerate(("en", "de", "fr", "es", None))]  # copies of one text
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string")
+    live = {r["doc_id"]: r["secrets"]["n_live"] for r in secret_scan.findings(docs, ["doc_id"]).collect()}
+    assert live == {1: 1, 2: 1, 3: 0, 4: 0, 5: 1, 6: 1, 7: 1, 10: 0, 11: 0, 12: 0, 13: 0, **{20 + i: 1 for i in range(5)}}
+
+
+def test_packing_keeps_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "some text", 5, 6, 7, 8)], "doc_id bigint, text string, total int, before_total int, _lo int, _total int")
+    row = packing.pack(docs, byte_bpe(), docs.columns).first()
+    assert (row["total"], row["before_total"], row["_lo"], row["_total"], row["text"]) == (5, 6, 7, 8, "some text")
+
+
 def _ids(rows):
     from tokenizers import Tokenizer
 
@@ -255,3 +288,69 @@ def test_added_tokens_in_texts(spark):
     for i, t in enumerate(texts):
         begins = [0, *[m.end() for m in re.finditer("\n", t or "") if m.end() < len(t)]]
         assert [counted[i, b] for b in begins] == [sum(b <= a < z for a, _ in ids[i].offsets) for b, z in zip(begins, [*begins[1:], len(t or "")], strict=True)]
+
+
+# --- the recurrent model, plainly ------------------------------------------------------
+
+
+def small_model(seed=3):
+    r = np.random.default_rng(seed)
+    p = gru.start(np.arange(gru.VOCAB, 0, -1).astype(float), 50, seed=seed)
+    return {k: (v + r.normal(size=v.shape) * 0.2).astype(np.float32) for k, v in p.items()}
+
+
+def plain_likelihood(p, tokens):
+    """Step by step, in double precision, over the whole text."""
+    q = {k: v.astype(np.float64) for k, v in p.items()}
+    sig = lambda a: 1 / (1 + np.exp(-a))
+    soft = lambda a: a - a.max() - np.log(np.exp(a - a.max()).sum())
+    n, h, last, total = gru.HIDDEN, np.zeros(gru.HIDDEN), gru.BEGIN, 0.0
+    for t in tokens:
+        a, g = q["emb"][last] @ q["wx"] + q["b"], h @ q["u"]
+        z, r = sig(a[:n] + g[:n]), sig(a[n : 2 * n] + g[n : 2 * n])
+        new = np.tanh(a[2 * n :] + r * g[2 * n :])
+        h = (1 - z) * new + z * h
+        c = min(t // gru.BLOCK, gru.CLASSES)
+        total += soft(h @ q["wc"] + q["bc"])[c]
+        if c < gru.CLASSES:
+            total += soft(h @ q["wo"][c] + q["bo"][c])[t - c * gru.BLOCK]
+        last = t
+    return total
+
+
+def test_whole_texts_are_scored_as_step_by_step():
+    r = np.random.default_rng(1)
+    p = small_model()
+    texts = [r.integers(0, gru.VOCAB + 1, n).astype(np.int32) for n in (1, 5, gru.WINDOW, 3 * gru.WINDOW + 7, 200, 0)]
+    got = gru.score(p, texts, width=2)
+    for t, x in zip(texts, got, strict=True):
+        assert x == pytest.approx(plain_likelihood(p, t), rel=2e-4, abs=1e-3)
+
+
+def test_gradients_are_those_of_the_likelihood(monkeypatch):
+    # One window, one step: the change of each weight follows the numeric gradient.
+    r = np.random.default_rng(2)
+    p = small_model()
+    text = r.integers(0, gru.VOCAB + 1, gru.WINDOW).astype(np.int32)
+    steps, real = [], np.clip
+
+    def clip(x, lo, hi, **kw):
+        steps.append(x.copy())
+        return real(x, lo, hi, **kw)
+
+    monkeypatch.setattr(gru.np, "clip", clip)
+    before = {k: v.copy() for k, v in p.items()}
+    assert gru.train({k: v.copy() for k, v in p.items()}, [text], width=1) == len(text)
+    monkeypatch.undo()
+    caught = dict(zip(gru.SHAPES, steps, strict=True))
+    scale = 1 / np.sqrt(len(text))
+    used = {"emb": [(int(text[0]), 3)], "wx": [(2, 5), (7, 40)], "u": [(1, 2), (4, 20), (9, 44)], "wc": [(3, int(min(text[5] // gru.BLOCK, gru.CLASSES)))], "bc": [(0,)]}
+    for name, places in used.items():
+        for at in places:
+            eps, moved = 1e-3, {}
+            for sign in (1, -1):
+                q = {k: v.astype(np.float64) for k, v in before.items()}
+                q[name][at] += sign * eps
+                moved[sign] = -plain_likelihood(q, text)
+            numeric = (moved[1] - moved[-1]) / (2 * eps) * scale
+            assert caught[name][at] == pytest.approx(numeric, rel=0.02, abs=2e-3), (name, at)
