@@ -1,7 +1,8 @@
 from rxlake.functions.cleaning import (
     default_blank,
     ge65_suppressed,
-    is_suppressed,
+    in_grammar,
+    number_text,
     parse_number,
     safe_divide,
 )
@@ -14,8 +15,9 @@ __all__ = [
     "fact_id",
     "full_name",
     "ge65_suppressed",
-    "is_suppressed",
+    "in_grammar",
     "money_sum",
+    "number_text",
     "parse_number",
     "prescriber_id",
     "safe_divide",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DoubleType, LongType
 
 # --- fixed values -------------------------------------------------------------
-# Text that marks a privacy-suppressed value (compared after trim + upper).
+# Text that marks a privacy-suppressed value (trimmed, upper case).
 SUPPRESSION_TOKENS = ("", "NULL", "N/A", "NA", "*", "#", "SUPPRESSED")
 # Values of the 65+ suppression flag column that mean "suppressed".
 GE65_FLAG_TOKENS = ("Y", "*", "#")
@@ -22,20 +22,22 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def is_suppressed(c: str | Column) -> Column:
-    """TRUE when the raw text is a suppression token or SQL NULL."""
-    value = F.upper(F.trim(_col(c)))
-    return value.isin(*SUPPRESSION_TOKENS) | value.isNull()
+def number_text(trimmed: str | Column) -> Column:
+    """Trimmed text of a number without thousands commas; NULL exactly where the
+    value is suppressed (a token in any case, or no text)."""
+    value = _col(trimmed)
+    return F.when(~F.upper(value).isin(*SUPPRESSION_TOKENS), F.replace(value, F.lit(","), F.lit("")))
 
 
-def parse_number(c: str | Column, target: DataType) -> Column:
-    """Guarded numeric parse: suppressed -> NULL; text outside the grammar -> NULL
-    (without the suppressed flag); over-long digits -> NULL (``try_cast``)."""
-    cleaned = F.replace(F.trim(_col(c)), F.lit(","), F.lit(""))
-    pattern = LONG_PATTERN if isinstance(target, LongType) else DOUBLE_PATTERN
-    return F.when(is_suppressed(c), F.lit(None).cast(target)).when(
-        cleaned.rlike(pattern), cleaned.try_cast(target)
-    )
+def in_grammar(text: str | Column, target: DataType) -> Column:
+    """Whether ``number_text`` spells a number of the target type."""
+    return _col(text).rlike(LONG_PATTERN if isinstance(target, LongType) else DOUBLE_PATTERN)
+
+
+def parse_number(text: str | Column, target: DataType) -> Column:
+    """The number that ``number_text`` spells; NULL outside the grammar and for more
+    digits than the type holds (``try_cast``)."""
+    return F.when(in_grammar(text, target), _col(text).try_cast(target))
 
 
 def safe_divide(numerator: str | Column, denominator: str | Column) -> Column:
@@ -52,6 +54,7 @@ def default_blank(c: str | Column, default: str = UNKNOWN) -> Column:
     return F.coalesce(F.nullif(value, F.lit("")), F.lit(default))
 
 
-def ge65_suppressed(claims_raw: str | Column, cost_raw: str | Column, flag: str | Column) -> Column:
-    """Three-valued OR: with both values present and a NULL flag the result is NULL."""
-    return is_suppressed(claims_raw) | is_suppressed(cost_raw) | _col(flag).isin(*GE65_FLAG_TOKENS)
+def ge65_suppressed(claims_text: str | Column, cost_text: str | Column, flag: str | Column) -> Column:
+    """Three-valued OR over ``number_text`` of both values and the upper-case flag:
+    with both values present and a NULL flag the result is NULL."""
+    return _col(claims_text).isNull() | _col(cost_text).isNull() | _col(flag).isin(*GE65_FLAG_TOKENS)

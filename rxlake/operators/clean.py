@@ -9,12 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType
 
 from rxlake.functions.cleaning import (
-    DOUBLE_PATTERN,
-    LONG_PATTERN,
     UNKNOWN,
     default_blank,
     ge65_suppressed,
-    is_suppressed,
+    in_grammar,
+    number_text,
     parse_number,
     safe_divide,
 )
@@ -46,12 +45,6 @@ NUMERIC_MAP = [
 ]
 
 
-def _unparsable(raw: str, target) -> Column:
-    cleaned = F.replace(F.trim(F.col(raw)), F.lit(","), F.lit(""))
-    pattern = LONG_PATTERN if isinstance(target, LongType) else DOUBLE_PATTERN
-    return ~is_suppressed(raw) & ~cleaned.rlike(pattern)
-
-
 # --- fixed values: quarantine rules (name -> predicate on typed rows) ---------
 REJECT_RULES = {
     "malformed_line": lambda: F.col(CORRUPT_COLUMN).isNotNull(),
@@ -65,46 +58,45 @@ DEFAULT_REJECT_RULES = ("malformed_line", "unparsable_number", "negative_cost")
 def type_raw(
     raw: DataFrame, year: int | None = None, year_col: str = "year", keep_audit: bool = False, extra: list[str] | None = None
 ) -> DataFrame:
-    """Raw text -> typed Silver columns (before dedup), in three narrow steps.
+    """Raw text -> typed Silver columns (before dedup), in four narrow steps.
 
     ``year`` is a constant for one yearly file; otherwise it is read from
     ``year_col``. With ``keep_audit`` the corrupt-line text and an
     "unparsable number" marker are kept for the reject split.
 
-    Steps: (1) trim every raw column once; (2) flags, labels and number parses
-    from the trimmed text, each parse evaluated once; (3) ratios from the parsed
-    columns. Catalyst keeps the steps apart instead of re-inlining a parse into
-    every expression that reads it, which keeps the generated code small enough
-    for the JIT."""
+    Steps: (1) trim every raw column; (2) the text of each number, NULL where it is
+    suppressed; (3) flags, labels and parsed numbers; (4) ratios and the marker, which
+    tries the grammar again only where a parse gave nothing. Each step reads the
+    columns of the one before several times, so Catalyst keeps them apart, and every
+    generated method stays below the size that the JIT compiles (tested)."""
     year_expr = F.lit(year).cast(IntegerType()) if year is not None else F.col(year_col).cast(IntegerType())
-    used = sorted({src for _, src, _ in TEXT_MAP} | {src for _, src, _ in NUMERIC_MAP} | {"GE65_Tot_Clms", "GE65_Tot_Drug_Cst"})
+    texts, numbers = [src for _, src, _ in TEXT_MAP], [src for _, src, _ in NUMERIC_MAP]
     keep = [CORRUPT_COLUMN] if keep_audit and CORRUPT_COLUMN in raw.columns else []
-    trimmed = raw.select(*[F.trim(F.col(c)).alias(c) for c in used], year_expr.alias("year"), *keep, *(extra or []))
+    rest = [year_expr.alias("year"), *keep, *(extra or [])]
+    trimmed = raw.select(*[F.trim(F.col(c)).alias(c) for c in [*texts, *numbers]], *rest)
+    rest = ["year", *keep, *(extra or [])]
+    clean = trimmed.select(*texts, *[number_text(c).alias(c) for c in numbers], *rest)
 
-    text = {name: (F.upper(F.col(src)) if upper else F.col(src)) for name, src, upper in TEXT_MAP}
-    text["state"] = default_blank(text["state"], UNKNOWN)
-    cols: dict[str, Column] = dict(text)
+    cols = {name: (F.upper(F.col(src)) if upper else F.col(src)) for name, src, upper in TEXT_MAP}
+    cols["state"] = default_blank(cols["state"], UNKNOWN)
     cols["year"] = F.col("year")
-    cols["is_tot_claims_suppressed"] = is_suppressed("Tot_Clms")
-    cols["is_ge65_suppressed"] = ge65_suppressed("GE65_Tot_Clms", "GE65_Tot_Drug_Cst", text["ge65_suppression_flag"])
+    cols["is_tot_claims_suppressed"] = F.col("Tot_Clms").isNull()
+    cols["is_ge65_suppressed"] = ge65_suppressed("GE65_Tot_Clms", "GE65_Tot_Drug_Cst", cols["ge65_suppression_flag"])
     for name, src, target in NUMERIC_MAP:
         cols[name] = parse_number(src, target)
-    step2 = [cols[c].alias(c) for c in SILVER_COLUMNS if c in cols]
-    if keep_audit:
-        any_bad = reduce(
-            lambda a, b: a | b,
-            [F.coalesce(_unparsable(src, target), F.lit(False)) for _, src, target in NUMERIC_MAP],
-        )
-        corrupt = F.col(CORRUPT_COLUMN) if keep else F.lit(None).cast("string")
-        step2 += [corrupt.alias(CORRUPT_COLUMN), any_bad.alias("_unparsable_number")]
-    typed = trimmed.select(*step2, *(extra or []))
+    audit = [*keep, *(extra or [])]
+    typed = clean.select(*[cols[c].alias(c) for c in SILVER_COLUMNS if c in cols], *([F.col(src).alias(f"_text_{name}") for name, src, _ in NUMERIC_MAP] if keep_audit else []), *audit)
 
     ratios = {
         "cost_per_claim": safe_divide("tot_drug_cost", "tot_claims"),
         "claims_per_beneficiary": safe_divide("tot_claims", "tot_beneficiaries"),
     }
-    audit = ([CORRUPT_COLUMN, "_unparsable_number"] if keep_audit else []) + (extra or [])
-    return typed.select(*[ratios[c].alias(c) if c in ratios else F.col(c) for c in SILVER_COLUMNS], *audit)
+    out = [ratios[c].alias(c) if c in ratios else F.col(c) for c in SILVER_COLUMNS]
+    if keep_audit:
+        bad = [F.col(name).isNull() & F.col(f"_text_{name}").isNotNull() & ~in_grammar(f"_text_{name}", target) for name, _, target in NUMERIC_MAP]
+        out += [F.lit(None).cast("string").alias(CORRUPT_COLUMN)] * (not keep)
+        out.append(reduce(lambda a, b: a | b, bad).alias("_unparsable_number"))
+    return typed.select(*out, *audit)
 
 
 def dedup_order() -> list[Column]:
@@ -146,8 +138,3 @@ def split_rejects(raw: DataFrame, rules: tuple[str, ...] = DEFAULT_REJECT_RULES,
     flagged = flag_rejects(raw, rules, **kw)
     accepted = flagged.where(F.size("reject_reasons") == 0).select(*SILVER_COLUMNS)
     return accepted, flagged.where(F.size("reject_reasons") > 0)
-
-
-def silver_with_rejects(raw: DataFrame, rules: tuple[str, ...] = DEFAULT_REJECT_RULES, **kw) -> tuple[DataFrame, DataFrame]:
-    accepted, rejected = split_rejects(raw, rules, **kw)
-    return dedup_by_key(accepted), rejected

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
+_SHIPPED: set[str] = set()
+
 # Defaults for a new session; what is set at submit or by the caller wins.
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -37,11 +43,13 @@ def build_session(app_name: str = "rxlake", master: str | None = None, conf: dic
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The folder that ``spark.checkpoint.dir`` names, shared by driver and
-    executors. Only where it is unset (tests, one machine) a fresh temporary
-    folder takes its place."""
+    executors. Where it is unset, a fresh temporary folder takes its place in local
+    mode (tests, one machine); on a cluster executors would not share one."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+        if not named and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="rxlake-ckpt-"))
     return sc.getCheckpointDir()
 
@@ -51,3 +59,34 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     do not recompute its lineage."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Give executors this package as a zip, whatever their own path holds, for the
+    few operators that run Python in tasks."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="rxlake-package-")) / "rxlake_package.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for file in sorted(root.rglob("*.py")):
+            z.write(file, file.relative_to(root.parent))
+    sc.addPyFile(str(target))
+    _SHIPPED.add(sc.applicationId)
+
+
+def stored(df: DataFrame, name: str = "table") -> DataFrame:
+    """``df`` written as Parquet in the shared folder and read back: lineage is cut,
+    readers prune columns, and the planner knows the size. See ``drop_stored``."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/stored/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_stored(spark: SparkSession) -> None:
+    """Delete all that this session has ``stored``, once results are written: those
+    not yet computed may read it."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark)}/stored")
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)

@@ -8,15 +8,23 @@ cleaning and quality rule. Mapping: prescriber = customer,
 city = nation, state = region, specialty = market segment, drug = part
 (brand, type), claims = quantity, cost = extended price, year = order year.
 
-The same definition is written as SQL for the oracle (see ``plans.oracle``).
+The view is the landed Bronze of the test tables: ``standin_raw`` derives it once a
+session, stores it as Parquet in the shared folder, and every query reads that, as
+the job reads its staged rows. The same definition is written as SQL for the oracle
+(see ``plans.oracle``).
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rxlake.schemas import RAW_COLUMNS
+from rxlake.session import ensure_checkpoint_dir
+
+TABLES = ["lineitem", "orders", "customer", "nation", "region", "part"]
 
 
 def read_tables(spark: SparkSession, sf_dir: str, names: list[str]) -> dict[str, DataFrame]:
@@ -27,9 +35,31 @@ def _text(c) -> F.Column:
     return c.cast("string")
 
 
+def _state_of(spark: SparkSession, sf_dir: str) -> str:
+    """A digest of the tables' files: names, lengths and times."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    found = []
+    for name in TABLES:
+        at = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        found += [f"{s.getPath()} {s.getLen()} {s.getModificationTime()}" for s in at.getFileSystem(conf).listStatus(at)]
+    return hashlib.sha256("\n".join(sorted(found)).encode()).hexdigest()[:32]
+
+
 def standin_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All 22 raw columns as strings plus ``yr`` (int), one row per lineitem."""
-    t = read_tables(spark, sf_dir, ["lineitem", "orders", "customer", "nation", "region", "part"])
+    """The stored view: all 22 raw columns as strings plus ``yr`` (int). It is derived
+    when a session first asks for these files, over as many files as there are shuffle
+    partitions, so that its readers are spread however the tables are laid out."""
+    path = f"{ensure_checkpoint_dir(spark)}/standin-{_state_of(spark, sf_dir)}"
+    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done):
+        derive_raw(spark, sf_dir).repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))).write.mode("overwrite").parquet(path)
+    schema = ", ".join(f"{c} string" for c in RAW_COLUMNS)
+    return spark.read.schema(f"{schema}, yr int").parquet(path)
+
+
+def derive_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The view as a plan over the test tables, one row per lineitem."""
+    t = read_tables(spark, sf_dir, TABLES)
     # No hints: the planner broadcasts nation and region by their file sizes.
     geo = t["nation"].join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
     line = t["lineitem"].select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag")

@@ -91,3 +91,17 @@ def test_dedup_plan_trims_before_the_shuffle(spark, capsys):
     # A partial group limit below the exchange: a hot key is cut map-side.
     assert plan.index("WindowGroupLimit") < plan.rindex("WindowGroupLimit")
     assert plan.count("WindowGroupLimit") == 2
+
+
+def test_generated_methods_stay_small_enough_to_be_compiled(spark):
+    # HotSpot interprets methods of more than 8,000 bytes for good.
+    from rxlake.sources.standin import standin_raw
+
+    def largest(df):
+        debug = spark.sparkContext._jvm.org.apache.spark.sql.execution.debug
+        found = getattr(debug, "package$").__getattr__("MODULE$").codegenStringSeq(df._jdf.queryExecution().executedPlan())
+        return max((found.apply(i)._3().maxMethodCodeSize() for i in range(found.size())), default=0)
+
+    raw = standin_raw(spark, "/root/testdata/sf0.001")
+    for df in (clean.type_raw(raw, year_col="yr"), clean.flag_rejects(raw, year_col="yr")):
+        assert 0 < largest(df) < 8000
