@@ -3,17 +3,17 @@ peer thresholds (percentile, IQR, z-score) and the outlier filter / flag.
 
 Why not ``percentile_disc`` / ``percentile`` as one aggregate: those keep every
 distinct value of a group in one buffer in one task, so a peer group holding a
-third of all rows would land whole in one task. ``group_quantiles`` instead
-
-1. sketches each group with ``percentile_approx`` (bounded memory, partial
-   aggregation) and takes a narrow value bracket around the target rank;
-2. counts, per group, the rows below the bracket and the distinct values inside
-   it (again a partial aggregate keyed by (group, value), so a hot group is
-   spread over many tasks);
-3. walks the bracket's distinct values with a running count (a window over a
-   few hundred rows per group) to pick the exact order statistic;
-4. recomputes, without a bracket, only the groups whose bracket missed the
-   target rank, so the result is exact for every group.
+third of all rows would land whole in one task. ``group_quantiles`` narrows the
+range of each wanted rank instead, in passes over the values still in range:
+
+1. a pass counts, per group and rank, the values below, at, between, and above two
+   split points, and sketches those between with ``percentile_approx``: partial
+   aggregates of bounded size, whatever the group's;
+2. the counts tell exactly which of these parts holds the rank: a split point is the
+   answer, any other part is the next range, with split points close around the
+   rank from the sketch (a wrong guess costs a pass, never the result);
+3. ranks that are not settled go on. A pass leaves about a fortieth of the values and
+   never the split points themselves, so four passes settle 10^6 distinct values.
 """
 
 from __future__ import annotations
@@ -24,16 +24,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rxlake.functions.money import stable_avg, stable_stddev
-from rxlake.session import cut_lineage
+from rxlake.session import stored
 
 # --- fixed values -------------------------------------------------------------
 ANOMALY_REASON = "avg_cost_per_claim_gt_peer_p95"
 REFERENCE_PEER_KEYS = ("year", "state", "specialty")
 DRUG_PEER_KEYS = ("year", "state", "specialty", "generic_name")
 
-# Offset added to every bracket (0 in use; tests move brackets off target to
-# exercise the exact fallback).
-_BRACKET_SHIFT = 0.0
+#: Steps of a sketch's grid, and its accuracy (a quarter of a step).
+GRID = 128
+ACCURACY = 4 * GRID
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -54,17 +54,46 @@ def _ranks(kind: str, q: float, n: Column) -> tuple[Column, Column, Column]:
     return (F.floor(pos) + 1).cast("long"), (F.ceil(pos) + 1).cast("long"), pos - F.floor(pos)
 
 
-def _pick(cum_counts: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """From rows (keys, _qi, _n, _r1, _r2, _w, value, _c, _below) choose, per
-    group and quantile, the values at ranks r1 and r2 with a running count."""
-    part = [*keys, "_qi"]
-    w = Window.partitionBy(*part).orderBy(F.col(value).asc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    with_cum = cum_counts.withColumn("_cum", F.col("_below") + F.sum("_c").over(w))
-    return with_cum.groupBy(*part, "_n", "_r1", "_r2", "_w", "_below").agg(
-        F.max("_cum").alias("_upto"),
-        F.min(F.when(F.col("_cum") >= F.col("_r1"), F.col(value))).alias("_v1"),
-        F.min(F.when(F.col("_cum") >= F.col("_r2"), F.col(value))).alias("_v2"),
+_RANGE = ["_rank", "_below", "_lo", "_hi", "_a", "_b"]
+
+
+def _grid(value: Column, accuracy: int) -> Column:
+    return F.percentile_approx(value, [i / GRID for i in range(GRID + 1)], accuracy)
+
+
+def _splits(grid: Column, rank: Column, n: Column) -> tuple[Column, Column]:
+    """Points of the grid around a rank, at least a step to each side."""
+    step = F.floor((rank - 0.5) / n * GRID).cast("int") + 1  # arrays count from 1
+    return F.element_at(grid, F.greatest(step - 1, F.lit(1))), F.element_at(grid, F.least(step + 2, F.lit(GRID + 1)))
+
+
+def _narrow(base: DataFrame, ranges: DataFrame, keys: list[str], value: str, accuracy: int) -> DataFrame:
+    """One pass: the ranges (keys and ``_RANGE``) that hold the ranks afterwards."""
+    v = F.col(value)
+    rows = _null_safe_join(base, ranges, keys).where((v >= F.col("_lo")) & (v <= F.col("_hi")))
+    a, b = F.col("_a"), F.col("_b")
+    inside = (v > a) & (v < b)
+    seen = rows.groupBy(*keys, *_RANGE).agg(
+        F.count_if(v < a).alias("_c0"), F.count_if(v == a).alias("_c1"), F.count_if(inside).alias("_c2"), F.count_if((v == b) & (a < b)).alias("_c3"),
+        F.max(F.when(v < a, v)).alias("_under"), F.min(F.when(inside, v)).alias("_first"), F.max(F.when(inside, v)).alias("_last"), F.min(F.when(v > b, v)).alias("_over"),
+        _grid(F.when(inside, v), accuracy).alias("_grid"),
     )
+    r = F.col("_rank") - F.col("_below")
+    ends = [F.col("_c0"), F.col("_c0") + F.col("_c1"), F.col("_c0") + F.col("_c1") + F.col("_c2"), F.col("_c0") + F.col("_c1") + F.col("_c2") + F.col("_c3")]
+
+    def part(*choices) -> Column:
+        out = F.when(r <= ends[0], choices[0])
+        for end, choice in zip(ends[1:], choices[1:4], strict=True):
+            out = out.when(r <= end, choice)
+        return out.otherwise(choices[4])
+
+    low = part(F.col("_lo"), a, F.col("_first"), b, F.col("_over"))
+    high = part(F.col("_under"), a, F.col("_last"), b, F.col("_hi"))
+    below = F.col("_below") + part(F.lit(0), *ends)
+    between = (r > ends[1]) & (r <= ends[2])
+    split = _splits(F.col("_grid"), r - ends[1], F.col("_c2"))
+    near = [F.when(between, s).otherwise(x) for s, x in zip(split, (low, high), strict=True)]
+    return seen.select(*keys, "_rank", below.cast("long").alias("_below"), low.alias("_lo"), high.alias("_hi"), near[0].alias("_a"), near[1].alias("_b"))
 
 
 def group_quantiles(
@@ -72,7 +101,7 @@ def group_quantiles(
     keys: list[str],
     value: str,
     quantiles: dict[str, tuple[float, str]],
-    accuracy: int = 10_000,
+    accuracy: int = ACCURACY,
 ) -> DataFrame:
     """Exact per-group quantiles, e.g. ``{"p95": (0.95, "disc"), "q1": (0.25, "cont")}``.
 
@@ -80,73 +109,36 @@ def group_quantiles(
     equals ``percentile_cont`` (interpolated). NULL values are ignored; groups
     with no value are absent. Output: keys, ``n`` and one column per quantile.
 
-    All quantiles share one pass: one sketch per group, one bracket count keyed
-    by (group, quantile, value), one window over the bracket values."""
+    All quantiles share the passes (see the module's text). ``df`` is read by each
+    pass and should be a stored table; ranges of a pass are stored, a row a rank."""
     keys = list(keys)
     if not keys:
         raise ValueError("group_quantiles needs at least one group key")
-    base = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias(value))
-    eps = 3.0 / accuracy
+    v = F.col(value).cast("double")
+    base = df.where(v.isNotNull()).select(*keys, v.alias(value))
     specs = list(quantiles.items())
-    pcts = [
-        min(1.0, max(0.0, p + _BRACKET_SHIFT)) for _, (q, _) in specs for p in (q - eps, q + eps)
-    ]
-
-    # 1. One bounded sketch per group gives a value bracket around every target rank.
-    stats = base.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.percentile_approx(value, pcts, accuracy).alias("_br")
-    )
-    per_q = []
-    for i, (_, (q, kind)) in enumerate(specs):
-        r1, r2, wgt = _ranks(kind, q, F.col("_n"))
-        per_q.append(
-            F.struct(
-                F.lit(i).alias("_qi"), F.col("_br")[2 * i].alias("_lo"), F.col("_br")[2 * i + 1].alias("_hi"),
-                r1.alias("_r1"), r2.alias("_r2"), wgt.alias("_w"),
-            )
-        )
-    brackets = stats.select(*keys, "_n", F.explode(F.array(*per_q)).alias("_b")).select(*keys, "_n", "_b.*")
-
-    # 2. Rows below each bracket and the distinct values inside it, as partial
-    #    aggregates keyed by (group, quantile, value): a hot group spreads out.
-    joined = _null_safe_join(base, brackets, keys)
-    inside = (F.col(value) >= F.col("_lo")) & (F.col(value) <= F.col("_hi"))
-    tagged = joined.where(inside | (F.col(value) < F.col("_lo"))).select(
-        *keys, "_qi", "_n", "_r1", "_r2", "_w",
-        F.when(inside, F.col(value)).alias("_v"),
-        (F.col(value) < F.col("_lo")).alias("_is_below"),
-    )
-    counts = tagged.groupBy(*keys, "_qi", "_n", "_r1", "_r2", "_w", "_v", "_is_below").agg(
-        F.count(F.lit(1)).alias("_c")
-    )
-    below = counts.groupBy(*keys, "_qi").agg(
-        F.sum(F.when(F.col("_is_below"), F.col("_c")).otherwise(0)).alias("_below")
-    )
-    cand = _null_safe_join(counts.where(~F.col("_is_below")), below, [*keys, "_qi"])
-
-    # 3. A running count over the few bracket values picks the exact ranks.
-    picked = _pick(cand.withColumnRenamed("_v", value).drop("_is_below"), keys, value)
-    hit = (F.col("_below") < F.col("_r1")) & (F.col("_upto") >= F.col("_r2"))
-    ok = picked.where(hit)
-
-    # 4. Brackets that missed their rank: exact walk over that group's values only.
-    missed = picked.where(~hit).select(*keys, "_qi", "_n", "_r1", "_r2", "_w")
-    redo = (
-        _null_safe_join(base, missed, keys)
-        .groupBy(*keys, "_qi", "_n", "_r1", "_r2", "_w", F.col(value))
-        .agg(F.count(F.lit(1)).alias("_c"))
-        .withColumn("_below", F.lit(0).cast("long"))
-    )
-    both = ok.unionByName(_pick(redo, keys, value))
-
-    interp = F.col("_v1") + (F.col("_v2") - F.col("_v1")) * F.col("_w")
-    kinds = F.create_map(*[x for i, (_, (_, k)) in enumerate(specs) for x in (F.lit(i), F.lit(k == "cont"))])
-    qv = F.when(F.element_at(kinds, F.col("_qi")), interp).otherwise(F.col("_v1"))
-    long = both.select(*keys, "_qi", "_n", qv.alias("_qv"))
-    return long.groupBy(*keys).agg(
-        F.first("_n").alias("n"),
-        *[F.max(F.when(F.col("_qi") == i, F.col("_qv"))).alias(name) for i, (name, _) in enumerate(specs)],
-    )
+    ranks = [_ranks(kind, q, F.col("_n")) for _, (q, kind) in specs]
+    stats = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(value).alias("_lo"), F.max(value).alias("_hi"), _grid(F.col(value), accuracy).alias("_grid"))
+    wanted = F.array_distinct(F.array(*[r for r1, r2, _ in ranks for r in (r1, r2)]))
+    first = stats.select(*keys, "_n", "_lo", "_hi", "_grid", F.explode(wanted).alias("_rank"))
+    a, b = _splits(F.col("_grid"), F.col("_rank"), F.col("_n"))
+    first = stored(first.select(*keys, "_n", "_rank", F.lit(0).cast("long").alias("_below"), "_lo", "_hi", a.alias("_a"), b.alias("_b")), "ranks")
+    groups = first.select(*keys, "_n").distinct()
+    settled, ranges = [], first.drop("_n")
+    while True:
+        settled.append(ranges.where("_lo = _hi").select(*keys, "_rank", F.col("_lo").alias("_v")))
+        ranges = ranges.where("_lo < _hi")
+        if ranges.isEmpty():
+            break
+        ranges = stored(_narrow(base, ranges, keys, value, accuracy), "ranks")
+    found = reduce(lambda x, y: x.union(y), settled)
+    by_rank = F.map_from_entries(F.collect_list(F.struct("_rank", "_v"))).alias("_at")  # a few ranks a group
+    with_n = _null_safe_join(found.groupBy(*keys).agg(by_rank), groups, keys)
+    columns = []
+    for (name, (_, kind)), (r1, r2, w) in zip(specs, ranks, strict=True):
+        v1, v2 = F.element_at("_at", r1), F.element_at("_at", r2)
+        columns.append((v1 + (v2 - v1) * w if kind == "cont" else v1).alias(name))
+    return with_n.select(*keys, F.col("_n").alias("n"), *columns)
 
 
 def approx_group_quantiles(
@@ -177,13 +169,13 @@ def peer_thresholds(
     keys = list(peer_keys)
     if method == "percentile":
         if exact:
-            t = group_quantiles(df, keys, metric, {"peer_threshold": (q, "disc")}, accuracy)
+            t = group_quantiles(df, keys, metric, {"peer_threshold": (q, "disc")})
         else:
             t = approx_group_quantiles(df, keys, metric, {"peer_threshold": q}, accuracy)
         return t.withColumnRenamed("n", "peer_size")
     if method == "iqr":
         if exact:
-            t = group_quantiles(df, keys, metric, {"q1": (0.25, "cont"), "q3": (0.75, "cont")}, accuracy)
+            t = group_quantiles(df, keys, metric, {"q1": (0.25, "cont"), "q3": (0.75, "cont")})
         else:
             t = approx_group_quantiles(df, keys, metric, {"q1": 0.25, "q3": 0.75}, accuracy)
         return t.withColumnRenamed("n", "peer_size").withColumn(
@@ -221,12 +213,12 @@ def peer_outliers(
     broadcasts them at run time when their measured size is small and uses a
     skew-split shuffle join otherwise.
 
-    The input is read several times (sketch, bracket counts, final join), so by
-    default it is first materialised once to the checkpoint folder; pass
-    ``materialize=False`` when ``df`` is already a stored table."""
+    The input is read several times (passes, final join), so by default it is first
+    stored once in the shared folder; pass ``materialize=False`` when ``df`` is
+    already a stored table."""
     keys = list(peer_keys)
     if materialize:
-        df = cut_lineage(df)
+        df = stored(df, "members")
     thr = peer_thresholds(df, peer_keys, metric, method, **threshold_args)
     eligible = (
         (F.col(volume) >= F.lit(min_volume))

@@ -44,16 +44,40 @@ def test_group_quantiles_equal_exact_builtins(spark, skewed, accuracy):
         assert g[k]["q1"] == pytest.approx(w[k]["q1"], rel=1e-12) and g[k]["q3"] == pytest.approx(w[k]["q3"], rel=1e-12)
 
 
-def test_missed_brackets_fall_back_to_exact(spark, skewed, monkeypatch):
-    monkeypatch.setattr(outliers, "_BRACKET_SHIFT", -0.4)
-    got = {r["k"]: r["p95"] for r in outliers.group_quantiles(skewed, ["k"], "v", {"p95": (0.95, "disc")}).collect()}
-    want = {
-        r["k"]: r["p95"]
-        for r in skewed.where(F.col("v").isNotNull()).groupBy("k")
-        .agg(F.expr("percentile_disc(0.95) WITHIN GROUP (ORDER BY v)").alias("p95"))
-        .collect()
-    }
-    assert got == want
+def exact_p95(df):
+    exact = F.expr("percentile_disc(0.95) WITHIN GROUP (ORDER BY v)")
+    return {r["k"]: r["p95"] for r in df.where(F.col("v").isNotNull()).groupBy("k").agg(exact.alias("p95")).collect()}
+
+
+def test_split_points_far_from_the_rank_cost_passes_only(spark, skewed, monkeypatch):
+    # A grid of two steps and a careless sketch: ranges shrink slowly, results stay.
+    monkeypatch.setattr(outliers, "GRID", 2)
+    got = {r["k"]: r["p95"] for r in outliers.group_quantiles(skewed, ["k"], "v", {"p95": (0.95, "disc")}, 3).collect()}
+    assert got == exact_p95(skewed)
+
+
+def test_a_group_of_a_million_distinct_values_takes_few_passes(spark, monkeypatch):
+    big = spark.range(1_200_000, numPartitions=8).select(F.when(F.col("id") % 6 > 0, "hot").otherwise("b").alias("k"), F.exp(F.col("id") / 3000.0).alias("v"))
+    passes, real = [], outliers._narrow
+
+    def counted(base, ranges, *args):
+        passes.append(1)
+        return real(base, ranges, *args)
+
+    monkeypatch.setattr(outliers, "_narrow", counted)
+    found = outliers.group_quantiles(big, ["k"], "v", {"p95": (0.95, "disc"), "m": (0.5, "cont")})
+    got = {r["k"]: r["p95"] for r in found.collect()}
+    assert got == exact_p95(big)
+    assert len(passes) <= 5
+    # Nothing is ordered or gathered by value: no window, no sort of values.
+    assert "Window" not in found._jdf.queryExecution().toString()
+
+
+def test_two_values_around_the_rank(spark):
+    rows = [("a", 1.0)] * 500 + [("a", 2.0)] * 500 + [(None, float("inf"))] * 3 + [(None, -1.0)] * 3
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r["k"]: (r["n"], r["d"], r["c"]) for r in outliers.group_quantiles(df, ["k"], "v", {"d": (0.5, "disc"), "c": (0.5, "cont")}).collect()}
+    assert got["a"] == (1000, 1.0, 1.5) and got[None][:2] == (6, -1.0)
 
 
 def summary_rows(spark, n, claims=40, specialty="X"):
