@@ -11,55 +11,49 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from rxlake.schemas import CORRUPT_COLUMN, RAW_COLUMNS, RAW_SCHEMA
+from rxlake.session import stored
+from rxlake.sources.csv_scan import parsed, records
 from rxlake.sources.files import CSV_TEXT
 
 # --- fixed values: keys under which a source reports its total row count ------
 TOTAL_ROW_KEYS = ("total_rows", "totalRows", "row_count", "rowCount", "count")
 
 
-def _bind_by_name(df: DataFrame, present: list[str]) -> DataFrame:
-    cols = [F.col(c) if c in present else F.lit(None).cast("string").alias(c) for c in RAW_COLUMNS]
-    return df.select(*cols, F.col(CORRUPT_COLUMN))
+#: Layouts (different headers) that one read may have.
+MAX_LAYOUTS = 1000
 
 
-def _headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
-    """Header -> files that have it. Only the first line of each file is read; a
-    raw folder holds a handful of files a year."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    found: dict[tuple[str, ...], list[str]] = {}
-    for file in sorted(spark.read.text(path).inputFiles()):
-        if file.endswith((".gz", ".bz2", ".zst", ".lz4", ".snappy", ".deflate")):
-            header = tuple(spark.read.options(**CSV_TEXT).csv(file).columns)
-        else:
-            at = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
-            stream = at.getFileSystem(conf).open(at)
-            try:
-                line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
-            finally:
-                stream.close()
-            header = tuple(c.strip() for c in next(csv.reader([line.lstrip("\ufeff")]), [])) if line else ()
-        found.setdefault(header, []).append(file)
-    return found
+def _names(header: str) -> list[str]:
+    """Column names of a header record; a blank one gets a name by its place."""
+    cells = next(csv.reader([header.lstrip("\ufeff")], strict=False), [])
+    return [c.strip() or f"_c{i}" for i, c in enumerate(cells)]
 
 
-def read_bronze_csv(spark: SparkSession, path: str, year: int | None = None, multi_line: bool = True) -> DataFrame:
-    """Read raw CSV, a file or a folder, as RFC 4180 has it.
+def read_bronze_csv(spark: SparkSession, path: str, year: int | None = None) -> DataFrame:
+    """Read raw CSV, a file or a folder, as RFC 4180 has it, over as many tasks as
+    its bytes make (``sources.csv_scan``), quoted line breaks or not.
 
     Columns are bound by **header name** in every file, whatever the order of
     each; raw columns missing from a header are NULL, unknown extra columns are
-    ignored. Malformed lines (wrong token count) keep their text in
+    ignored. Malformed records (wrong token count) keep their text in
     ``_corrupt_record`` so they can be sent to the reject table instead of being
-    silently padded. Files with line breaks in quoted fields cannot be split;
-    ``multi_line=False`` lets files known to have none be read in parallel."""
-    frames = []
-    for header, files in sorted(_headers(spark, path).items()):
-        names = [c or f"_c{i}" for i, c in enumerate(header)]
-        schema = StructType([StructField(c, StringType(), True) for c in [*names, CORRUPT_COLUMN]])
-        reader = spark.read.options(**CSV_TEXT, mode="PERMISSIVE", enforceSchema="true", multiLine=str(multi_line).lower())
-        frames.append(_bind_by_name(reader.option("columnNameOfCorruptRecord", CORRUPT_COLUMN).schema(schema).csv(files), names))
-    if not frames:
-        frames = [_bind_by_name(spark.createDataFrame([], f"{CORRUPT_COLUMN} string"), [])]
-    df = reduce(lambda a, b: a.unionByName(b), frames)
+    silently padded. Headers come from the scan; what reaches the driver is each
+    different one once."""
+    found = records(spark, path)
+    headers = stored(found.where("header").select("file", F.col("record").alias("_header")), "csv-headers")
+    layouts = [r[0] for r in headers.select("_header").distinct().orderBy("_header").limit(MAX_LAYOUTS + 1).collect()]
+    if len(layouts) > MAX_LAYOUTS:
+        raise ValueError(f"{path} holds files of more than {MAX_LAYOUTS} layouts")
+    names = [_names(h) for h in layouts]
+    # Each record is parsed once, by the layout of its file.
+    mine = [F.when(F.col("_header") == h, parsed(n, CORRUPT_COLUMN, CSV_TEXT)).alias(f"_r{i}") for i, (h, n) in enumerate(zip(layouts, names, strict=True))]
+    rows = found.where("NOT header").join(headers, "file").select(*mine)
+
+    def bound(column: str) -> Column:
+        held = [F.col(f"_r{i}.`{column}`") for i, n in enumerate(names) if column in [*n, CORRUPT_COLUMN]]
+        return (F.coalesce(*held) if held else F.lit(None).cast("string")).alias(column)
+
+    df = rows.select(*[bound(c) for c in [*RAW_COLUMNS, CORRUPT_COLUMN]])
     return df if year is None else df.withColumn("year", F.lit(year).cast("int"))
 
 

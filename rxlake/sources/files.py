@@ -46,8 +46,7 @@ def replace_years(
         (writer.partitionBy(*inner) if inner else writer).format(fmt).save(f"{path}/{year_col}={year}")
 
 
-#: Options of CSV files as RFC 4180 has them: doubled quotes, and line breaks in
-#: quoted fields. Files with such line breaks cannot be split among tasks.
+#: Options of CSV files as RFC 4180 has them: doubled quotes.
 CSV_TEXT = {"header": "true", "quote": '"', "escape": '"'}
 
 

@@ -203,3 +203,55 @@ def test_load_tables_upserts_in_contract_order(spark, tmp_dir):
     assert got == {"CA": 20, "NY": 5, "TX": 1}
     with pytest.raises(ValueError):
         upsert.load_tables(spark, gold_marts(s2), tmp_dir, "other")
+
+
+ODD_CSV = (
+    'Prscrbr_NPI,Brnd_Name,Gnrc_Name\r\n'
+    '1,"a, ""b""\r\nc",plain\r\n'
+    '2,5" pipe,"two\n\n\nlines"\r\n'
+    '\r\n'
+    '3,"",""""\r\n'
+    '4,"x\n'
+    + "\n".join(f'line {i}, ""q"" and "" "' .replace('"', '""') for i in range(40))
+    + '",z\r\n'
+    '5,short\r\n'
+    '6,"' + "y" * 500 + '",é\n'
+    '7,a,"last"'
+)
+
+
+@pytest.mark.parametrize("split", ["16", "40", "200", "100000"])
+def test_records_are_whole_however_files_are_split(spark, tmp_dir, split):
+    import csv
+    import io
+
+    from rxlake.sources import csv_scan
+
+    for name, text in (("a.csv", ODD_CSV), ("b.csv", "Gnrc_Name,Prscrbr_NPI\n" + "".join(f'"g\n{i}",{i}\n' for i in range(100, 160))), ("c.csv", ""), ("d.csv", "Prscrbr_NPI\n")):
+        write(os.path.join(tmp_dir, f"odd/{name}"), text)
+    path = os.path.join(tmp_dir, "odd")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        if split == "16":
+            assert csv_scan.physical_lines(spark, path).rdd.getNumPartitions() > 20
+        rows = {r["Prscrbr_NPI"]: (r["Brnd_Name"], r["Gnrc_Name"], r[CORRUPT_COLUMN] is not None) for r in bronze.read_bronze_csv(spark, path).collect()}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    want = {}
+    for r in list(csv.reader(io.StringIO(ODD_CSV, newline="")))[1:]:
+        if r and r[0] not in ("2", "5"):
+            want[r[0]] = (r[1] or None, r[2] or None, False)
+    want["2"] = ('5" pipe', "two\n\n\nlines", False)
+    want |= {str(i): (None, f"g\n{i}", False) for i in range(100, 160)}
+    assert rows.pop("5")[2]
+    assert rows == want
+
+
+def test_the_state_of_a_line_follows_from_fields():
+    from rxlake.sources.csv_scan import open_after
+
+    for line, outside, inside in (("a,b", False, True), ('"a', True, False), ('"a""', True, False), ('a","b', True, True), ('5" x', False, False), ('"a",', False, False), (',"', True, False), ('""', False, True), ('x"",y', False, True)):
+        assert (open_after(line, False), open_after(line, True)) == (outside, inside), line
