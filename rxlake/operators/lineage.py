@@ -3,9 +3,9 @@ row-count check against the source's expected count."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
+from pyspark.sql.types import DecimalType, IntegerType, StructField, StructType
 
 from rxlake.operators.upsert import upsert_by_key
 from rxlake.schemas import INGESTION_LOG_KEY, INGESTION_LOG_SCHEMA, INGESTION_STATUSES, MANIFEST_SCHEMA
@@ -136,10 +136,31 @@ def upsert_run_log(log: DataFrame, incoming: DataFrame) -> DataFrame:
     return upsert_by_key(log, incoming, INGESTION_LOG_KEY)
 
 
+def append_log(rows: DataFrame, path: str) -> None:
+    """Add run-log rows as one more event: nothing stored is rewritten."""
+    found = read_log(rows.sparkSession, path)
+    last = found.agg(F.max("seq")).first()[0]
+    rows.withColumn("seq", F.lit((last or 0) + 1)).write.mode("append").partitionBy("seq").parquet(path)
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """The run log: of each (run, dataset, year) its latest event, and ``seq``, the
+    order of events."""
+    schema = StructType([*INGESTION_LOG_SCHEMA.fields, StructField("seq", IntegerType())])
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+        return spark.createDataFrame([], schema)
+    events = spark.read.schema(schema).parquet(path)
+    latest = events.groupBy(*INGESTION_LOG_KEY).agg(F.max_by(F.struct(*[c for c in events.columns if c not in INGESTION_LOG_KEY]), "seq").alias("e"))
+    return latest.select(*[c if c in INGESTION_LOG_KEY else F.col(f"e.{c}").alias(c) for c in events.columns])
+
+
 def skip_ingested(manifest: DataFrame, log: DataFrame) -> DataFrame:
-    """Manifest rows still to load: drop (dataset_id, year, checksum) already
-    recorded with status SUCCESS (idempotent reruns)."""
-    done = log.where(F.col("status") == "SUCCESS").select("dataset_id", "year", "checksum_sha256")
+    """Manifest rows still to load: without those whose content is what the latest
+    successful load of their dataset and year had. Content that an earlier load had
+    and a later one replaced is loaded again."""
+    order = F.struct(*[c for c in ("seq", "completed_at", "run_id") if c in log.columns])
+    done = log.where(F.col("status") == "SUCCESS").groupBy("dataset_id", "year").agg(F.max_by("checksum_sha256", order).alias("checksum_sha256"))
     return manifest.join(done, ["dataset_id", "year", "checksum_sha256"], "left_anti")
 
 

@@ -8,9 +8,10 @@ rows with ``stack``; nothing is collected to the driver.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rxlake.functions.money import money_sum
@@ -52,22 +53,65 @@ def count_checks(
     return _rows(one, run_id, dataset, layer, checks)
 
 
-def silver_checks(silver: DataFrame, run_id: str, dataset: str = "prescriptions", valid_states: list[str] | None = None) -> DataFrame:
-    """NPI present (K2), no negative cost (K3), key columns not NULL (K5),
-    states defaulted to UNKNOWN (WARN) and, given a list, valid state codes (K8; a
-    NULL is not valid)."""
-    preds: dict[str, tuple[Column, str]] = {
+def silver_predicates() -> dict[str, tuple[Column, str]]:
+    """NPI present (K2), no negative cost (K3), key columns not NULL (K5) and states
+    defaulted to UNKNOWN (WARN): what a bad row looks like, and the failing status."""
+    return {
         "npi_present": (F.col("npi").isNull() | (F.col("npi") == ""), "FAIL"),
         "no_negative_cost": ((F.col("tot_drug_cost") < 0) | (F.col("ge65_drug_cost") < 0), "FAIL"),
         "year_not_null": (F.col("year").isNull(), "FAIL"),
         "state_not_null": (F.col("state").isNull(), "FAIL"),
         "state_defaulted": (F.col("state") == "UNKNOWN", "WARN"),
     }
+
+
+def silver_checks(silver: DataFrame, run_id: str, dataset: str = "prescriptions", valid_states: list[str] | None = None) -> DataFrame:
+    """The ``silver_predicates`` over a stored table, in one pass, and state codes
+    outside a short list (K8; for a table of codes see ``reference_check``)."""
+    preds = silver_predicates()
     if valid_states is not None:
         preds["valid_state_code"] = (F.col("state").isNull() | ~F.col("state").isin(*valid_states), "FAIL")
     return count_checks(silver, run_id, dataset, "silver", preds)
 
 
+def silver_metrics() -> list[Column]:
+    """The same as metrics of the job that writes Silver, with its ``rows``."""
+    bad = [F.count_if(F.coalesce(p, F.lit(False))).alias(name) for name, (p, _) in silver_predicates().items()]
+    return [F.count(F.lit(1)).alias("rows"), *bad]
+
+
+def number_checks(spark: SparkSession, run_id: str, dataset: str, layer: str, numbers: dict[str, tuple[int, int, str]]) -> DataFrame:
+    """Rows from numbers that a job has counted: check -> observed, expected, failing
+    status."""
+    rows = [(run_id, dataset, layer, name, "PASS" if seen == wanted else bad, str(seen), str(wanted), None) for name, (seen, wanted, bad) in numbers.items()]
+    return spark.createDataFrame(rows, DQ_RESULT_SCHEMA)
+
+
+def written_silver_checks(spark: SparkSession, metrics: dict[str, int], run_id: str, dataset: str) -> DataFrame:
+    """K2, K3 and K5 from the metrics of the write itself: Silver is not read again."""
+    return number_checks(spark, run_id, dataset, "silver", {name: (metrics[name], 0, bad) for name, (_, bad) in silver_predicates().items()})
+
+
+@dataclass(frozen=True)
+class RowFlow:
+    """Rows of one load: staged, sent to deduplication, left by it, and what the
+    reject and Silver tables hold afterwards."""
+
+    staged: int
+    accepted: int
+    unique: int
+    rejected_stored: int
+    silver_stored: int
+
+
+def row_flow_check(spark: SparkSession, flow: RowFlow, run_id: str, dataset: str) -> DataFrame:
+    """K10: staged rows that are neither accepted nor in the stored reject table, and
+    unique rows that the stored Silver table lacks; both must be 0."""
+    lost = flow.staged - flow.rejected_stored - flow.accepted
+    numbers = {"bronze_minus_rejected_equals_accepted": (lost, 0, "FAIL"), "silver_written_equals_unique": (flow.silver_stored, flow.unique, "FAIL")}
+    return number_checks(spark, run_id, dataset, "silver", numbers)
+
+
 def reference_check(df: DataFrame, column: str, reference: DataFrame, run_id: str, dataset: str, layer: str, check_name: str) -> DataFrame:
     """Rows whose ``column`` is not in the one-column table ``reference`` (K8); a
     NULL is not. Values are counted before they meet the reference."""
@@ -129,20 +173,6 @@ def status_domain_check(log: DataFrame, domain: tuple[str, ...], run_id: str, da
     return count_checks(log, run_id, dataset, layer, {check_name: (~F.col("status").isin(*domain) | F.col("status").isNull(), "FAIL")})
 
 
-def row_flow_check(bronze: DataFrame, rejected: DataFrame, accepted: DataFrame, run_id: str, dataset: str) -> DataFrame:
-    """Accepted = Bronze - rejected (K10): the unexplained difference must be 0
-    (one pass over a union of narrow projections, no join)."""
-    tags = (
-        bronze.select(F.lit("b").alias("_t"))
-        .unionByName(rejected.select(F.lit("r").alias("_t")))
-        .unionByName(accepted.select(F.lit("a").alias("_t")))
-    )
-    one = tags.agg(
-        (F.count_if(F.col("_t") == "b") - F.count_if(F.col("_t") == "r") - F.count_if(F.col("_t") == "a")).alias("_gap")
-    )
-    return _rows(one, run_id, dataset, "silver", [("bronze_minus_rejected_equals_accepted", "_gap", "0", "FAIL")])
-
-
 def reconcile(silver: DataFrame, mart: DataFrame, grain: list[str], tolerance: float = 0.005) -> DataFrame:
     """Gold vs Silver on a grain (C5): totals of claims and cost recomputed from
     Silver, full outer joined to the mart, compared NULL-safely (cost within
@@ -159,6 +189,14 @@ def reconcile(silver: DataFrame, mart: DataFrame, grain: list[str], tolerance: f
     )
 
 
+def unmatched_check(df: DataFrame, parent: DataFrame, keys: list[str], run_id: str, dataset: str, check_name: str) -> DataFrame:
+    """Rows without a row in ``parent`` that is equal on ``keys`` (NULLs too); must be 0."""
+    other = parent.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    lost = df.join(other, same, "left_anti").agg(F.count(F.lit(1)).alias("_lost"))
+    return _rows(lost, run_id, dataset, "gold", [(check_name, "_lost", "0", "FAIL")])
+
+
 def reconcile_check(recon: DataFrame, run_id: str, dataset: str, check_name: str) -> DataFrame:
     return count_checks(recon, run_id, dataset, "gold", {check_name: (~(F.col("claims_match") & F.col("cost_match")), "FAIL")})
 

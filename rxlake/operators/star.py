@@ -44,6 +44,31 @@ def dim_year(silver: DataFrame) -> DataFrame:
     return silver.select(F.col("year").alias("year_id"), "year").distinct()
 
 
+def dim_parts(silver: DataFrame) -> dict[str, DataFrame]:
+    """What each year adds to the dimensions: their keys by year, with the least of
+    each attribute that varies under a key. Minima merge, so the dimensions of any
+    set of years come from the parts alone (``merge_dims``)."""
+    by_year = silver.where(_present("npi")).select("year", prescriber_id().alias("prescriber_id"), "npi", full_name().alias("full_name"), "city", "state", "specialty")
+    return {
+        "dim_prescriber": by_year.groupBy("year", "prescriber_id", "npi", "city", "state", "specialty").agg(F.min("full_name").alias("full_name")),
+        "dim_drug": silver.groupBy("year", drug_id().alias("drug_id"), "brand_name", "generic_name").agg(F.count(F.lit(1)).alias("rows")),
+        "dim_state": silver.where(_present("state")).groupBy("year", "state").agg(F.min("state_fips").alias("state_fips")),
+        "dim_year": silver.groupBy("year").agg(F.count(F.lit(1)).alias("rows")),
+    }
+
+
+def merge_dims(parts: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The dimensions from the parts of all years."""
+    people = parts["dim_prescriber"].groupBy("prescriber_id", "npi", "city", "state", "specialty").agg(F.min("full_name").alias("full_name"))
+    states = parts["dim_state"].groupBy(F.col("state").alias("state_id")).agg(F.min("state_fips").alias("state_fips"))
+    return {
+        "dim_year": parts["dim_year"].select(F.col("year").alias("year_id"), "year").distinct(),
+        "dim_state": states.select("state_id", F.col("state_id").alias("state_abbr"), "state_fips"),
+        "dim_drug": parts["dim_drug"].select("drug_id", "brand_name", "generic_name").distinct(),
+        "dim_prescriber": people.select(*STAR_COLUMNS["dim_prescriber"]),
+    }
+
+
 def fact_prescriptions(silver: DataFrame) -> DataFrame:
     """One fact row per Silver row (a narrow projection, no shuffle)."""
     measures = STAR_COLUMNS["fact_prescriptions"][5:]

@@ -1,5 +1,7 @@
 """Each data-quality check with a passing and a failing input."""
 
+from dataclasses import replace
+
 from helpers import silver_df, silver_row
 
 from rxlake.operators import quality
@@ -28,10 +30,10 @@ def test_year_completeness(spark):
 def test_not_null_and_row_flow(spark):
     s = silver_df(spark, [silver_row("1", "A", "CA", "X", "B", "G", 1, 1.0), silver_row(None, "A", "CA", "X", "B", "G", 1, 1.0)])
     assert quality.not_null_check(s, ["npi"], "r", "d", "gold", "nn").collect()[0]["status"] == "FAIL"
-    flow = quality.row_flow_check(s, s.limit(0), s, "r", "d").collect()[0]
-    assert flow["status"] == "PASS"
-    flow = quality.row_flow_check(s, s.limit(0), s.limit(1), "r", "d").collect()[0]
-    assert flow["status"] == "FAIL" and flow["observed_value"] == "1"
+    good = quality.RowFlow(staged=9, accepted=7, unique=6, rejected_stored=2, silver_stored=6)
+    assert set(statuses(quality.row_flow_check(spark, good, "r", "d")).values()) == {"PASS"}
+    lost = {r["check_name"]: (r["status"], r["observed_value"], r["expected_value"]) for r in quality.row_flow_check(spark, replace(good, rejected_stored=1, silver_stored=4), "r", "d").collect()}
+    assert lost == {"bronze_minus_rejected_equals_accepted": ("FAIL", "1", "0"), "silver_written_equals_unique": ("FAIL", "4", "6")}
 
 
 def test_reconcile_detects_differences(spark):
