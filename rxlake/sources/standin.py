@@ -47,12 +47,12 @@ def _state_of(spark: SparkSession, sf_dir: str) -> str:
 
 def standin_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored view: all 22 raw columns as strings plus ``yr`` (int). It is derived
-    when a session first asks for these files, over as many files as there are shuffle
+    when a session first asks for these files, over as many tasks as there are shuffle
     partitions, so that its readers are spread however the tables are laid out."""
     path = f"{ensure_checkpoint_dir(spark)}/standin-{_state_of(spark, sf_dir)}"
     done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
     if not done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done):
-        derive_raw(spark, sf_dir).repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))).write.mode("overwrite").parquet(path)
+        derive_raw(spark, sf_dir).write.mode("overwrite").parquet(path)
     schema = ", ".join(f"{c} string" for c in RAW_COLUMNS)
     return spark.read.schema(f"{schema}, yr int").parquet(path)
 
@@ -62,7 +62,9 @@ def derive_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = read_tables(spark, sf_dir, TABLES)
     # No hints: the planner broadcasts nation and region by their file sizes.
     geo = t["nation"].join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
+    # Dealt out before the joins: a test table may be one split.
     line = t["lineitem"].select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag")
+    line = line.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     orders = t["orders"].select("o_orderkey", "o_custkey", "o_orderdate")
     customer = t["customer"].select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     part = t["part"].select("p_partkey", "p_brand", "p_type")
