@@ -138,7 +138,7 @@ def predict(p: dict[str, np.ndarray], h: np.ndarray, y: np.ndarray, grad: dict[s
     return lp, dh
 
 
-def train(p: dict[str, np.ndarray], texts: list[np.ndarray], *, width: int = 64, rate: float = 0.15) -> int:
+def train(p: dict[str, np.ndarray], texts: list[np.ndarray], *, width: int = 256, rate: float = 0.25) -> int:
     """One pass of truncated backpropagation over the texts, in place, with
     steps scaled by past gradients. Gives the number of tokens. The texts end to
     end are cut into lanes of one length, so every step sees all lanes."""
