@@ -113,10 +113,11 @@ def test_a_count_mismatch_stops_a_full_load(spark, tmp_dir):
 def test_going_back_to_earlier_content_loads_it_again(spark, tmp_dir):
     a, b = people(2031), people(2031, first="Zed", cost=90000)
     out = os.path.join(tmp_dir, "aba")
+    found = []
     for n, rows in enumerate((a, b, a)):
         got = run_pipeline(spark, load(spark, rows, 2031), out, f"r{n}", export_csv=False)
-    want = run_pipeline(spark, load(spark, a, 2031), os.path.join(tmp_dir, "a"), "r", export_csv=False)
-    same_tables(got, want)
+        found.append({t: sorted(map(str, got[t].collect())) for t in TABLES})
+    assert found[2] == found[0] != found[1]
     assert {(r["run_id"], r["status"]) for r in got["run_log"].collect()} == {(f"r{n}", "SUCCESS") for n in range(3)}
 
 

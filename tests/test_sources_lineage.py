@@ -220,7 +220,7 @@ ODD_CSV = (
 )
 
 
-@pytest.mark.parametrize("split", ["16", "40", "200", "100000"])
+@pytest.mark.parametrize("split", ["16", "200"])
 def test_records_are_whole_however_files_are_split(spark, tmp_dir, split):
     import csv
     import io
