@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from rxlake.functions.money import money_sum
 from rxlake.schemas import CONSTRAINTS, DQ_RESULT_SCHEMA
+from rxlake.session import stored
 
 DQ_COLUMNS = DQ_RESULT_SCHEMA.fieldNames()
 
@@ -247,5 +248,29 @@ def reconcile_tables(expected: DataFrame, stored: DataFrame, keys: list[str], me
     return j.select(*[F.coalesce(F.col(k), F.col(f"_{k}")).alias(k) for k in keys], what.alias("difference")).where("difference <> ''")
 
 
+def differing_rows(expected: DataFrame, stored_table: DataFrame, keys: list[str], measures: list[str], fanout: int = 256, levels: int = 3, tolerance: float = 0.005) -> DataFrame:
+    """``reconcile_tables`` of two large tables that differ in little, by a tree of
+    fingerprints: rows fall into ``fanout`` ** level ranges by hash of their key, a
+    range's fingerprint is the exact sum of its rows' hashes (a partial aggregate),
+    and only ranges that differ are read at the next level. What is left is joined.
+    ``expected`` and ``stored_table`` are read once a level and should be stored."""
+    key_hash, row_hash = F.xxhash64(*keys), F.xxhash64(*keys, *measures).cast("decimal(20,0)")
+
+    def prints(df: DataFrame, ranges: int, name: str) -> DataFrame:
+        return df.groupBy(F.pmod(key_hash, F.lit(ranges)).alias("_range")).agg(F.count(F.lit(1)).alias(f"_n{name}"), F.sum(row_hash).alias(f"_s{name}"))
+
+    def inside(df: DataFrame, ranges: int, some: DataFrame) -> DataFrame:
+        return df.withColumn("_range", F.pmod(key_hash, F.lit(ranges))).join(some, "_range", "left_semi").drop("_range")
+
+    left, right = expected, stored_table
+    for level in range(1, levels + 1):
+        ranges = fanout**level
+        met = prints(left, ranges, "a").join(prints(right, ranges, "b"), "_range", "full_outer")
+        # Ranges of a level lie within those of the one before: pmod by a multiple.
+        differ = stored(met.where(~(F.col("_na").eqNullSafe(F.col("_nb")) & F.col("_sa").eqNullSafe(F.col("_sb")))).select("_range"), "ranges")
+        left, right = inside(expected, ranges, differ), inside(stored_table, ranges, differ)
+    return reconcile_tables(left, right, keys, measures, tolerance)
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames).select(*DQ_COLUMNS)

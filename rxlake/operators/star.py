@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -108,6 +110,20 @@ def star_join(tables: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+def colocated(tables: dict[str, DataFrame], path: str, buckets: int) -> dict[str, DataFrame]:
+    """``tables`` with fact and prescriber dimension, the one that grows with the data,
+    stored in ``buckets`` by their key, so that joining them moves no row of the fact.
+    A key that holds a large part of the fact stays in one bucket: for such a fact
+    keep the plain tables, whose join AQE splits."""
+    out = dict(tables)
+    for name in ("fact_prescriptions", "dim_prescriber"):
+        table = f"{name}_{uuid.uuid4().hex[:12]}"
+        writer = tables[name].write.bucketBy(buckets, "prescriber_id").sortBy("prescriber_id")
+        writer.option("path", f"{path}/{table}").format("parquet").saveAsTable(table)
+        out[name] = tables[name].sparkSession.table(table)
+    return out
+
+
 def star_rollup(tables: dict[str, DataFrame], by: list[str] | None = None) -> DataFrame:
     """Report over the star: claims, exact cost and prescriber counts by dimension
     attributes (default year, state, specialty)."""

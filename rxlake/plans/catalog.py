@@ -1009,3 +1009,44 @@ def csv_scan(spark, sf_dir):
             F.count("Gnrc_Name").alias("with_generic"),
         )
     )
+
+
+# --- stored forms of gold tables ----------------------------------------------------------
+
+
+@register("star_join_colocated", W(["fact", "dim_prescriber", "dim_drug", "dim_state", "dim_year"], STAR_ROLLUP_SQL))
+def star_join_colocated(spark, sf_dir):
+    """The star report from a fact and a prescriber dimension bucketed by key."""
+    tables = star.colocated(_star(spark, sf_dir), f"{ensure_checkpoint_dir(spark)}/stored", int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return star.star_rollup(tables)
+
+
+SKETCHES_SQL = """SELECT state, COUNT(DISTINCT npi) AS distinct_prescribers, TRUE AS within_bound FROM silver WHERE npi <> '' GROUP BY state"""
+
+
+@register("distinct_sketches", W(["silver"], SKETCHES_SQL))
+def distinct_sketches(spark, sf_dir):
+    """Distinct prescribers of all years by state from stored yearly sketches, held
+    against exact counts within four standard errors."""
+    silver = _silver_once(spark, sf_dir)
+    sketches = stored(views.distinct_sketches(silver, ["state"]), "sketches")
+    exact = silver.where("npi <> ''").groupBy("state").agg(F.countDistinct("npi").alias("distinct_prescribers"))
+    both = exact.join(views.distinct_of_years(sketches, ["state"]), "state")
+    close = F.abs(F.col("approx_distinct") - F.col("distinct_prescribers")) <= 4 * views.SKETCH_ERROR * F.col("distinct_prescribers")
+    return both.select("state", "distinct_prescribers", close.alias("within_bound"))
+
+
+_SUMMARY_KEYS = ["year", "npi", "full_name", "city", "state", "specialty"]
+DIFFERING_SQL = f"""SELECT {', '.join(_SUMMARY_KEYS)}, CASE WHEN year % 2 = 0 THEN 'missing' ELSE 'total_claims' END AS difference
+FROM summary WHERE npi LIKE '%7' AND (year % 2 = 0 OR total_claims IS NOT NULL)"""
+
+
+@register("differing_rows", W(["summary"], DIFFERING_SQL))
+def differing_rows(spark, sf_dir):
+    """The rows in which a stored prescriber summary differs from the recomputed one,
+    found by fingerprints of key ranges."""
+    summary = stored(_summary(spark, sf_dir), "summary")
+    odd = F.col("npi").endswith("7")
+    copy = summary.where(~F.coalesce(odd & (F.col("year") % 2 == 0), F.lit(False)))
+    copy = copy.withColumn("total_claims", F.col("total_claims") + F.when(odd, 1).otherwise(0))
+    return quality.differing_rows(summary, stored(copy, "copy"), _SUMMARY_KEYS, ["total_claims", "total_drug_cost", "avg_cost_per_claim"], fanout=16)

@@ -3,6 +3,7 @@
 from dataclasses import replace
 
 from helpers import silver_df, silver_row
+from pyspark.sql import functions as F
 
 from rxlake.operators import quality
 
@@ -52,3 +53,21 @@ def test_head_with_an_order(spark):
     df = spark.createDataFrame([(3, "c"), (None, "a"), (1, "b")], "k int, v string")
     assert [r["v"] for r in profile.head(df, 2, ["k"]).collect()] == ["b", "c"]
     assert profile.head(df, 2).count() == 2
+
+
+def test_one_changed_row_is_found_without_joining_all(spark, monkeypatch):
+    rows = spark.range(20_000).selectExpr("id", "IF(id % 7 = 0, NULL, id % 11) AS k", "CAST(id AS DOUBLE) / 3 AS v")
+    other = rows.where("id <> 77").withColumn("v", F.expr("CASE id WHEN 1234 THEN -1.0 WHEN 70 THEN NULL ELSE v + 0.0001 END")).union(spark.sql("SELECT 99999L, NULL, 1.0D"))
+    joined, real = [], quality.reconcile_tables
+
+    def seen(a, b, *args):
+        joined.append((a.count(), b.count()))
+        return real(a, b, *args)
+
+    monkeypatch.setattr(quality, "reconcile_tables", seen)
+    exact = rows.withColumn("v", F.col("v") + 0.0001)
+    found = {r["id"]: r["difference"] for r in quality.differing_rows(exact, other, ["id", "k"], ["v"], fanout=32).collect()}
+    assert found == {77: "missing", 1234: "v", 70: "v", 99999: "unexpected"}
+    assert joined[0][0] < 50 and joined[0][1] < 50
+    # Within the tolerance: fingerprints differ everywhere, rows do not.
+    assert quality.differing_rows(rows, exact, ["id", "k"], ["v"], fanout=4, levels=2).count() == 0

@@ -1,5 +1,6 @@
 """Views, charts and analytics on small marts."""
 
+from helpers import silver_df, silver_row
 from pyspark.sql import functions as F
 
 from rxlake.functions.cleaning import safe_divide
@@ -64,3 +65,13 @@ def test_dashboard_filter_prunes_partitions(spark, tmp_dir, capsys):
     assert "PartitionFilters: [isnotnull(year" in plan and "state" in plan.split("PartitionFilters:")[1].split("\n")[0]
     assert "ReadSchema: struct<total_drug_cost:double>" in plan
     assert [r[0] for r in df.select("total_drug_cost").collect()] == [300.0]
+
+
+def test_distinct_members_of_unions_of_years(spark):
+    rows = [silver_row(str(i), "A", "CA" if i % 2 else "NY", "X", "B", "G", 1, 1.0, year=y) for y in (2030, 2031) for i in range(3000 if y == 2030 else 2000)]
+    silver = silver_df(spark, [*rows, silver_row("", "A", "CA", "X", "B", "G", 1, 1.0)])
+    sketches = views.distinct_sketches(silver, ["state"])
+    for years, want in ((None, 1500), ([2031], 1000), ([2030], 1500)):
+        got = {r["state"]: r["approx_distinct"] for r in views.distinct_of_years(sketches, ["state"], years).collect()}
+        assert set(got) == {"CA", "NY"}
+        assert all(abs(n - want) <= 4 * views.SKETCH_ERROR * want for n in got.values())
