@@ -61,10 +61,15 @@ def _grid(value: Column, accuracy: int) -> Column:
     return F.percentile_approx(value, [i / GRID for i in range(GRID + 1)], accuracy)
 
 
-def _splits(grid: Column, rank: Column, n: Column) -> tuple[Column, Column]:
-    """Points of the grid around a rank, at least a step to each side."""
+def _splits(grid: Column, rank: Column, n: Column, low: Column, high: Column, accuracy: int) -> list[Column]:
+    """Points of the grid around a rank, as far to each side as the sketch may err;
+    the middle one where these would be the ends of the range ``low`` to ``high``, so
+    that a pass at least halves what is left."""
+    margin = 1 + GRID // accuracy
     step = F.floor((rank - 0.5) / n * GRID).cast("int") + 1  # arrays count from 1
-    return F.element_at(grid, F.greatest(step - 1, F.lit(1))), F.element_at(grid, F.least(step + 2, F.lit(GRID + 1)))
+    a, b = F.element_at(grid, F.greatest(step - margin, F.lit(1))), F.element_at(grid, F.least(step + 1 + margin, F.lit(GRID + 1)))
+    wide, middle = (a <= low) & (b >= high), F.element_at(grid, F.lit(GRID // 2 + 1))
+    return [F.when(wide, middle).otherwise(x) for x in (a, b)]
 
 
 def _narrow(base: DataFrame, ranges: DataFrame, keys: list[str], value: str, accuracy: int) -> DataFrame:
@@ -91,7 +96,7 @@ def _narrow(base: DataFrame, ranges: DataFrame, keys: list[str], value: str, acc
     high = part(F.col("_under"), a, F.col("_last"), b, F.col("_hi"))
     below = F.col("_below") + part(F.lit(0), *ends)
     between = (r > ends[1]) & (r <= ends[2])
-    split = _splits(F.col("_grid"), r - ends[1], F.col("_c2"))
+    split = _splits(F.col("_grid"), r - ends[1], F.col("_c2"), F.col("_first"), F.col("_last"), accuracy)
     near = [F.when(between, s).otherwise(x) for s, x in zip(split, (low, high), strict=True)]
     return seen.select(*keys, "_rank", below.cast("long").alias("_below"), low.alias("_lo"), high.alias("_hi"), near[0].alias("_a"), near[1].alias("_b"))
 
@@ -121,7 +126,7 @@ def group_quantiles(
     stats = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(value).alias("_lo"), F.max(value).alias("_hi"), _grid(F.col(value), accuracy).alias("_grid"))
     wanted = F.array_distinct(F.array(*[r for r1, r2, _ in ranks for r in (r1, r2)]))
     first = stats.select(*keys, "_n", "_lo", "_hi", "_grid", F.explode(wanted).alias("_rank"))
-    a, b = _splits(F.col("_grid"), F.col("_rank"), F.col("_n"))
+    a, b = _splits(F.col("_grid"), F.col("_rank"), F.col("_n"), F.col("_lo"), F.col("_hi"), accuracy)
     first = stored(first.select(*keys, "_n", "_rank", F.lit(0).cast("long").alias("_below"), "_lo", "_hi", a.alias("_a"), b.alias("_b")), "ranks")
     groups = first.select(*keys, "_n").distinct()
     settled, ranges = [], first.drop("_n")
