@@ -15,6 +15,8 @@ EMBED, HIDDEN, CLASSES, BLOCK = 16, 16, 48, 48
 VOCAB = CLASSES * BLOCK
 RARE, BEGIN = VOCAB, VOCAB + 1
 WINDOW = 32
+#: Windows, hence weight updates, that a pass over a stream takes at least.
+STEPS = 16
 SHAPES = {"emb": (VOCAB + 2, EMBED), "wx": (EMBED, 3 * HIDDEN), "u": (HIDDEN, 3 * HIDDEN), "b": (3 * HIDDEN,), "wc": (HIDDEN, CLASSES + 1), "bc": (CLASSES + 1,), "wo": (CLASSES, HIDDEN, BLOCK), "bo": (CLASSES, BLOCK)}
 F4 = np.float32
 
@@ -50,10 +52,12 @@ def start(counts: np.ndarray, rare: int, seed: int = 5) -> dict[str, np.ndarray]
     return p
 
 
-def lanes(texts: list[np.ndarray], most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Inputs, targets (-1: none) and texts by step and lane. Long texts are
-    dealt first, each to the lane that is shortest so far."""
-    size = np.array([len(t) for t in texts])
+def lanes(texts: list[np.ndarray], most: int) -> tuple[np.ndarray, ...]:
+    """Inputs, targets and texts of all tokens, lane after lane, and each lane's
+    first token and length, longest lane first. Long texts are dealt first, each
+    to the lane that is shortest so far. Nothing is padded: a very long text takes
+    the room of its own tokens."""
+    size = np.array([len(t) for t in texts], np.int64)
     n = max(1, min(most, len(texts)))
     load, dealt = np.zeros(n, np.int64), [[] for _ in range(n)]
     for i in np.argsort(-size, kind="stable"):
@@ -61,16 +65,13 @@ def lanes(texts: list[np.ndarray], most: int) -> tuple[np.ndarray, np.ndarray, n
             k = int(np.argmin(load))
             dealt[k].append(i)
             load[k] += size[i]
-    x = np.full((int(load.max(initial=0)), n), BEGIN, np.int32)
-    y = np.full(x.shape, -1, np.int32)
-    owner = np.zeros(x.shape, np.int32)
-    for k, own in enumerate(dealt):
-        if own:
-            y[: load[k], k] = np.concatenate([texts[i] for i in own])
-            owner[: load[k], k] = np.repeat(own, size[own])
-            x[1 : load[k], k] = y[: load[k] - 1, k]
-            x[np.append(0, np.cumsum(size[own])[:-1]), k] = BEGIN
-    return x, y, owner
+    by_load = np.argsort(-load, kind="stable")
+    own = np.array([i for k in by_load for i in dealt[k]], np.int64)
+    load = load[by_load]
+    y = np.concatenate([texts[i] for i in own]) if len(own) else np.zeros(0, np.int32)
+    x = np.append(np.int32(BEGIN), y[:-1])[: len(y)]
+    x[np.cumsum(size[own]) - size[own]] = BEGIN
+    return x, y, np.repeat(own, size[own]), np.cumsum(load) - load, load
 
 
 def _sig(a: np.ndarray) -> np.ndarray:
@@ -141,11 +142,12 @@ def predict(p: dict[str, np.ndarray], h: np.ndarray, y: np.ndarray, grad: dict[s
 def train(p: dict[str, np.ndarray], texts: list[np.ndarray], *, width: int = 256, rate: float = 0.25) -> int:
     """One pass of truncated backpropagation over the texts, in place, with
     steps scaled by past gradients. Gives the number of tokens. The texts end to
-    end are cut into lanes of one length, so every step sees all lanes."""
+    end are cut into lanes of one length, so every step sees all lanes; lanes are
+    at least STEPS windows long, as fewer steps would hardly move the weights."""
     stream = np.concatenate(texts) if texts else np.zeros(0, np.int32)
     if not len(stream):
         return 0
-    width = max(1, min(width, len(stream) // WINDOW))
+    width = max(1, min(width, len(stream) // (STEPS * WINDOW)))
     begins = np.append(0, stream[:-1])
     begins[np.cumsum([0] + [len(t) for t in texts if len(t)])[:-1]] = BEGIN
     steps = -(-len(stream) // width)
@@ -201,21 +203,18 @@ def train(p: dict[str, np.ndarray], texts: list[np.ndarray], *, width: int = 256
 
 def score(p: dict[str, np.ndarray], texts: list[np.ndarray], *, width: int = 512) -> np.ndarray:
     """Natural log-probability of each whole text."""
-    x, y, owner = lanes(texts, width)
+    x, y, owner, first, load = lanes(texts, width)
     out = np.zeros(len(texts))
     table = (p["emb"] @ p["wx"] + p["b"]).astype(F4)
-    h = np.zeros((x.shape[1], HIDDEN), F4)
-    for lo in range(0, len(x), WINDOW):
-        ys = y[lo : lo + WINDOW]
-        # Lanes that have ended drop out.
-        live = np.flatnonzero((ys >= 0).any(0))
-        if len(live) < x.shape[1]:
-            x, y, owner, h = x[:, live], y[:, live], owner[:, live], h[live]
-            ys = y[lo : lo + WINDOW]
-        if not len(live):
-            break
-        states, h = run(p, table, x[lo : lo + WINDOW], h)
-        ok = ys >= 0
-        lp, _ = predict(p, states[ok], ys[ok])
-        out += np.bincount(owner[lo : lo + WINDOW][ok], lp, len(texts))
+    h = np.zeros((len(load), HIDDEN), F4)
+    for lo in range(0, int(load.max(initial=0)), WINDOW):
+        # Lanes that have ended drop out; they are the last ones.
+        live = int((load > lo).sum())
+        step = lo + np.arange(min(WINDOW, int(load[0]) - lo))[:, None]
+        ok = step < load[:live]
+        at = np.where(ok, first[:live] + step, 0)
+        states, h = run(p, table, np.where(ok, x[at], BEGIN), h[:live])
+        at = at[ok]
+        lp, _ = predict(p, states[ok], y[at])
+        out += np.bincount(owner[at], lp, len(texts))
     return out
