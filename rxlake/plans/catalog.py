@@ -6,7 +6,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rxlake.operators import clean, lineage, marts, outliers, profile, quality, star, upsert, views
@@ -16,6 +16,8 @@ from rxlake.schemas import CORRUPT_COLUMN, MART_LOAD_ORDER, SILVER_COLUMNS, SILV
 from rxlake.session import cut_lineage, ensure_checkpoint_dir, stored
 from rxlake.sources.bronze import read_bronze_csv, total_rows_expr
 from rxlake.sources.files import CSV_TEXT
+from rxlake.sources.layout import read_top, write_banded, write_sized
+from rxlake.sources.pages import read_pages
 from rxlake.sources.standin import standin_raw
 from rxlake.sources.versions import Lake
 
@@ -1050,3 +1052,55 @@ def differing_rows(spark, sf_dir):
     copy = summary.where(~F.coalesce(odd & (F.col("year") % 2 == 0), F.lit(False)))
     copy = copy.withColumn("total_claims", F.col("total_claims") + F.when(odd, 1).otherwise(0))
     return quality.differing_rows(summary, stored(copy, "copy"), _SUMMARY_KEYS, ["total_claims", "total_drug_cost", "avg_cost_per_claim"], fanout=16)
+
+
+PAGED_SQL = """SELECT yr AS year, Prscrbr_State_Abrvtn AS state, COUNT(*) AS row_count, COUNT(Prscrbr_NPI) AS with_npi,
+ COUNT(Gnrc_Name) AS with_generic, CAST(SUM(length(Prscrbr_Last_Org_Name)) AS BIGINT) AS name_chars,
+ CAST(SUM(length(Tot_Clms)) AS BIGINT) AS claims_chars, CAST(SUM(length(Tot_Drug_Cst)) AS BIGINT) AS cost_chars
+FROM raw GROUP BY 1, 2"""
+
+
+@register("paged_source", W(["raw"], PAGED_SQL))
+def paged_source(spark, sf_dir):
+    """The raw view landed as JSON pages of at most 5,000 records, with a page beyond
+    a gap that must stay unread, read back by the page source."""
+    raw = standin_raw(spark, sf_dir).withColumn("Prscrbr_Type_Src", F.col("yr").cast("string")).drop("yr")
+    task, place = F.spark_partition_id(), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    rows = stored(raw.select(F.to_json(F.struct(*raw.columns)).alias("record"), task.alias("task"), F.floor(place / 5000).cast("int").alias("nth")), "records")
+    # Pages of a task follow those of the tasks before it.
+    held = rows.groupBy("task").agg((F.max("nth") + 1).alias("pages"))
+    first = held.select("task", F.coalesce(F.sum("pages").over(Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("first"))
+    pages = rows.join(first, "task").groupBy((F.col("first") + F.col("nth")).alias("page")).agg(F.array_join(F.collect_list("record"), ",").alias("records"))
+    pages = stored(pages.select("page", F.concat(F.lit("["), "records", F.lit("]")).alias("value")), "pages")
+    beyond = (pages.agg(F.max("page")).first()[0] or 0) + 2
+    late = pages.where("page = 0").select(F.lit(beyond).cast("long").alias("page"), "value")
+    path = f"{ensure_checkpoint_dir(spark)}/stored/landed-{uuid.uuid4().hex}"
+    pages.unionByName(late).write.partitionBy("page").text(path)
+    back = read_pages(spark, path, pattern=r"page=(\d+)/[^/]*$")
+    return back.groupBy(F.col("Prscrbr_Type_Src").cast("int").alias("year"), F.col("Prscrbr_State_Abrvtn").alias("state")).agg(
+        F.count("*").alias("row_count"), F.count("Prscrbr_NPI").alias("with_npi"), F.count("Gnrc_Name").alias("with_generic"),
+        F.sum(F.length("Prscrbr_Last_Org_Name")).alias("name_chars"), F.sum(F.length("Tot_Clms")).alias("claims_chars"), F.sum(F.length("Tot_Drug_Cst")).alias("cost_chars"),
+    )
+
+
+@register("sized_layout", W(["silver"], "SELECT year, state, COUNT(*) AS row_count, CAST(CEIL(COUNT(*) / 500.0) AS BIGINT) AS file_count, true AS even FROM silver GROUP BY year, state"))
+def sized_layout(spark, sf_dir):
+    """Silver written in files of at most 500 rows by year and state and read back:
+    rows and files of each folder, and whether its files are within a factor of two."""
+    silver = _silver(spark, sf_dir)
+    path = f"{ensure_checkpoint_dir(spark)}/stored/sized-{uuid.uuid4().hex}"
+    write_sized(silver, path, ["year", "state"], 500)
+    files = spark.read.schema(silver.schema).parquet(path).groupBy("year", "state", F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("n"))
+    return files.groupBy("year", "state").agg(F.sum("n").alias("row_count"), F.count("*").alias("file_count"), (F.max("n") <= 2 * F.min("n")).alias("even"))
+
+
+TOP_COST = ["year", "npi", "state", "specialty", "full_name", "city"]
+
+
+@register("top_cost_banded", W(["summary"], f"SELECT {', '.join(TOP_COST)}, total_claims, total_drug_cost FROM summary ORDER BY total_drug_cost DESC NULLS LAST, {', '.join(TOP_COST)} LIMIT 25"))
+def top_cost_banded(spark, sf_dir):
+    """The 25 prescribers of highest cost from a summary stored in bands of cost."""
+    path = f"{ensure_checkpoint_dir(spark)}/stored/banded-{uuid.uuid4().hex}"
+    costs = stored(_summary(spark, sf_dir).select(*TOP_COST, "total_claims", "total_drug_cost"), "costs")
+    write_banded(costs, path, "total_drug_cost")
+    return read_top(spark, path, costs.schema, "total_drug_cost", 25, TOP_COST)
