@@ -6,7 +6,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rxlake.operators import clean, lineage, marts, outliers, profile, quality, star, upsert, views
@@ -17,7 +17,7 @@ from rxlake.session import cut_lineage, ensure_checkpoint_dir, stored
 from rxlake.sources.bronze import read_bronze_csv, total_rows_expr
 from rxlake.sources.files import CSV_TEXT
 from rxlake.sources.layout import read_top, write_banded, write_sized
-from rxlake.sources.pages import read_pages
+from rxlake.sources.pages import read_pages, write_pages
 from rxlake.sources.standin import standin_raw
 from rxlake.sources.versions import Lake
 
@@ -1060,22 +1060,17 @@ PAGED_SQL = """SELECT yr AS year, Prscrbr_State_Abrvtn AS state, COUNT(*) AS row
 FROM raw GROUP BY 1, 2"""
 
 
+PAGE_ROWS = 5000
+
+
 @register("paged_source", W(["raw"], PAGED_SQL))
 def paged_source(spark, sf_dir):
     """The raw view landed as JSON pages of at most 5,000 records, with a page beyond
     a gap that must stay unread, read back by the page source."""
-    raw = standin_raw(spark, sf_dir).withColumn("Prscrbr_Type_Src", F.col("yr").cast("string")).drop("yr")
-    task, place = F.spark_partition_id(), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
-    rows = stored(raw.select(F.to_json(F.struct(*raw.columns)).alias("record"), task.alias("task"), F.floor(place / 5000).cast("int").alias("nth")), "records")
-    # Pages of a task follow those of the tasks before it.
-    held = rows.groupBy("task").agg((F.max("nth") + 1).alias("pages"))
-    first = held.select("task", F.coalesce(F.sum("pages").over(Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("first"))
-    pages = rows.join(first, "task").groupBy((F.col("first") + F.col("nth")).alias("page")).agg(F.array_join(F.collect_list("record"), ",").alias("records"))
-    pages = stored(pages.select("page", F.concat(F.lit("["), "records", F.lit("]")).alias("value")), "pages")
-    beyond = (pages.agg(F.max("page")).first()[0] or 0) + 2
-    late = pages.where("page = 0").select(F.lit(beyond).cast("long").alias("page"), "value")
+    raw = standin_raw(spark, sf_dir).select("*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("place"))
+    raw = raw.withColumn("Prscrbr_Type_Src", F.col("yr").cast("string")).drop("yr")
     path = f"{ensure_checkpoint_dir(spark)}/stored/landed-{uuid.uuid4().hex}"
-    pages.unionByName(late).write.partitionBy("page").text(path)
+    write_pages(raw, path, "file", "place", PAGE_ROWS)
     back = read_pages(spark, path, pattern=r"page=(\d+)/[^/]*$")
     return back.groupBy(F.col("Prscrbr_Type_Src").cast("int").alias("year"), F.col("Prscrbr_State_Abrvtn").alias("state")).agg(
         F.count("*").alias("row_count"), F.count("Prscrbr_NPI").alias("with_npi"), F.count("Gnrc_Name").alias("with_generic"),

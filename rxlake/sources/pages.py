@@ -15,12 +15,13 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from rxlake.schemas import CORRUPT_COLUMN, RAW_SCHEMA
-from rxlake.session import ship_code
+from rxlake.session import ship_code, stored
 
 PAGE_COLUMN = "page_no"
 PAGE_SCHEMA = StructType([*RAW_SCHEMA.fields, StructField(CORRUPT_COLUMN, StringType(), True), StructField(PAGE_COLUMN, IntegerType(), True)])
@@ -29,6 +30,7 @@ PAGE_NUMBER = r"(\d+)\.json$"
 #: Planning opens only pages up to this size, to see whether they are empty.
 EMPTY_BYTES = 4096
 PAGES_PER_TASK = 16
+PAGES_PER_WRITER = 64
 
 
 @dataclass
@@ -130,3 +132,25 @@ def read_pages(spark: SparkSession, path: str, max_pages: int | None = None, **o
     spark.dataSource.register(LandedPages)
     reader = spark.read.format(LandedPages.name()).options(**options)
     return (reader if max_pages is None else reader.option("maxPages", max_pages)).load(path)
+
+
+def write_pages(rows: DataFrame, path: str, file: str, place: str, most: int) -> None:
+    """Land ``rows`` under ``path``/page=<n> as pages of at most ``most`` records, and the
+    first page once more beyond a gap, where a reader must not come. ``place`` numbers
+    the rows of each ``file`` from 0; a page is of one file, and its records are lines
+    of one sorted task, so that none is held whole."""
+    columns = [c for c in rows.columns if c not in (file, place)]
+    # One row a file; nothing else passes through this window.
+    held = rows.groupBy(file).agg((F.max(place) + 1).alias("_rows"))
+    pages = F.ceil(F.col("_rows") / most)
+    before = Window.orderBy(file).rowsBetween(Window.unboundedPreceding, -1)
+    held = stored(held.withColumn("_first", F.coalesce(F.sum(pages).over(before), F.lit(0))), "held")
+    beyond = (held.agg(F.max(F.col("_first") + pages)).first()[0] or 0) + 1
+    nth = F.col(place) % most
+    opened, closed = F.when(nth == 0, "[").otherwise(","), F.when((nth == most - 1) | (F.col(place) == F.col("_rows") - 1), "]").otherwise("")
+    page = F.col("_first") + F.floor(F.col(place) / most)
+    numbered = rows.join(F.broadcast(held), file).withColumn("page", F.explode(F.when(page == 0, F.array(page, F.lit(beyond).cast("long"))).otherwise(F.array(page))))
+    numbered = numbered.select("page", nth.alias("_nth"), opened.alias("_open"), closed.alias("_close"), *columns)
+    dealt = numbered.repartitionById(beyond // PAGES_PER_WRITER + 1, F.floor(F.col("page") / PAGES_PER_WRITER).cast("int")).sortWithinPartitions("page", "_nth")
+    lines = dealt.select("page", F.concat("_open", F.to_json(F.struct(*columns)), "_close").alias("value"))
+    lines.write.partitionBy("page").option("compression", "gzip").text(path)

@@ -121,3 +121,15 @@ def test_top_rows_open_few_files(spark, tmp_dir):
     opened = spark.read.parquet(path).where(F.col(layout.BAND) >= 63).select(F.col("_metadata.file_path").alias("f")).distinct().count()
     assert opened <= 3
     assert [r["id"] for r in top.collect()] == want[:25]
+
+
+def test_written_pages_hold_each_row_once(spark, tmp_dir):
+    df = spark.range(1, 24, numPartitions=2).select(F.col("id").cast("string").alias("Prscrbr_NPI"), F.lit('a\n"').alias("Prscrbr_City"), (F.col("id") % 2).alias("f"), F.floor(F.col("id") / 2 - 0.5).alias("n"))
+    pages.write_pages(df, f"{tmp_dir}/pages", "f", "n", 5)
+    back = pages.read_pages(spark, f"{tmp_dir}/pages", pattern=r"page=(\d+)/[^/]*$")
+    assert back.where(F.col(CORRUPT_COLUMN).isNotNull() | (F.col("Prscrbr_City") != 'a\n"')).count() == 0
+    assert sorted(map(int, npis(back))) == list(range(1, 24))
+    assert sorted(r["count"] for r in back.groupBy("page_no").count().collect()) == [1, 2, 5, 5, 5, 5]
+    assert len([d for d in os.listdir(f"{tmp_dir}/pages") if d.startswith("page=")]) == 7
+    # No page is gathered into one row.
+    assert not [d for d in spark.read.text(f"{tmp_dir}/pages/page=0").collect() if d[0].count("Prscrbr_NPI") != 1]
