@@ -13,34 +13,60 @@ from rxlake.session import stored
 
 #: Rows of a file at most.
 ROWS_PER_FILE = 4_000_000
+#: Rows of a task that writes several files.
+ROWS_PER_TASK = 200_000
 BAND = "_band"
 
 
 def write_sized(df: DataFrame, path: str, by: list[str], rows_per_file: int = ROWS_PER_FILE, dynamic: bool = True) -> DataFrame:
-    """Write ``df`` partitioned by ``by``, each folder's rows dealt evenly to
-    ceil(rows / rows_per_file) files. Folders are measured first, so a hot one, of
-    whatever share, becomes many files of one size, and each file is one task. Where
-    ``dynamic``, folders that ``df`` has no rows for stay. Returns the sizes: ``by``,
-    ``rows``, ``files``.
+    """Write ``df`` partitioned by ``by``, each folder in ceil(rows / rows_per_file)
+    files of at most that many rows, within a factor of two of each other: full ones
+    and two that share the rest. Folders are measured first, so a hot one, of whatever
+    share, becomes many files. A task writes one file of a folder, or as many short
+    ones as hold ``ROWS_PER_TASK`` rows. Where ``dynamic``, folders that ``df`` has no
+    rows for stay. Returns the sizes: ``by``, ``rows``, ``files``.
 
     Rows and their numbers are stored before they are dealt, so a task that is run
     again deals the same rows."""
-    taken = {c.lower() for c in df.columns} & {"_row", "_first", "rows", "files"}
+    taken = {c.lower() for c in df.columns} & {"_row", "_task", "_from", "_before", "_first", "rows", "files"}
     if taken:
         raise ValueError(f"columns {sorted(taken)} are used by the layout")
-    rows = stored(df.withColumn("_row", F.monotonically_increasing_id()), "sized")
-    sizes = rows.groupBy(*by).agg(F.count("*").alias("rows")).withColumn("files", F.ceil(F.col("rows") / rows_per_file))
+    # A task's rows of one folder are numbered without gaps.
+    rows = stored(df.sortWithinPartitions(*by).withColumn("_row", F.monotonically_increasing_id()), "sized")
+    rows = rows.withColumn("_task", F.shiftright("_row", 33))
+    runs = stored(rows.groupBy("_task", *by).agg(F.count("*").alias("_n"), F.min("_row").alias("_from")), "runs")
+    sizes = runs.groupBy(*by).agg(F.sum("_n").alias("rows")).withColumn("files", F.ceil(F.col("rows") / rows_per_file))
+    # The last file of a folder is one task; the others, all but one of them full, are dealt in runs.
+    per_task = max(1, ROWS_PER_TASK // rows_per_file)
+    tasks = F.greatest(F.ceil((F.col("files") - 1) / per_task) + 1, F.lit(1))
     # One row a folder; nothing else passes through this window.
     before = Window.orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
-    sizes = stored(sizes.withColumn("_first", F.coalesce(F.sum("files").over(before), F.lit(0))), "sizes")
-    total = sizes.agg(F.sum("files")).first()[0] or 1
-    same = reduce(Column.__and__, [F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}")) for c in by])
-    dealt = rows.alias("r").join(sizes.alias("s"), same).select("r.*", (F.col("_first") + F.pmod("_row", "files")).cast("int").alias("_first"))
-    dealt = dealt.repartitionById(int(total), "_first").drop("_row", "_first")
-    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if dynamic else "static").partitionBy(*by).parquet(path)
+    sizes = stored(sizes.withColumn("_first", F.coalesce(F.sum(tasks).over(before), F.lit(0))), "sizes")
+    total = sizes.agg(F.max(F.col("_first") + tasks)).first()[0] or 1
+    # One row a folder and task of the stored rows.
+    earlier = Window.partitionBy(*by).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    runs = runs.alias("r").join(sizes.alias("s"), _same(by, "r", "s")).select("r.*", "rows", "files", "_first")
+    nth = F.col("_before") + F.col("_row") - F.col("_from")
+    shared = F.col("rows") - (F.col("files") - 2) * rows_per_file
+    last = (F.col("files") > 1) & (nth >= F.col("rows") - F.floor(shared / 2))
+    task = F.col("_first") + F.when(last, tasks - 1).otherwise(F.floor(nth / (rows_per_file * per_task)))
+    dealt = rows.alias("r").join(runs.alias("s"), (F.col("r._task") == F.col("s._task")) & _same(by, "r", "s")).select("r.*", task.cast("int").alias("_to"))
+    dealt = dealt.repartitionById(int(total), "_to").drop("_row", "_task", "_to")
+    writer = dealt.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
+    if dynamic:
+        # Tasks move their files into the staging folder, whose folders are switched at the end.
+        writer = writer.option("partitionOverwriteMode", "dynamic").option("mapreduce.fileoutputcommitter.algorithm.version", 2)
+    else:
+        writer = writer.option("partitionOverwriteMode", "static")
+    writer.partitionBy(*by).parquet(path)
     return sizes.select(*by, "rows", "files")
 
 
+def _same(columns: list[str], left: str, right: str) -> Column:
+    return reduce(Column.__and__, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns])
+
+
 def write_banded(df: DataFrame, path: str, metric: str, bands: int = 64, rows_per_file: int = ROWS_PER_FILE) -> None:
     """Write ``df`` in folders by bands of ``metric``, higher values in higher bands,
     NULL below all. A sketch of the metric places the cuts; equal values are in one

@@ -123,6 +123,16 @@ def test_top_rows_open_few_files(spark, tmp_dir):
     assert [r["id"] for r in top.collect()] == want[:25]
 
 
+def test_short_files_of_a_folder_share_a_task(spark, tmp_dir):
+    # One task a file would be 121 tasks; a folder of 120 files is two.
+    df = spark.range(60_100, numPartitions=5).select("id", F.when(F.col("id") < 100, "few").otherwise("many").alias("s"))
+    layout.write_sized(df, f"{tmp_dir}/short", ["s"], 500)
+    files = spark.read.schema("id long, s string").parquet(f"{tmp_dir}/short").groupBy("s", F.col("_metadata.file_name").alias("f")).count().collect()
+    assert sorted(r["count"] for r in files if r["s"] == "many") == [500] * 120
+    assert [r["count"] for r in files if r["s"] == "few"] == [100]
+    assert len({r["f"].split("-")[1] for r in files}) == 3
+
+
 def test_written_pages_hold_each_row_once(spark, tmp_dir):
     df = spark.range(1, 24, numPartitions=2).select(F.col("id").cast("string").alias("Prscrbr_NPI"), F.lit('a\n"').alias("Prscrbr_City"), (F.col("id") % 2).alias("f"), F.floor(F.col("id") / 2 - 0.5).alias("n"))
     pages.write_pages(df, f"{tmp_dir}/pages", "f", "n", 5)
