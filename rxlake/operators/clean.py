@@ -44,6 +44,9 @@ NUMERIC_MAP = [
     ("ge65_drug_cost", "GE65_Tot_Drug_Cst", DoubleType()),
 ]
 
+# --- fixed values: ratio -> numerator and denominator --------------------------
+RATIOS = {"cost_per_claim": ("tot_drug_cost", "tot_claims"), "claims_per_beneficiary": ("tot_claims", "tot_beneficiaries")}
+
 
 # --- fixed values: quarantine rules (name -> predicate on typed rows) ---------
 REJECT_RULES = {
@@ -87,10 +90,7 @@ def type_raw(
     audit = [*keep, *(extra or [])]
     typed = clean.select(*[cols[c].alias(c) for c in SILVER_COLUMNS if c in cols], *([F.col(src).alias(f"_text_{name}") for name, src, _ in NUMERIC_MAP] if keep_audit else []), *audit)
 
-    ratios = {
-        "cost_per_claim": safe_divide("tot_drug_cost", "tot_claims"),
-        "claims_per_beneficiary": safe_divide("tot_claims", "tot_beneficiaries"),
-    }
+    ratios = {c: safe_divide(*of) for c, of in RATIOS.items()}
     out = [ratios[c].alias(c) if c in ratios else F.col(c) for c in SILVER_COLUMNS]
     if keep_audit:
         bad = [F.col(name).isNull() & F.col(f"_text_{name}").isNotNull() & ~in_grammar(f"_text_{name}", target) for name, _, target in NUMERIC_MAP]
@@ -111,16 +111,25 @@ def dedup_by_key(df: DataFrame, keys: list[str] | None = None, order: list[Colum
 
     Planned as ``row_number() = 1``: Spark inserts a partial WindowGroupLimit
     before the shuffle, so a hot key is cut to one row per map task before it
-    crosses the network."""
+    crosses the network. Both sorts begin with a hash of the key, a number that
+    tells most keys apart without their texts."""
     keys = keys or SILVER_KEY
     order = order or dedup_order()
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    w = Window.partitionBy("_key", *keys).orderBy(*order)
+    hashed = df.withColumn("_key", F.hash(*keys))
+    return hashed.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn", "_key")
+
+
+def dedup_typed(typed: DataFrame) -> DataFrame:
+    """Typed Silver rows, one per key. Ratios follow from columns that come before them
+    in the tie-break, so they are left out of the shuffle and computed again."""
+    kept = dedup_by_key(typed.drop(*RATIOS), order=[F.col(c).asc_nulls_last() for c in SILVER_COLUMNS if c not in SILVER_KEY and c not in RATIOS])
+    return kept.select(*[safe_divide(*RATIOS[c]).alias(c) if c in RATIOS else F.col(c) for c in SILVER_COLUMNS])
 
 
 def to_silver(raw: DataFrame, year: int | None = None, year_col: str = "year") -> DataFrame:
     """Bronze -> Silver: typed, flagged and unique on (year, npi, state, brand, generic)."""
-    return dedup_by_key(type_raw(raw, year, year_col))
+    return dedup_typed(type_raw(raw, year, year_col))
 
 
 def flag_rejects(

@@ -234,17 +234,17 @@ def q_orphans(spark, sf_dir):
 
 @register("mart_state_year", W(["state_year"], "SELECT * FROM state_year"))
 def mart_state_year(spark, sf_dir):
-    return marts.mart("gold_state_year_spending")(_silver(spark, sf_dir))
+    return marts.mart("gold_state_year_spending")(_silver_once(spark, sf_dir))
 
 
 @register("mart_drug_year", W(["drug_year"], "SELECT * FROM drug_year"))
 def mart_drug_year(spark, sf_dir):
-    return marts.mart("gold_drug_year_spending")(_silver(spark, sf_dir))
+    return marts.mart("gold_drug_year_spending")(_silver_once(spark, sf_dir))
 
 
 @register("mart_specialty_state", W(["specialty_state"], "SELECT * FROM specialty_state"))
 def mart_specialty_state(spark, sf_dir):
-    return marts.mart("gold_specialty_state_spending")(_silver(spark, sf_dir))
+    return marts.mart("gold_specialty_state_spending")(_silver_once(spark, sf_dir))
 
 
 # --- outlier variants ---------------------------------------------------------------------
@@ -366,22 +366,22 @@ def anomaly_approx(spark, sf_dir):
 
 @register("view_kpis", W(["kpis"], "SELECT * FROM kpis"))
 def view_kpis(spark, sf_dir):
-    return views.overview_kpis(marts.mart("gold_state_year_spending")(_silver(spark, sf_dir)))
+    return views.overview_kpis(marts.mart("gold_state_year_spending")(_silver_once(spark, sf_dir)))
 
 
 @register("view_state", W(["v_state"], "SELECT * FROM v_state"))
 def view_state(spark, sf_dir):
-    return views.state_spending(marts.mart("gold_state_year_spending")(_silver(spark, sf_dir)))
+    return views.state_spending(marts.mart("gold_state_year_spending")(_silver_once(spark, sf_dir)))
 
 
 @register("view_top_drugs", W(["v_top_drugs"], "SELECT * FROM v_top_drugs"))
 def view_top_drugs(spark, sf_dir):
-    return views.top_drugs(marts.mart("gold_drug_year_spending")(_silver(spark, sf_dir)))
+    return views.top_drugs(marts.mart("gold_drug_year_spending")(_silver_once(spark, sf_dir)))
 
 
 @register("view_specialty_state", W(["v_specialty_state"], "SELECT * FROM v_specialty_state"))
 def view_specialty_state(spark, sf_dir):
-    return views.specialty_state(marts.mart("gold_specialty_state_spending")(_silver(spark, sf_dir)))
+    return views.specialty_state(marts.mart("gold_specialty_state_spending")(_silver_once(spark, sf_dir)))
 
 
 @register("view_leaders", W(["v_leaders"], "SELECT * FROM v_leaders"))
@@ -443,13 +443,13 @@ def chart_anomaly_top25(spark, sf_dir):
 
 @register("chart_state_cost", W(["v_state"], O.top_k("v_state", "state", O.money("total_drug_cost"), "total_drug_cost", None)))
 def chart_state_cost(spark, sf_dir):
-    return views.top_k(views.state_spending(marts.mart("gold_state_year_spending")(_silver(spark, sf_dir))), "state",
+    return views.top_k(views.state_spending(marts.mart("gold_state_year_spending")(_silver_once(spark, sf_dir))), "state",
                        "total_drug_cost", None, "total_drug_cost")
 
 
 @register("chart_top20_drugs", W(["v_top_drugs"], O.top_k("v_top_drugs", "brand_name", O.money("total_drug_cost"), "total_drug_cost", 20)))
 def chart_top20_drugs(spark, sf_dir):
-    return views.top_k(views.top_drugs(marts.mart("gold_drug_year_spending")(_silver(spark, sf_dir))), "brand_name",
+    return views.top_k(views.top_drugs(marts.mart("gold_drug_year_spending")(_silver_once(spark, sf_dir))), "brand_name",
                        "total_drug_cost", 20, "total_drug_cost")
 
 
@@ -463,7 +463,7 @@ TOP_STATES_SQL = """SELECT year, state, total_drug_cost, CAST(rank AS INTEGER) A
 
 @register("top_states_per_year", W(["state_year"], TOP_STATES_SQL))
 def top_states_per_year(spark, sf_dir):
-    m = marts.mart("gold_state_year_spending")(_silver(spark, sf_dir)).select("year", "state", "total_drug_cost")
+    m = marts.mart("gold_state_year_spending")(_silver_once(spark, sf_dir)).select("year", "state", "total_drug_cost")
     return views.top_per_group(m, ["year"], "total_drug_cost", 10, ["state"])
 
 
@@ -474,7 +474,7 @@ FROM drug_year d JOIN (SELECT year, {O.money('total_drug_cost')} AS total FROM d
 
 @register("drug_spend_share", W(["drug_year"], SHARE_SQL))
 def drug_spend_share(spark, sf_dir):
-    return views.drug_spend_share(marts.mart("gold_drug_year_spending")(_silver(spark, sf_dir)))
+    return views.drug_spend_share(marts.mart("gold_drug_year_spending")(_silver_once(spark, sf_dir)))
 
 
 MIX_SQL = f"""SELECT year, generic_cost, brand_cost, generic_claims, brand_claims,
@@ -501,7 +501,7 @@ YOY_SQL = f"""SELECT state, year, total_drug_cost, prev_year, prev_total_drug_co
 
 @register("yoy_state_cost", W(["state_year"], YOY_SQL))
 def yoy_state_cost(spark, sf_dir):
-    return views.yoy_change(marts.mart("gold_state_year_spending")(_silver(spark, sf_dir)), ["state"], "total_drug_cost")
+    return views.yoy_change(marts.mart("gold_state_year_spending")(_silver_once(spark, sf_dir)), ["state"], "total_drug_cost")
 
 
 GE65_SQL = f"""SELECT year, ge65_drug_cost, drug_cost_where_known, total_drug_cost, ge65_suppressed_rows, rows,
@@ -901,7 +901,7 @@ YOY_DRUG_SQL = YOY_SQL.replace("SELECT state, year", "SELECT brand_name, generic
 
 @register("yoy_drug_cost", W(["drug_year"], YOY_DRUG_SQL))
 def yoy_drug_cost(spark, sf_dir):
-    m = marts.mart("gold_drug_year_spending")(_silver(spark, sf_dir))
+    m = marts.mart("gold_drug_year_spending")(_silver_once(spark, sf_dir))
     return views.yoy_change(m, ["brand_name", "generic_name"], "total_drug_cost")
 
 

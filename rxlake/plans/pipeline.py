@@ -13,7 +13,7 @@ from rxlake.operators import clean, lineage, marts, outliers, quality, star
 from rxlake.operators.lineage import row_hashes
 from rxlake.operators.upsert import read_if_exists
 from rxlake.schemas import CORRUPT_COLUMN, DQ_RESULT_SCHEMA, MART_COLUMNS, RAW_COLUMNS, SILVER_KEY, SILVER_SCHEMA, STAR_COLUMNS, conform
-from rxlake.session import cut_lineage
+from rxlake.session import PARQUET, cut_lineage
 from rxlake.sources.files import write_csv_tables
 from rxlake.sources.standin import standin_raw
 from rxlake.sources.versions import Lake
@@ -61,7 +61,7 @@ def stage_bronze(bronze: DataFrame, path: str) -> DataFrame:
     raw = [c for c in bronze.columns if c not in ("year", CORRUPT_COLUMN)]
     hashed = bronze.withColumns(dict(zip(("_x", "_m"), row_hashes(raw), strict=True)))
     typed = clean.flag_rejects(hashed, extra=["_x", "_m"])
-    typed.write.mode("overwrite").parquet(path)
+    typed.write.mode("overwrite").options(**PARQUET).parquet(path)
     return bronze.sparkSession.read.schema(typed.schema).parquet(path)
 
 
@@ -77,7 +77,7 @@ def write_silver(lake: Lake, staged: DataFrame, years: list[int]) -> tuple[quali
     mine = staged.where(F.col("year").isin(years)).drop("_x", "_m")
     accepted = mine.where(ok).drop("reject_reasons", CORRUPT_COLUMN)
     sent, made = Observation(), Observation()
-    fresh = clean.dedup_by_key(accepted.observe(sent, F.count(F.lit(1)).alias("rows")))
+    fresh = clean.dedup_typed(accepted.observe(sent, F.count(F.lit(1)).alias("rows")))
     lake.stage("silver", fresh, years, inner=("state",), observe=(made, quality.silver_metrics()))
     rejected = mine.where(~ok)
     lake.stage("rejects", rejected, years)

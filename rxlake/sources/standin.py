@@ -22,8 +22,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rxlake.schemas import RAW_COLUMNS
-from rxlake.session import ensure_checkpoint_dir
+from rxlake.session import PARQUET, ensure_checkpoint_dir
 
+#: Lines joined by one task at most, on average.
+ROWS_PER_TASK = 1_000_000
 TABLES = ["lineitem", "orders", "customer", "nation", "region", "part"]
 
 
@@ -47,12 +49,12 @@ def _state_of(spark: SparkSession, sf_dir: str) -> str:
 
 def standin_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored view: all 22 raw columns as strings plus ``yr`` (int). It is derived
-    when a session first asks for these files, over as many tasks as there are shuffle
-    partitions, so that its readers are spread however the tables are laid out."""
+    when a session first asks for these files, over at least as many tasks as there are
+    shuffle partitions, so that its readers are spread however the tables are laid out."""
     path = f"{ensure_checkpoint_dir(spark)}/standin-{_state_of(spark, sf_dir)}"
     done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
     if not done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done):
-        derive_raw(spark, sf_dir).write.mode("overwrite").parquet(path)
+        derive_raw(spark, sf_dir).write.mode("overwrite").options(**PARQUET).parquet(path)
     schema = ", ".join(f"{c} string" for c in RAW_COLUMNS)
     return spark.read.schema(f"{schema}, yr int").parquet(path)
 
@@ -62,19 +64,16 @@ def derive_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = read_tables(spark, sf_dir, TABLES)
     # No hints: the planner broadcasts nation and region by their file sizes.
     geo = t["nation"].join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
-    # Dealt out before the joins: a test table may be one split.
     line = t["lineitem"].select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag")
-    line = line.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
-    orders = t["orders"].select("o_orderkey", "o_custkey", "o_orderdate")
-    customer = t["customer"].select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     part = t["part"].select("p_partkey", "p_brand", "p_type")
-
-    joined = (
-        line.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(part, F.col("l_partkey") == F.col("p_partkey"))
-    )
+    customer = t["customer"].select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    people = customer.join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
+    orders = t["orders"].select("o_orderkey", "o_custkey", "o_orderdate").join(people, F.col("o_custkey") == F.col("c_custkey"))
+    # Lines meet their part while they are narrow. Dealt out by the order's key, of few
+    # lines each, before the rest: a test table may be one split.
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-line.count() // ROWS_PER_TASK))
+    line = line.join(part, F.col("l_partkey") == F.col("p_partkey")).repartition(tasks, "l_orderkey")
+    joined = line.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
     qty_int = F.col("l_quantity").cast("int")
     price_text = _text(F.col("l_extendedprice").cast("decimal(18,2)"))

@@ -105,3 +105,25 @@ def test_generated_methods_stay_small_enough_to_be_compiled(spark):
     raw = standin_raw(spark, "/root/testdata/sf0.001")
     for df in (clean.type_raw(raw, year_col="yr"), clean.flag_rejects(raw, year_col="yr")):
         assert 0 < largest(df) < 8000
+
+
+def test_lines_of_the_raw_view_are_shuffled_by_part_and_order_only(spark):
+    from rxlake.sources.standin import derive_raw
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = derive_raw(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "RoundRobin" not in plan
+    assert plan.count("hashpartitioning(l_") == 2
+
+
+def test_ratios_are_computed_after_the_shuffle(spark):
+    from rxlake.sources.standin import standin_raw
+
+    typed = clean.type_raw(standin_raw(spark, "/root/testdata/sf0.001"), year_col="yr")
+    got, want = clean.dedup_typed(typed), clean.dedup_by_key(typed)
+    assert got.schema == want.schema
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert "cost_per_claim" in got._jdf.queryExecution().executedPlan().toString().split("Exchange")[0]
