@@ -111,7 +111,10 @@ def _anomalies(spark, sf_dir):
 
 
 def _star(spark, sf_dir):
-    return star.star_schema(_silver_once(spark, sf_dir))
+    """The star over stored Silver. Dimensions are stored, so that the planner knows
+    which are small before it moves the fact."""
+    tables = star.star_schema(_silver_once(spark, sf_dir))
+    return {name: stored(df, name) if name.startswith("dim_") else df for name, df in tables.items()}
 
 
 def W(needed: list[str], body: str, **kw) -> str:
