@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -17,6 +18,7 @@ from rxlake.functions.cleaning import (
     parse_number,
     safe_divide,
 )
+from rxlake.operators.repeats import split_repeats
 from rxlake.schemas import CORRUPT_COLUMN, SILVER_COLUMNS, SILVER_KEY
 
 # --- fixed values: raw -> silver text columns (upper-cased or only trimmed) ---
@@ -58,6 +60,10 @@ REJECT_RULES = {
 DEFAULT_REJECT_RULES = ("malformed_line", "unparsable_number", "negative_cost")
 
 
+def _year(year: int | None, year_col: str) -> Column:
+    return F.lit(year).cast(IntegerType()) if year is not None else F.col(year_col).cast(IntegerType())
+
+
 def type_raw(
     raw: DataFrame, year: int | None = None, year_col: str = "year", keep_audit: bool = False, extra: list[str] | None = None
 ) -> DataFrame:
@@ -72,7 +78,7 @@ def type_raw(
     tries the grammar again only where a parse gave nothing. Each step reads the
     columns of the one before several times, so Catalyst keeps them apart, and every
     generated method stays below the size that the JIT compiles (tested)."""
-    year_expr = F.lit(year).cast(IntegerType()) if year is not None else F.col(year_col).cast(IntegerType())
+    year_expr = _year(year, year_col)
     texts, numbers = [src for _, src, _ in TEXT_MAP], [src for _, src, _ in NUMERIC_MAP]
     keep = [CORRUPT_COLUMN] if keep_audit and CORRUPT_COLUMN in raw.columns else []
     rest = [year_expr.alias("year"), *keep, *(extra or [])]
@@ -106,30 +112,58 @@ def dedup_order() -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in SILVER_COLUMNS if c not in SILVER_KEY]
 
 
-def dedup_by_key(df: DataFrame, keys: list[str] | None = None, order: list[Column] | None = None) -> DataFrame:
+def dedup_by_key(df: DataFrame, keys: list[str] | None = None, order: list[Column] | None = None, watch: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Keep one row per key (NULL keys compare equal) chosen by a total order.
 
-    Planned as ``row_number() = 1``: Spark inserts a partial WindowGroupLimit
-    before the shuffle, so a hot key is cut to one row per map task before it
-    crosses the network. Both sorts begin with a hash of the key, a number that
-    tells most keys apart without their texts."""
+    Only rows whose key may occur twice are compared (``repeats.split_repeats``, which
+    reads ``df`` ahead); the others stay where they are. The comparison is planned as
+    ``row_number() = 1``: Spark inserts a partial WindowGroupLimit before the shuffle,
+    so a hot key is cut to one row per map task before it crosses the network. Both
+    sorts begin with a hash of the key, a number that tells most keys apart without
+    their texts. ``watch`` is applied to both parts on their way."""
     keys = keys or SILVER_KEY
-    order = order or dedup_order()
+    single, several = split_repeats(df, keys)
+    if watch:
+        single, several = watch(single), watch(several)
+    return _first_of_each(single, several, keys, order or dedup_order())
+
+
+def _first_of_each(single: DataFrame, several: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     w = Window.partitionBy("_key", *keys).orderBy(*order)
-    hashed = df.withColumn("_key", F.hash(*keys))
-    return hashed.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn", "_key")
+    hashed = several.withColumn("_key", F.hash(*keys))
+    first = hashed.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn", "_key")
+    return single.unionByName(first)
+
+
+def _typed_order() -> list[Column]:
+    """Ratios follow from columns that come before them in the tie-break."""
+    return [F.col(c).asc_nulls_last() for c in SILVER_COLUMNS if c not in SILVER_KEY and c not in RATIOS]
 
 
-def dedup_typed(typed: DataFrame) -> DataFrame:
-    """Typed Silver rows, one per key. Ratios follow from columns that come before them
-    in the tie-break, so they are left out of the shuffle and computed again."""
-    kept = dedup_by_key(typed.drop(*RATIOS), order=[F.col(c).asc_nulls_last() for c in SILVER_COLUMNS if c not in SILVER_KEY and c not in RATIOS])
+def _with_ratios(kept: DataFrame) -> DataFrame:
     return kept.select(*[safe_divide(*RATIOS[c]).alias(c) if c in RATIOS else F.col(c) for c in SILVER_COLUMNS])
 
 
+def dedup_typed(typed: DataFrame, watch: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Typed Silver rows, one per key. Ratios are left out of the shuffle and computed
+    again."""
+    return _with_ratios(dedup_by_key(typed.drop(*RATIOS), order=_typed_order(), watch=watch))
+
+
+def raw_key(year: int | None = None, year_col: str = "year") -> list[Column]:
+    """The business key of a raw row, as ``type_raw`` gives it."""
+    cols = {name: F.upper(F.trim(src)) if upper else F.trim(src) for name, src, upper in TEXT_MAP}
+    cols["state"] = default_blank(cols["state"], UNKNOWN)
+    cols["year"] = _year(year, year_col)
+    return [cols[c] for c in SILVER_KEY]
+
+
 def to_silver(raw: DataFrame, year: int | None = None, year_col: str = "year") -> DataFrame:
-    """Bronze -> Silver: typed, flagged and unique on (year, npi, state, brand, generic)."""
-    return dedup_typed(type_raw(raw, year, year_col))
+    """Bronze -> Silver: typed, flagged and unique on (year, npi, state, brand, generic).
+    Raw rows are told apart by the repeats of their key, so each is typed once."""
+    parts = split_repeats(raw, raw_key(year, year_col))
+    single, several = (type_raw(part, year, year_col).drop(*RATIOS) for part in parts)
+    return _with_ratios(_first_of_each(single, several, SILVER_KEY, _typed_order()))
 
 
 def flag_rejects(

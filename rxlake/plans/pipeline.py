@@ -69,21 +69,26 @@ def write_silver(lake: Lake, staged: DataFrame, years: list[int]) -> tuple[quali
     """Stage Silver and the rejects of ``years`` from the staged rows; the counts that
     the writes made, and Silver's metrics.
 
-    Rows are counted where they pass: accepted ones on their way to deduplication,
-    unique ones in the stage that writes them. Stored rows are counted from the
+    Rows are counted where they pass: accepted ones on their way to deduplication (those
+    with a key of their own and the others), unique ones in the stage that writes them. Stored rows are counted from the
     tables, by file footers. A stage that runs again after a lost executor may count
     rows on their way twice, so a difference is counted again before it stands."""
     ok = F.size("reject_reasons") == 0
     mine = staged.where(F.col("year").isin(years)).drop("_x", "_m")
     accepted = mine.where(ok).drop("reject_reasons", CORRUPT_COLUMN)
-    sent, made = Observation(), Observation()
-    fresh = clean.dedup_typed(accepted.observe(sent, F.count(F.lit(1)).alias("rows")))
+    sent, made = [], Observation()
+
+    def counted(part: DataFrame) -> DataFrame:
+        sent.append(Observation())
+        return part.observe(sent[-1], F.count(F.lit(1)).alias("rows"))
+
+    fresh = clean.dedup_typed(accepted, watch=counted)
     lake.stage("silver", fresh, years, inner=("state",), observe=(made, quality.silver_metrics()))
     rejected = mine.where(~ok)
     lake.stage("rejects", rejected, years)
     total = mine.count()
     refused = lake.read("rejects", rejected.schema, years).count()
-    flow = quality.RowFlow(total, sent.get["rows"], made.get["rows"], refused, lake.read("silver", SILVER_SCHEMA, years).count())
+    flow = quality.RowFlow(total, sum(part.get.get("rows", 0) for part in sent), made.get["rows"], refused, lake.read("silver", SILVER_SCHEMA, years).count())
     if flow.staged - flow.rejected_stored != flow.accepted:
         flow = replace(flow, accepted=accepted.count())
     return flow, made.get

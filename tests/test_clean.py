@@ -127,3 +127,35 @@ def test_ratios_are_computed_after_the_shuffle(spark):
     assert got.schema == want.schema
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     assert "cost_per_claim" in got._jdf.queryExecution().executedPlan().toString().split("Exchange")[0]
+
+
+def test_rows_with_a_key_of_their_own_are_not_shuffled(spark):
+    rows = [{**PLAIN, "Prscrbr_NPI": str(i)} for i in range(40)] + [{**PLAIN, "Tot_Drug_Cst": "7"}] * 2
+    plan = clean.to_silver(raw_df(spark, rows), year=2031)._jdf.queryExecution().executedPlan().toString()
+    single, several = plan.split("WindowGroupLimit")[0], plan[plan.index("WindowGroupLimit") :]
+    assert "Union" in single and "hashpartitioning" not in single.split("Window [")[0] and "hashpartitioning" in several
+
+
+def test_repeated_keys_are_never_taken_for_single_ones(spark, monkeypatch):
+    from rxlake.operators import repeats
+
+    rows = [(i, f"k{i}" if i % 3 else None, i) for i in range(300)] + [(i, f"k{i}" if i % 3 else None, -1) for i in range(0, 300, 7)]
+    df = spark.createDataFrame(rows, "a int, b string, c int")
+    for bits in (64 * repeats.WORDS, repeats.BITS):
+        monkeypatch.setattr(repeats, "BITS", bits)
+        single, several = (p.collect() for p in repeats.split_repeats(df, ["a", "b"]))
+        assert sorted(r["c"] for r in single + several) == sorted(r[2] for r in rows)
+        assert not {r["a"] for r in single} & {r["a"] for r in several} and all(r["a"] % 7 for r in single)
+        if bits > 1_000_000:
+            assert {r["a"] for r in several} == set(range(0, 300, 7))
+    assert repeats.split_repeats(df.where("a < 0"), ["a"])[0].count() == 0
+
+
+def test_keys_of_raw_rows_are_those_of_typed_ones(spark):
+    from rxlake.schemas import SILVER_KEY
+    from rxlake.sources.standin import standin_raw
+
+    raw = standin_raw(spark, "/root/testdata/sf0.001")
+    of_raw, of_typed = raw.select(*[k.alias(c) for k, c in zip(clean.raw_key(year_col="yr"), SILVER_KEY, strict=True)]), clean.type_raw(raw, year_col="yr").select(*SILVER_KEY)
+    assert of_raw.schema == of_typed.schema
+    assert of_raw.exceptAll(of_typed).count() == 0 and of_typed.exceptAll(of_raw).count() == 0
