@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rxlake.functions.money import money_sum
+from rxlake.operators.repeats import key_hash, repeated_hashes
 from rxlake.schemas import CONSTRAINTS, DQ_RESULT_SCHEMA
 from rxlake.session import stored
 
@@ -123,8 +124,14 @@ def reference_check(df: DataFrame, column: str, reference: DataFrame, run_id: st
 
 
 def duplicate_key_check(df: DataFrame, keys: list[str], run_id: str, dataset: str, layer: str, check_name: str) -> DataFrame:
-    """Number of key values held by more than one row (K4); must be 0."""
-    dups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.count_if(F.col("_n") > 1).alias("_dups"))
+    """Number of key values held by more than one row (K4); must be 0.
+
+    Keys are compared only where their hash occurs twice; a sound table moves hashes
+    alone. ``df`` is read twice and should be stored, or follow from a stored table
+    without a shuffle."""
+    again = repeated_hashes(df, keys)
+    suspect = df.select(*keys, key_hash(keys).alias("_hash")).join(again, "_hash", "left_semi")
+    dups = suspect.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.count_if(F.col("_n") > 1).alias("_dups"))
     return _rows(dups, run_id, dataset, layer, [(check_name, "_dups", "0", "FAIL")])
 
 

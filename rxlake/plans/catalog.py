@@ -113,7 +113,11 @@ def _anomalies(spark, sf_dir):
 def _star(spark, sf_dir):
     """The star over stored Silver. Dimensions are stored, so that the planner knows
     which are small before it moves the fact."""
-    tables = star.star_schema(_silver_once(spark, sf_dir))
+    return _star_of(_silver_once(spark, sf_dir))
+
+
+def _star_of(silver):
+    tables = star.star_schema(silver)
     return {name: stored(df, name) if name.startswith("dim_") else df for name, df in tables.items()}
 
 
@@ -842,9 +846,10 @@ def _contract_sql() -> str:
 
 @register("dq_contracts", W([c for _, c in CONTRACT], _contract_sql()))
 def dq_contracts(spark, sf_dir):
-    """Declared keys and NOT NULL columns of all ten gold tables."""
+    """Declared keys and NOT NULL columns of all ten gold tables. The fact is a
+    projection of the stored Silver rows and is read as such."""
     silver = _silver_once(spark, sf_dir)
-    tables = {name: stored(df, name) for name, df in star.star_schema(silver).items()}
+    tables = _star_of(silver)
     made = {name: stored(df, name) for name, df in gold_marts(silver, anomalies=False).items()}
     tables |= made | {"gold_anomaly_prescribers": stored(outliers.anomaly_prescribers(made["gold_prescriber_summary"], materialize=False), "anomalies")}
     return quality.constraint_checks({n: tables[n] for n, _ in CONTRACT}, RUN_ID, DATASET).select("check_name", "status", "observed_value")

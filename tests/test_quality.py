@@ -71,3 +71,29 @@ def test_one_changed_row_is_found_without_joining_all(spark, monkeypatch):
     assert joined[0][0] < 50 and joined[0][1] < 50
     # Within the tolerance: fingerprints differ everywhere, rows do not.
     assert quality.differing_rows(rows, exact, ["id", "k"], ["v"], fanout=4, levels=2).count() == 0
+
+
+def test_a_sound_key_check_moves_hashes_alone(spark):
+    from rxlake.operators import quality as q
+
+    long = spark.range(200).selectExpr("concat('a long key of many characters ', id) AS key")
+    check = q.duplicate_key_check(long, ["key"], "r", "d", "gold", "key_unique")
+    assert "_hash" in check._jdf.queryExecution().optimizedPlan().toString()
+    assert check.first()["status"] == "PASS"
+    twice = long.union(long.where("key LIKE '% 7'"))
+    row = q.duplicate_key_check(twice, ["key"], "r", "d", "gold", "key_unique").first()
+    assert (row["status"], row["observed_value"]) == ("FAIL", "1")
+
+
+def test_equal_hashes_of_different_keys_are_no_duplicates(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from rxlake.operators import quality as q
+    from rxlake.operators import repeats
+
+    same = lambda keys: F.pmod(F.xxhash64(*keys), F.lit(2))
+    monkeypatch.setattr(repeats, "key_hash", same)
+    monkeypatch.setattr(q, "key_hash", same)
+    rows = spark.createDataFrame([("a", None), ("a", 1), ("b", 1), ("a", None), ("c", 1)], "x string, y int")
+    row = q.duplicate_key_check(rows, ["x", "y"], "r", "d", "gold", "key_unique").first()
+    assert (row["status"], row["observed_value"]) == ("FAIL", "1")
