@@ -627,8 +627,8 @@ DQ_SQL = "\nUNION ALL\n".join(
 @register("dq_results", W(["silver", "fact", "dim_prescriber", "dim_drug", "dim_state", "dim_year", "summary"], DQ_SQL))
 def dq_results(spark, sf_dir):
     silver = _silver_once(spark, sf_dir)
-    tables = star.star_schema(silver)
-    summary = marts.prescriber_summary(silver)
+    tables = _star_of(silver)
+    summary = stored(marts.prescriber_summary(silver), "summary")
     return quality.union_all(
         [
             quality.silver_checks(silver, RUN_ID, DATASET),
