@@ -801,7 +801,7 @@ def dq_run_checks(spark, sf_dir):
     counted = m.withColumn("expected_row_count", F.col("row_count") + F.col("year") % 2)
     partial = quality.row_count_check(lineage.row_count_status(counted, partial=True), RUN_ID)
     recorded = m.where(F.col("year") != 2001).withColumn("checksum_sha256", F.when(F.col("year") == 1995, F.lit("other")).otherwise(F.col("checksum_sha256")))
-    silver = _silver_once(spark, sf_dir)
+    silver = stored(_silver(spark, sf_dir).select("year", "state"), "silver-states")  # what the checks read
     states = spark.read.parquet(f"{sf_dir}/region.parquet").where("r_name <> 'ASIA'").select(F.upper("r_name").alias("state"))
     flow, _ = _written(spark, sf_dir)
     flow_row = quality.row_flow_check(spark, flow, RUN_ID, DATASET).where("check_name = 'bronze_minus_rejected_equals_accepted'")
