@@ -39,15 +39,15 @@ def read_bronze_csv(spark: SparkSession, path: str, year: int | None = None) ->
     ``_corrupt_record`` so they can be sent to the reject table instead of being
     silently padded. Headers come from the scan; what reaches the driver is each
     different one once."""
-    found = records(spark, path)
-    headers = stored(found.where("header").select("file", F.col("record").alias("_header")), "csv-headers")
+    heads, found = records(spark, path)
+    headers = stored(heads.select("file", F.col("record").alias("_header")), "csv-headers")
     layouts = [r[0] for r in headers.select("_header").distinct().orderBy("_header").limit(MAX_LAYOUTS + 1).collect()]
     if len(layouts) > MAX_LAYOUTS:
         raise ValueError(f"{path} holds files of more than {MAX_LAYOUTS} layouts")
     names = [_names(h) for h in layouts]
     # Each record is parsed once, by the layout of its file.
     mine = [F.when(F.col("_header") == h, parsed(n, CORRUPT_COLUMN, CSV_TEXT)).alias(f"_r{i}") for i, (h, n) in enumerate(zip(layouts, names, strict=True))]
-    rows = found.where("NOT header").join(headers, "file").select(*mine)
+    rows = found.join(headers, "file").select(*mine)
 
     def bound(column: str) -> Column:
         held = [F.col(f"_r{i}.`{column}`") for i, n in enumerate(names) if column in [*n, CORRUPT_COLUMN]]

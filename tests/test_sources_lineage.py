@@ -255,3 +255,31 @@ def test_the_state_of_a_line_follows_from_fields():
 
     for line, outside, inside in (("a,b", False, True), ('"a', True, False), ('"a""', True, False), ('a","b', True, True), ('5" x', False, False), ('"a",', False, False), (',"', True, False), ('""', False, True), ('x"",y', False, True)):
         assert (open_after(line, False), open_after(line, True)) == (outside, inside), line
+
+
+def test_states_of_a_batch_are_those_of_its_lines():
+    import random
+
+    import pyarrow as pa
+
+    from rxlake.sources import csv_scan
+
+    draw = random.Random(7)
+    lines = ["".join(draw.choice('"",ab é') for _ in range(draw.randrange(9))) for _ in range(6000)]
+    ends = csv_scan.open_ends(pa.array(lines))
+    for inside in (False, True):
+        assert ends[inside].tolist() == [csv_scan.open_after(x, inside) for x in lines]
+        begins, state = [], inside
+        for i, x in enumerate(lines):
+            if not state:
+                begins.append(i)
+            state = csv_scan.open_after(x, state)
+        found, after = csv_scan._Lines(pa.array(lines)).walk(inside)
+        assert found.tolist() == begins and after == state
+
+
+def test_lines_are_cut_into_records_once(spark, tmp_dir):
+    write(os.path.join(tmp_dir, "once/a.csv"), 'Prscrbr_NPI,Brnd_Name\n1,"a\nb"\n2,c\n')
+    back = bronze.read_bronze_csv(spark, os.path.join(tmp_dir, "once"))
+    assert back._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert sorted((r["Prscrbr_NPI"], r["Brnd_Name"]) for r in back.collect()) == [("1", "a\nb"), ("2", "c")]
