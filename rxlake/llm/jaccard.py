@@ -33,6 +33,7 @@ the smallest; an empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +60,8 @@ SHORT = 64
 LIGHT = 16
 #: Sets in each side of a cell.
 CELL = 1024
+#: Parts of all first prefixes that are shuffled one after the other.
+PARTS = 2
 
 
 def least_common(n: np.ndarray | int) -> np.ndarray | int:
@@ -370,9 +373,12 @@ def near_duplicates(docs: DataFrame, row_key: Column | None = None) -> DataFrame
     reps = first.where("prefix IS NOT NULL").join(classes.select(F.col("cid").alias("rid")), "rid", "left_semi")
     postings = reps.select(F.explode("prefix").alias("token"), F.col("rid").alias("cid"))
     need = F.greatest(F.lit(1), F.ceil(F.col("n") / LEVELS[1]))
-    shared = _shared(postings).groupBy("cid").agg(F.count("*").alias("k"))
+    # A part of the shingles at a time, so that the shuffle of one is gone before the next.
+    counted = [keep(_shared(postings.where(F.pmod("token", F.lit(PARTS)) == i)).groupBy("cid").agg(F.count("*").alias("n")), "shared") for i in range(PARTS)]
+    shared = reduce(DataFrame.union, counted).groupBy("cid").agg(F.sum("n").alias("k"))
     alive = first.select("rid", "doc_id", "h", "d1", "d2", "n").join(shared, F.col("rid") == F.col("cid")).where(F.col("k") >= need)
     alive = keep(alive.select("cid", F.col("doc_id").alias("rep"), F.col("h").alias("rep_h"), "d1", "d2"), "alive")
+    discard(*counted)
     rows = keep(first.drop("h", "prefix"), "rows")
     discard(first)
     # By id and text: rows of a null or frequent id meet only rows of their own text.

@@ -48,6 +48,16 @@ def test_large_groups_of_near_copies(spark, monkeypatch):
     check_components(spark.createDataFrame(rows, "doc_id bigint, text string, rid string"))
 
 
+def test_first_prefixes_are_shuffled_in_parts(documents, monkeypatch):
+    kept, keep = [], jaccard.keep
+    monkeypatch.setattr(jaccard, "keep", lambda df, name="t": (kept.append(name), keep(df, name))[1])
+    found = []
+    for parts in (1, 3):
+        monkeypatch.setattr(jaccard, "PARTS", parts)
+        found.append(sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in jaccard.near_duplicates(documents).collect()))
+    assert kept.count("shared") == 4 and found[0] == found[1]
+
+
 def test_one_of_each(documents, no_documents):
     kept = jaccard.one_of_each(documents)
     assert kept.columns == documents.columns
