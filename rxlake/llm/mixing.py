@@ -89,13 +89,16 @@ def plan_mix(docs: DataFrame, out: str = "mix", *, weights: Sequence[int] = (3,
     sized = docs.withColumn(size, word_count(F.col("text"))).withColumn(key, own)
     sizes = sized.groupBy(F.col("source")).agg(F.sum(size).cast("long").alias("source_size"))
     targets = source_targets(sizes, weights, share, ceiling)
-    targets = targets.select(F.col("source").alias(src), F.struct("source_size", "target").alias(f"{src}_t"))
+    # The rate is of the source: worked out a source, not a row, which leaves little
+    # code to the stage that writes the texts.
+    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    of_source = F.struct("source_size", "target", F.floor(rate).alias("whole"), (rate - F.floor(rate)).alias("part"))
+    targets = targets.select(F.col("source").alias(src), of_source.alias(f"{src}_t"))
     sized = numbered(sized, key, nth)
     joined = sized.join(targets, sized["source"].eqNullSafe(targets[src]))
     total, target = F.col(f"{src}_t.source_size"), F.col(f"{src}_t.target")
-    rate = F.when(total > 0, target / total).otherwise(F.lit(0.0))
     draw = unit_draw(seed, F.concat(F.col(key), F.lit(":"), F.col(nth).cast("string")))
-    copies = F.floor(rate) + F.when(draw < rate - F.floor(rate), 1).otherwise(0)
+    copies = F.col(f"{src}_t.whole") + F.when(draw < F.col(f"{src}_t.part"), 1).otherwise(0)
     mixed = F.struct(F.col(size).alias("size"), total.alias("source_size"), target.alias("target"), copies.cast("long").alias("copies"))
     kept = [F.col(c) for c in docs.columns if c.lower() != out.lower()]
     return joined.select(*kept, mixed.alias(out))
@@ -104,5 +107,6 @@ def plan_mix(docs: DataFrame, out: str = "mix", *, weights: Sequence[int] = (3,
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mixture itself: each document as many times as it is taken."""
     (out, i) = free_name(docs, "_mix", "_copy")
-    planned = plan_mix(docs, out, **options).where(F.col(f"{out}.copies") > 0)
-    return planned.withColumn(i, F.explode(F.sequence(F.lit(1), F.col(f"{out}.copies").cast("int")))).select(*docs.columns)
+    planned = plan_mix(docs, out, **options)
+    # No copies are an empty array; a filter on them would draw each row twice.
+    return planned.withColumn(i, F.explode(F.array_repeat(F.lit(True), F.col(f"{out}.copies").cast("int")))).select(*docs.columns)

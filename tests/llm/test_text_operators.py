@@ -47,6 +47,11 @@ def test_mix_targets_and_copies(documents, no_documents):
     assert mixing.mix(no_documents).count() == 0 and mixing.plan_mix(no_documents).count() == 0
 
 
+def test_mix_draws_a_row_once(documents):
+    plan = mixing.mix(documents)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("conv(substring(md5(") == 1
+
+
 def test_rows_of_one_id_draw_each(spark):
     rows = [(i, f"ten words {i} a b c d e f g", "a") for i in range(300)]
     rows += [(None, f"ten words {i} a b c d e f g", "b") for i in range(300)]  # a null id
