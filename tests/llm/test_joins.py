@@ -3,6 +3,7 @@ against plain versions, on tables with all the odd cases."""
 
 import hashlib
 import random
+import re
 import tracemalloc
 from collections import Counter
 
@@ -144,6 +145,48 @@ def test_top_k(spark, monkeypatch):
     assert (topk.products(big, np.array([[1, 1]])) == [[2**40 + 3], [1 - 2**40]]).all()
 
 
+def broadcast_parts(df):
+    """What each broadcast of a plan reads, as text."""
+    lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
+    depth = [len(re.match(r"[ :+|-]*", x)[0]) for x in lines]
+    for i in (i for i, x in enumerate(lines) if "BroadcastExchange" in x):
+        end = next((j for j in range(i + 1, len(lines)) if depth[j] <= depth[i]), len(lines))
+        yield "\n".join(lines[i:end])
+
+
+def test_top_k_broadcasts_no_vectors(spark, monkeypatch):
+    # As files they are short: the planner would broadcast all copies of the queries' chunks.
+    monkeypatch.setattr(topk, "CHUNK", 16)
+    r = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in r.normal(size=9)]) for i in range(300)]
+    v = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").select("vec_id", topk.quantised(F.col("embedding")).alias("v"))
+    seen, keep = [], topk.keep
+    monkeypatch.setattr(topk, "keep", lambda df, name: (seen.append(df), keep(df, name))[1])
+    top = topk.top_k(v, F.col("vec_id") % 50 == 0, 5)
+    sent = [part for df in [*seen, top] for part in broadcast_parts(df)]
+    assert len(seen) > 4 and not [x for x in sent if re.search(r"\b(v|qv|cv|vals|q_vals|c_vals)#", x)]
+    assert top.count() == 30
+
+
+def test_top_k_of_wide_and_uneven_numbers(spark, monkeypatch):
+    """Cells of narrow, wide and huge integers, ties, and fewer dimensions than blocks."""
+    monkeypatch.setattr(topk, "CHUNK", 8)
+    r = np.random.default_rng(6)
+    for dims, scale in ((1, 3), (3, 4), (5, 2**20), (4, 2**28), (2, 2**31 - 1)):
+        vectors = [[int(x) for x in r.integers(-scale, scale, dims, endpoint=True)] for _ in range(90)]
+        vectors[7] = [x % 5 for x in vectors[7]]
+        v = spark.createDataFrame(list(enumerate(vectors)), "vec_id bigint, v array<bigint>")
+        got = {tuple(x) for x in topk.top_k(v, F.col("vec_id") % 30 == 0, 4).collect()}
+        want = set()
+        for q in (0, 30, 60):
+            best = sorted((-sum(a * b for a, b in zip(vectors[q], c, strict=True)), i) for i, c in enumerate(vectors) if i != q)[:4]
+            want |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(best)}
+        assert got == want
+    big = np.array([[2**33, 1], [-(2**33), 5]])
+    assert topk._exact(big, big).tolist() == [[2**66 + 1, 5 - 2**66], [5 - 2**66, 2**66 + 25]]
+    with pytest.raises(OverflowError):
+        topk.products(big, big)
+
 PAGE = """<!DOCTYPE html><html><head><title>T &amp; t</title><style>p{}</style><meta name=x></head><body class="no-sidebar header-on">
 <header class="site"><h1>Site</h1></header><nav><ul><li><a href=/a>Menu</a></ul></nav><div id="cookie-notice">We use cookies</div>
 <div class="wrap"><div class="post-content p-12"><h2>The&nbsp;story</h2><p>First <b>bo</b>ld para,
