@@ -90,6 +90,16 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete a ``stored`` table that nothing reads any more."""
+    jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if "/stored/" not in folder:
+            raise ValueError(f"{folder} is no stored table")
+        at = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+        at.getFileSystem(conf).delete(at, True)
+
+
 def drop_stored(spark: SparkSession) -> None:
     """Delete all that this session has ``stored``, once results are written: those
     not yet computed may read it."""

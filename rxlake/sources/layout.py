@@ -9,12 +9,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from rxlake.session import stored
+from rxlake.session import PARQUET, discard, stored
 
 #: Rows of a file at most.
 ROWS_PER_FILE = 4_000_000
 #: Rows of a task that writes several files.
 ROWS_PER_TASK = 200_000
+#: Runs (a folder's rows in one stored piece) that are known to every task at most.
+MOST_RUNS = 1 << 17
 BAND = "_band"
 
 
@@ -26,40 +28,66 @@ def write_sized(df: DataFrame, path: str, by: list[str], rows_per_file: int = RO
     ones as hold ``ROWS_PER_TASK`` rows. Where ``dynamic``, folders that ``df`` has no
     rows for stay. Returns the sizes: ``by``, ``rows``, ``files``.
 
-    Rows and their numbers are stored before they are dealt, so a task that is run
-    again deals the same rows."""
-    taken = {c.lower() for c in df.columns} & {"_row", "_task", "_from", "_before", "_first", "rows", "files"}
+    Rows are stored with their numbers, sorted by folder, before they are written, so a
+    task that is run again writes the same rows. Full files that lie within a stored
+    piece are written from there; only what is left of the pieces is dealt out. Where
+    there are more than ``MOST_RUNS`` runs, all rows are dealt."""
+    spark = df.sparkSession
+    taken = {c.lower() for c in df.columns} & {"_row", "_piece", "_read", "_n", "_from", "_direct", "_left", "_before", "_first", "_to", "rows", "files"}
     if taken:
         raise ValueError(f"columns {sorted(taken)} are used by the layout")
     # A task's rows of one folder are numbered without gaps.
     rows = stored(df.sortWithinPartitions(*by).withColumn("_row", F.monotonically_increasing_id()), "sized")
-    rows = rows.withColumn("_task", F.shiftright("_row", 33))
-    runs = stored(rows.groupBy("_task", *by).agg(F.count("*").alias("_n"), F.min("_row").alias("_from")), "runs")
-    sizes = runs.groupBy(*by).agg(F.sum("_n").alias("rows")).withColumn("files", F.ceil(F.col("rows") / rows_per_file))
+    # Shuffle files of what led here go when the driver's JVM collects what refers to them.
+    spark.sparkContext._jvm.System.gc()
+    # A piece is a stored file, by the numbers of its rows.
+    piece = F.struct(F.shiftright("_row", 33).alias("task"), F.floor(F.col("_row").bitwiseAND((1 << 33) - 1) / PARQUET["maxRecordsPerFile"]).alias("file"))
+    read = rows.select(*by, "_row", piece.alias("_piece"), F.spark_partition_id().alias("_read"))
+    runs = stored(read.groupBy("_piece", *by).agg(F.count("*").alias("_n"), F.min("_row").alias("_from"), (F.min("_read") == F.max("_read")).alias("_read")), "runs")
+    # Full files of a run, unless readers split its piece.
+    known = rows_per_file <= PARQUET["maxRecordsPerFile"] and runs.count() <= MOST_RUNS
+    runs = runs.withColumn("_direct", F.when(F.col("_read"), F.floor(F.col("_n") / rows_per_file) * rows_per_file).otherwise(0) if known else F.lit(0).cast("long"))
+    # What is left of a folder is a file at least, or a full one is left with it.
+    folder = Window.partitionBy(*by)
+    left = F.sum(F.col("_n") - F.col("_direct")).over(folder)
+    giver = F.row_number().over(folder.orderBy(F.when(F.col("_direct") > 0, 0).otherwise(1), "_piece")) == 1
+    runs = runs.withColumns({"_left": left, "_to": giver})
+    gives = F.col("_to") & (F.col("_left") > 0) & (F.col("_left") < rows_per_file) & (F.col("_direct") > 0)
+    runs = stored(runs.withColumn("_direct", F.col("_direct") - F.when(gives, rows_per_file).otherwise(0)).drop("_left", "_to", "_read"), "runs")
+    sizes = runs.groupBy(*by).agg(F.sum("_n").alias("rows"), F.sum("_direct").alias("_direct"))
+    sizes = sizes.select(*by, "rows", F.ceil(F.col("rows") / rows_per_file).alias("files"), "_direct", (F.col("rows") - F.col("_direct")).alias("_left"))
     # The last file of a folder is one task; the others, all but one of them full, are dealt in runs.
     per_task = max(1, ROWS_PER_TASK // rows_per_file)
-    tasks = F.greatest(F.ceil((F.col("files") - 1) / per_task) + 1, F.lit(1))
+    dealt_files = F.ceil(F.col("_left") / rows_per_file)
+    tasks = F.when(F.col("_left") == 0, 0).otherwise(F.greatest(F.ceil((dealt_files - 1) / per_task) + 1, F.lit(1)))
     # One row a folder; nothing else passes through this window.
     before = Window.orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
     sizes = stored(sizes.withColumn("_first", F.coalesce(F.sum(tasks).over(before), F.lit(0))), "sizes")
-    total = sizes.agg(F.max(F.col("_first") + tasks)).first()[0] or 1
-    # One row a folder and task of the stored rows.
-    earlier = Window.partitionBy(*by).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-    runs = runs.alias("r").join(sizes.alias("s"), _same(by, "r", "s")).select("r.*", "rows", "files", "_first")
-    nth = F.col("_before") + F.col("_row") - F.col("_from")
-    shared = F.col("rows") - (F.col("files") - 2) * rows_per_file
-    last = (F.col("files") > 1) & (nth >= F.col("rows") - F.floor(shared / 2))
+    total, direct = sizes.agg(F.max(F.col("_first") + tasks), F.sum(F.ceil(F.col("_direct") / (rows_per_file * per_task)))).first()
+    # One row a folder and piece of the stored rows.
+    earlier = Window.partitionBy(*by).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    placed = runs.withColumn("_before", F.coalesce(F.sum(F.col("_n") - F.col("_direct")).over(earlier), F.lit(0)))
+    placed = placed.alias("r").join(sizes.alias("s"), _same(by, "r", "s")).select("r.*", "_left", "_first")
+    nth = F.col("_before") + F.col("_row") - F.col("_from") - F.col("_direct")
+    shared = F.col("_left") - (dealt_files - 2) * rows_per_file
+    last = (dealt_files > 1) & (nth >= F.col("_left") - F.floor(shared / 2))
     task = F.col("_first") + F.when(last, tasks - 1).otherwise(F.floor(nth / (rows_per_file * per_task)))
-    dealt = rows.alias("r").join(runs.alias("s"), (F.col("r._task") == F.col("s._task")) & _same(by, "r", "s")).select("r.*", task.cast("int").alias("_to"))
-    dealt = dealt.repartitionById(int(total), "_to").drop("_row", "_task", "_to")
-    writer = dealt.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
+    in_run = (F.col("r._piece") == F.col("s._piece")) & _same(by, "r", "s")
+    told = rows.withColumn("_piece", piece).alias("r").join(F.broadcast(placed.alias("s")) if known else placed.alias("s"), in_run)
+    in_place = F.col("_row") - F.col("_from") < F.col("_direct")
+    columns = [F.col(f"r.`{c}`") for c in df.columns]
+    dealt = told.where(~in_place).select(*columns, task.cast("int").alias("_to"))
+    out = dealt.repartitionById(max(1, int(total or 0)), "_to").drop("_to")
+    if direct:
+        out = told.where(in_place).select(*columns).coalesce(int(direct)).unionByName(out)
+    writer = out.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
     if dynamic:
         # Tasks move their files into the staging folder, whose folders are switched at the end.
         writer = writer.option("partitionOverwriteMode", "dynamic").option("mapreduce.fileoutputcommitter.algorithm.version", 2)
     else:
         writer = writer.option("partitionOverwriteMode", "static")
     writer.partitionBy(*by).parquet(path)
+    discard(rows)
     return sizes.select(*by, "rows", "files")
 
 

@@ -55,6 +55,8 @@ def standin_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
     if not done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done):
         derive_raw(spark, sf_dir).write.mode("overwrite").options(**PARQUET).parquet(path)
+        # The shuffle files of the joins go when the driver's JVM collects what refers to them.
+        spark.sparkContext._jvm.System.gc()
     schema = ", ".join(f"{c} string" for c in RAW_COLUMNS)
     return spark.read.schema(f"{schema}, yr int").parquet(path)
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from rxlake.schemas import CORRUPT_COLUMN
+from rxlake.session import PARQUET
 from rxlake.sources import layout, pages
 
 
@@ -143,3 +144,41 @@ def test_written_pages_hold_each_row_once(spark, tmp_dir):
     assert len([d for d in os.listdir(f"{tmp_dir}/pages") if d.startswith("page=")]) == 7
     # No page is gathered into one row.
     assert not [d for d in spark.read.text(f"{tmp_dir}/pages/page=0").collect() if d[0].count("Prscrbr_NPI") != 1]
+
+
+@pytest.mark.parametrize("case", ["whole", "torn", "runs", "odd"])
+def test_full_files_are_written_where_rows_lie(spark, tmp_dir, monkeypatch, case):
+    monkeypatch.setitem(PARQUET, "maxRecordsPerFile", 4_000)
+    settings = {}
+    if case == "torn":
+        # Readers split the stored files by their row groups.
+        monkeypatch.setitem(PARQUET, "parquet.block.size", 4096)
+        settings = {"spark.sql.files.maxPartitionBytes": "4k", "spark.sql.files.openCostInBytes": "0"}
+    if case == "runs":
+        monkeypatch.setattr(layout, "MOST_RUNS", 3)
+    df = spark.range(40_000, numPartitions=3)
+    # 'b' has some rows more than its full files hold, 'one' a single one.
+    df = df.select("id", F.when(F.col("id") == 7, "one").when(F.col("id") < 25_000, "a").when(F.col("id") < 30_001, "b").otherwise(None).alias("s"))
+    if case == "odd":
+        df = df.where("id < 25000 OR id % 10 = 1 OR id = 30000").coalesce(1)
+    moved, kind = [], type(df)
+    deal = kind.repartitionById
+    monkeypatch.setattr(kind, "repartitionById", lambda self, *a: (moved.append(self.count()), deal(self, *a))[1])
+    held = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        sizes = {r["s"]: (r["rows"], r["files"]) for r in layout.write_sized(df, f"{tmp_dir}/t", ["s"], 500).collect()}
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    back = spark.read.schema("id long, s string").parquet(f"{tmp_dir}/t")
+    want = {r["s"]: r["count"] for r in df.groupBy("s").count().collect()}
+    assert sizes == {s: (n, -(-n // 500)) for s, n in want.items()}
+    assert back.exceptAll(df).isEmpty() and back.count() == df.count()
+    files = back.groupBy("s", F.col("_metadata.file_path").alias("f")).count().collect()
+    for s, (n, count) in sizes.items():
+        own = sorted(r["count"] for r in files if r["s"] == s)
+        assert len(own) == count and own[-1] <= 500 and own[-1] <= 2 * own[0] and own.count(500) >= count - 2
+    # What is left of some 14 runs, and a full file of each folder; else rows of split runs, or all.
+    assert {"torn": 30_000, "runs": 40_000}.get(case, 0) <= sum(moved) <= {"torn": 40_000, "runs": 40_000}.get(case, 8_000)
