@@ -45,10 +45,11 @@ from pyspark.sql.window import Window
 
 from rxlake.llm.store import keep, ship_code
 
-#: Vectors in a chunk of queries, chunks of that size in one of candidates at most, and
-#: blocks of dimensions.
+#: Vectors in a chunk of queries, chunks of that size in one of candidates at most, queries
+#: that are compared at once (all of their pairs may be entries), and blocks of dimensions.
 CHUNK = 2048
 FOLD = 8
+AT_ONCE = 256
 BLOCKS = 2
 
 
@@ -119,8 +120,11 @@ def _meet(queries: DataFrame, cands: DataFrame, count: int, dims: int, k: int, l
                     c, at = (ids, *side), row["_at"]
                 elif c is not None and row["_at"] == at:
                     cuts = np.frombuffer(row["cuts"], np.int64)
-                    found = _lists((ids, *side), c, k) if lists else _reaching((ids, *side), c, cuts, k)
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["qid", "cid", "score"])
+                    for lo in range(0, len(ids), AT_ONCE):
+                        few = slice(lo, lo + AT_ONCE)
+                        q = (ids[few], *([x[few] for x in y] for y in side))
+                        found = _lists(q, c, k) if lists else _reaching(q, c, cuts[few], k)
+                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["qid", "cid", "score"])
 
     return cells.mapInArrow(run, "qid bigint, cid bigint, score bigint")
 
